@@ -38,11 +38,9 @@ CORE_TRANSITION_MASK = 255
 # --------------------------------------------------------------------------
 
 
-def _case(code: Column, labels: dict[int, str], otherwise: Column) -> Column:
-    known = F
-    for value, label in labels.items():
-        known = known.when(code == value, F.lit(label))
-    return known.otherwise(otherwise)
+def _lookup(code: Column, labels: dict[int, str], otherwise: Column) -> Column:
+    entries = ", ".join(f"{value}L, '{label}'" for value, label in labels.items())
+    return F.coalesce(F.element_at(F.expr(f"map({entries})"), code), otherwise)
 
 
 def _numbered(prefix: str) -> Callable[[Column], Column]:
@@ -52,22 +50,22 @@ def _numbered(prefix: str) -> Callable[[Column], Column]:
 
 def chromium_transition(transition: Column) -> Column:
     code = transition.bitwiseAND(CORE_TRANSITION_MASK)
-    return _case(code, CHROMIUM_TRANSITIONS, _numbered("OTHER")(code))
+    return _lookup(code, CHROMIUM_TRANSITIONS, _numbered("OTHER")(code))
 
 
 def chromium_transition_group(transition: Column) -> Column:
     """The coarser summary labels; every other code, and NULL, is OTHER."""
     coarse = {code: CHROMIUM_TRANSITIONS[code] for code in CHROMIUM_SUMMARY_CODES}
-    return _case(transition.bitwiseAND(CORE_TRANSITION_MASK), coarse, F.lit("OTHER"))
+    return _lookup(transition.bitwiseAND(CORE_TRANSITION_MASK), coarse, F.lit("OTHER"))
 
 
 def download_state(state: Column) -> Column:
-    return _case(state, DOWNLOAD_STATES, _numbered("UNKNOWN")(state))
+    return _lookup(state, DOWNLOAD_STATES, _numbered("UNKNOWN")(state))
 
 
 def firefox_visit_type(visit_type: Column) -> Column:
-    return _case(visit_type, FIREFOX_VISIT_TYPES, _numbered("OTHER")(visit_type))
+    return _lookup(visit_type, FIREFOX_VISIT_TYPES, _numbered("OTHER")(visit_type))
 
 
 def firefox_visit_type_group(visit_type: Column) -> Column:
-    return _case(visit_type, FIREFOX_VISIT_TYPES, F.lit("OTHER"))
+    return _lookup(visit_type, FIREFOX_VISIT_TYPES, F.lit("OTHER"))

@@ -5,234 +5,229 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable, Iterator, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetrail.schemas import PROFILE
 
-SECONDS_1601 = 11_644_473_600
-SECONDS_2001 = 978_307_200
 FILE_ROWS = 500
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+PAGES = "page_id bigint, url string, html string"
+
+PROFILE_COLUMN = f"'p0' AS {PROFILE}"
+
+
+class Derived(Mapping):
+    """Named tables, each built when it is asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers = makers
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._makers[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
 
 class Base:
-    """The two source tables and the derived columns the rules share."""
+    """The two source tables with the derived columns the rules share."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, events_filter: str = "true"):
-        pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-        events = spark.read.parquet(f"{sf_dir}/events.parquet")
-        page_count = pages.agg(F.count("*")).scalar()
-        event_count = events.agg(F.count("*")).scalar()
-        p = F.col("page_id")
-        url = (
-            F.when(p % 25 == 3, F.format_string("http://nopath-%d.example", p))
-            .when(p % 25 == 7, F.format_string("about:page%d", p))
-            .when(p % 25 == 11, F.format_string("file:///home/u/%d", p))
-            .when(p % 25 == 15, F.format_string("https://www.awww.example:8080/www.x/%d", p))
-            .otherwise(F.col("url"))
-        )
-        self.pages = pages.select(
-            F.lit("p0").alias(PROFILE),
-            p.alias("p"),
-            url.alias("url"),
-            F.col("url").alias("plain_url"),
-            F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("page_title"),
-            (p * 7919 % 2592000).alias("spread"),
-            (p * 13 % 50).alias("count"),
-            page_count.alias("page_rows"),
-        )
-        e, u = F.col("event_id"), F.col("user_id")
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        self.events = events.where(events_filter).select(
-            F.lit("p0").alias(PROFILE),
-            e.alias("e"),
-            u.alias("u"),
-            F.col("event_type").alias("t"),
-            F.timestamp_diff("MICROSECOND", epoch, F.col("ts")).alias("m"),
-            F.round(F.col("value") * 100).cast("bigint").alias("c"),
-            F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-            page_count.alias("page_rows"),
-            F.when(e % 97 == 0, page_count + 1).otherwise((u * 7 + e % 11) % page_count + 1).alias("url_id"),
-            F.when(e % 5 == 0, 0).when(e % 89 == 0, event_count + 1000).otherwise(e).alias("from_id"),
-        )
+        self._pages = spark.read.schema(PAGES).parquet(f"{sf_dir}/pages.parquet")
+        self._events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+        self._filter = events_filter
 
+    def pages(self, *columns: str) -> DataFrame:
+        url = """CASE page_id % 25
+            WHEN 3 THEN concat('http://nopath-', page_id, '.example')
+            WHEN 7 THEN concat('about:page', page_id)
+            WHEN 11 THEN concat('file:///home/u/', page_id)
+            WHEN 15 THEN concat('https://www.awww.example:8080/www.x/', page_id)
+            ELSE url END AS url"""
+        shared = self._pages.selectExpr(
+            "page_id AS p",
+            url,
+            "url AS plain_url",
+            "regexp_extract(html, '<title>([^<]*)</title>', 1) AS page_title",
+            "page_id * 7919 % 2592000 AS spread",
+            "page_id * 13 % 50 AS visit_count",
+        )
+        return shared.selectExpr(PROFILE_COLUMN, *columns)
 
-def _title(title: str = "page_title") -> Column:
-    return F.when(F.col("p") % 17 != 0, F.col(title))
+    def events(self, *columns: str, where: str = "true") -> DataFrame:
+        page_rows = self._pages.agg(F.count("*")).scalar().alias("page_rows")
+        event_rows = self._events.agg(F.count("*")).scalar().alias("event_rows")
+        shared = self._events.where(self._filter).select("*", page_rows, event_rows)
+        shared = shared.selectExpr(
+            "event_id AS e",
+            "user_id AS u",
+            "event_type AS t",
+            "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS m",
+            "cast(round(value * 100) AS bigint) AS c",
+            "cast(get_json_object(props, '$.k') AS bigint) AS k",
+            "page_rows",
+            "CASE WHEN event_id % 97 = 0 THEN page_rows + 1 "
+            "ELSE (user_id * 7 + event_id % 11) % page_rows + 1 END AS url_id",
+            "CASE WHEN event_id % 5 = 0 THEN 0 WHEN event_id % 89 = 0 THEN event_rows + 1000 "
+            "ELSE event_id END AS from_id",
+        )
+        return shared.where(where).selectExpr(PROFILE_COLUMN, *columns)
 
 
-def chromium(spark: SparkSession, sf_dir: str, events_filter: str = "true") -> dict[str, DataFrame]:
+def chromium(spark: SparkSession, sf_dir: str, events_filter: str = "true") -> Derived:
     base = Base(spark, sf_dir, events_filter)
-    p, e, u, c, k = (F.col(name) for name in "peuck")
-    webkit = F.col("m") + SECONDS_1601 * 1_000_000
-    urls = base.pages.select(
-        PROFILE,
-        (p + 1).alias("id"),
-        "url",
-        _title().alias("title"),
-        F.col("count").alias("visit_count"),
-        (F.col("count") % 7).alias("typed_count"),
-        F.when(p % 31 == 0, F.lit(0)).otherwise(F.lit(13348540800000000) + F.col("spread") * 1_000_000)
-        .cast("bigint").alias("last_visit_time"),
-    )
-    visits = base.events.select(
-        PROFILE,
-        (e + 1).alias("id"),
-        F.col("url_id").alias("url"),
-        webkit.alias("visit_time"),
-        F.col("from_id").alias("from_visit"),
-        F.when(e % 101 != 0, F.lit(805306368) + e * 7 % 13).alias("transition"),
-        (c * 10000).alias("visit_duration"),
-    )
-    terms = base.events.where((F.col("t") == "click") & (e % 4 == 0)).select(
-        PROFILE, F.concat(F.lit("term "), k).alias("term"), (e % (F.col("page_rows") + 3) + 1).alias("url_id")
-    )
-    mime = F.element_at(F.array(F.lit("application/pdf"), F.lit("image/png"), F.lit("")), (e % 3 + 1).cast("int"))
-    downloads = base.events.where(F.col("t") == "purchase").select(
-        PROFILE,
-        (e + 1).alias("id"),
-        F.format_string("/home/u/dl/f%d.bin", e).alias("target_path"),
-        (c * 1024).alias("total_bytes"),
-        mime.alias("mime_type"),
-        F.when(e % 41 != 0, e % 6).alias("state"),
-        webkit.alias("start_time"),
-        F.when(e % 2 != 0, F.format_string("https://dl.example/%d", u)).alias("tab_url"),
-        F.when(e % 3 != 0, F.lit("https://ref.example/")).alias("referrer"),
+    webkit = "m + 11644473600000000"
+    return Derived(
+        {
+            "urls": lambda: base.pages(
+                "p + 1 AS id",
+                "url",
+                "if(p % 17 = 0, NULL, page_title) AS title",
+                "visit_count",
+                "visit_count % 7 AS typed_count",
+                "if(p % 31 = 0, 0, 13348540800000000 + spread * 1000000) AS last_visit_time",
+            ),
+            "visits": lambda: base.events(
+                "e + 1 AS id",
+                "url_id AS url",
+                f"{webkit} AS visit_time",
+                "from_id AS from_visit",
+                "if(e % 101 = 0, NULL, 805306368 + e * 7 % 13) AS transition",
+                "c * 10000 AS visit_duration",
+            ),
+            "keyword_search_terms": lambda: base.events(
+                "concat('term ', k) AS term", "e % (page_rows + 3) + 1 AS url_id", where="t = 'click' AND e % 4 = 0"
+            ),
+            "downloads": lambda: base.events(
+                "e + 1 AS id",
+                "concat('/home/u/dl/f', e, '.bin') AS target_path",
+                "c * 1024 AS total_bytes",
+                "array('application/pdf', 'image/png', '')[int(e % 3)] AS mime_type",
+                "if(e % 41 = 0, NULL, e % 6) AS state",
+                f"{webkit} AS start_time",
+                "if(e % 2 = 0, NULL, concat('https://dl.example/', u)) AS tab_url",
+                "if(e % 3 = 0, NULL, 'https://ref.example/') AS referrer",
+                where="t = 'purchase'",
+            ),
+            "content_annotations": lambda: base.events(
+                "e + 1 AS visit_id",
+                "if(e % 2 = 0, NULL, concat('/m/0', k)) AS categories",
+                "if(e % 7 = 0, NULL, 'en') AS page_language",
+                "if(e % 4 = 0, concat('q ', k), NULL) AS search_terms",
+                where="e % 3 = 0",
+            ),
+            "context_annotations": lambda: base.events(
+                "e + 1 AS visit_id",
+                "if(e % 10 = 0, -1000000, c * 5000) AS total_foreground_duration",
+                "array(200L, 404L, 0L)[int(e % 3)] AS response_code",
+                "u AS tab_id",
+                "u % 5 AS window_id",
+                where="e % 2 = 0",
+            ),
+        }
     )
-    content = base.events.where(e % 3 == 0).select(
-        PROFILE,
-        (e + 1).alias("visit_id"),
-        F.when(e % 2 != 0, F.format_string("/m/0%d", k)).alias("categories"),
-        F.when(e % 7 != 0, F.lit("en")).alias("page_language"),
-        F.when(e % 4 == 0, F.format_string("q %d", k)).alias("search_terms"),
-    )
-    context = base.events.where(e % 2 == 0).select(
-        PROFILE,
-        (e + 1).alias("visit_id"),
-        F.when(e % 10 == 0, F.lit(-1000000)).otherwise(c * 5000).cast("bigint").alias("total_foreground_duration"),
-        F.when(e % 3 == 0, 200).when(e % 3 == 1, 404).otherwise(0).cast("bigint").alias("response_code"),
-        u.alias("tab_id"),
-        (u % 5).alias("window_id"),
-    )
-    return {
-        "urls": urls,
-        "visits": visits,
-        "keyword_search_terms": terms,
-        "downloads": downloads,
-        "content_annotations": content,
-        "context_annotations": context,
-    }
 
 
-def edge(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def edge(spark: SparkSession, sf_dir: str) -> Derived:
     return chromium(spark, sf_dir, "user_id % 2 = 1")
 
 
-def firefox(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def firefox(spark: SparkSession, sf_dir: str) -> Derived:
     base = Base(spark, sf_dir)
-    p, e, c, k = (F.col(name) for name in "peck")
-    unix = F.lit(1704067200000000) + F.col("spread") * 1_000_000
-    places = base.pages.select(
-        PROFILE,
-        (p + 1).alias("id"),
-        "url",
-        _title().alias("title"),
-        F.col("count").alias("visit_count"),
-        F.when(p % 31 != 0, unix).alias("last_visit_date"),
+    unix = "1704067200000000 + spread * 1000000"
+    return Derived(
+        {
+            "moz_places": lambda: base.pages(
+                "p + 1 AS id",
+                "url",
+                "if(p % 17 = 0, NULL, page_title) AS title",
+                "visit_count",
+                f"if(p % 31 = 0, NULL, {unix}) AS last_visit_date",
+            ),
+            "moz_historyvisits": lambda: base.events(
+                "e + 1 AS id",
+                "from_id AS from_visit",
+                "url_id AS place_id",
+                "m AS visit_date",
+                "if(e % 101 = 0, NULL, e % 12) AS visit_type",
+            ),
+            "moz_inputhistory": lambda: base.events(
+                "e % (page_rows + 3) + 1 AS place_id",
+                "concat('in ', k) AS input",
+                "c / 100 AS use_count",
+                where="t = 'view' AND e % 4 = 0",
+            ),
+            "moz_bookmarks": lambda: base.pages(
+                "p + 1 AS id",
+                "CASE WHEN p < 10 THEN 2L WHEN p % 13 = 0 THEN 3L ELSE 1L END AS type",
+                "if(p < 10 OR p % 19 = 0, NULL, p + 1) AS fk",
+                "if(p % 23 = 0, 99999999L, p % 10 + 1) AS parent",
+                "if(p % 29 = 0, NULL, concat('bm ', p)) AS title",
+                f"{unix} AS dateAdded",
+            ),
+        }
     )
-    visits = base.events.select(
-        PROFILE,
-        (e + 1).alias("id"),
-        F.col("from_id").alias("from_visit"),
-        F.col("url_id").alias("place_id"),
-        F.col("m").alias("visit_date"),
-        F.when(e % 101 != 0, e % 12).alias("visit_type"),
-    )
-    inputs = base.events.where((F.col("t") == "view") & (e % 4 == 0)).select(
-        PROFILE,
-        (e % (F.col("page_rows") + 3) + 1).alias("place_id"),
-        F.format_string("in %d", k).alias("input"),
-        (c / 100).alias("use_count"),
-    )
-    bookmarks = base.pages.select(
-        PROFILE,
-        (p + 1).alias("id"),
-        F.when(p < 10, 2).when(p % 13 == 0, 3).otherwise(1).cast("bigint").alias("type"),
-        F.when((p >= 10) & (p % 19 != 0), p + 1).alias("fk"),
-        F.when(p % 23 == 0, F.lit(99999999)).otherwise(p % 10 + 1).cast("bigint").alias("parent"),
-        F.when(p % 29 != 0, F.format_string("bm %d", p)).alias("title"),
-        unix.alias("dateAdded"),
-    )
-    return {
-        "moz_places": places,
-        "moz_historyvisits": visits,
-        "moz_inputhistory": inputs,
-        "moz_bookmarks": bookmarks,
-    }
 
 
-def safari(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def safari(spark: SparkSession, sf_dir: str) -> Derived:
     base = Base(spark, sf_dir)
-    p, e, url_id = F.col("p"), F.col("e"), F.col("url_id")
-    items = base.pages.select(
-        PROFILE,
-        (p + 1).alias("id"),
-        "url",
-        F.col("count").alias("visit_count"),
-        (F.lit(725760000) + F.col("spread")).cast("double").alias("visit_count_score"),
-    )
-    title = (
-        F.when((url_id % 13 == 0) | (e % 3 == 0), F.lit(None))
-        .when((e % 3 == 1) & (e % 2 == 0), F.lit(""))
-        .otherwise(F.format_string("t %d", e))
-    )
-    visits = base.events.select(
-        PROFILE,
-        (e + 1).alias("id"),
-        url_id.alias("history_item"),
-        ((F.col("m") - SECONDS_2001 * 1_000_000) / 1_000_000).alias("visit_time"),
-        title.alias("title"),
-        F.col("from_id").alias("redirect_source"),
-        F.when(e % 6 == 0, e + 2).alias("redirect_destination"),
+    return Derived(
+        {
+            "history_items": lambda: base.pages(
+                "p + 1 AS id", "url", "visit_count", "cast(725760000 + spread AS double) AS visit_count_score"
+            ),
+            "history_visits": lambda: base.events(
+                "e + 1 AS id",
+                "url_id AS history_item",
+                "(m - 978307200000000) / 1000000 AS visit_time",
+                "CASE WHEN url_id % 13 = 0 OR e % 3 = 0 THEN NULL WHEN e % 3 = 1 AND e % 2 = 0 THEN '' "
+                "ELSE concat('t ', e) END AS title",
+                "from_id AS redirect_source",
+                "if(e % 6 = 0, e + 2, NULL) AS redirect_destination",
+            ),
+        }
     )
-    return {"history_items": items, "history_visits": visits}
 
 
 def saved_tab_files(spark: SparkSession, sf_dir: str, grouped: bool = True) -> DataFrame:
     """One storage file per 20 pages; without ``grouped`` no group can be recognised."""
-    pages = Base(spark, sf_dir).pages
-    title = F.regexp_replace("page_title", "[^A-Za-z0-9 ]", "")
-    form = '{"id":"%d","url":"%s","title":"%s"}'
-    tab = F.struct("p", F.format_string(form, "p", "plain_url", title).alias("json"))
-    files = pages.groupBy(PROFILE, F.floor(F.col("p") / 20).alias("g")).agg(F.sort_array(F.collect_list(tab)).alias("tabs"))
-    array = F.concat_ws(",", "tabs.json")
-    date = F.lit(1704067200000) + F.col("g") * 60000
     word = "createDate" if grouped else "createDat"
-    content = F.concat(F.lit("xx["), array, F.lit(f'],"{word}":'), date.cast("string"), F.lit("yy"))
-    return files.select(
-        PROFILE, F.format_string("%06d.ldb", "g").alias("file_name"), content.cast("binary").alias("content")
+    form = '\'{"id":"%d","url":"%s","title":"%s"}\''
+    tabs = Base(spark, sf_dir).pages(
+        "p DIV 20 AS g",
+        f"struct(p, format_string({form}, p, plain_url, regexp_replace(page_title, '[^A-Za-z0-9 ]', '')) AS json) AS tab",
+    )
+    files = tabs.groupBy(PROFILE, "g").agg(F.sort_array(F.collect_list("tab")).alias("tabs"))
+    return files.selectExpr(
+        PROFILE,
+        "format_string('%06d.ldb', g) AS file_name",
+        f"cast(concat('xx[', concat_ws(',', tabs.json), '],\"{word}\":', 1704067200000 + g * 60000, 'yy') AS binary)"
+        " AS content",
     )
 
 
 def profile_listing(spark: SparkSession, sf_dir: str, browser: str) -> DataFrame:
     """A file listing with one root per seven pages; each page adds one file."""
-    p = F.col("page_id")
-    root = F.format_string("/fleet/%d", F.floor(p / 7))
-    name = (p * 7919 % 13).cast("string")
     if browser == "firefox":
-        folder = (
-            F.when(p % 5 == 0, F.concat(name, F.lit(".default-release")))
-            .when(p % 5 == 1, F.concat(name, F.lit(".default")))
-            .when(p % 5 == 2, F.concat(name, F.lit(".default-esr")))
-            .otherwise(F.concat(F.lit("work-"), name))
-        )
-        file_name = F.when(p % 4 == 3, F.lit("prefs.js")).otherwise(F.lit("places.sqlite"))
+        folder = """CASE page_id % 5 WHEN 0 THEN concat(name, '.default-release') WHEN 1 THEN concat(name, '.default')
+            WHEN 2 THEN concat(name, '.default-esr') ELSE concat('work-', name) END"""
+        file_name = "if(page_id % 4 = 3, 'prefs.js', 'places.sqlite')"
     else:
-        folder = F.when(p % 17 == 0, F.lit("Default")).otherwise(F.concat(F.lit("Profile "), name))
-        file_name = F.when(p % 4 == 3, F.lit("Cookies")).otherwise(F.lit("History"))
-    in_root = F.when(p % 11 == 0, F.lit("places.sqlite")).otherwise(F.concat_ws("/", folder, file_name))
-    path = F.when(F.floor(p / 7) % 9 != 4, in_root)
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select(root.alias("root"), path.alias("rel_path"))
+        folder = "if(page_id % 17 = 0, 'Default', concat('Profile ', name))"
+        file_name = "if(page_id % 4 = 3, 'Cookies', 'History')"
+    pages = spark.read.schema(PAGES).parquet(f"{sf_dir}/pages.parquet")
+    return pages.selectExpr("page_id", "cast(page_id * 7919 % 13 AS string) AS name").selectExpr(
+        "concat('/fleet/', page_id DIV 7) AS root",
+        f"""CASE WHEN page_id DIV 7 % 9 = 4 THEN NULL WHEN page_id % 11 = 0 THEN 'places.sqlite'
+            ELSE concat({folder}, '/', {file_name}) END AS rel_path""",
+    )
 
 
 def sqlite_files(spark: SparkSession, sf_dir: str) -> DataFrame:
