@@ -18,15 +18,15 @@ from pagetrail.plans.newest import (
     attach,
     fetch,
     first_rows,
+    ids_of,
     is_short,
     join_links,
     keep,
-    leading_parents,
     newest,
+    newest_matched,
     page_names,
     page_of_visit,
     referrer_urls,
-    rows_of,
 )
 from pagetrail.schemas import PROFILE
 
@@ -60,13 +60,12 @@ def visits(
     dated = _dated(every, "visit_time", date_from, date_to, tz)
     order = newest("visit_time", "page", "id")
     if is_short(limit):
-        leaders = leading_parents(dated, pages, "page", "visit_time", limit)
-        top = first_rows(rows_of(dated, leaders, "page", "visit_time", limit), order, limit)
+        top = newest_matched(dated, [(ids_of(pages, "page"), "page")], order, limit)
         named = attach(top, pages, "page", {"url": "url", "title": "title"})
         from_urls = referrer_urls(top, every, pages, "from_visit", "page").withColumnRenamed("_url", "from_url")
-        rows = named.join(from_urls, [PROFILE, "from_visit"], "left")
+        rows = named.join(from_urls, ["from_visit", PROFILE], "left")
     else:
-        named = dated.join(page_names(pages, "page", "url", "title"), [PROFILE, "page"])
+        named = dated.join(page_names(pages, "page", "url", "title"), ["page", PROFILE])
         rows = join_links(named, page_of_visit(every, pages, "page"), "from_visit", "from_url")
     return first_rows(rows, order, limit).select(
         "url",
@@ -88,13 +87,13 @@ def searches(
     if is_short(limit):
         # Every page kept here has a term, so the first n pages hold the first n rows.
         used = terms.select(PROFILE, "url_id").distinct()
-        timed = pages.select(PROFILE, "url_id", "last_visit_time").join(used, [PROFILE, "url_id"], "left_semi")
+        timed = pages.select(PROFILE, "url_id", "last_visit_time").join(used, ["url_id", PROFILE], "left_semi")
         leaders = first_rows(timed, newest("last_visit_time", "url_id"), limit)
-        top = first_rows(terms.join(F.broadcast(leaders), [PROFILE, "url_id"]), order, limit)
+        top = first_rows(terms.join(F.broadcast(leaders), ["url_id", PROFILE]), order, limit)
         names = fetch(pages.select(PROFILE, "url_id", "url", "title"), top, "url_id")
-        rows = top.join(names, [PROFILE, "url_id"])
+        rows = top.join(names, ["url_id", PROFILE])
     else:
-        rows = terms.join(pages, [PROFILE, "url_id"])
+        rows = terms.join(pages, ["url_id", PROFILE])
     return first_rows(rows, order, limit).select("term", "url", "title", _time("last_visit_time", tz))
 
 
@@ -127,17 +126,12 @@ def _annotated(
     names = page_names(pages, "page", "url", "title")
     order = newest("visit_time", "page", "visit_id")
     if is_short(limit):
-        noted = notes.select(PROFILE, "visit_id")
-
-        def with_note(rows: DataFrame) -> DataFrame:
-            return rows.join(noted, [PROFILE, "visit_id"], "left_semi")
-
-        leaders = leading_parents(with_note(timed), pages, "page", "visit_time", limit)
-        top = first_rows(with_note(rows_of(timed, leaders, "page", "visit_time", limit)), order, limit)
-        rows = top.join(fetch(notes, top, "visit_id"), [PROFILE, "visit_id"])
-        rows = rows.join(fetch(names, top, "page"), [PROFILE, "page"])
+        matches = [(ids_of(notes, "visit_id", "visit_id"), "visit_id"), (ids_of(pages, "page"), "page")]
+        top = newest_matched(timed, matches, order, limit)
+        rows = top.join(fetch(notes, top, "visit_id"), ["visit_id", PROFILE])
+        rows = rows.join(fetch(names, top, "page"), ["page", PROFILE])
     else:
-        rows = timed.join(notes, [PROFILE, "visit_id"]).join(names, [PROFILE, "page"])
+        rows = timed.join(notes, ["visit_id", PROFILE]).join(names, ["page", PROFILE])
     return first_rows(rows, order, limit)
 
 

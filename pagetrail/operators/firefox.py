@@ -14,15 +14,15 @@ from pagetrail.plans.newest import (
     attach,
     fetch,
     first_rows,
+    ids_of,
     is_short,
     join_links,
     keep,
-    leading_parents,
     newest,
+    newest_matched,
     page_names,
     page_of_visit,
     referrer_urls,
-    rows_of,
 )
 from pagetrail.schemas import PROFILE
 
@@ -54,13 +54,12 @@ def visits(
     dated = keep(every, in_dates(F.col("visit_date"), FIREFOX_TIME, date_from, date_to, tz))
     order = newest("visit_date", "place_id", "id")
     if is_short(limit):
-        leaders = leading_parents(dated, pages, "place_id", "visit_date", limit)
-        top = first_rows(rows_of(dated, leaders, "place_id", "visit_date", limit), order, limit)
+        top = newest_matched(dated, [(ids_of(pages, "place_id"), "place_id")], order, limit)
         named = attach(top, pages, "place_id", {"url": "url", "title": "title"})
         from_urls = referrer_urls(top, every, pages, "from_visit", "place_id").withColumnRenamed("_url", "from_url")
-        rows = named.join(from_urls, [PROFILE, "from_visit"], "left")
+        rows = named.join(from_urls, ["from_visit", PROFILE], "left")
     else:
-        named = dated.join(page_names(pages, "place_id", "url", "title"), [PROFILE, "place_id"])
+        named = dated.join(page_names(pages, "place_id", "url", "title"), ["place_id", PROFILE])
         rows = join_links(named, page_of_visit(every, pages, "place_id"), "from_visit", "from_url")
     return first_rows(rows, order, limit).select(
         "url",
@@ -78,11 +77,10 @@ def searches(tables: Tables, limit: int = 100) -> DataFrame:
     names = page_names(pages, "place_id", "url", "title")
     order = newest("use_count", "place_id", "input")
     if is_short(limit):
-        leaders = leading_parents(inputs, pages, "place_id", "use_count", limit)
-        top = first_rows(rows_of(inputs, leaders, "place_id", "use_count", limit), order, limit)
-        rows = top.join(fetch(names, top, "place_id"), [PROFILE, "place_id"])
+        top = newest_matched(inputs, [(ids_of(pages, "place_id"), "place_id")], order, limit)
+        rows = top.join(fetch(names, top, "place_id"), ["place_id", PROFILE])
     else:
-        rows = inputs.join(names, [PROFILE, "place_id"])
+        rows = inputs.join(names, ["place_id", PROFILE])
     return first_rows(rows, order, limit).select(
         "input", "url", blank_if_null(F.col("title")).alias("title"), "use_count"
     )
@@ -99,7 +97,7 @@ def bookmarks(tables: Tables, limit: int = 100, tz: str = "UTC") -> DataFrame:
         marks = first_rows(marks, order, limit)
         places = fetch(places, marks, "fk")
         folders = fetch(folders, marks, "parent")
-    rows = marks.join(places, [PROFILE, "fk"], "left").join(folders, [PROFILE, "parent"], "left")
+    rows = marks.join(places, ["fk", PROFILE], "left").join(folders, ["parent", PROFILE], "left")
     return first_rows(rows, order, limit).select(
         "title",
         blank_if_null(F.col("url")).alias("url"),

@@ -13,15 +13,15 @@ from pagetrail.plans.newest import (
     attach,
     fetch,
     first_rows,
+    ids_of,
     is_short,
     join_links,
     keep,
-    leading_parents,
     newest,
+    newest_matched,
     page_names,
     page_of_visit,
     referrer_urls,
-    rows_of,
 )
 from pagetrail.schemas import PROFILE
 
@@ -57,19 +57,19 @@ def urls(
     in_range = in_dates(F.col("visit_time"), SAFARI_TIME, date_from, date_to, tz)
     if in_range is not None:
         seen = visits.where(in_range).select(PROFILE, F.col("history_item").alias("id")).distinct()
-        pages = pages.join(seen, [PROFILE, "id"], "left_semi")
+        pages = pages.join(seen, ["id", PROFILE], "left_semi")
     if last_visit == "score":
         pages = pages.withColumnRenamed("visit_count_score", "last_visit")
     else:
         newest_visit = visits.groupBy(PROFILE, F.col("history_item").alias("id")).agg(
             F.max("visit_time").alias("last_visit")
         )
-        pages = pages.join(newest_visit, [PROFILE, "id"], "left")
+        pages = pages.join(newest_visit, ["id", PROFILE], "left")
     order = newest("last_visit", "id")
     if is_short(limit):
         pages = first_rows(pages, order, limit)
         visits = fetch(visits, pages.select(PROFILE, F.col("id").alias("history_item")), "history_item")
-    rows = pages.join(_latest_titles(visits), [PROFILE, "id"], "left")
+    rows = pages.join(_latest_titles(visits), ["id", PROFILE], "left")
     return first_rows(rows, order, limit).select(
         "url",
         blank_if_null(F.col("title")).alias("title"),
@@ -88,16 +88,15 @@ def visits(
     order = newest("visit_time", "history_item", "id")
     links = ("redirect_source", "redirect_destination")
     if is_short(limit):
-        narrow = dated.drop("title")
-        leaders = leading_parents(narrow, pages, "history_item", "visit_time", limit)
-        top = first_rows(rows_of(narrow, leaders, "history_item", "visit_time", limit), order, limit)
+        matches = [(ids_of(pages, "history_item"), "history_item")]
+        top = newest_matched(dated.drop("title"), matches, order, limit)
         rows = attach(top, pages, "history_item", {"url": "url"})
-        rows = rows.join(fetch(every.select(PROFILE, "id", "title"), top, "id"), [PROFILE, "id"])
+        rows = rows.join(fetch(every.select(PROFILE, "id", "title"), top, "id"), ["id", PROFILE])
         for link in links:
             urls = referrer_urls(top, every, pages, link, "history_item").withColumnRenamed("_url", f"{link}_url")
-            rows = rows.join(urls, [PROFILE, link], "left")
+            rows = rows.join(urls, [link, PROFILE], "left")
     else:
-        rows = dated.join(page_names(pages, "history_item", "url"), [PROFILE, "history_item"])
+        rows = dated.join(page_names(pages, "history_item", "url"), ["history_item", PROFILE])
         targets = page_of_visit(every, pages, "history_item")
         for link in links:
             rows = join_links(rows, targets, link, f"{link}_url")

@@ -115,7 +115,7 @@ def domains(
     """Top domains by visits. Visits are counted per page first, so a hot page joins as one row."""
     layout = _layout(browser)
     per_page = _visits(tables, layout, date_from, date_to, tz).groupBy(PROFILE, "page").agg(F.count(F.lit(1)).alias("n"))
-    counted = per_page.join(_domains_of(tables, layout), [PROFILE, "page"]).groupBy("domain")
+    counted = per_page.join(_domains_of(tables, layout), ["page", PROFILE]).groupBy("domain")
     return first_rows(
         counted.agg(F.sum("n").alias("cnt")), [F.desc("cnt"), F.asc_nulls_first("domain")], TOP_DOMAINS
     )
@@ -152,7 +152,7 @@ def summary(
     per_page = visits.groupBy(PROFILE, "page").agg(*(c.alias(name) for name, c in counts.items()))
     domains_of = _domains_of(tables, layout).withColumn("known", F.lit(True))
     per_domain = (
-        per_page.join(domains_of, [PROFILE, "page"], "left")
+        per_page.join(domains_of, ["page", PROFILE], "left")
         .groupBy("known", "domain")
         .agg(F.count("page").alias("pages"), *(F.sum(name).alias(name) for name in counts))
     )

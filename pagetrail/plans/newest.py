@@ -1,19 +1,21 @@
 """Plan shapes for "the first n rows by some order" over keyed history tables.
 
-All reports are N:1 joins followed by ORDER BY ... LIMIT n, and one page may own a
-third of all visits. For a small n the reports therefore never shuffle the row-level
-table:
-
-1. ``leading_parents``: reduce the child to one row per parent key (map-side
-   combined, so a hot page is one row per task), drop keys without a parent, and
-   keep the n keys whose best row sorts first. The n best rows all belong to them.
-2. ``rows_of``: read the child again, cut by those <= n broadcast keys and, as a
-   scalar subquery Parquet can push down, by the worst of their best values.
-3. ``attach`` / ``fetch`` / ``referrer_urls``: read the wide columns (URL, title) and the referrer
-   rows only for the <= n survivors.
+Reports are N:1 joins followed by ORDER BY ... LIMIT n, and one page may own a third of
+all visits. For a small n the reports normally shuffle no table at all:
+
+1. ``newest_matched`` takes a few times n rows per task in report order and looks their
+   parents up by streaming the parent table past that broadcast handful. If n of them
+   have parents, they are the answer. If not (most of the newest rows dangle), a scalar
+   subquery opens a second branch that joins the whole tables; otherwise the same
+   subquery, pushed down to Parquet, makes that branch skip every row group.
+2. ``attach`` / ``fetch`` / ``referrer_urls`` read the wide columns (URL, title) and the
+   referrer rows only for the <= n survivors.
 
 For larger or absent limits every row may be needed and the reports join the tables
 directly; AQE splits skewed join partitions there.
+
+Join keys are listed id first: sort-merge joins then sort by a selective number, not by
+the profile text that many rows share.
 """
 
 from __future__ import annotations
@@ -25,13 +27,15 @@ from pyspark.sql import functions as F
 
 from pagetrail.schemas import PROFILE
 
-#: A frame of narrow keys this long is broadcast: at most 10,000 rows of a profile id
-#: and a few fixed-width numbers, about 1 MB.
+#: Longest limit served by broadcasting keys. Broadcast frames hold at most
+#: ``reach_of(MAX_KEY_ROWS)`` = 51,000 rows of a profile id and fixed-width numbers: a few MB.
 MAX_KEY_ROWS = 10_000
 
 #: Copies of a sentinel key in a salted join.
 SALTS = 64
 
+LOWEST, HIGHEST = -(2**63), 2**63 - 1
+
 
 def check_limit(limit: int) -> int:
     if isinstance(limit, bool) or not isinstance(limit, int):
@@ -40,10 +44,15 @@ def check_limit(limit: int) -> int:
 
 
 def is_short(limit: int) -> bool:
-    """True when ``limit`` rows of keys may be broadcast."""
+    """True when the rows of a report this long may be broadcast as keys."""
     return 0 <= check_limit(limit) <= MAX_KEY_ROWS
 
 
+def reach_of(limit: int) -> int:
+    """How many leading rows to try before joining whole tables."""
+    return 5 * limit + 1000
+
+
 def first_rows(df: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
     """Sort and cut; 0 keeps nothing, a negative limit keeps everything."""
     ordered = df.orderBy(*order)
@@ -59,35 +68,43 @@ def newest(rank: str, *ties: str) -> list[Column]:
     return [F.desc_nulls_last(rank), F.asc(PROFILE), *(F.asc(t) for t in ties)]
 
 
-def leading_parents(child: DataFrame, parent: DataFrame, key: str, rank: str, limit: int) -> DataFrame:
-    """(profile_id, key, best): the ``limit`` parent keys whose best child row sorts first.
+def ids_of(table: DataFrame, key: str, column: str = "id") -> DataFrame:
+    return table.select(PROFILE, F.col(column).alias(key))
 
-    Rows sort by rank descending, then profile and key, so a row of any other key comes
-    after the best row of each of these.
-    """
-    best = child.groupBy(PROFILE, key).agg(F.max(rank).alias("best"))
-    ids = parent.select(PROFILE, F.col("id").alias(key))
-    return first_rows(best.join(ids, [PROFILE, key], "left_semi"), newest("best", key), limit)
 
+def newest_matched(
+    rows: DataFrame, matches: Sequence[tuple[DataFrame, str]], order: Sequence[Column], limit: int
+) -> DataFrame:
+    """The first ``limit`` of ``rows`` that have a match in every table of ``matches``.
 
-def rows_of(child: DataFrame, leaders: DataFrame, key: str, rank: str, limit: int) -> DataFrame:
-    """Child rows of the leading keys that can still reach the first ``limit`` rows."""
-    lowest = F.lit(float("-inf")) if dict(child.dtypes)[rank] == "double" else F.lit(-(2**63))
-    full = F.count("best") >= limit
-    cutoff = leaders.agg(F.coalesce(F.when(full, F.min("best")), lowest)).scalar()
-    near = child.where((F.col(rank) >= cutoff) | F.col(rank).isNull())
-    return near.join(F.broadcast(leaders.select(PROFILE, key)), [PROFILE, key])
+    ``rows`` must be narrow, since a few thousand of them are broadcast. Each match is a
+    (profile_id, key) frame without repeats and the name of its numeric key.
+    """
+    reach = reach_of(limit)
+    found = first_rows(rows, order, reach)
+    for ids, key in matches:
+        found = ids.join(F.broadcast(found), [key, PROFILE])
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    complete = (F.count(F.lit(1)) >= limit) | (total <= reach)
+    # No id is as high as HIGHEST or as low as LOWEST, so one comparison opens or closes a branch.
+    gate = found.agg(F.when(complete, F.lit(HIGHEST)).otherwise(F.lit(LOWEST))).scalar()
+    first_key = matches[0][1]
+    quick = first_rows(found, order, limit).where(F.col(first_key) <= gate)
+    rest = rows.where(F.col(first_key) >= gate)
+    for ids, key in matches:
+        rest = rest.join(ids.where(F.col(key) >= gate), [key, PROFILE], "left_semi")
+    return first_rows(quick.unionByName(rest), order, limit)
 
 
 def attach(few: DataFrame, parent: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
-    """Inner N:1 join of <= MAX_KEY_ROWS narrow rows to their parents, renaming parent columns."""
+    """Inner N:1 join of few narrow rows to their parents, renaming parent columns."""
     wide = parent.select(PROFILE, F.col("id").alias(key), *(F.col(c).alias(n) for c, n in columns.items()))
-    return wide.join(F.broadcast(few), [PROFILE, key])
+    return wide.join(F.broadcast(few), [key, PROFILE])
 
 
 def fetch(table: DataFrame, few: DataFrame, key: str) -> DataFrame:
-    """Rows of ``table`` whose key occurs in <= MAX_KEY_ROWS rows; only the keys are broadcast."""
-    return table.join(F.broadcast(few.select(PROFILE, key)), [PROFILE, key], "left_semi")
+    """Rows of ``table`` whose key occurs in few rows; only the keys are broadcast."""
+    return table.join(F.broadcast(few.select(PROFILE, key)), [key, PROFILE], "left_semi")
 
 
 def page_names(pages: DataFrame, key: str, *columns: str) -> DataFrame:
@@ -103,7 +120,7 @@ def referrer_urls(few: DataFrame, visits: DataFrame, pages: DataFrame, link: str
 def page_of_visit(visits: DataFrame, pages: DataFrame, page: str) -> DataFrame:
     """(profile_id, id, _url) of every visit with a known page: the whole referrer side."""
     urls = pages.select(PROFILE, F.col("id").alias(page), F.col("url").alias("_url"))
-    return visits.select(PROFILE, "id", page).join(urls, [PROFILE, page]).select(PROFILE, "id", "_url")
+    return visits.select(PROFILE, "id", page).join(urls, [page, PROFILE]).select(PROFILE, "id", "_url")
 
 
 def join_links(rows: DataFrame, targets: DataFrame, link: str, url: str) -> DataFrame:
@@ -115,4 +132,4 @@ def join_links(rows: DataFrame, targets: DataFrame, link: str, url: str) -> Data
     salt = F.when(F.col(link) == 0, F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     copies = F.when(F.col("id") == 0, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     right = targets.select(PROFILE, F.col("id").alias(link), F.col("_url").alias(url), F.explode(copies).alias("_salt"))
-    return rows.withColumn("_salt", salt).join(right, [PROFILE, link, "_salt"], "left").drop("_salt")
+    return rows.withColumn("_salt", salt).join(right, [link, PROFILE, "_salt"], "left").drop("_salt")
