@@ -77,8 +77,12 @@ def searches(tables: Tables, limit: int = 100) -> DataFrame:
     names = page_names(pages, "place_id", "url", "title")
     order = newest("use_count", "place_id", "input")
     if is_short(limit):
-        top = newest_matched(inputs, [(ids_of(pages, "place_id"), "place_id")], order, limit)
-        rows = top.join(fetch(names, top, "place_id"), ["place_id", PROFILE])
+        # The first n (use_count, page) pairs name every page the first n inputs can belong to.
+        matches = [(ids_of(pages, "place_id"), "place_id")]
+        pairs = inputs.select(PROFILE, "place_id", "use_count")
+        top = newest_matched(pairs, matches, newest("use_count", "place_id"), limit)
+        rows = first_rows(fetch(inputs, top, "place_id"), order, limit)
+        rows = rows.join(fetch(names, top, "place_id"), ["place_id", PROFILE])
     else:
         rows = inputs.join(names, ["place_id", PROFILE])
     return first_rows(rows, order, limit).select(

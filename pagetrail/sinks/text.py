@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.functions.scalars import blank_if_null, real_text
-from pagetrail.operators.summary import BASIC, DOMAINS, LAYOUTS, TYPES
+from pagetrail.operators.summary import BASIC, DOMAINS, LAYOUTS, MAX_FIGURES, TYPES
+from pagetrail.plans.newest import first_rows
 
 SEPARATORS = {"tsv": "\t", "csv": ","}
 
@@ -89,7 +90,11 @@ def summary_lines(
         fixed.append((0, 3, f"To: {date_to}"))
     for block, (_, title) in enumerate(sections, start=1):
         fixed += [(block, -1, ""), (block, 0, f"--- {title} ---")]
-    frame = summary.sparkSession.createDataFrame(fixed, "block int, line_no int, line string").coalesce(1)
+    cells = (
+        F.struct(F.lit(block).alias("block"), F.lit(number).alias("line_no"), F.lit(line).alias("line"))
+        for block, number, line in fixed
+    )
+    frame = summary.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*cells)))
 
     value, key = blank_if_null(F.col("value")), blank_if_null(F.col("key"))
     block, line = F, F
@@ -100,4 +105,4 @@ def summary_lines(
     line = line.when(F.col("section") == DOMAINS, F.format_string(DOMAIN_LINE, key, value))
     line = line.otherwise(F.format_string(TYPE_LINE, key, value))
     rows = summary.select(block.alias("block"), F.col("rank").alias("line_no"), line.alias("line"))
-    return frame.unionByName(rows).orderBy("block", "line_no")
+    return first_rows(frame.unionByName(rows), [F.asc("block"), F.asc("line_no")], len(fixed) + MAX_FIGURES)

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "Asia/Kolkata")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
