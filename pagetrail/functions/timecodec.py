@@ -40,6 +40,10 @@ class TimeEncoding:
     def raw(self, unix_seconds: int) -> int:
         return (unix_seconds + self.shift) * self.units
 
+    @property
+    def raw_hour(self) -> int:
+        return 3600 * self.units
+
     def unix_seconds(self, raw: Column) -> Column:
         """Whole Unix seconds, with the truncation SQLite applies to each type."""
         if self.real:

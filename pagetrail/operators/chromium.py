@@ -26,6 +26,7 @@ from pagetrail.plans.newest import (
     newest_matched,
     page_names,
     page_of_visit,
+    recent,
     referrer_urls,
 )
 from pagetrail.schemas import PROFILE
@@ -46,6 +47,7 @@ def urls(
 ) -> DataFrame:
     """Pages by last visit."""
     pages = _dated(tables["urls"], "last_visit_time", date_from, date_to, tz)
+    pages = recent(pages, "last_visit_time", CHROMIUM_TIME, limit)
     return first_rows(pages, newest("last_visit_time", "id"), limit).select(
         "url", "title", "visit_count", "typed_count", _time("last_visit_time", tz)
     )
@@ -60,7 +62,7 @@ def visits(
     dated = _dated(every, "visit_time", date_from, date_to, tz)
     order = newest("visit_time", "page", "id")
     if is_short(limit):
-        top = newest_matched(dated, [(ids_of(pages, "page"), "page")], order, limit)
+        top = newest_matched(dated, [(ids_of(pages, "page"), "page")], order, limit, "visit_time", CHROMIUM_TIME)
         named = attach(top, pages, "page", {"url": "url", "title": "title"})
         from_urls = referrer_urls(top, every, pages, "from_visit", "page").withColumnRenamed("_url", "from_url")
         rows = named.join(from_urls, ["from_visit", PROFILE], "left")
@@ -103,6 +105,9 @@ def downloads(
     """Downloads by *displayed* start time: local wall-clock seconds, then the raw time."""
     rows = _dated(tables["downloads"], "start_time", date_from, date_to, tz)
     shown = local_time(CHROMIUM_TIME.unix_seconds(F.col("start_time")), tz)
+    # Zone offsets differ by less than 36 hours, so no earlier download is shown later than that.
+    showable = F.when(shown.isNotNull(), F.col("start_time"))
+    rows = recent(rows, "start_time", CHROMIUM_TIME, limit, slack_hours=36, counted=showable)
     top = first_rows(rows, [shown.desc_nulls_last(), *newest("start_time", "id")], limit)
     return top.select(
         "target_path",
@@ -127,7 +132,7 @@ def _annotated(
     order = newest("visit_time", "page", "visit_id")
     if is_short(limit):
         matches = [(ids_of(notes, "visit_id", "visit_id"), "visit_id"), (ids_of(pages, "page"), "page")]
-        top = newest_matched(timed, matches, order, limit)
+        top = newest_matched(timed, matches, order, limit, "visit_time", CHROMIUM_TIME)
         rows = top.join(fetch(notes, top, "visit_id"), ["visit_id", PROFILE])
         rows = rows.join(fetch(names, top, "page"), ["page", PROFILE])
     else:

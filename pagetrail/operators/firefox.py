@@ -22,6 +22,7 @@ from pagetrail.plans.newest import (
     newest_matched,
     page_names,
     page_of_visit,
+    recent,
     referrer_urls,
 )
 from pagetrail.schemas import PROFILE
@@ -37,6 +38,7 @@ def urls(
     """Visited pages by last visit; pages without a date come last, and only without bounds."""
     pages = tables["moz_places"].where(F.col("visit_count") > 0)
     pages = keep(pages, in_dates(F.col("last_visit_date"), FIREFOX_TIME, date_from, date_to, tz))
+    pages = recent(pages, "last_visit_date", FIREFOX_TIME, limit)
     return first_rows(pages, newest("last_visit_date", "id"), limit).select(
         "url",
         blank_if_null(F.col("title")).alias("title"),
@@ -54,7 +56,8 @@ def visits(
     dated = keep(every, in_dates(F.col("visit_date"), FIREFOX_TIME, date_from, date_to, tz))
     order = newest("visit_date", "place_id", "id")
     if is_short(limit):
-        top = newest_matched(dated, [(ids_of(pages, "place_id"), "place_id")], order, limit)
+        matches = [(ids_of(pages, "place_id"), "place_id")]
+        top = newest_matched(dated, matches, order, limit, "visit_date", FIREFOX_TIME)
         named = attach(top, pages, "place_id", {"url": "url", "title": "title"})
         from_urls = referrer_urls(top, every, pages, "from_visit", "place_id").withColumnRenamed("_url", "from_url")
         rows = named.join(from_urls, ["from_visit", PROFILE], "left")

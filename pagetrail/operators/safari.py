@@ -89,7 +89,7 @@ def visits(
     links = ("redirect_source", "redirect_destination")
     if is_short(limit):
         matches = [(ids_of(pages, "history_item"), "history_item")]
-        top = newest_matched(dated.drop("title"), matches, order, limit)
+        top = newest_matched(dated.drop("title"), matches, order, limit, "visit_time", SAFARI_TIME)
         rows = attach(top, pages, "history_item", {"url": "url"})
         rows = rows.join(fetch(every.select(PROFILE, "id", "title"), top, "id"), ["id", PROFILE])
         for link in links:

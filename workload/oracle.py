@@ -68,7 +68,7 @@ marks AS (
     CASE WHEN p % 29 <> 0 THEN 'bm ' || p END AS title, 1704067200000000 + spread * 1000000 AS added
   FROM p)"""
 
-# visit_us keeps the exact microseconds the seconds were made from
+# visit_us keeps the exact microseconds the seconds were made from, for the date tests
 SAFARI = """
 items AS (
   SELECT p + 1 AS id, url, cnt AS visit_count, CAST(725760000 + spread AS DOUBLE) AS visit_count_score FROM p),
@@ -113,9 +113,10 @@ def webkit(column: str, zone: str = "UTC") -> str:
     return shown(f"({column} - 11644473600000000)", zone)
 
 
-def core_data(micros: str) -> str:
-    """Safari shows the nearest millisecond, cut to seconds."""
-    return shown(f"(({micros} + 500) // 1000 * 1000)")
+def core_data(seconds: str) -> str:
+    """Safari times are rounded to whole Julian-day milliseconds in double arithmetic, then cut to seconds."""
+    julian = f"floor(({seconds} + 978307200) * 1000::DOUBLE + 210866760000000::DOUBLE + 0.5::DOUBLE)::BIGINT"
+    return shown(f"(({julian} - 210866760000000) * 1000)")
 
 
 def between(column: str, date_from: str | None, date_to: str | None, offset: int, zone: str = "UTC") -> str:
@@ -254,9 +255,10 @@ def safari_urls(date_from=None, date_to=None, limit=100, last_visit="score") ->
     seen = ""
     if date_from or date_to:
         seen = f"AND i.id IN (SELECT item FROM visits WHERE {between('visit_us', date_from, date_to, 0)})"
-    score = "CAST(visit_count_score AS BIGINT) * 1000000 + 978307200000000"
-    when = score if last_visit == "score" else "(SELECT max(visit_us) FROM visits v WHERE v.item = i.id)"
-    return f"""SELECT i.url, coalesce(t.title, '') AS title, i.visit_count, {core_data(f"({when})")} AS last_visit_time
+    when = "visit_count_score"
+    if last_visit != "score":
+        when = "(SELECT max(visit_time) FROM visits v WHERE v.item = i.id)"
+    return f"""SELECT i.url, coalesce(t.title, '') AS title, i.visit_count, {core_data(when)} AS last_visit_time
 FROM items i LEFT JOIN (
   SELECT item, arg_max(title, visit_us) AS title FROM visits WHERE title <> '' GROUP BY item) t ON t.item = i.id
 WHERE i.visit_count > 0 {seen}
@@ -264,7 +266,7 @@ ORDER BY {when} DESC NULLS LAST, i.id{top(limit)}"""
 
 
 def safari_visits(date_from=None, date_to=None, limit=100) -> str:
-    return f"""SELECT i.url, coalesce(v.title, '') AS title, {core_data("v.visit_us")} AS visit_time,
+    return f"""SELECT i.url, coalesce(v.title, '') AS title, {core_data("v.visit_time")} AS visit_time,
   coalesce(si.url, '') AS redirect_source, coalesce(di.url, '') AS redirect_destination
 FROM visits v JOIN items i ON i.id = v.item
 LEFT JOIN visits sv ON sv.id = v.source LEFT JOIN items si ON si.id = sv.item
