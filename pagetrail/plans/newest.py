@@ -77,6 +77,12 @@ def ids_of(table: DataFrame, key: str, column: str = "id") -> DataFrame:
     return table.select(PROFILE, F.col(column).alias(key))
 
 
+def _hours(rows: DataFrame, time: Column, encoding: TimeEncoding) -> DataFrame:
+    """(hour, n): rows per hour of a raw time; undated rows have a NULL hour."""
+    hour = F.call_function("div", time.try_cast("bigint"), F.lit(encoding.raw_hour))
+    return rows.groupBy(hour.alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def recent(
     rows: DataFrame, time: str, encoding: TimeEncoding, need: int, slack_hours: int = 0, counted: Column | None = None
 ) -> DataFrame:
@@ -87,17 +93,16 @@ def recent(
     """
     if not 0 < need <= reach_of(MAX_KEY_ROWS):
         return rows
-    hour = encoding.raw_hour
-    bucket = F.call_function("div", (F.col(time) if counted is None else counted).try_cast("bigint"), F.lit(hour))
-    hours = rows.select(bucket.alias("hour")).where("hour IS NOT NULL").groupBy("hour").agg(F.count(F.lit(1)).alias("n"))
+    hours = _hours(rows, F.col(time) if counted is None else counted, encoding)
     # Every hour holds a row, so the last ``need`` hours suffice: one task sums at most that many.
-    last = first_rows(hours, [F.desc("hour")], need)
+    last = first_rows(hours.where("hour IS NOT NULL"), [F.desc("hour")], need)
     summed = last.select("hour", F.sum("n").over(Window.orderBy(F.desc("hour"))).alias("seen"))
     # One hour more, because div rounds towards zero.
-    cut = F.try_multiply(F.max(F.when(F.col("seen") >= need, F.col("hour"))) - (1 + slack_hours), F.lit(hour))
+    enough = F.max(F.when(F.col("seen") >= need, F.col("hour"))) - (1 + slack_hours)
     kind = dict(rows.dtypes)[time]
+    cut = F.try_multiply(enough, F.lit(encoding.raw_hour)).cast(kind)
     lowest = F.lit(float("-inf") if kind == "double" else LOWEST)
-    return rows.where((F.col(time) >= summed.agg(F.coalesce(cut.cast(kind), lowest)).scalar()) | F.col(time).isNull())
+    return rows.where((F.col(time) >= summed.agg(F.coalesce(cut, lowest)).scalar()) | F.col(time).isNull())
 
 
 def newest_matched(
@@ -118,7 +123,9 @@ def newest_matched(
     found = first_rows(recent(rows, time, encoding, reach) if time else rows, order, reach)
     for ids, key in matches:
         found = ids.join(F.broadcast(found), [key, PROFILE])
-    total = rows.agg(F.count(F.lit(1))).scalar()
+    # Counted through the same hours as the cut, so their shuffle is reused.
+    counts = _hours(rows, F.col(time), encoding).agg(F.sum("n")) if time else rows.agg(F.count(F.lit(1)))
+    total = F.coalesce(counts.scalar(), F.lit(0))
     complete = (F.count(F.lit(1)) >= limit) | (total <= reach)
     # No id is as high as HIGHEST or as low as LOWEST, so one comparison opens or closes a branch.
     gate = found.agg(F.when(complete, F.lit(HIGHEST)).otherwise(F.lit(LOWEST))).scalar()
