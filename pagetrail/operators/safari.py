@@ -92,8 +92,11 @@ def visits(
         top = newest_matched(dated.drop("title"), matches, order, limit, "visit_time", SAFARI_TIME)
         rows = attach(top, pages, "history_item", {"url": "url"})
         rows = rows.join(fetch(every.select(PROFILE, "id", "title"), top, "id"), ["id", PROFILE])
+        # Both ends in one pass over visits and pages; the two joins share its result.
+        ends = top.select(PROFILE, F.explode(F.array(*links)).alias("end"))
+        targets = referrer_urls(ends, every, pages, "end", "history_item")
         for link in links:
-            urls = referrer_urls(top, every, pages, link, "history_item").withColumnRenamed("_url", f"{link}_url")
+            urls = targets.select(PROFILE, F.col("end").alias(link), F.col("_url").alias(f"{link}_url"))
             rows = rows.join(urls, [link, PROFILE], "left")
     else:
         rows = dated.join(page_names(pages, "history_item", "url"), ["history_item", PROFILE])

@@ -152,7 +152,10 @@ def history_rows(files: DataFrame, browser: str) -> DataFrame:
 
 
 def land(files: DataFrame, browser: str, path: str) -> None:
-    """Write all tables of all files in one pass, partitioned by browser and table."""
+    """Write all tables of all files in one pass, partitioned by browser and table.
+
+    Rows are appended: land each snapshot once, since reports take (profile_id, id) as unique.
+    """
     rows = history_rows(files, browser).withColumn("browser", F.lit(browser))
     rows.write.mode("append").partitionBy("browser", "table_name").parquet(f"{path}/{_family_of(browser)}")
 
