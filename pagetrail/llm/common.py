@@ -13,18 +13,23 @@ from pyspark.sql import functions as F
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
-def keep(frame: DataFrame) -> DataFrame:
-    """The frame written once to the shared checkpoint folder, so that lost executors never cost a recomputation.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: `spark.checkpoint.dir`.
 
-    The folder is `spark.checkpoint.dir`. Only a local session without that setting gets a folder of its own.
+    Only a local session without that setting gets a folder of its own.
     """
-    spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
+def keep(frame: DataFrame) -> DataFrame:
+    """The frame written once to the shared folder, so that lost executors never cost its recomputation."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint(eager=True)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm import linededup, simhash
+from pagetrail.llm import bpe, linededup, mixing, simhash, toxicity
 from pagetrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,57 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", toxicity.is_held_out().alias("held_out"), "score", predicted)
+
+
+def mixing_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.curriculum(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+MIXING_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, md5(concat('mix-', coalesce(CAST(doc_id AS VARCHAR), ''))) AS place,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
+  FROM documents),
+sources AS (
+  SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source)),
+levels AS (
+  SELECT *, 3 * source_size AS most, 2 - weight * 0.5 AS start,
+         (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0))::DOUBLE / sum(weight) OVER after AS level,
+         row_number() OVER (ORDER BY (3 * source_size)::DOUBLE / weight, source NULLS LAST) AS place
+  FROM sources
+  WINDOW before AS (ORDER BY (3 * source_size)::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         after AS (ORDER BY (3 * source_size)::DOUBLE / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+free AS (SELECT place, level FROM levels WHERE weight * level < most ORDER BY place LIMIT 1),
+targets AS (
+  SELECT l.*, CASE WHEN f.place IS NULL OR l.place < f.place THEN most::DOUBLE ELSE weight * f.level END AS target
+  FROM levels l LEFT JOIN free f ON true),
+placed AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.start::DOUBLE AS start,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(least(greatest(floor(target) - before, 0), size)
+          + least(greatest(floor(target) - source_size - before, 0), size)
+          + least(greatest(floor(target) - 2 * source_size - before, 0), size) AS BIGINT) AS taken,
+       CASE WHEN start = 1 THEN least((before + size / 2.0::DOUBLE) / nullif(target, 0), 1)
+            ELSE (sqrt(start * start + 4 * (1 - start) * least((before + size / 2.0::DOUBLE) / nullif(target, 0), 1)) - start)
+                 / nullif(2 * (1 - start), 0) END AS position
+FROM placed
+"""
+
+
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents")))
+
+
 def dropped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its number of lines and the places of those that repeat an earlier line within the edit limit."""
     found = linededup.line_duplicates(table(spark, sf_dir, "documents"))
@@ -26,5 +77,8 @@ def dropped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, tuple[Query, str | None]]:
     return {
         "op1_simhash_near_dedup": (simhash_groups, None),
+        "op2_toxicity": (toxicity_scores, None),
+        "op3_mixing": (mixing_plan, MIXING_SQL),
         "op6_line_dedup": (dropped_lines, None),
+        "op8_bpe": (bpe_round_trip, None),
     }
