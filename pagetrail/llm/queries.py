@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm import bpe, linededup, mixing, simhash, toxicity
-from pagetrail.llm.common import table
+from pagetrail.llm import ann, bpe, chat, licences, linededup, mixing, records, simhash, topk, toxicity
+from pagetrail.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +65,47 @@ FROM placed
 """
 
 
+def top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+TOP_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+ranked AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM ranked QUALIFY rank <= 5
+"""
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+def chat_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, whose texts look like the template."""
+    odd = "\\### Assistant: </turn> ok"
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    more = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], schema)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    return chat.digests(chat.formatted(turns))
+
+
+def token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/records-{uuid.uuid4()}"
+    records.write(table(spark, sf_dir, "documents"), folder)
+    return records.index(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scanned(docs, licences.fit(docs))
+
+
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents")))
 
@@ -79,6 +121,11 @@ def registry() -> dict[str, tuple[Query, str | None]]:
         "op1_simhash_near_dedup": (simhash_groups, None),
         "op2_toxicity": (toxicity_scores, None),
         "op3_mixing": (mixing_plan, MIXING_SQL),
+        "op4_chat_format": (chat_digests, None),
+        "op5_exact_top_k": (top_vectors, TOP_SQL),
         "op6_line_dedup": (dropped_lines, None),
+        "op7_multiprobe_ann": (nearest_vectors, None),
         "op8_bpe": (bpe_round_trip, None),
+        "op9_token_records": (token_records, None),
+        "op10_licence_scan": (licence_scan, None),
     }
