@@ -37,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tasks(spark: SparkSession) -> int:
+    """Partitions to ask for where a task computes much over few bytes, which Spark would gather in few partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def words(text: str | None) -> list[bytes]:
     """The words of a text with A-Z in lower case; bytes.split() cuts at exactly the white space that WORD excludes."""
     return (text or "").encode().lower().split()

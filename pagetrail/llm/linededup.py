@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetrail.llm.common import keep
+from pagetrail.llm.common import keep, tasks
 from pagetrail.llm.components import connected_components
 
 #: Lines of fewer characters are neither dropped nor compared.
@@ -274,7 +274,7 @@ def line_edges(docs: DataFrame, most: int = MOST_EDITS, min_chars: int = MIN_CHA
     grouped = grouped.select("key", "pair.part", "pair.other", "line", "indexed", "probing")
     at = ["key", "part", "other"]
     return (
-        grouped.repartition(*at)
+        grouped.repartition(tasks(docs.sparkSession), *at)
         .sortWithinPartitions(*at)
         .mapInArrow(lambda batches: _edges(batches, most), "a binary, b binary")
     )

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagetrail.llm.common import by_row, keep, words
+from pagetrail.llm.common import by_row, keep, tasks, words
 from pagetrail.llm.components import connected_components
 
 SEED = 42
@@ -208,7 +208,7 @@ def edges(codes: DataFrame, most: int, group_rows: int = GROUP_ROWS) -> DataFram
         part = (
             sized.where(~is_large)
             .select("path", "value", "fp")
-            .repartition("path", "value")
+            .repartition(tasks(codes.sparkSession), "path", "value")
             .sortWithinPartitions("path", "value")
             .mapInArrow(lambda batches, known=known: _edges(batches, known, most), "a bigint, b bigint")
         )
