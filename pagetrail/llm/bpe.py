@@ -27,6 +27,8 @@ HELD = 400_000
 #: White space before a space: only there a piece can reach across the cut before a space.
 CROSSING = re.compile(r"\s ")
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Runs of these behind a word are one piece.
+PUNCTUATION = ".,;:!?"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -137,40 +139,66 @@ def chunks(text: str) -> list[str]:
     return (CUT.split(text) if CROSSING.search(text) else text.split(" ")) if text else []
 
 
-class Cached(dict):
-    """Values of strings, computed when first asked for."""
+class Pieces(dict):
+    """Packed ids of pieces of the pattern, worked out by `function` when first asked for."""
 
-    def __init__(self, function: Callable[[str], bytes]) -> None:
+    def __init__(self, function: Callable[[str], bytes], held: int = HELD) -> None:
         super().__init__()
-        self.function = function
+        self.function, self.held = function, held
 
-    def __missing__(self, key: str) -> bytes:
-        if len(self) > HELD:
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) > self.held:
             self.clear()
-        self[key] = value = self.function(key)
+        self[piece] = value = self.function(piece)
         return value
 
 
+class Chunks(dict):
+    """Packed ids of chunks behind a space. Only words are held: what else a chunk is made of, punctuation behind a word
+    above all, takes on too many forms."""
+
+    def __init__(self, function: Callable[[str], bytes], pattern: str, held: int) -> None:
+        super().__init__()
+        self.function, self.held = function, held
+        self.pieces = Pieces(function)
+        self.split = regex.compile(pattern).findall
+
+    def __missing__(self, chunk: str) -> bytes:
+        if chunk.isalpha():  # one piece of the pattern with the space before it
+            if len(self) > self.held:
+                self.clear()
+            self[chunk] = value = self.function(" " + chunk)
+            return value
+        word = chunk.rstrip(PUNCTUATION)
+        if word.isalpha():
+            return self[word] + self.pieces[chunk[len(word) :]]
+        return self.whole(" " + chunk)
+
+    def whole(self, text: str) -> bytes:
+        """Packed ids of any text, piece by piece."""
+        return b"".join(
+            self[p[1:]] if p[:1] == " " and p[1:].isalpha() else self.pieces[p] for p in self.split(text)
+        )
+
+    def text(self, text: str | None) -> bytes:
+        parts = chunks(text or "")
+        if not parts:
+            return b""
+        return self.whole(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
+
+
 class Encoder:
     """Encodes texts: each match of the pattern is a piece of its own."""
 
     def __init__(self, path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> None:
         self.transducer = Transducer(read_ranks(path))
-        self.pieces = regex.compile(pattern).finditer
-        self.first = Cached(self._packed)
-        self.spaced = Cached(lambda chunk: self._packed(" " + chunk))
+        self.chunks = Chunks(self._packed, pattern, HELD)
 
-    def _packed(self, chunk: str) -> bytes:
-        encode = self.transducer.encode
-        ids = [i for match in self.pieces(chunk) for i in encode(match[0].encode())]
-        return np.array(ids, dtype="<i4").tobytes()
+    def _packed(self, piece: str) -> bytes:
+        return np.array(self.transducer.encode(piece.encode()), dtype="<i4").tobytes()
 
     def encode(self, text: str | None) -> np.ndarray:
-        parts = chunks(text or "")
-        if not parts:
-            return np.zeros(0, dtype="<i4")
-        head = self.first[parts[0]] if parts[0] else b""
-        return np.frombuffer(head + b"".join(map(self.spaced.__getitem__, parts[1:])), dtype="<i4")
+        return np.frombuffer(self.chunks.text(text), dtype="<i4")
 
 
 #: What may follow a lead byte of UTF-8: the first and last value of the second byte, and how many bytes follow in all.

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pagetrail.llm.bpe import Cached, chunks
+from pagetrail.llm.bpe import Chunks
 from pagetrail.llm.common import keep
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +30,8 @@ END = 2
 HEAD = struct.Struct("<QI")
 SUM = struct.Struct("<I")
 IDENTITY = struct.Struct("<?q")
+#: Words whose ids a task holds before it drops them, about 200 bytes each.
+HELD_WORDS = 1_000_000
 #: Documents of a file at most.
 FILE_ROWS = 20_000
 
@@ -82,7 +84,7 @@ def unpack(payload: bytes, wide: bool) -> tuple[int | None, np.ndarray]:
 
 @cache
 def _tokenizer(path: str):
-    """Packed ids of a text. The library encodes each chunk once: its own first split never reaches across chunks."""
+    """Ids of a text. The library encodes each piece of its own first split once, as long as the piece is held."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -91,17 +93,11 @@ def _tokenizer(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
-    def packed(chunk: str) -> bytes:
-        return np.array(tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def packed(piece: str) -> bytes:
+        return np.array(tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    first, spaced = Cached(packed), Cached(lambda chunk: packed(" " + chunk))
-
-    def encode(text: str | None) -> np.ndarray:
-        parts = chunks(text or "")
-        head = first[parts[0]] if parts and parts[0] else b""
-        return np.frombuffer(head + b"".join(map(spaced.__getitem__, parts[1:])), dtype="<u4")
-
-    return encode, tokenizer.get_vocab_size() > 1 << 16
+    held = Chunks(packed, public_tokenizers.PATTERN, HELD_WORDS)
+    return lambda text: np.frombuffer(held.text(text), dtype="<u4"), tokenizer.get_vocab_size() > 1 << 16
 
 
 def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END) -> None:
