@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -22,8 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-#: States, transitions, checked pairs or cached pieces that are held before they are dropped and built anew.
-HELD = 400_000
+#: Pieces whose ids, and states of the transducer, that are held before they are dropped and built anew.
+HELD, HELD_STATES = 400_000, 200_000
 #: White space before a space: only there a piece can reach across the cut before a space.
 CROSSING = re.compile(r"\s ")
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -50,19 +50,22 @@ class Transducer:
         start = ((b"", -1, ()),)
         self.states: list[tuple] = [start]
         self.numbers: dict[tuple, int] = {start: 0}
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
         self.ends: dict[int, tuple[int, ...]] = {}
-        self.n_steps = 0
 
     def _merged(self, data: bytes) -> list[bytes]:
         """Single bytes merged, always the pair of the lowest rank, first from the left."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
-            if rank == 1 << 60:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        get, none = self.ranks.get, 1 << 60
+        cuts = list(range(len(data) + 1))
+        ranks = [get(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while ranks and (low := min(ranks)) < none:
+            at = ranks.index(low)
+            del cuts[at + 1], ranks[at]
+            if at < len(ranks):
+                ranks[at] = get(data[cuts[at] : cuts[at + 2]], none)
+            if at:
+                ranks[at - 1] = get(data[cuts[at - 1] : cuts[at + 1]], none)
+        return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _follows(self, before: int, token: int) -> bool:
         """Whether `token` encodes itself and stays apart from the token before it (-1: none)."""
@@ -76,58 +79,50 @@ class Transducer:
             self.fits[before, token] = known
         return known
 
+    def _last(self, state: int) -> tuple[int, ...]:
+        """The tokens that a state's bytes end in if they end here; just one hypothesis can be right about that."""
+        for part, before, said in sorted(self.states[state], key=lambda h: -len(h[0])):
+            token = self.ranks.get(part)
+            if token is not None and self._follows(before, token):
+                return *said, token
+        raise ValueError("the ranks do not cover every byte")
+
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         one = bytes((byte,))
-        after = []
-        for part, before, said in self.states[state]:
-            if part + one in self.prefixes:
-                after.append((part + one, before, said))
-            token = self.ranks.get(part)
-            if token is not None and one in self.prefixes and self._follows(before, token):
-                after.append((one, token, (*said, token)))
-        if not after:
-            raise ValueError("the ranks do not cover every byte")
+        after = [(part + one, before, said) for part, before, said in self.states[state] if part + one in self.prefixes]
+        if state:
+            said = self._last(state)
+            after.append((one, said[-1], said))
         agreed = 0
         shortest = min(len(said) for _, _, said in after)
         while agreed < shortest and len({said[agreed] for _, _, said in after}) == 1:
             agreed += 1
         emitted = after[0][2][:agreed]
-        key = tuple(sorted((part, before, said[agreed:]) for part, before, said in after))
+        key = tuple((part, before, said[agreed:]) for part, before, said in after)  # in the order of their beginnings
         number = self.numbers.get(key)
         if number is None:
             number = self.numbers[key] = len(self.states)
             self.states.append(key)
-            self.steps.append({})
-        found = self.steps[state][byte] = number, emitted
-        self.n_steps += 1
+        found = self.steps[state << 8 | byte] = number, emitted
         return found
 
-    def _end(self, state: int) -> tuple[int, ...]:
-        ends = []
-        for part, before, said in self.states[state]:
-            token = self.ranks.get(part)
-            if token is not None and self._follows(before, token):
-                ends.append((*said, token))
-        if len(ends) != 1:
-            raise ValueError("the ranks do not encode every text in one way")
-        self.ends[state] = ends[0]
-        return ends[0]
-
     def encode(self, piece: bytes) -> list[int]:
         """The tokens of one piece; a piece that is a token as it stands is that token."""
         whole = self.ranks.get(piece)
         if whole is not None or not piece:
             return [] if whole is None else [whole]
-        if max(len(self.states), self.n_steps, len(self.fits)) > HELD:
+        if len(self.states) > HELD_STATES or len(self.steps) > 4 * HELD_STATES:
             self._reset()
         out: list[int] = []
         state, steps = 0, self.steps
         for byte in piece:
-            found = steps[state].get(byte) or self._step(state, byte)
+            found = steps.get(state << 8 | byte) or self._step(state, byte)
             state = found[0]
             if found[1]:
                 out += found[1]
-        out += self.ends.get(state) or self._end(state)
+        if state not in self.ends:
+            self.ends[state] = self._last(state)
+        out += self.ends[state]
         return out
 
 
@@ -234,7 +229,8 @@ class Decoder:
 
     def __init__(self, tokens: dict[int, bytes]) -> None:
         self.tokens = tokens
-        self.known: dict[bytes, dict[int, tuple[str, bytes]]] = {b"": {}}
+        self.known: dict[bytes, dict[int, tuple[str, bytes]]] = {}
+        self.whole: dict[int, str] = {}  # the steps from no pending bytes to none
         self.pending = b""
 
     def _step(self, pending: bytes, token: int) -> tuple[str, bytes]:
@@ -258,22 +254,27 @@ class Decoder:
                 out.append("�")
         return "".join(out), pending
 
-    def feed(self, ids: Iterable[int]) -> str:
+    def feed(self, ids: list[int]) -> str:
         out: list[str] = []
-        known, pending = self.known, self.pending
-        steps = known[pending]
-        for token in ids:
-            found = steps.get(token)
-            if found is None:
-                found = steps[token] = self._step(pending, token)
-            text, after = found
-            out.append(text)
-            if after != pending:
-                pending = after
-                steps = known.setdefault(pending, {})
-        self.pending = pending
+        whole = self.whole.get
+        for start in range(0, len(ids), 256):
+            some = ids[start : start + 256]
+            texts = None if self.pending else list(map(whole, some))
+            if texts is None or None in texts:  # a step is new, or leaves a character unfinished
+                texts = list(map(self._take, some))
+            out += texts
         return "".join(out)
 
+    def _take(self, token: int) -> str:
+        steps = self.known.setdefault(self.pending, {})
+        found = steps.get(token)
+        if found is None:
+            found = steps[token] = self._step(self.pending, token)
+            if not self.pending and not found[1]:
+                self.whole[token] = found[0]
+        self.pending = found[1]
+        return found[0]
+
     def finish(self) -> str:
         """What ends a text: U+FFFD if a character is unfinished."""
         left, self.pending = self.pending, b""
@@ -303,16 +304,17 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
 
 def _digests(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     decoder = _decoder(path)
-    decimal = {}
+    decimal = {i: str(i) for i in decoder.tokens}.__getitem__
     for batch in batches:
+        lists = batch.column(1)
+        ends = np.cumsum([0, *(n or 0 for n in lists.value_lengths().to_pylist())])
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
         rows = []
-        for ids in batch.column(1):
-            found = [] if ids.values is None else ids.values.to_pylist()
-            for i in set(found) - decimal.keys():
-                decimal[i] = str(i)
-            said = " ".join(map(decimal.__getitem__, found)).encode()
-            text = decoder.feed(found) + decoder.finish()
-            rows.append((len(found), hashlib.sha256(said).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+        for a, b in zip(ends, ends[1:], strict=False):
+            ids = flat[a:b].tolist()
+            said = " ".join(map(decimal, ids)).encode()
+            text = decoder.feed(ids) + decoder.finish()
+            rows.append((len(ids), hashlib.sha256(said).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
         if rows:
             n, said, text = zip(*rows, strict=True)
             arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(said), pa.array(text)]

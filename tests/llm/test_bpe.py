@@ -46,6 +46,7 @@ def test_documents(reference, encoder, spark):
 
 def test_states_can_be_dropped(monkeypatch, reference):
     monkeypatch.setattr(bpe, "HELD", 20)
+    monkeypatch.setattr(bpe, "HELD_STATES", 20)
     encoder = bpe.Encoder()
     text = "Strange words: supercalifragilistic, onomatopoeia; antidisestablishmentarianism!"
     assert encoder.encode(text).tolist() == reference.encode_ordinary(text)
