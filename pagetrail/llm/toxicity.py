@@ -170,6 +170,11 @@ class Landmarks:
             found |= ((more | equal) & terms) != 0
         return found
 
+    def kernels(self, words: list[str], rows: int = 1024) -> np.ndarray:
+        """kernel() of many words, some at a time."""
+        parts = [self.kernel(words[i : i + rows]) for i in range(0, len(words), rows)]
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.terms)), dtype=np.float32)
+
     def kernel(self, words: list[str]) -> np.ndarray:
         """One row a word and one column a term; 0 where there is no common subsequence of the order."""
         codes = _codes(words)
@@ -197,7 +202,7 @@ class Landmarks:
 
 def kernel(terms: list[str], others: list[str], order: int = ORDER) -> np.ndarray:
     """The normalised kernel of each term with each other."""
-    return Landmarks(others, order).kernel(terms)
+    return Landmarks(others, order).kernels(terms)
 
 
 @dataclass
@@ -269,12 +274,12 @@ def _stretched(term: str, number: int) -> str:
 def _distinct(terms: list[str], most: int, alike: float = 0.6) -> list[str]:
     """The first terms, none of them much like one before it."""
     terms = [t for t in terms if len(t) >= ORDER]
-    near = kernel(terms, terms) if terms else np.zeros((0, 0))
-    chosen: list[int] = []
-    for i in range(len(terms)):
-        if len(chosen) < most and (not chosen or near[i, chosen].max() < alike):
-            chosen.append(i)
-    return [terms[i] for i in chosen]
+    free = np.ones(len(terms), dtype=bool)
+    chosen: list[str] = []
+    while len(chosen) < most and free.any():
+        chosen.append(terms[int(free.argmax())])
+        free &= kernel(terms, chosen[-1:])[:, 0] < alike
+    return chosen
 
 
 def train(toxic: list[str], harmless: list[str], pool: list[str]) -> list[Model]:
@@ -287,14 +292,14 @@ def train(toxic: list[str], harmless: list[str], pool: list[str]) -> list[Model]
         return [Model(None, np.zeros(0), -1.0)]
     common = _distinct([w for w in harmless[:200] if w not in toxic], HARMLESS_LANDMARKS)
     landmarks = Landmarks(marks + common, toxic=len(marks))
-    values, vectors = np.linalg.eigh(landmarks.kernel(landmarks.terms).astype(np.float64))
+    values, vectors = np.linalg.eigh(landmarks.kernels(landmarks.terms).astype(np.float64))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-4))) @ vectors.T
-    near = landmarks.kernel(toxic)[:, : len(marks)].max(axis=1)
+    near = landmarks.kernels(toxic)[:, : len(marks)].max(axis=1)
     positive = [t for t, k in zip(toxic, near, strict=True) if k > 0.5]
     positive += [_stretched(t, i) for t in marks for i in range(5)]
-    x = landmarks.kernel(positive) @ root
+    x = landmarks.kernels(positive) @ root
     others = list(dict.fromkeys([*harmless, *pool]))
-    y = landmarks.kernel(others) @ root
+    y = landmarks.kernels(others) @ root
     models = []
     for penalty in PENALTIES:
         used = np.arange(len(others)) < len(harmless)
