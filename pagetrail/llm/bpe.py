@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Pieces whose ids, and states of the transducer, that are held before they are dropped and built anew.
-HELD, HELD_STATES = 400_000, 200_000
+HELD, HELD_STATES = 800_000, 300_000
 #: White space before a space: only there a piece can reach across the cut before a space.
 CROSSING = re.compile(r"\s ")
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -81,11 +81,16 @@ class Transducer:
 
     def _last(self, state: int) -> tuple[int, ...]:
         """The tokens that a state's bytes end in if they end here; just one hypothesis can be right about that."""
-        for part, before, said in sorted(self.states[state], key=lambda h: -len(h[0])):
-            token = self.ranks.get(part)
-            if token is not None and self._follows(before, token):
-                return *said, token
-        raise ValueError("the ranks do not cover every byte")
+        found = self.ends.get(state)
+        if found is None:
+            for part, before, said in self.states[state]:
+                token = self.ranks.get(part)
+                if token is not None and self._follows(before, token):
+                    found = self.ends[state] = (*said, token)
+                    break
+            else:
+                raise ValueError("the ranks do not cover every byte")
+        return found
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         one = bytes((byte,))
@@ -93,11 +98,11 @@ class Transducer:
         if state:
             said = self._last(state)
             after.append((one, said[-1], said))
-        agreed = 0
-        shortest = min(len(said) for _, _, said in after)
-        while agreed < shortest and len({said[agreed] for _, _, said in after}) == 1:
-            agreed += 1
-        emitted = after[0][2][:agreed]
+        emitted = after[0][2]
+        for _, _, said in after[1:]:
+            while emitted != said[: len(emitted)]:
+                emitted = emitted[:-1]
+        agreed = len(emitted)
         key = tuple((part, before, said[agreed:]) for part, before, said in after)  # in the order of their beginnings
         number = self.numbers.get(key)
         if number is None:
@@ -120,9 +125,7 @@ class Transducer:
             state = found[0]
             if found[1]:
                 out += found[1]
-        if state not in self.ends:
-            self.ends[state] = self._last(state)
-        out += self.ends[state]
+        out += self._last(state)
         return out
 
 

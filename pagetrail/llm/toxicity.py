@@ -220,30 +220,38 @@ class Model:
     empty: float = -1.0
 
     def margins(self, terms: list[str]) -> np.ndarray:
-        if self.landmarks is None or not terms:
-            return np.full(len(terms), self.bias)
-        order = np.argsort([len(t) for t in terms], kind="stable")
-        out = np.full(len(terms), self.empty)
-        for start in range(0, len(terms), 8192):
-            some = order[start : start + 8192]
-            some = some[self.landmarks.near([terms[i] for i in some])]
-            if len(some):
-                values = self.landmarks.kernel([terms[i] for i in some]) @ self.weights + self.bias
-                out[some] = np.maximum(values, self.empty)
-        return out
-
-    def of_tokens(self, tokens: list[str]) -> list[float]:
-        """The margin of each token: that of its most toxic part."""
-        split = [parts(t) for t in tokens]
-        terms = list({p for some in split for p in some})
-        known = dict(zip(terms, self.margins(terms).tolist(), strict=True))
-        return [max([known[p] for p in some], default=self.empty) for some in split]
+        return margins([self], terms)[:, 0]
 
     def score(self, margin: float) -> float:
         curve = 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
         return float(self.floor + (1 - self.floor) * curve)
 
 
+def margins(models: list[Model], terms: list[str]) -> np.ndarray:
+    """The margins of each term by each of some machines that share their landmarks."""
+    landmarks = models[0].landmarks
+    if landmarks is None:
+        return np.tile([m.bias for m in models], (len(terms), 1))
+    weights, bias = np.column_stack([m.weights for m in models]), np.array([m.bias for m in models])
+    out = np.tile([m.empty for m in models], (len(terms), 1))
+    order = np.argsort([len(t) for t in terms], kind="stable")
+    for start in range(0, len(terms), 8192):
+        some = order[start : start + 8192]
+        some = some[landmarks.near([terms[i] for i in some])]
+        if len(some):
+            out[some] = np.maximum(landmarks.kernels([terms[i] for i in some], 4096) @ weights + bias, out[some])
+    return out
+
+
+def token_margins(models: list[Model], tokens: list[str]) -> list[tuple[float, ...]]:
+    """The margins of each token: those of its most toxic parts."""
+    split = [parts(t) for t in tokens]
+    terms = list({p for some in split for p in some})
+    known = dict(zip(terms, map(tuple, margins(models, terms).tolist()), strict=True))
+    empty = tuple(m.empty for m in models)
+    return [known[some[0]] if len(some) == 1 else tuple(map(max, zip(empty, *(known[p] for p in some)))) for some in split]
+
+
 def _machine(features: np.ndarray, labels: np.ndarray, penalty: float) -> np.ndarray:
     """Weights and bias of the least squared hinge loss, by Newton steps on the rows inside the margin."""
     x = np.column_stack([features, np.ones(len(features))])
@@ -359,9 +367,12 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(labels, pa.int32())], names=["term", "toxic"])
 
 
-def _margins(batches: Iterator[pa.RecordBatch], model: Model, texts: int = 512) -> Iterator[tuple[pa.RecordBatch, list[float]]]:
-    """Slices of the batches with the margin of each text (column "text")."""
-    known: dict[str, float] = {}
+def _margins(
+    batches: Iterator[pa.RecordBatch], models: list[Model], texts: int = 512
+) -> Iterator[tuple[pa.RecordBatch, list[tuple[float, ...]]]]:
+    """Slices of the batches with the margins of each text (column "text") by each machine."""
+    known: dict[str, tuple[float, ...]] = {}
+    empty = tuple(m.empty for m in models)
     for batch in batches:
         for start in range(0, batch.num_rows, texts):
             part = batch.slice(start, texts)
@@ -369,8 +380,11 @@ def _margins(batches: Iterator[pa.RecordBatch], model: Model, texts: int = 512)
                 known.clear()
             found = [tokens(t.as_py()) for t in part.column(part.schema.get_field_index("text"))]
             fresh = list(set().union(*found) - known.keys())
-            known.update(zip(fresh, model.of_tokens(fresh), strict=True))
-            yield part, [max(map(known.__getitem__, some), default=model.empty) for some in found]
+            known.update(zip(fresh, token_margins(models, fresh), strict=True))
+            if len(models) == 1:
+                yield part, [max(map(known.__getitem__, some), default=empty) for some in found]
+            else:
+                yield part, [tuple(map(max, zip(empty, *map(known.__getitem__, some)))) for some in found]
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
@@ -408,9 +422,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margins = [[m for _, out in _margins(iter([batch]), model) for m in out] for model in models]
-            rows = pa.array(list(zip(*margins, strict=True)), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([rows, batch.column(1)], names=["margins", "toxic"])
+            rows = [m for _, out in _margins(iter([batch]), models) for m in out]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], names=["margins", "toxic"])
 
     seen = sample.mapInArrow(run, "margins array<double>, toxic int").collect()  # 2 * train_docs rows at most
     labels = np.array([r.toxic for r in seen])
@@ -426,8 +439,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, out in _margins(batches, model):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([model.score(m) for m in out])], names=["doc_id", "score"])
+        for part, out in _margins(batches, [model]):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([model.score(m) for (m,) in out])], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
 
@@ -439,8 +452,8 @@ def without_toxic(docs: DataFrame, labelled: DataFrame, labels: DataFrame, thres
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, out in _margins(batches, model):
-            stays = pa.array([model.score(m) < threshold for m in out])
+        for part, out in _margins(batches, [model]):
+            stays = pa.array([model.score(m) < threshold for (m,) in out])
             yield part.filter(stays)
 
     return docs.select(*names).mapInArrow(run, schema)
