@@ -17,9 +17,10 @@ from pagetrail.functions.timecodec import CHROMIUM_TIME, in_dates, local_text, l
 from pagetrail.plans.newest import (
     attach,
     fetch,
+    few,
     first_rows,
     ids_of,
-    is_short,
+    is_cut,
     join_links,
     keep,
     newest,
@@ -61,10 +62,10 @@ def visits(
     every = tables["visits"].withColumnRenamed("url", "page")
     dated = _dated(every, "visit_time", date_from, date_to, tz)
     order = newest("visit_time", "page", "id")
-    if is_short(limit):
+    if is_cut(limit):
         top = newest_matched(dated, [(ids_of(pages, "page"), "page")], order, limit, "visit_time", CHROMIUM_TIME)
-        named = attach(top, pages, "page", {"url": "url", "title": "title"})
-        from_urls = referrer_urls(top, every, pages, "from_visit", "page").withColumnRenamed("_url", "from_url")
+        named = attach(top, pages, "page", {"url": "url", "title": "title"}, limit)
+        from_urls = referrer_urls(top, every, pages, "from_visit", "page", limit).withColumnRenamed("_url", "from_url")
         rows = named.join(from_urls, ["from_visit", PROFILE], "left")
     else:
         named = dated.join(page_names(pages, "page", "url", "title"), ["page", PROFILE])
@@ -86,13 +87,13 @@ def searches(
     terms = tables["keyword_search_terms"]
     pages = _dated(tables["urls"], "last_visit_time", date_from, date_to, tz).withColumnRenamed("id", "url_id")
     order = newest("last_visit_time", "url_id", "term")
-    if is_short(limit):
+    if is_cut(limit):
         # Every page kept here has a term, so the first n pages hold the first n rows.
         used = terms.select(PROFILE, "url_id").distinct()
         timed = pages.select(PROFILE, "url_id", "last_visit_time").join(used, ["url_id", PROFILE], "left_semi")
         leaders = first_rows(timed, newest("last_visit_time", "url_id"), limit)
-        top = first_rows(terms.join(F.broadcast(leaders), ["url_id", PROFILE]), order, limit)
-        names = fetch(pages.select(PROFILE, "url_id", "url", "title"), top, "url_id")
+        top = first_rows(terms.join(few(leaders, limit), ["url_id", PROFILE]), order, limit)
+        names = fetch(pages.select(PROFILE, "url_id", "url", "title"), top, "url_id", limit)
         rows = top.join(names, ["url_id", PROFILE])
     else:
         rows = terms.join(pages, ["url_id", PROFILE])
@@ -130,11 +131,11 @@ def _annotated(
     )
     names = page_names(pages, "page", "url", "title")
     order = newest("visit_time", "page", "visit_id")
-    if is_short(limit):
+    if is_cut(limit):
         matches = [(ids_of(notes, "visit_id", "visit_id"), "visit_id"), (ids_of(pages, "page"), "page")]
-        top = newest_matched(timed, matches, order, limit, "visit_time", CHROMIUM_TIME)
-        rows = top.join(fetch(notes, top, "visit_id"), ["visit_id", PROFILE])
-        rows = rows.join(fetch(names, top, "page"), ["page", PROFILE])
+        top = newest_matched(timed, matches, order, limit, "visit_time", CHROMIUM_TIME, repeating=["visit_id"])
+        rows = top.join(fetch(notes, top, "visit_id", limit), ["visit_id", PROFILE])
+        rows = rows.join(fetch(names, top, "page", limit), ["page", PROFILE])
     else:
         rows = timed.join(notes, ["visit_id", PROFILE]).join(names, ["page", PROFILE])
     return first_rows(rows, order, limit)

@@ -15,7 +15,7 @@ from pagetrail.plans.newest import (
     fetch,
     first_rows,
     ids_of,
-    is_short,
+    is_cut,
     join_links,
     keep,
     newest,
@@ -55,11 +55,11 @@ def visits(
     every = tables["moz_historyvisits"]
     dated = keep(every, in_dates(F.col("visit_date"), FIREFOX_TIME, date_from, date_to, tz))
     order = newest("visit_date", "place_id", "id")
-    if is_short(limit):
+    if is_cut(limit):
         matches = [(ids_of(pages, "place_id"), "place_id")]
         top = newest_matched(dated, matches, order, limit, "visit_date", FIREFOX_TIME)
-        named = attach(top, pages, "place_id", {"url": "url", "title": "title"})
-        from_urls = referrer_urls(top, every, pages, "from_visit", "place_id").withColumnRenamed("_url", "from_url")
+        named = attach(top, pages, "place_id", {"url": "url", "title": "title"}, limit)
+        from_urls = referrer_urls(top, every, pages, "from_visit", "place_id", limit).withColumnRenamed("_url", "from_url")
         rows = named.join(from_urls, ["from_visit", PROFILE], "left")
     else:
         named = dated.join(page_names(pages, "place_id", "url", "title"), ["place_id", PROFILE])
@@ -79,13 +79,13 @@ def searches(tables: Tables, limit: int = 100) -> DataFrame:
     pages = tables["moz_places"]
     names = page_names(pages, "place_id", "url", "title")
     order = newest("use_count", "place_id", "input")
-    if is_short(limit):
+    if is_cut(limit):
         # The first n (use_count, page) pairs name every page the first n inputs can belong to.
         matches = [(ids_of(pages, "place_id"), "place_id")]
         pairs = inputs.select(PROFILE, "place_id", "use_count")
         top = newest_matched(pairs, matches, newest("use_count", "place_id"), limit)
-        rows = first_rows(fetch(inputs, top, "place_id"), order, limit)
-        rows = rows.join(fetch(names, top, "place_id"), ["place_id", PROFILE])
+        rows = first_rows(fetch(inputs, top, "place_id", limit), order, limit)
+        rows = rows.join(fetch(names, top, "place_id", limit), ["place_id", PROFILE])
     else:
         rows = inputs.join(names, ["place_id", PROFILE])
     return first_rows(rows, order, limit).select(
@@ -100,10 +100,10 @@ def bookmarks(tables: Tables, limit: int = 100, tz: str = "UTC") -> DataFrame:
     order = newest("dateAdded", "id")
     places = page_names(tables["moz_places"], "fk", "url")
     folders = every.select(PROFILE, F.col("id").alias("parent"), F.col("title").alias("parent_title"))
-    if is_short(limit):
-        marks = first_rows(marks, order, limit)
-        places = fetch(places, marks, "fk")
-        folders = fetch(folders, marks, "parent")
+    if is_cut(limit):
+        marks = first_rows(recent(marks, "dateAdded", FIREFOX_TIME, limit), order, limit)
+        places = fetch(places, marks, "fk", limit)
+        folders = fetch(folders, marks, "parent", limit)
     rows = marks.join(places, ["fk", PROFILE], "left").join(folders, ["parent", PROFILE], "left")
     return first_rows(rows, order, limit).select(
         "title",

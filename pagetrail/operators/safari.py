@@ -14,7 +14,7 @@ from pagetrail.plans.newest import (
     fetch,
     first_rows,
     ids_of,
-    is_short,
+    is_cut,
     join_links,
     keep,
     newest,
@@ -66,9 +66,9 @@ def urls(
         )
         pages = pages.join(newest_visit, ["id", PROFILE], "left")
     order = newest("last_visit", "id")
-    if is_short(limit):
+    if is_cut(limit):
         pages = first_rows(pages, order, limit)
-        visits = fetch(visits, pages.select(PROFILE, F.col("id").alias("history_item")), "history_item")
+        visits = fetch(visits, pages.select(PROFILE, F.col("id").alias("history_item")), "history_item", limit)
     rows = pages.join(_latest_titles(visits), ["id", PROFILE], "left")
     return first_rows(rows, order, limit).select(
         "url",
@@ -87,14 +87,14 @@ def visits(
     dated = keep(every, in_dates(F.col("visit_time"), SAFARI_TIME, date_from, date_to, tz))
     order = newest("visit_time", "history_item", "id")
     links = ("redirect_source", "redirect_destination")
-    if is_short(limit):
+    if is_cut(limit):
         matches = [(ids_of(pages, "history_item"), "history_item")]
         top = newest_matched(dated.drop("title"), matches, order, limit, "visit_time", SAFARI_TIME)
-        rows = attach(top, pages, "history_item", {"url": "url"})
-        rows = rows.join(fetch(every.select(PROFILE, "id", "title"), top, "id"), ["id", PROFILE])
+        rows = attach(top, pages, "history_item", {"url": "url"}, limit)
+        rows = rows.join(fetch(every.select(PROFILE, "id", "title"), top, "id", limit), ["id", PROFILE])
         # Both ends in one pass over visits and pages; the two joins share its result.
         ends = top.select(PROFILE, F.explode(F.array(*links)).alias("end"))
-        targets = referrer_urls(ends, every, pages, "end", "history_item")
+        targets = referrer_urls(ends, every, pages, "end", "history_item", 2 * limit)
         for link in links:
             urls = targets.select(PROFILE, F.col("end").alias(link), F.col("_url").alias(f"{link}_url"))
             rows = rows.join(urls, [link, PROFILE], "left")

@@ -26,10 +26,6 @@ TOP_DOMAINS = 10
 
 BASIC, DOMAINS, TYPES = "basic", "domains", "types"
 
-#: A summary has three sections of at most ten figures, so it is sorted as a top-n
-#: instead of through a range partitioning that would run the plan twice.
-MAX_FIGURES = 3 * TOP_DOMAINS
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -97,11 +93,22 @@ def _visits(
     return keep(tables[layout.visits], test).withColumnRenamed(layout.page, "page")
 
 
+def _total(duration: str) -> Column:
+    """The sum of durations, as a decimal: microseconds of a large fleet do not fit 64 bits."""
+    return F.sum(F.col(duration).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
 def _domains_of(tables: Tables, layout: Layout) -> DataFrame:
     """(profile_id, page, domain): the domain is cut out before the shuffle, not the whole URL carried."""
     return tables[layout.pages].select(PROFILE, F.col("id").alias("page"), domain(F.col("url")).alias("domain"))
 
 
+def in_order(figures: DataFrame, *order: Column) -> DataFrame:
+    """A report's few figures, one per label or reported domain, sorted without range partitioning, which would run
+    the plan twice."""
+    return figures.repartition(1).sortWithinPartitions(*order)
+
+
 def basic(
     tables: Tables, browser: str, date_from: str | None = None, date_to: str | None = None, tz: str = "UTC"
 ) -> DataFrame:
@@ -109,7 +116,7 @@ def basic(
     layout = _layout(browser)
     totals = [F.count(F.lit(1)).alias("total_visits"), F.countDistinct(PROFILE, "page").alias("unique_urls")]
     if layout.duration:
-        totals.append(hours_2dp(F.sum(layout.duration)).alias("total_hours"))
+        totals.append(hours_2dp(_total(layout.duration)).alias("total_hours"))
     return _visits(tables, layout, date_from, date_to, tz).agg(*totals)
 
 
@@ -134,7 +141,7 @@ def types(
         raise ValueError(f"{browser} has no visit types")
     labelled = _visits(tables, layout, date_from, date_to, tz).select(layout.label(F.col(layout.code)).alias("type"))
     counted = labelled.groupBy("type").agg(F.count(F.lit(1)).alias("cnt"))
-    return first_rows(counted, [F.desc("cnt"), F.asc("type")], len(layout.types))
+    return in_order(counted, F.desc("cnt"), F.asc("type"))
 
 
 def summary(
@@ -149,7 +156,7 @@ def summary(
     visits = _visits(tables, layout, date_from, date_to, tz)
     counts = {"n": F.count(F.lit(1))}
     if layout.duration:
-        counts["us"] = F.sum(layout.duration)
+        counts["us"] = _total(layout.duration)
     if layout.label:
         visits = visits.withColumn("type", layout.label(F.col(layout.code)))
     for i, label in enumerate(layout.types):
@@ -164,7 +171,7 @@ def summary(
 
     def figure(section: str, key: Column | str, amount: Column) -> Column:
         key = F.lit(key) if isinstance(key, str) else key
-        return F.struct(F.lit(section).alias("section"), key.alias("key"), amount.cast("bigint").alias("amount"))
+        return F.struct(F.lit(section).alias("section"), key.alias("key"), amount.cast("decimal(38,0)").alias("amount"))
 
     totals = [figure(BASIC, "total_visits", F.col("n")), figure(BASIC, "unique_urls", F.col("pages"))]
     if layout.duration:
@@ -184,18 +191,20 @@ def summary(
 def _ranked(sums: DataFrame, layout: Layout) -> DataFrame:
     """Rank each section's figures; totals in their fixed order, the others by count.
 
-    row_number() <= 10 is cut in every partition first, so the many domains never meet
-    in one task. No section but the domains has more than ten rows.
+    Of the domains ten are kept, of the other sections every figure. One cut that is as long as
+    the longest of them is made in every partition first, so the many domains never meet in one task.
     """
     fixed = F.array_position(F.array(*(F.lit(key) for key in layout.totals)), F.col("key"))
     place = F.when(F.col("section") == BASIC, fixed)
     order = Window.partitionBy("section").orderBy(place, F.desc("amount"), F.asc_nulls_first("key"))
     is_hours = (F.col("section") == BASIC) & (F.col("key") == "total_hours")
     text = F.when(is_hours, real_text(hours_2dp(F.col("amount")))).otherwise(F.col("amount").cast("string"))
+    longest = max(TOP_DOMAINS, len(layout.types), len(layout.totals))
     figures = (
         sums.where((F.col("section") != TYPES) | (F.col("amount") > 0))
         .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= TOP_DOMAINS)
+        .where(F.col("rank") <= longest)
+        .where((F.col("section") != DOMAINS) | (F.col("rank") <= TOP_DOMAINS))
         .select("section", "rank", "key", text.alias("value"))
     )
-    return first_rows(figures, [F.asc("section"), F.asc("rank")], MAX_FIGURES)
+    return in_order(figures, F.asc("section"), F.asc("rank"))

@@ -15,8 +15,9 @@ all visits. For a small n the reports normally shuffle no table at all:
 3. ``attach`` / ``fetch`` / ``referrer_urls`` read the wide columns (URL, title) and the
    referrer rows only for the <= n survivors.
 
-For larger or absent limits every row may be needed and the reports join the tables
-directly; AQE splits skewed join partitions there.
+The same program serves every limit; past MAX_BROADCAST_ROWS the few rows are joined by their
+size at run time instead of being broadcast. Without a limit every row is needed and the reports
+join the tables directly; AQE splits skewed join partitions there.
 
 Join keys are listed id first: sort-merge joins then sort by a selective number, not by
 the profile text that many rows share.
@@ -32,9 +33,9 @@ from pyspark.sql import functions as F
 from pagetrail.functions.timecodec import TimeEncoding
 from pagetrail.schemas import PROFILE
 
-#: Longest limit served by broadcasting keys. Broadcast frames hold at most
-#: ``reach_of(MAX_KEY_ROWS)`` = 51,000 rows of a profile id and fixed-width numbers: a few MB.
-MAX_KEY_ROWS = 10_000
+#: Rows of a profile id and fixed-width numbers that are broadcast at most: a few MB. More are joined by whatever
+#: their size at run time suggests; the program is the same.
+MAX_BROADCAST_ROWS = 50_000
 
 #: Copies of a sentinel key in a salted join.
 SALTS = 64
@@ -48,14 +49,19 @@ def check_limit(limit: int) -> int:
     return limit
 
 
-def is_short(limit: int) -> bool:
-    """True when the rows of a report this long may be broadcast as keys."""
-    return 0 <= check_limit(limit) <= MAX_KEY_ROWS
+def is_cut(limit: int) -> bool:
+    """True when a report ends after its first rows."""
+    return check_limit(limit) >= 0
 
 
 def reach_of(limit: int) -> int:
     """How many leading rows to try before joining whole tables."""
-    return 5 * limit + 1000
+    return min(5 * limit + 1000, 2**31 - 1)
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which has at most ``rows`` rows, marked for broadcasting if that bound is small."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
 def first_rows(df: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
@@ -91,7 +97,7 @@ def recent(
     Undated rows stay. ``counted`` is the time of the rows that count towards ``need``,
     by default all; ``slack_hours`` keeps that much more below the cut.
     """
-    if not 0 < need <= reach_of(MAX_KEY_ROWS):
+    if need <= 0:
         return rows
     hours = _hours(rows, F.col(time) if counted is None else counted, encoding)
     # Every hour holds a row, so the last ``need`` hours suffice: one task sums at most that many.
@@ -112,17 +118,21 @@ def newest_matched(
     limit: int,
     time: str | None = None,
     encoding: TimeEncoding | None = None,
+    repeating: Sequence[str] = (),
 ) -> DataFrame:
     """The first ``limit`` of ``rows`` that have a match in every table of ``matches``.
 
     ``rows`` must be narrow, since a few thousand of them are broadcast. Each match is a
-    (profile_id, key) frame without repeats and the name of its numeric key. ``time`` names
-    the leading order column if that is a time.
+    (profile_id, key) frame and the name of its numeric key; those with repeated keys are named
+    in ``repeating``. ``time`` names the leading order column if that is a time.
     """
     reach = reach_of(limit)
     found = first_rows(recent(rows, time, encoding, reach) if time else rows, order, reach)
-    for ids, key in matches:
-        found = ids.join(F.broadcast(found), [key, PROFILE])
+    for ids, key in matches:  # streamed past the few rows
+        numbered = found.withColumn("_row", F.monotonically_increasing_id()) if key in repeating else found
+        found = ids.join(few(numbered, reach), [key, PROFILE])
+        if key in repeating:  # a row counts once, however many matches it has
+            found = found.dropDuplicates(["_row"]).drop("_row")
     # Counted through the same hours as the cut, so their shuffle is reused.
     counts = _hours(rows, F.col(time), encoding).agg(F.sum("n")) if time else rows.agg(F.count(F.lit(1)))
     total = F.coalesce(counts.scalar(), F.lit(0))
@@ -137,25 +147,27 @@ def newest_matched(
     return first_rows(quick.unionByName(rest), order, limit)
 
 
-def attach(few: DataFrame, parent: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
-    """Inner N:1 join of few narrow rows to their parents, renaming parent columns."""
+def attach(rows: DataFrame, parent: DataFrame, key: str, columns: dict[str, str], limit: int) -> DataFrame:
+    """Inner N:1 join of at most ``limit`` narrow rows to their parents, renaming parent columns."""
     wide = parent.select(PROFILE, F.col("id").alias(key), *(F.col(c).alias(n) for c, n in columns.items()))
-    return wide.join(F.broadcast(few), [key, PROFILE])
+    return wide.join(few(rows, limit), [key, PROFILE])
 
 
-def fetch(table: DataFrame, few: DataFrame, key: str) -> DataFrame:
-    """Rows of ``table`` whose key occurs in few rows; only the keys are broadcast."""
-    return table.join(F.broadcast(few.select(PROFILE, key)), [key, PROFILE], "left_semi")
+def fetch(table: DataFrame, rows: DataFrame, key: str, limit: int) -> DataFrame:
+    """Rows of ``table`` whose key occurs in at most ``limit`` rows; only the keys are broadcast."""
+    return table.join(few(rows.select(PROFILE, key), limit), [key, PROFILE], "left_semi")
 
 
 def page_names(pages: DataFrame, key: str, *columns: str) -> DataFrame:
     return pages.select(PROFILE, F.col("id").alias(key), *columns)
 
 
-def referrer_urls(few: DataFrame, visits: DataFrame, pages: DataFrame, link: str, page: str) -> DataFrame:
-    """(profile_id, link, _url) for the visits that ``few`` rows point to through ``link``."""
-    hops = fetch(visits.select(PROFILE, F.col("id").alias(link), F.col(page).alias("_page")), few, link)
-    return attach(hops, pages, "_page", {"url": "_url"}).select(PROFILE, link, "_url")
+def referrer_urls(
+    rows: DataFrame, visits: DataFrame, pages: DataFrame, link: str, page: str, limit: int
+) -> DataFrame:
+    """(profile_id, link, _url) for the visits that at most ``limit`` rows point to through ``link``."""
+    hops = fetch(visits.select(PROFILE, F.col("id").alias(link), F.col(page).alias("_page")), rows, link, limit)
+    return attach(hops, pages, "_page", {"url": "_url"}, limit).select(PROFILE, link, "_url")
 
 
 def page_of_visit(visits: DataFrame, pages: DataFrame, page: str) -> DataFrame:
@@ -165,12 +177,12 @@ def page_of_visit(visits: DataFrame, pages: DataFrame, page: str) -> DataFrame:
 
 
 def join_links(rows: DataFrame, targets: DataFrame, link: str, url: str) -> DataFrame:
-    """Left join of all rows to their linked visit's URL, safe against the "no link" id 0.
+    """Left join of all rows to their linked visit's URL, safe against the "no link" values 0 and NULL.
 
-    0 (no referrer) is the one value sure to be hot. Its rows are spread over salts and
-    a target with id 0, if there is one, is copied to each salt; all other ids use salt 0.
+    These are sure to be hot. Their rows are spread over salts and a target with id 0, if there
+    is one, is copied to each salt; all other ids use salt 0. NULL matches nothing.
     """
-    salt = F.when(F.col(link) == 0, F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    salt = F.when(F.col(link).isNull() | (F.col(link) == 0), F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     copies = F.when(F.col("id") == 0, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     right = targets.select(PROFILE, F.col("id").alias(link), F.col("_url").alias(url), F.explode(copies).alias("_salt"))
     return rows.withColumn("_salt", salt).join(right, [link, PROFILE, "_salt"], "left").drop("_salt")

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.functions.scalars import blank_if_null, real_text
-from pagetrail.operators.summary import BASIC, DOMAINS, LAYOUTS, MAX_FIGURES, TYPES
-from pagetrail.plans.newest import first_rows
+from pagetrail.operators.summary import BASIC, DOMAINS, LAYOUTS, TYPES, in_order
 
 SEPARATORS = {"tsv": "\t", "csv": ","}
 
@@ -105,4 +104,4 @@ def summary_lines(
     line = line.when(F.col("section") == DOMAINS, F.format_string(DOMAIN_LINE, key, value))
     line = line.otherwise(F.format_string(TYPE_LINE, key, value))
     rows = summary.select(block.alias("block"), F.col("rank").alias("line_no"), line.alias("line"))
-    return first_rows(frame.unionByName(rows), [F.asc("block"), F.asc("line_no")], len(fixed) + MAX_FIGURES)
+    return in_order(frame.unionByName(rows), F.asc("block"), F.asc("line_no"))

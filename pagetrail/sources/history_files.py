@@ -27,7 +27,7 @@ from pagetrail.sources.profiles import DATABASE_FILES
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 REJECTED = "rejected"
-ROWS_PER_BATCH = 10_000
+ROWS_PER_BATCH, CHARS_PER_BATCH = 10_000, 1 << 24
 ARROW_TYPES = {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}
 
 
@@ -47,8 +47,8 @@ def history_files(spark: SparkSession, path: str | Sequence[str], browser: str,
 def _as_long(value):
     if isinstance(value, float) and value.is_integer():
         value = int(value)
-    elif isinstance(value, str) and re.fullmatch(r"\s*[+-]?[0-9]+\s*", value):
-        value = int(value)
+    elif isinstance(value, str) and (number := re.fullmatch(r"\s*([+-]?)0*([0-9]{1,19})\s*", value)):
+        value = int(number[1] + number[2])
     return value if isinstance(value, int) and -(2**63) <= value < 2**63 else None
 
 
@@ -91,6 +91,19 @@ def _queries(db: sqlite3.Connection, family: dict[str, list[tuple[str, str]]]) -
     return queries
 
 
+def _chunks(cursor: sqlite3.Cursor) -> Iterator[list[tuple]]:
+    """Rows by the batch, bounded in number and in characters."""
+    rows, size = [], 0
+    for row in cursor:
+        rows.append(row)
+        size += sum(len(v) for v in row if isinstance(v, str | bytes))
+        if len(rows) >= ROWS_PER_BATCH or size >= CHARS_PER_BATCH:
+            yield rows
+            rows, size = [], 0
+    if rows:
+        yield rows
+
+
 def _row_reader(family: dict[str, list[tuple[str, str]]]):
     """mapInArrow function over (profile_id, content) batches."""
     structs = {t: pa.struct([(n, ARROW_TYPES[k]) for n, k in cols]) for t, cols in family.items()}
@@ -114,12 +127,11 @@ def _row_reader(family: dict[str, list[tuple[str, str]]]):
                 raise sqlite3.DatabaseError("no history tables")
             for _, check in queries.values():
                 db.execute(check).fetchall()
-        except sqlite3.Error as problem:
+        except Exception as problem:  # whatever one file holds, it must not end the job
             yield batch(profile, REJECTED, 1, error=str(problem))
             return
         for table, (read, _) in queries.items():
-            cursor = db.execute(read)
-            while rows := cursor.fetchmany(ROWS_PER_BATCH):
+            for rows in _chunks(db.execute(read)):
                 arrays = [
                     pa.array([CASTS[kind](v) for v in column], ARROW_TYPES[kind])
                     for (_, kind), column in zip(family[table], zip(*rows))

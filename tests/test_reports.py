@@ -18,7 +18,8 @@ BASE = 13348540800000000  # 2024-01-01 UTC
 def path(request, monkeypatch):
     """Run a test once with the scan-only plan and once with whole-table joins."""
     if request.param == "full":
-        monkeypatch.setattr(newest, "MAX_KEY_ROWS", -1)
+        for module in (chromium, firefox, safari):
+            monkeypatch.setattr(module, "is_cut", lambda limit: False)
     return request.param
 
 
@@ -231,3 +232,19 @@ def test_edge_and_safari_have_no_types(chrome):
     for browser in ("edge", "safari"):
         with pytest.raises(ValueError):
             summary.types(chrome["tables"], browser)
+
+
+@pytest.mark.parametrize("limit", [1, 2, 4, 100, 10_000, 10_001, 60_000, -1])
+def test_repeated_notes_join_as_often_as_they_are_there(table, limit):
+    visits = [("a", i, 1, BASE + i, 0, 0, 0) for i in range(1, 4)]
+    tables = {
+        "urls": table(CHROMIUM, "urls", [("a", 1, "https://x/", "t", 1, 0, BASE)]),
+        "visits": table(CHROMIUM, "visits", visits),
+        "content_annotations": table(
+            "chromium", "content_annotations", [("a", i, c, "en", None) for i, c in [(3, "p"), (3, "q"), (3, "r"), (1, "s")]]
+        ),
+    }
+    found = chromium.annotations(tables, limit=limit).collect()
+    times = [r.visit_time for r in found]
+    assert len(found) == (4 if limit < 0 else min(limit, 4)) and times == sorted(times, reverse=True)
+    assert len(set(found)) == len(found)
