@@ -241,7 +241,7 @@ def test_repeated_notes_join_as_often_as_they_are_there(table, limit):
         "urls": table(CHROMIUM, "urls", [("a", 1, "https://x/", "t", 1, 0, BASE)]),
         "visits": table(CHROMIUM, "visits", visits),
         "content_annotations": table(
-            "chromium", "content_annotations", [("a", i, c, "en", None) for i, c in [(3, "p"), (3, "q"), (3, "r"), (1, "s")]]
+            CHROMIUM, "content_annotations", [("a", i, c, "en", None) for i, c in [(3, "p"), (3, "q"), (3, "r"), (1, "s")]]
         ),
     }
     found = chromium.annotations(tables, limit=limit).collect()
