@@ -1,7 +1,8 @@
 """Reports over Chromium-family tables (Chrome, Edge and other browsers of that schema).
 
 ``tables`` maps the table names of ``schemas.CHROMIUM`` to DataFrames. Dates are
-inclusive ``YYYY-MM-DD`` strings in ``tz``; a negative ``limit`` keeps every row.
+inclusive ``YYYY-MM-DD`` strings in ``tz``; a negative ``limit`` keeps every row. With
+``per_profile`` the limit is one for each profile, and ``profile_id`` the first column.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from pagetrail.plans.newest import (
     is_cut,
     join_links,
     keep,
+    leading_matched,
     newest,
     newest_matched,
+    owner,
     page_names,
     page_of_visit,
     recent,
@@ -44,33 +47,47 @@ def _time(column: str, tz: str, name: str | None = None):
 
 
 def urls(
-    tables: Tables, date_from: str | None = None, date_to: str | None = None, limit: int = 100, tz: str = "UTC"
+    tables: Tables,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    limit: int = 100,
+    tz: str = "UTC",
+    per_profile: bool = False,
 ) -> DataFrame:
     """Pages by last visit."""
     pages = _dated(tables["urls"], "last_visit_time", date_from, date_to, tz)
-    pages = recent(pages, "last_visit_time", CHROMIUM_TIME, limit)
-    return first_rows(pages, newest("last_visit_time", "id"), limit).select(
-        "url", "title", "visit_count", "typed_count", _time("last_visit_time", tz)
+    if is_cut(limit, per_profile):
+        pages = recent(pages, "last_visit_time", CHROMIUM_TIME, limit)
+    return first_rows(pages, newest("last_visit_time", "id"), limit, per_profile).select(
+        *owner(per_profile), "url", "title", "visit_count", "typed_count", _time("last_visit_time", tz)
     )
 
 
 def visits(
-    tables: Tables, date_from: str | None = None, date_to: str | None = None, limit: int = 100, tz: str = "UTC"
+    tables: Tables,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    limit: int = 100,
+    tz: str = "UTC",
+    per_profile: bool = False,
 ) -> DataFrame:
     """Single visits, newest first, with transition label, duration and the referring page."""
     pages = tables["urls"]
     every = tables["visits"].withColumnRenamed("url", "page")
     dated = _dated(every, "visit_time", date_from, date_to, tz)
     order = newest("visit_time", "page", "id")
-    if is_cut(limit):
+    if is_cut(limit, per_profile):
         top = newest_matched(dated, [(ids_of(pages, "page"), "page")], order, limit, "visit_time", CHROMIUM_TIME)
         named = attach(top, pages, "page", {"url": "url", "title": "title"}, limit)
         from_urls = referrer_urls(top, every, pages, "from_visit", "page", limit).withColumnRenamed("_url", "from_url")
         rows = named.join(from_urls, ["from_visit", PROFILE], "left")
     else:
+        if per_profile:
+            dated, limit = leading_matched(dated, ids_of(pages, "page"), "page", order, limit), -1
         named = dated.join(page_names(pages, "page", "url", "title"), ["page", PROFILE])
         rows = join_links(named, page_of_visit(every, pages, "page"), "from_visit", "from_url")
-    return first_rows(rows, order, limit).select(
+    return first_rows(rows, order, limit, per_profile).select(
+        *owner(per_profile),
         "url",
         "title",
         _time("visit_time", tz),
@@ -81,13 +98,18 @@ def visits(
 
 
 def searches(
-    tables: Tables, date_from: str | None = None, date_to: str | None = None, limit: int = 100, tz: str = "UTC"
+    tables: Tables,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    limit: int = 100,
+    tz: str = "UTC",
+    per_profile: bool = False,
 ) -> DataFrame:
     """Search terms by the last visit of their result page (a term itself has no time)."""
     terms = tables["keyword_search_terms"]
     pages = _dated(tables["urls"], "last_visit_time", date_from, date_to, tz).withColumnRenamed("id", "url_id")
     order = newest("last_visit_time", "url_id", "term")
-    if is_cut(limit):
+    if is_cut(limit, per_profile):
         # Every page kept here has a term, so the first n pages hold the first n rows.
         used = terms.select(PROFILE, "url_id").distinct()
         timed = pages.select(PROFILE, "url_id", "last_visit_time").join(used, ["url_id", PROFILE], "left_semi")
@@ -97,20 +119,28 @@ def searches(
         rows = top.join(names, ["url_id", PROFILE])
     else:
         rows = terms.join(pages, ["url_id", PROFILE])
-    return first_rows(rows, order, limit).select("term", "url", "title", _time("last_visit_time", tz))
+    rows = first_rows(rows, order, limit, per_profile)
+    return rows.select(*owner(per_profile), "term", "url", "title", _time("last_visit_time", tz))
 
 
 def downloads(
-    tables: Tables, date_from: str | None = None, date_to: str | None = None, limit: int = 100, tz: str = "UTC"
+    tables: Tables,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    limit: int = 100,
+    tz: str = "UTC",
+    per_profile: bool = False,
 ) -> DataFrame:
     """Downloads by *displayed* start time: local wall-clock seconds, then the raw time."""
     rows = _dated(tables["downloads"], "start_time", date_from, date_to, tz)
     shown = local_time(CHROMIUM_TIME.unix_seconds(F.col("start_time")), tz)
     # Zone offsets differ by less than 36 hours, so no earlier download is shown later than that.
     showable = F.when(shown.isNotNull(), F.col("start_time"))
-    rows = recent(rows, "start_time", CHROMIUM_TIME, limit, slack_hours=36, counted=showable)
-    top = first_rows(rows, [shown.desc_nulls_last(), *newest("start_time", "id")], limit)
+    if is_cut(limit, per_profile):
+        rows = recent(rows, "start_time", CHROMIUM_TIME, limit, slack_hours=36, counted=showable)
+    top = first_rows(rows, [shown.desc_nulls_last(), *newest("start_time", "id")], limit, per_profile)
     return top.select(
+        *owner(per_profile),
         "target_path",
         "total_bytes",
         "mime_type",
@@ -122,7 +152,7 @@ def downloads(
 
 
 def _annotated(
-    tables: Tables, notes: DataFrame, date_from: str | None, date_to: str | None, limit: int, tz: str
+    tables: Tables, notes: DataFrame, date_from: str | None, date_to: str | None, limit: int, tz: str, per_profile: bool
 ) -> DataFrame:
     """Annotation rows with their visit's time and page, newest first."""
     pages = tables["urls"]
@@ -131,31 +161,45 @@ def _annotated(
     )
     names = page_names(pages, "page", "url", "title")
     order = newest("visit_time", "page", "visit_id")
-    if is_cut(limit):
+    if is_cut(limit, per_profile):
         matches = [(ids_of(notes, "visit_id", "visit_id"), "visit_id"), (ids_of(pages, "page"), "page")]
         top = newest_matched(timed, matches, order, limit, "visit_time", CHROMIUM_TIME, repeating=["visit_id"])
         rows = top.join(fetch(notes, top, "visit_id", limit), ["visit_id", PROFILE])
         rows = rows.join(fetch(names, top, "page", limit), ["page", PROFILE])
     else:
-        rows = timed.join(notes, ["visit_id", PROFILE]).join(names, ["page", PROFILE])
-    return first_rows(rows, order, limit)
+        rows = timed.join(notes, ["visit_id", PROFILE])
+        if per_profile:
+            rows, limit = leading_matched(rows, ids_of(pages, "page"), "page", order, limit), -1
+        rows = rows.join(names, ["page", PROFILE])
+    return first_rows(rows, order, limit, per_profile)
 
 
 def annotations(
-    tables: Tables, date_from: str | None = None, date_to: str | None = None, limit: int = 100, tz: str = "UTC"
+    tables: Tables,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    limit: int = 100,
+    tz: str = "UTC",
+    per_profile: bool = False,
 ) -> DataFrame:
     """Page categories, language and search terms per visit."""
-    rows = _annotated(tables, tables["content_annotations"], date_from, date_to, limit, tz)
+    rows = _annotated(tables, tables["content_annotations"], date_from, date_to, limit, tz, per_profile)
     texts = (blank_if_null(F.col(c)).alias(c) for c in ("categories", "page_language", "search_terms"))
-    return rows.select("url", "title", _time("visit_time", tz), *texts)
+    return rows.select(*owner(per_profile), "url", "title", _time("visit_time", tz), *texts)
 
 
 def contexts(
-    tables: Tables, date_from: str | None = None, date_to: str | None = None, limit: int = 100, tz: str = "UTC"
+    tables: Tables,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    limit: int = 100,
+    tz: str = "UTC",
+    per_profile: bool = False,
 ) -> DataFrame:
     """Foreground time, response code, tab and window per visit."""
-    rows = _annotated(tables, tables["context_annotations"], date_from, date_to, limit, tz)
+    rows = _annotated(tables, tables["context_annotations"], date_from, date_to, limit, tz, per_profile)
     return rows.select(
+        *owner(per_profile),
         "url",
         "title",
         _time("visit_time", tz),

@@ -1,4 +1,7 @@
-"""Reports over Safari tables (the names of ``schemas.SAFARI``)."""
+"""Reports over Safari tables (the names of ``schemas.SAFARI``).
+
+With ``per_profile`` the limit is one for each profile, and ``profile_id`` the first column.
+"""
 
 from __future__ import annotations
 
@@ -17,8 +20,11 @@ from pagetrail.plans.newest import (
     is_cut,
     join_links,
     keep,
+    leading,
+    leading_matched,
     newest,
     newest_matched,
+    owner,
     page_names,
     page_of_visit,
     referrer_urls,
@@ -44,6 +50,7 @@ def urls(
     limit: int = 100,
     tz: str = "UTC",
     last_visit: str = "score",
+    per_profile: bool = False,
 ) -> DataFrame:
     """Visited pages that have a visit in the date range, with their latest title.
 
@@ -66,11 +73,14 @@ def urls(
         )
         pages = pages.join(newest_visit, ["id", PROFILE], "left")
     order = newest("last_visit", "id")
-    if is_cut(limit):
+    if is_cut(limit, per_profile):
         pages = first_rows(pages, order, limit)
         visits = fetch(visits, pages.select(PROFILE, F.col("id").alias("history_item")), "history_item", limit)
+    elif per_profile:
+        pages, limit = leading(pages, order, limit), -1
     rows = pages.join(_latest_titles(visits), ["id", PROFILE], "left")
-    return first_rows(rows, order, limit).select(
+    return first_rows(rows, order, limit, per_profile).select(
+        *owner(per_profile),
         "url",
         blank_if_null(F.col("title")).alias("title"),
         "visit_count",
@@ -79,7 +89,12 @@ def urls(
 
 
 def visits(
-    tables: Tables, date_from: str | None = None, date_to: str | None = None, limit: int = 100, tz: str = "UTC"
+    tables: Tables,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    limit: int = 100,
+    tz: str = "UTC",
+    per_profile: bool = False,
 ) -> DataFrame:
     """Single visits, newest first, with the pages they were redirected from and to."""
     pages = tables["history_items"]
@@ -87,7 +102,7 @@ def visits(
     dated = keep(every, in_dates(F.col("visit_time"), SAFARI_TIME, date_from, date_to, tz))
     order = newest("visit_time", "history_item", "id")
     links = ("redirect_source", "redirect_destination")
-    if is_cut(limit):
+    if is_cut(limit, per_profile):
         matches = [(ids_of(pages, "history_item"), "history_item")]
         top = newest_matched(dated.drop("title"), matches, order, limit, "visit_time", SAFARI_TIME)
         rows = attach(top, pages, "history_item", {"url": "url"}, limit)
@@ -99,11 +114,14 @@ def visits(
             urls = targets.select(PROFILE, F.col("end").alias(link), F.col("_url").alias(f"{link}_url"))
             rows = rows.join(urls, [link, PROFILE], "left")
     else:
+        if per_profile:
+            dated, limit = leading_matched(dated, ids_of(pages, "history_item"), "history_item", order, limit), -1
         rows = dated.join(page_names(pages, "history_item", "url"), ["history_item", PROFILE])
         targets = page_of_visit(every, pages, "history_item")
         for link in links:
             rows = join_links(rows, targets, link, f"{link}_url")
-    return first_rows(rows, order, limit).select(
+    return first_rows(rows, order, limit, per_profile).select(
+        *owner(per_profile),
         "url",
         blank_if_null(F.col("title")).alias("title"),
         local_text(F.col("visit_time"), SAFARI_TIME, tz).alias("visit_time"),

@@ -17,8 +17,8 @@ from pagetrail.functions.labels import (
 )
 from pagetrail.functions.scalars import domain, hours_2dp, real_text
 from pagetrail.functions.timecodec import CHROMIUM_TIME, FIREFOX_TIME, SAFARI_TIME, TimeEncoding, in_dates
-from pagetrail.plans.newest import first_rows, keep
-from pagetrail.schemas import PROFILE
+from pagetrail.plans.newest import first_rows, keep, owner
+from pagetrail.schemas import CHROMIUM_BROWSERS, PROFILE
 
 Tables = Mapping[str, DataFrame]
 
@@ -50,6 +50,7 @@ class Layout:
 _CHROMIUM = {"visits": "visits", "time": "visit_time", "page": "url", "pages": "urls", "encoding": CHROMIUM_TIME}
 
 LAYOUTS = {
+    **dict.fromkeys(CHROMIUM_BROWSERS, Layout(**_CHROMIUM, duration="visit_duration")),
     "chrome": Layout(
         **_CHROMIUM,
         duration="visit_duration",
@@ -58,7 +59,6 @@ LAYOUTS = {
         types=tuple(CHROMIUM_TRANSITIONS[code] for code in CHROMIUM_SUMMARY_CODES) + ("OTHER",),
         types_title="Transition Types",
     ),
-    "edge": Layout(**_CHROMIUM, duration="visit_duration"),
     "firefox": Layout(
         visits="moz_historyvisits",
         time="visit_date",
@@ -110,37 +110,58 @@ def in_order(figures: DataFrame, *order: Column) -> DataFrame:
 
 
 def basic(
-    tables: Tables, browser: str, date_from: str | None = None, date_to: str | None = None, tz: str = "UTC"
+    tables: Tables,
+    browser: str,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    tz: str = "UTC",
+    per_profile: bool = False,
 ) -> DataFrame:
-    """One row: visits, distinct pages and, where durations exist, hours. Unknown pages count."""
+    """One row: visits, distinct pages and, where durations exist, hours. Unknown pages count.
+
+    With ``per_profile`` one row for each profile that has a visit in the range, here and below.
+    """
     layout = _layout(browser)
     totals = [F.count(F.lit(1)).alias("total_visits"), F.countDistinct(PROFILE, "page").alias("unique_urls")]
     if layout.duration:
         totals.append(hours_2dp(_total(layout.duration)).alias("total_hours"))
-    return _visits(tables, layout, date_from, date_to, tz).agg(*totals)
+    return _visits(tables, layout, date_from, date_to, tz).groupBy(*owner(per_profile)).agg(*totals)
 
 
 def domains(
-    tables: Tables, browser: str, date_from: str | None = None, date_to: str | None = None, tz: str = "UTC"
+    tables: Tables,
+    browser: str,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    tz: str = "UTC",
+    per_profile: bool = False,
 ) -> DataFrame:
     """Top domains by visits. Visits are counted per page first, so a hot page joins as one row."""
     layout = _layout(browser)
     per_page = _visits(tables, layout, date_from, date_to, tz).groupBy(PROFILE, "page").agg(F.count(F.lit(1)).alias("n"))
-    counted = per_page.join(_domains_of(tables, layout), ["page", PROFILE]).groupBy("domain")
-    return first_rows(
-        counted.agg(F.sum("n").alias("cnt")), [F.desc("cnt"), F.asc_nulls_first("domain")], TOP_DOMAINS
-    )
+    counted = per_page.join(_domains_of(tables, layout), ["page", PROFILE]).groupBy(*owner(per_profile), "domain")
+    order = [F.desc("cnt"), F.asc_nulls_first("domain")]
+    return first_rows(counted.agg(F.sum("n").alias("cnt")), order, TOP_DOMAINS, per_profile)
 
 
 def types(
-    tables: Tables, browser: str, date_from: str | None = None, date_to: str | None = None, tz: str = "UTC"
+    tables: Tables,
+    browser: str,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    tz: str = "UTC",
+    per_profile: bool = False,
 ) -> DataFrame:
     """Visits per type label, most frequent first."""
     layout = _layout(browser)
     if layout.label is None:
         raise ValueError(f"{browser} has no visit types")
-    labelled = _visits(tables, layout, date_from, date_to, tz).select(layout.label(F.col(layout.code)).alias("type"))
-    counted = labelled.groupBy("type").agg(F.count(F.lit(1)).alias("cnt"))
+    labelled = _visits(tables, layout, date_from, date_to, tz).select(
+        PROFILE, layout.label(F.col(layout.code)).alias("type")
+    )
+    counted = labelled.groupBy(*owner(per_profile), "type").agg(F.count(F.lit(1)).alias("cnt"))
+    if per_profile:  # as many rows as profiles: too many for one task
+        return first_rows(counted, [F.desc("cnt"), F.asc("type")], -1, per_profile)
     return in_order(counted, F.desc("cnt"), F.asc("type"))
 
 

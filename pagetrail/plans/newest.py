@@ -49,9 +49,14 @@ def check_limit(limit: int) -> int:
     return limit
 
 
-def is_cut(limit: int) -> bool:
-    """True when a report ends after its first rows."""
-    return check_limit(limit) >= 0
+def is_cut(limit: int, per_profile: bool = False) -> bool:
+    """True when a report ends after its first rows of all profiles together."""
+    return check_limit(limit) >= 0 and not per_profile
+
+
+def owner(per_profile: bool) -> list[str]:
+    """The leading columns of a report whose rows belong to a profile each."""
+    return [PROFILE] if per_profile else []
 
 
 def reach_of(limit: int) -> int:
@@ -64,8 +69,25 @@ def few(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
-def first_rows(df: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
-    """Sort and cut; 0 keeps nothing, a negative limit keeps everything."""
+def leading(df: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
+    """The first ``limit`` rows of each profile, in no order; Spark cuts every task's rows before it shuffles them,
+    so a profile with very many is no hot spot."""
+    if check_limit(limit) < 0:
+        return df
+    rank = F.row_number().over(Window.partitionBy(PROFILE).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
+
+
+def leading_matched(rows: DataFrame, ids: DataFrame, key: str, order: Sequence[Column], limit: int) -> DataFrame:
+    """The first ``limit`` of each profile's rows that have a match in ``ids``."""
+    return leading(rows.join(ids, [key, PROFILE], "left_semi"), order, limit)
+
+
+def first_rows(df: DataFrame, order: Sequence[Column], limit: int, per_profile: bool = False) -> DataFrame:
+    """Sort and cut; 0 keeps nothing, a negative limit keeps everything. With ``per_profile`` each profile's rows are
+    cut and come together."""
+    if per_profile:
+        return leading(df, order, limit).orderBy(PROFILE, *order)
     ordered = df.orderBy(*order)
     return ordered if check_limit(limit) < 0 else ordered.limit(limit)
 

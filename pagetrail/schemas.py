@@ -35,8 +35,23 @@ SAFARI = {
     "redirect_source bigint, redirect_destination bigint",
 }
 
+#: browsers of the Chromium schema
+CHROMIUM_BROWSERS = ("chrome", "edge", "brave", "vivaldi", "opera")
+
 #: browser name -> tables its history database holds
-FAMILIES = {"chrome": CHROMIUM, "edge": CHROMIUM, "firefox": FIREFOX, "safari": SAFARI}
+FAMILIES = {**dict.fromkeys(CHROMIUM_BROWSERS, CHROMIUM), "firefox": FIREFOX, "safari": SAFARI}
+
+#: table -> the column that dates its rows, if any does
+TIME_COLUMNS = {
+    "urls": "last_visit_time",
+    "visits": "visit_time",
+    "downloads": "start_time",
+    "moz_places": "last_visit_date",
+    "moz_historyvisits": "visit_date",
+    "moz_bookmarks": "dateAdded",
+    "history_items": "visit_count_score",
+    "history_visits": "visit_time",
+}
 
 #: raw saved-tab storage files
 SAVED_TAB_FILES = f"{PROFILE} string, file_name string, content binary"

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagetrail.schemas import CHROMIUM_BROWSERS
+
 # fixed values: file names inside a profile
 CHROMIUM_FILE = "History"
 FIREFOX_FILE = "places.sqlite"
@@ -18,8 +20,7 @@ CHROMIUM_DEFAULT = "Default/History"
 SAVED_TABS_DIR = "Local Extension Settings/chphlpgkkbolifaimnlloiipkdnihall"
 
 DATABASE_FILES = {
-    "chrome": CHROMIUM_FILE,
-    "edge": CHROMIUM_FILE,
+    **dict.fromkeys(CHROMIUM_BROWSERS, CHROMIUM_FILE),
     "firefox": FIREFOX_FILE,
     "safari": SAFARI_FILE,
 }
@@ -61,7 +62,7 @@ def select_profiles(listing: DataFrame, browser: str, all_profiles: bool = False
     no database the default path is returned with ``found = false``. Grouping reduces to one
     row per root and task, so a root with very many files is no hot spot.
     """
-    if browser not in ("chrome", "edge", "firefox"):
+    if browser not in (*CHROMIUM_BROWSERS, "firefox"):
         raise ValueError(f"{browser} has no profiles: give the path of its database")
     file_name = DATABASE_FILES[browser]
     parts = _parts(listing, file_name)

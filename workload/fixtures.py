@@ -135,6 +135,21 @@ def chromium(spark: SparkSession, sf_dir: str, events_filter: str = "true") -> D
     )
 
 
+def chromium_fleet(spark: SparkSession, sf_dir: str) -> Derived:
+    """Two profiles with the same ids: the second's URLs are marked, and its visits are half an hour older."""
+    first = chromium(spark, sf_dir)
+    second = {"urls": ("url", "concat(url, '?p1')"), "visits": ("visit_time", "visit_time - 1800000001")}
+
+    def both(name: str) -> DataFrame:
+        changed = first[name].withColumn(PROFILE, F.lit("p1"))
+        if name in second:
+            column, value = second[name]
+            changed = changed.withColumn(column, F.expr(value))
+        return first[name].unionByName(changed)
+
+    return Derived({name: lambda name=name: both(name) for name in first})
+
+
 def edge(spark: SparkSession, sf_dir: str) -> Derived:
     return chromium(spark, sf_dir, "user_id % 2 = 1")
 

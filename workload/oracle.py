@@ -91,6 +91,19 @@ def edge(select: str) -> str:
     return with_tables(CHROMIUM, select, "user_id % 2 = 1")
 
 
+def chromium_fleet(select: str) -> str:
+    """Two profiles with the same ids."""
+    return with_tables(
+        f"""{CHROMIUM},
+fleet_urls AS (
+  SELECT 'p0' AS profile_id, * FROM urls UNION ALL SELECT 'p1', * REPLACE (url || '?p1' AS url) FROM urls),
+fleet_visits AS (
+  SELECT 'p0' AS profile_id, * FROM visits
+  UNION ALL SELECT 'p1', * REPLACE (visit_time - 1800000001 AS visit_time) FROM visits)""",
+        select,
+    )
+
+
 def firefox(select: str) -> str:
     return with_tables(FIREFOX, select)
 
@@ -370,6 +383,42 @@ SELECT block::INTEGER AS block, line_no::INTEGER AS line_no, line FROM (
     )
 
 
+# ---- several profiles -----------------------------------------------------
+
+
+def fleet_visits(limit: int, per_profile: bool) -> str:
+    """The newest visits of two profiles, together or of each."""
+    group = "PARTITION BY v.profile_id " if per_profile else ""
+    return chromium_fleet(
+        f"""SELECT {"profile_id, " if per_profile else ""}url, title, visit_time, duration_sec, transition, from_url FROM (
+  SELECT v.profile_id, u.url, u.title, {webkit("v.visit_time")} AS visit_time,
+    {rounded("v.visit_duration", 100000, 10)} AS duration_sec, {transition("v.transition")} AS transition,
+    coalesce(origin.url, '') AS from_url,
+    row_number() OVER ({group}ORDER BY v.visit_time DESC, v.profile_id, v.url, v.id) AS place
+  FROM fleet_visits v JOIN fleet_urls u ON (u.profile_id, u.id) = (v.profile_id, v.url)
+  LEFT JOIN (
+    SELECT o.profile_id, o.id, p.url FROM fleet_visits o JOIN fleet_urls p ON (p.profile_id, p.id) = (o.profile_id, o.url)
+  ) origin ON (origin.profile_id, origin.id) = (v.profile_id, v.from_visit))
+WHERE place <= {limit}"""
+    )
+
+
+def fleet_basic() -> str:
+    return chromium_fleet(
+        f"SELECT profile_id, count(*) AS total_visits, count(DISTINCT url) AS unique_urls, ({HOURS} / 100)::DOUBLE AS total_hours "
+        "FROM fleet_visits GROUP BY profile_id"
+    )
+
+
+def fleet_domains() -> str:
+    return chromium_fleet(
+        f"""SELECT profile_id, domain, cnt FROM (
+  SELECT v.profile_id, {domain("u.url")} AS domain, count(*) AS cnt
+  FROM fleet_visits v JOIN fleet_urls u ON (u.profile_id, u.id) = (v.profile_id, v.url) GROUP BY 1, 2)
+QUALIFY row_number() OVER (PARTITION BY profile_id ORDER BY cnt DESC, domain NULLS FIRST) <= 10"""
+    )
+
+
 # ---- saved tabs, sinks, profiles, ingest ----------------------------------
 
 

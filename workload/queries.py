@@ -95,6 +95,13 @@ def _visit_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.visit_count_lines(firefox.urls(fixtures.firefox(spark, sf_dir)))
 
 
+def _fleet(operator: Callable, sql: str, *args, **options):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return operator(fixtures.chromium_fleet(spark, sf_dir), *args, **options)
+
+    return run, sql
+
+
 def _zoned(operator: Callable, sql: Callable, browser: str, **options):
     return _report(browser, operator, sql, {**options, "zone": NEW_YORK}, **options, tz=NEW_YORK)
 
@@ -123,6 +130,11 @@ def registry() -> dict[str, tuple[Query, str]]:
         "chrome_summary_transitions": _section("chrome", summary.types, oracle.summary_types, **SINCE),
         "chrome_summary": _section("chrome", summary.summary, oracle.summary, **WEEK),
         "chrome_summary_empty": _section("chrome", summary.summary, oracle.summary, **EMPTY),
+        # two profiles with the same ids
+        "fleet_visits": _fleet(chromium.visits, oracle.fleet_visits(100, False)),
+        "fleet_visits_per_profile": _fleet(chromium.visits, oracle.fleet_visits(100, True), per_profile=True),
+        "fleet_basic_per_profile": _fleet(summary.basic, oracle.fleet_basic(), "chrome", per_profile=True),
+        "fleet_domains_per_profile": _fleet(summary.domains, oracle.fleet_domains(), "chrome", per_profile=True),
         # Edge
         "edge_urls": _report("edge", chromium.urls, oracle.chromium_urls, **WEEK),
         "edge_visits": _report("edge", chromium.visits, oracle.chromium_visits),
