@@ -20,14 +20,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pagetrail.schemas import FAMILIES, PROFILE, table_schema
+from pagetrail.functions.timecodec import CHROMIUM_TIME, FIREFOX_TIME, SAFARI_TIME, local_time
+from pagetrail.schemas import CHROMIUM, FAMILIES, PROFILE, TIME_COLUMNS, table_schema
 from pagetrail.sources.profiles import DATABASE_FILES
 
 # Worker code travels with the job; executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-REJECTED = "rejected"
+REJECTED, READ = "rejected", "read"
 ROWS_PER_BATCH, CHARS_PER_BATCH = 10_000, 1 << 24
+#: A file is loaded whole by one task.
+MAX_FILE_BYTES = 1 << 30
+TIME_ENCODINGS = {"chromium": CHROMIUM_TIME, "firefox": FIREFOX_TIME, "safari": SAFARI_TIME}
+#: Years whose rows are landed by month; all other rows are landed together.
+LANDED_YEARS = (1990, 2100)
+UNDATED = "undated"
 ARROW_TYPES = {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}
 
 
@@ -35,13 +42,16 @@ def history_files(spark: SparkSession, path: str | Sequence[str], browser: str,
     """(profile_id, content) of database files; the profile is the file's directory.
 
     ``path`` names database files; with ``recursive`` it names directories to search
-    for files of the browser's usual name. A missing path is an error.
+    for files of the browser's usual name. A missing path is an error. A file of more than
+    MAX_FILE_BYTES is not loaded: its content is NULL, and reading it rejects it.
     """
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", DATABASE_FILES[browser])
     files = reader.load(path if isinstance(path, str) else list(path))
-    return files.select(F.regexp_replace("path", "/[^/]*$", "").alias(PROFILE), "content")
+    profile, size = F.regexp_replace("path", "/[^/]*$", "").alias(PROFILE), F.col("length")
+    too_large = files.where(size > MAX_FILE_BYTES).select(profile, F.lit(None).cast("binary").alias("content"))
+    return files.where(size <= MAX_FILE_BYTES).select(profile, "content").unionByName(too_large)
 
 
 def _as_long(value):
@@ -121,6 +131,8 @@ def _row_reader(family: dict[str, list[tuple[str, str]]]):
     def tables_of(profile: str, content: bytes) -> Iterator[pa.RecordBatch]:
         db = None
         try:
+            if content is None:
+                raise ValueError(f"the file has more than {MAX_FILE_BYTES} bytes")
             db = _open(content)
             queries = _queries(db, family)
             if not queries:
@@ -130,6 +142,7 @@ def _row_reader(family: dict[str, list[tuple[str, str]]]):
         except Exception as problem:  # whatever one file holds, it must not end the job
             yield batch(profile, REJECTED, 1, error=str(problem))
             return
+        yield batch(profile, READ, 1)
         for table, (read, _) in queries.items():
             for rows in _chunks(db.execute(read)):
                 arrays = [
@@ -152,40 +165,56 @@ def history_rows(files: DataFrame, browser: str) -> DataFrame:
     """All rows of all files: ``profile_id, table_name, error`` and one struct column per table.
 
     A file that cannot be read completely yields one row with table_name ``rejected`` and
-    nothing else. Text in a number column becomes NULL unless it spells a number.
+    nothing else; any other yields one row ``read`` beside its tables. Text in a number column
+    becomes NULL unless it spells a number.
     """
-    family = FAMILIES[browser]
     columns = {
-        table: [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(ddl)] for table, ddl in family.items()
+        table: [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(ddl)]
+        for table, ddl in FAMILIES[browser].items()
     }
-    structs = ", ".join(f"{table} struct<{ddl.replace(' ', ':').replace(',:', ', ')}>" for table, ddl in family.items())
-    schema = f"{PROFILE} string, table_name string, error string, {structs}"
-    return files.select(PROFILE, "content").mapInArrow(_row_reader(columns), schema)
+    return files.select(PROFILE, "content").mapInArrow(_row_reader(columns), _row_schema(browser))
+
+
+def _row_schema(browser: str) -> str:
+    tables = FAMILIES[browser].items()
+    structs = ", ".join(f"{table} struct<{ddl.replace(' ', ':').replace(',:', ', ')}>" for table, ddl in tables)
+    return f"{PROFILE} string, table_name string, error string, {structs}"
 
 
-def land(files: DataFrame, browser: str, path: str) -> None:
-    """Write all tables of all files in one pass, partitioned by browser and table.
+def land(files: DataFrame, browser: str, path: str, snapshot: str) -> None:
+    """Write all tables of all files in one pass, by browser, snapshot, table and month, sorted by time.
 
-    Rows are appended: land each snapshot once, since reports take (profile_id, id) as unique.
+    ``snapshot`` names this state of the files; names must sort by age, as dates do. All files of a
+    snapshot are landed together: landing it again replaces it, so a repeated job adds no row. Months
+    with much data are split over several files and small ones put together by size.
     """
-    rows = history_rows(files, browser).withColumn("browser", F.lit(browser))
-    rows.write.mode("append").partitionBy("browser", "table_name").parquet(f"{path}/{_family_of(browser)}")
+    if not re.fullmatch(r"[0-9A-Za-z][0-9A-Za-z_.-]*", snapshot):
+        raise ValueError(f"invalid snapshot name {snapshot!r}")
+    family = FAMILIES[browser]
+    # A row fills the struct of its own table only, so the first time that is there is its time.
+    time = F.coalesce(*(F.col(f"{table}.{TIME_COLUMNS[table]}") for table in family if table in TIME_COLUMNS))
+    when = local_time(TIME_ENCODINGS[_family_of(browser)].unix_seconds(time), "UTC")
+    month = F.when(F.year(when).between(*LANDED_YEARS), F.substring(when.cast("string"), 1, 7)).otherwise(UNDATED)
+    rows = history_rows(files, browser).withColumn("month", month)
+    laid = rows.hint("rebalance", F.col("table_name"), F.col("month")).sortWithinPartitions("table_name", "month", time)
+    target = f"{path}/{_family_of(browser)}/browser={browser}/snapshot={snapshot}"
+    writer = laid.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("table_name", "month").parquet(target)
 
 
 def _family_of(browser: str) -> str:
     """Directory of a schema family: browsers of one family share a landing area."""
-    return "chromium" if browser in ("chrome", "edge") else browser
+    return "chromium" if FAMILIES[browser] is CHROMIUM else browser
 
 
 def tables_from(rows: DataFrame, browser: str) -> dict[str, DataFrame]:
-    """Split ``history_rows`` output into typed tables. On landed Parquet the column and
-    date filters reach the scan, since nested fields are pruned and pushed down."""
-    return {
-        table: rows.where(F.col("table_name") == table).select(
-            PROFILE, *(F.col(f"{table}.{name}").alias(name) for name in table_schema(FAMILIES[browser], table).names[1:])
-        )
-        for table in FAMILIES[browser]
-    }
+    """Split ``history_rows`` output into typed tables."""
+    return {table: _table(rows, browser, table) for table in FAMILIES[browser]}
+
+
+def _table(rows: DataFrame, browser: str, table: str, *more: str) -> DataFrame:
+    names = table_schema(FAMILIES[browser], table).names[1:]
+    return rows.where(F.col("table_name") == table).select(PROFILE, *more, *(F.col(f"{table}.{n}").alias(n) for n in names))
 
 
 def rejected(rows: DataFrame) -> DataFrame:
@@ -193,10 +222,41 @@ def rejected(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("table_name") == REJECTED).select(PROFILE, "error")
 
 
-def landed(spark: SparkSession, path: str, browser: str) -> DataFrame:
-    """Landed rows of one browser, in the layout of ``history_rows``."""
-    rows = spark.read.parquet(f"{path}/{_family_of(browser)}")
-    return rows.where(F.col("browser") == browser)
+def _landed(spark: SparkSession, path: str, browser: str) -> DataFrame:
+    schema = f"{_row_schema(browser)}, browser string, snapshot string, month string"
+    return spark.read.schema(schema).parquet(f"{path}/{_family_of(browser)}").where(F.col("browser") == browser)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """(profile_id, snapshot): the newest that could be read, else the newest; there is one mark a landed file."""
+    marks = rows.where(F.col("table_name").isin(READ, REJECTED)).groupBy(PROFILE)
+    readable = F.max(F.when(F.col("table_name") == READ, F.col("snapshot")))
+    return marks.agg(F.coalesce(readable, F.max("snapshot")).alias("snapshot"))
+
+
+def landed(spark: SparkSession, path: str, browser: str, snapshot: str | None = None) -> DataFrame:
+    """Landed rows of one browser, in the layout of ``history_rows``.
+
+    Without ``snapshot`` each profile is shown as its newest readable file had it, or as rejected if
+    none could be read; with it, as that snapshot has it, which costs no join.
+    """
+    rows = _landed(spark, path, browser)
+    if snapshot is not None:
+        return rows.where(F.col("snapshot") == snapshot)
+    return rows.join(_newest(rows), [PROFILE, "snapshot"], "left_semi")
+
+
+def landed_tables(spark: SparkSession, path: str, browser: str, snapshot: str | None = None) -> dict[str, DataFrame]:
+    """Typed tables of ``landed``. Their columns are taken out below the join with the newest snapshots, so that
+    nested column pruning and date filters reach the scan."""
+    rows = _landed(spark, path, browser)
+    if snapshot is not None:
+        return tables_from(rows.where(F.col("snapshot") == snapshot), browser)
+    newest = _newest(rows)
+    return {
+        table: _table(rows, browser, table, "snapshot").join(newest, [PROFILE, "snapshot"], "left_semi").drop("snapshot")
+        for table in FAMILIES[browser]
+    }
 
 
 def of_profiles(tables: dict[str, DataFrame], chosen: DataFrame) -> dict[str, DataFrame]:

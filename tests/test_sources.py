@@ -5,7 +5,7 @@ import pytest
 from conftest import tuples
 from pyspark.errors import AnalysisException
 
-from pagetrail.operators import chromium, firefox
+from pagetrail.operators import chromium, firefox, summary
 from pagetrail.sources import history_files, profiles
 from pagetrail.sources.saved_tab_files import saved_tab_files
 
@@ -100,11 +100,11 @@ def fleet(tmp_path):
 
 def test_ingest_land_and_report(spark, fleet, tmp_path):
     files = history_files.history_files(spark, str(fleet), "chrome", recursive=True)
-    history_files.land(files, "chrome", f"{tmp_path}/landed")
+    history_files.land(files, "chrome", f"{tmp_path}/landed", "2024-01-08")
     rows = history_files.landed(spark, f"{tmp_path}/landed", "chrome")
     bad = sorted(r.profile_id[-2:] for r in history_files.rejected(rows).collect())
     assert bad == ["u3", "u4"]
-    tables = history_files.tables_from(rows, "chrome")
+    tables = history_files.landed_tables(spark, f"{tmp_path}/landed", "chrome")
     assert tables["urls"].count() == 20 and tables["visits"].count() == 22
     odd = tables["visits"].where("id = 500").drop("profile_id").distinct()
     assert tuples(odd) == [(500, None, 12, 7, None, None)]
@@ -122,6 +122,75 @@ def test_ingest_land_and_report(spark, fleet, tmp_path):
     assert got[0].from_url == "https://h9/" and got[0].duration_sec == 0.1
 
 
+def test_landing_again_changes_no_report(spark, tmp_path):
+    """A snapshot landed twice counts once, a newer one replaces it profile by profile."""
+    path = f"{tmp_path}/landed"
+
+    def fleet(day, **rows):
+        for name, n in rows.items():
+            (tmp_path / day / name).mkdir(parents=True)
+            file = tmp_path / day / name / "History"
+            chromium_db(file, rows=n) if n else file.write_bytes(b"not a database")
+        files = history_files.history_files(spark, str(tmp_path / day), "chrome", recursive=True)
+        return files.selectExpr("regexp_extract(profile_id, '[^/]*$', 0) AS profile_id", "content")
+
+    def state(**options):
+        rows = history_files.landed(spark, path, "chrome", **options)
+        visits = history_files.tables_from(rows, "chrome")["visits"].groupBy("profile_id").count()
+        return dict(tuples(visits)), sorted(r.profile_id for r in history_files.rejected(rows).collect())
+
+    first = fleet("d1", u1=3, u2=5, u4=0)
+    history_files.land(first, "chrome", path, "2024-01-08")
+    assert state() == ({"u1": 4, "u2": 6}, ["u4"])
+    history_files.land(first, "chrome", path, "2024-01-08")
+    assert state() == ({"u1": 4, "u2": 6}, ["u4"])
+    history_files.land(fleet("d2", u1=4, u2=0, u3=1), "chrome", path, "2024-01-09")
+    assert state() == ({"u1": 5, "u2": 6, "u3": 2}, ["u4"])  # u2's newest readable file is the first
+    assert state(snapshot="2024-01-09") == ({"u1": 5, "u3": 2}, ["u2"])
+    tables = history_files.landed_tables(spark, path, "chrome")
+    assert tuples(summary.basic(tables, "chrome").select("total_visits")) == [(13,)]
+    assert chromium.visits(tables, limit=-1).count() == 10  # one visit of each profile has no page
+    assert chromium.visits(tables).count() == 10
+    with pytest.raises(ValueError):
+        history_files.land(first, "chrome", path, "../x")
+
+
+def test_landed_rows_are_sorted_by_time_within_months(spark, tmp_path):
+    """Each landed file holds one month of one table in ascending order of time, so row groups can be skipped."""
+    db = sqlite3.connect(tmp_path / "History")
+    db.executescript(CHROMIUM_DDL)
+    day = 86_400_000_000
+    times = [13348540800000000 + (i * 7919 % 90) * day + i for i in range(500)]
+    db.executemany("INSERT INTO visits VALUES (?,1,?,0,0,0)", enumerate([*times, 0, 2**62], start=1))
+    db.commit()
+    db.close()
+    files = history_files.history_files(spark, f"{tmp_path}/History", "chrome")
+    history_files.land(files, "chrome", f"{tmp_path}/landed", "s1")
+    rows = history_files.landed(spark, f"{tmp_path}/landed", "chrome", "s1").where("table_name = 'visits'")
+    got = rows.selectExpr("month", "visits.visit_time AS t", "input_file_name() AS file", "monotonically_increasing_id() AS place")
+    got = got.collect()
+    assert len(got) == 502 and {r.month for r in got} == {"2024-01", "2024-02", "2024-03", "undated"}
+    for file in {r.file for r in got}:
+        inside = [r.t for r in sorted((r for r in got if r.file == file), key=lambda r: r.place)]
+        assert inside == sorted(inside)
+
+
+def test_a_file_that_is_too_large_is_rejected(spark, fleet, monkeypatch):
+    whole = (fleet / "u1" / "History").stat().st_size
+    monkeypatch.setattr(history_files, "MAX_FILE_BYTES", whole - 1)
+    rows = history_files.history_rows(history_files.history_files(spark, f"{fleet}/u1/History", "chrome"), "chrome")
+    assert [(r.table_name, "more than" in r.error) for r in rows.collect()] == [("rejected", True)]
+
+
+def test_other_chromium_browsers(spark, fleet, tmp_path):
+    files = history_files.history_files(spark, str(fleet / "u1"), "brave", recursive=True)
+    history_files.land(files, "brave", f"{tmp_path}/landed", "s1")
+    tables = history_files.landed_tables(spark, f"{tmp_path}/landed", "brave")
+    assert chromium.visits(tables, limit=1).collect()[0].url == "https://h10/"
+    assert tuples(summary.basic(tables, "brave").select("total_visits")) == [(11,)]
+    assert history_files.landed(spark, f"{tmp_path}/landed", "chrome").count() == 0
+
+
 def test_ingest_chosen_profiles(spark, fleet, listing):
     rows = history_files.history_rows(history_files.history_files(spark, str(fleet), "chrome", recursive=True), "chrome")
     chosen = listing([(f"file:{fleet}", "u2/History")]).selectExpr("root", "rel_path AS db_path", "true AS found")
