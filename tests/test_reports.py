@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pagetrail.operators import chromium, firefox, safari, summary
 from pagetrail.plans import newest
 from pagetrail.schemas import CHROMIUM, FIREFOX, SAFARI
+from workload import fixtures
 
 DAY = 86_400_000_000
 BASE = 13348540800000000  # 2024-01-01 UTC
@@ -19,7 +20,7 @@ def path(request, monkeypatch):
     """Run a test once with the scan-only plan and once with whole-table joins."""
     if request.param == "full":
         for module in (chromium, firefox, safari):
-            monkeypatch.setattr(module, "is_cut", lambda limit: False)
+            monkeypatch.setattr(module, "is_cut", lambda limit, per_profile=False: False)
     return request.param
 
 
@@ -248,3 +249,28 @@ def test_repeated_notes_join_as_often_as_they_are_there(table, limit):
     times = [r.visit_time for r in found]
     assert len(found) == (4 if limit < 0 else min(limit, 4)) and times == sorted(times, reverse=True)
     assert len(set(found)) == len(found)
+
+
+@pytest.mark.parametrize("limit", [0, 3, -1])
+def test_a_report_per_profile_is_the_report_of_each_profile(spark, chrome, limit):
+    def both(tables):
+        return {n: tables[n].unionByName(tables[n].withColumn("profile_id", F.lit("p1"))) for n in tables}
+
+    sf = "/root/testdata/sf0.001"
+    fox, apple = both(fixtures.firefox(spark, sf)), both(fixtures.safari(spark, sf))
+    reports = [(chrome["tables"], r, "a") for r in (chromium.urls, chromium.visits, chromium.searches, chromium.annotations)]
+    reports += [(chrome["tables"], r, "b") for r in (chromium.contexts, chromium.downloads)]
+    reports += [(fox, r, "p1") for r in (firefox.urls, firefox.visits, firefox.bookmarks, firefox.searches)]
+    reports += [(apple, r, "p1") for r in (safari.urls, safari.visits)]
+    for tables, report, profile in reports if limit == 3 else reports[:6]:
+        alone = {name: t.where(F.col("profile_id") == profile) for name, t in tables.items()}
+        got = [r[1:] for r in tuples(report(tables, limit=limit, per_profile=True)) if r[0] == profile]
+        assert got == tuples(report(alone, limit=limit)), report
+
+
+def test_summaries_per_profile(chrome):
+    for report in (summary.basic, summary.domains, summary.types):
+        every = tuples(report(chrome["tables"], "chrome", per_profile=True))
+        for profile in ("a", "b"):
+            alone = {name: t.where(F.col("profile_id") == profile) for name, t in chrome["tables"].items()}
+            assert [r[1:] for r in every if r[0] == profile] == tuples(report(alone, "chrome")), report
