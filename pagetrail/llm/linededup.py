@@ -29,6 +29,8 @@ MOST_EDITS = 2
 GROUP_ROWS = 1024
 #: Code points handled at a time.
 SLAB = 1 << 22
+#: Characters from which two lines are compared run by run, not bit by bit: bit vectors as long as the line take quadratic time.
+LONG = 1 << 14
 #: Odd, so that its powers can be inverted modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 
@@ -72,8 +74,26 @@ class _Rolling:
 
     def of(self, sums: np.ndarray, start: np.ndarray, size: np.ndarray, length: np.ndarray, number: int) -> np.ndarray:
         """The key of each substring with the length and segment number it belongs to."""
-        key = (sums[start + size] - sums[start]) * self.inverse[start]
-        key ^= (length.astype(np.uint64) * np.uint64(64) + np.uint64(number)) * np.uint64(0x94D049BB133111EB)
+        return self.keys((sums[start + size] - sums[start]) * self.inverse[start], length, number)
+
+    def of_line(self, line: str, parts: list[tuple[int, int, int, int]]) -> np.ndarray:
+        """The key of each (start, size, length, segment number) of one line, which is summed up slab by slab."""
+        places = np.unique([p for start, size, *_ in parts for p in (start, start + size)])
+        sums, total = np.zeros(len(places), dtype=np.uint64), np.zeros(1, dtype=np.uint64)
+        for slab in range(0, len(line), SLAB):
+            here = self.sums(np.frombuffer(line[slab : slab + SLAB].encode("utf-32-le"), dtype="<u4"))
+            here = here * np.uint64(pow(BASE, slab, 1 << 64)) + total
+            inside = (places >= slab) & (places < slab + len(here))
+            sums[inside] = here[places[inside] - slab]
+            total = here[-1:]
+        start, size, length, number = np.array(parts).T
+        inverse = np.array([pow(BASE, -p, 1 << 64) for p in start.tolist()], dtype=np.uint64)
+        sum_ = sums[np.searchsorted(places, start + size)] - sums[np.searchsorted(places, start)]
+        return self.keys(sum_ * inverse, length, number)
+
+    def keys(self, key: np.ndarray, length: np.ndarray, number: int | np.ndarray) -> np.ndarray:
+        number = np.asarray(number, dtype=np.uint64)
+        key ^= (length.astype(np.uint64) * np.uint64(64) + number) * np.uint64(0x94D049BB133111EB)
         key = (key ^ (key >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
         return key ^ (key >> np.uint64(32))
 
@@ -123,6 +143,18 @@ def _keys(batches: Iterator[pa.RecordBatch], most: int, min_chars: int) -> Itera
             [pa.array(np.concatenate(x)) for x in (keys, owners, indexed)], names=["key", "line", "indexed"]
         )
 
+    def row(line: str) -> pa.RecordBatch:
+        """The same of one line of more than SLAB characters."""
+        size = len(line)
+        parts = [(start, width, size, number) for number, (start, width) in enumerate(segments(size, most))]
+        for length in range(max(min_chars, size - most), size + 1):
+            for number, (_, width) in enumerate(segments(length, most)):
+                parts += [(place, width, length, number) for place in probes(size, length, number, most)]
+        key = rolling.of_line(line, parts).view(np.int64)
+        owner = np.full(len(parts), xxhash.xxh64_intdigest(line.encode(), 42), dtype=np.uint64).view(np.int64)
+        arrays = [pa.array(key), pa.array(owner), pa.array(np.arange(len(parts)) <= most)]
+        return pa.RecordBatch.from_arrays(arrays, names=["key", "line", "indexed"])
+
     for batch in batches:
         held: dict[str, None] = {}
         chars = 0
@@ -131,7 +163,8 @@ def _keys(batches: Iterator[pa.RecordBatch], most: int, min_chars: int) -> Itera
                 if len(line) < min_chars or line in held:
                     continue
                 if len(line) > SLAB:
-                    raise ValueError(f"a line has more than {SLAB} characters")
+                    yield row(line)
+                    continue
                 if chars + len(line) > SLAB:
                     yield from rows(list(held))
                     held, chars = {}, 0
@@ -167,7 +200,35 @@ def within(a: str, b: str, most: int) -> bool:
     a, b = a[: len(a) - low], b[: len(b) - low]
     if not a or not b:
         return len(a) + len(b) <= most
-    return _banded(a, b, most)
+    return _by_runs(a, b, most) if len(a) > LONG else _banded(a, b, most)
+
+
+def _run(a: str, b: str, i: int, j: int) -> int:
+    """How many characters of a from place i on equal those of b from place j on."""
+    low, high = 0, min(len(a) - i, len(b) - j)
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[i + low : i + middle] == b[j + low : j + middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def _by_runs(a: str, b: str, most: int) -> bool:
+    # How far into `a` each diagonal (place in a - place in b) gets with 0, 1, ... edits.
+    reach: dict[int, int] = {}
+    for edits in range(most + 1):
+        new = {}
+        for d in range(-edits, edits + 1):
+            i = max(reach.get(d, -2) + 1, reach.get(d - 1, -2) + 1, reach.get(d + 1, -2)) if edits else 0
+            i = min(i, len(a), len(b) + d)
+            if i >= max(0, d):
+                new[d] = i + _run(a, b, i, i - d)
+        reach = new
+        if reach.get(len(a) - len(b)) == len(a):
+            return True
+    return False
 
 
 def _banded(a: str, b: str, most: int) -> bool:

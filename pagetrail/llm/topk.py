@@ -20,6 +20,10 @@ BINS = 256
 #: Rounds of falling impact, and the share of vectors that are few enough to be scored exactly.
 ROUNDS = 8
 FEW = 0.02
+#: Products of vectors below this, times 256 * 256, are sums of integers that doubles hold exactly.
+EXACT = 2**35
+#: Scores beyond this, either way, do not fit the result.
+LARGEST = 2**63 - 2
 
 
 class ImpactIndex:
@@ -77,15 +81,46 @@ class ImpactIndex:
         return reach
 
 
+def wide(k: int, numbers: np.ndarray, ids: np.ndarray, rows: np.ndarray):
+    """index() for values whose products doubles may not hold: rounded scores leave out what cannot be among the k best,
+    the others are scored in unlimited integers. Scores beyond LARGEST either way come out as just beyond it."""
+
+    def integers(vector: np.ndarray) -> list[int]:
+        return [256 * int(x) if abs(x) >= 2.0**53 else int(np.floor(256 * x)) for x in vector.tolist()]
+
+    def search(number: int, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        places = np.flatnonzero(numbers != number)
+        with np.errstate(over="ignore", invalid="ignore"):
+            a, b = np.floor(256 * rows[places]), np.floor(256 * query)
+            rough, off = a @ b, (np.abs(a) @ np.abs(b)) * (4 * len(query) * np.finfo(float).eps)
+        if len(places) > k and np.isfinite(off).all():
+            sure = rough - off
+            places = places[rough + off >= np.partition(sure, len(sure) - k)[len(sure) - k]]
+        exact = integers(query)
+        scores = [sum(v * w for v, w in zip(integers(rows[p]), exact, strict=True)) for p in places]
+        best = sorted(range(len(places)), key=lambda i: (-scores[i], ids[places[i]]))[:k]
+        held = np.array([max(-LARGEST - 1, min(LARGEST + 1, scores[i])) for i in best], dtype=np.int64)
+        return places[best], held
+
+    return search
+
+
 def index(k: int) -> blocks.Index:
     def build(numbers: np.ndarray, ids: np.ndarray, rows: np.ndarray):
-        values = np.floor(256 * rows)
-        if np.abs(values).max(initial=0) ** 2 * rows.shape[1] >= 2**62:
-            raise ValueError("scores do not fit 64-bit integers")
-        values = values.astype(np.int64)
+        widest = float(np.abs(rows).max(initial=0)) + 1
+        others = wide(k, numbers, ids, rows)
+
+        def fits(vector: np.ndarray) -> bool:
+            return (float(np.abs(vector).max(initial=0)) + 1) * widest * rows.shape[1] < EXACT
+
+        if not fits(rows):
+            return others
+        values = np.floor(256 * rows).astype(np.int64)
         held = ImpactIndex(values)
 
         def search(number: int, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            if not fits(query):
+                return others(number, query)
             query = np.floor(256 * query).astype(np.int64)
             places = held.candidates(query, k + 1)  # one may be the query itself
             places = places[numbers[places] != number]
@@ -102,6 +137,9 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, shard_rows: int = blo
     vec_id.
 
     Null vectors and ids, and vectors with null or non-finite components, take no part; vectors of another length than
-    the query's are no candidates. Rows with equal ids are rows of their own. No rows give no rows.
+    the query's are no candidates. Rows with equal ids are rows of their own. No rows give no rows. Components may be of
+    any size; only a score among the k best that is beyond LARGEST is an error.
     """
-    return blocks.best(blocks.usable(vectors, nonzero=False), every, k, index(k), "bigint", shard_rows)
+    found = blocks.best(blocks.usable(vectors, nonzero=False), every, k, index(k), "bigint", shard_rows)
+    fits = F.col("score").between(-LARGEST, LARGEST)
+    return found.withColumn("score", F.when(fits, F.col("score")).otherwise(F.raise_error(F.lit("a score does not fit 64 bits"))))

@@ -125,3 +125,39 @@ def test_query_against_brute_force(spark):
     assert all(set(exact[d]) <= set(found[d]) for d in exact)
     near = plain(short)
     assert all(set(near[d]) <= set(found[d]) for d in near)
+
+
+@pytest.mark.parametrize("most", [0, 1, 2, 3])
+def test_distance_by_runs(most):
+    rng = random.Random(most)
+    for _ in range(3000):
+        a = "".join(rng.choice("ab") for _ in range(rng.randrange(0, 16)))
+        b = edited(a, rng.randrange(0, 5), rng)
+        assert linededup._by_runs(a, b, most) == (distance(a, b) <= most), (a, b)
+
+
+def test_keys_slab_by_slab(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    lines = ["".join(rng.choice("abc é") for _ in range(n)) for n in (150, 63, 64, 65, 129)]
+    batch = pa.RecordBatch.from_arrays([pa.array(lines)], names=["text"])
+
+    def keys():
+        found = (b.to_pylist() for b in linededup._keys(iter([batch]), 2, 20))
+        return {(r["key"], r["line"], r["indexed"]) for rows in found for r in rows}
+
+    whole = keys()
+    monkeypatch.setattr(linededup, "SLAB", 64)
+    assert keys() == whole
+
+
+def test_line_longer_than_a_slab(spark, documents):
+    rng = random.Random(6)
+    long = "".join(rng.choices("abcdefgh ", k=1000)) * (linededup.SLAB // 1000 + 1)
+    near = "x" + long[: len(long) // 2] + "y" + long[len(long) // 2 + 1 :]
+    other = long[::-1] + "z" * 100
+    line = "An ordinary line that two documents have."
+    docs = documents([(1, line), (2, long[: linededup.SLAB + 1]), (3, f"{line}\n{long}"), (4, near), (5, long), (6, other)])
+    found = {r.doc_id: r.dropped for r in linededup.line_duplicates(docs).collect()}
+    assert found == {1: [], 2: [], 3: [0], 4: [0], 5: [0], 6: []}

@@ -92,3 +92,12 @@ def test_query_against_all_pairs(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert {tuple(r) for r in queries.top_vectors(spark, sf).collect()} == plain(rows, 50, 5, integers)
     assert blocks.SHARD_ROWS > 0
+
+
+def test_large_components(spark):
+    random = np.random.default_rng(5)
+    rows = [(int(i), [float(x) for x in random.standard_normal(64).astype(np.float32)]) for i in range(120)]
+    for at, large in ((50, 1e6), (7, -3e6), (33, 1e9)):
+        rows[at][1][at % 64] = large
+    found = topk.top_k(table(spark, rows), shard_rows=40).collect()
+    assert {tuple(r) for r in found} == plain(rows, 50, 5, lambda v, w: sum(int(np.floor(256 * a)) * int(np.floor(256 * b)) for a, b in zip(np.array(v, np.float32).astype(float), np.array(w, np.float32).astype(float))))
