@@ -84,20 +84,26 @@ def unpack(payload: bytes, wide: bool) -> tuple[int | None, np.ndarray]:
 
 @cache
 def _tokenizer(path: str):
-    """Ids of a text. The library encodes each piece of its own first split once, as long as the piece is held."""
+    """Ids of a text. The library encodes each piece of its own first split once, as long as the piece is held; a text
+    that holds the content of an added token, which the library cuts out before that split, it encodes whole."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
 
     def packed(piece: str) -> bytes:
         return np.array(tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     held = Chunks(packed, public_tokenizers.PATTERN, HELD_WORDS)
-    return lambda text: np.frombuffer(held.text(text), dtype="<u4"), tokenizer.get_vocab_size() > 1 << 16
+
+    def ids(text: str | None) -> np.ndarray:
+        whole = text is not None and any(token in text for token in added)
+        return np.frombuffer(packed(text) if whole else held.text(text), dtype="<u4")
+
+    return ids, tokenizer.get_vocab_size() > 1 << 16
 
 
 def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END) -> None:

@@ -65,3 +65,19 @@ def test_query(spark, reference):
     sf = "/root/testdata/sf0.001"
     rows = sorted(map(tuple, spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()))
     assert sorted(map(tuple, queries.token_records(spark, sf).collect())) == expected(rows, reference)
+
+
+def test_added_tokens_as_the_untouched_library_finds_them(spark, documents, tmp_path):
+    library = Tokenizer.from_file(records.TOKENIZER)
+    encode = records._tokenizer(records.TOKENIZER)[0]
+    rng = random.Random(4)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " a", "b ", " ", "\n", "é's 12"]
+    texts = ["a <|endoftext|> b"] + ["".join(rng.choices(parts, k=rng.randrange(9))) for _ in range(500)]
+    for text in texts:
+        assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert encode(texts[0]).tolist() == [64, 220, 50256, 275]
+    rows = list(enumerate([*texts[:3], "behind them"]))
+    records.write(documents(rows), f"{tmp_path}/out")
+    listed = records.index(spark, f"{tmp_path}/out").orderBy("start").collect()
+    plain = lambda text: library.encode(text, add_special_tokens=False).ids
+    assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in listed] == expected(rows, plain)
