@@ -2,10 +2,12 @@
 
 Each of TABLES tables hashes a vector by HASHES Gaussian projections, cut into slots of WIDTH. Inner products become
 distances by one more component that gives every candidate the length of the longest, and queries, scaled to that length
-too, a zero. A query's own slots and the places within them tell how far it is from each slot beside them, so that every
+too, a zero. Where lengths differ, that component would swamp the others, so vectors are cut into bands of like length,
+each with tables and a longest of its own. A query's own slots and the places within them tell how far it is from each slot beside them, so that every
 occupied bucket has an estimate of how likely it holds near vectors: the squared distances to the slots that it differs
-in. Buckets of all tables are probed in that order, until their vectors make up SHARE of the shard, or LEAST; the merged
-candidates are ranked by their exact inner products.
+in. Buckets of all tables are probed in that order, until their vectors make up SHARE of the band, or LEAST, or what some
+of the shard's own vectors, taken as queries, need to find RECALL of their nearest; the merged candidates are ranked by
+their exact inner products. Bands follow by descending length until no vector of the next can reach the k-th best.
 """
 
 from __future__ import annotations
@@ -22,6 +24,10 @@ TABLES, HASHES, WIDTH, SEED = 12, 10, 1.2, 11
 SHARE = 0.5
 #: Vectors of a shard that are ranked exactly at least: among few vectors the nearest are not so near.
 LEAST = 4096
+#: Vectors of a band are shorter than its longest by less than this factor.
+BAND = 1.25
+#: Share of their nearest that SAMPLES of a shard's vectors find in each band.
+RECALL, SAMPLES = 0.97, 48
 
 
 class Tables:
@@ -41,8 +47,8 @@ class Tables:
             low = slots.min(axis=0)
             self.tables.append((lines, shift, low, np.ascontiguousarray((slots - low).T), owner.reshape(-1)))
 
-    def candidates(self, query: np.ndarray, share: float) -> np.ndarray:
-        """Places of the vectors in the buckets probed until they make up `share` of all, nearest buckets first."""
+    def estimates(self, query: np.ndarray) -> np.ndarray:
+        """How far each vector's nearest bucket is from the query."""
         length = np.sqrt((query**2).sum())
         point = np.append(query / length, 0.0)
         estimate = None
@@ -55,6 +61,11 @@ class Tables:
                 total += (away * away)[slots[h]]
             own = total[owner]
             estimate = own if estimate is None else np.minimum(estimate, own)
+        return estimate
+
+    def candidates(self, query: np.ndarray, share: float) -> np.ndarray:
+        """Places of the vectors in the buckets probed until they make up `share` of all, nearest buckets first."""
+        estimate = self.estimates(query)
         wanted = int(np.ceil(share * len(estimate)))
         if wanted >= len(estimate):  # every occupied bucket is probed
             return np.arange(len(estimate))
@@ -62,17 +73,52 @@ class Tables:
         return np.flatnonzero(estimate <= limit)
 
 
+class Band:
+    """Places of a shard's vectors of like length, with tables if not all are ranked."""
+
+    def __init__(self, places: np.ndarray, rows: np.ndarray, longest: float, share: float, k: int, samples: np.ndarray) -> None:
+        self.places, self.rows, self.longest, self.share = places, rows[places], longest, max(share, LEAST / len(places))
+        if self.share < 1:
+            self.tables = Tables(self.rows, longest)
+            self.share = max(self.share, self._needed(rows, k, samples))
+
+    def _needed(self, rows: np.ndarray, k: int, samples: np.ndarray) -> float:
+        """The share to probe so that the sample vectors find RECALL of their k nearest others in the band."""
+        needed = []
+        for sample in samples:
+            scores = np.where(self.places == sample, -np.inf, self.rows @ rows[sample])
+            nearest = np.argpartition(scores, -k)[-k:] if len(scores) > k else np.arange(len(scores))
+            estimate = self.tables.estimates(rows[sample])
+            needed.append(np.searchsorted(np.sort(estimate), estimate[nearest], side="right") / len(estimate))
+        return float(np.quantile(np.concatenate(needed), RECALL))
+
+    def candidates(self, query: np.ndarray) -> np.ndarray:
+        return self.places if self.share >= 1 else self.places[self.tables.candidates(query, self.share)]
+
+
 def index(k: int, longest: float, share: float) -> blocks.Index:
     def build(numbers: np.ndarray, ids: np.ndarray, rows: np.ndarray):
-        held = Tables(rows, longest)
+        lengths = np.sqrt((rows**2).sum(axis=1))
+        band = np.floor(np.log(np.maximum(longest / lengths, 1)) / np.log(BAND))
+        samples = np.linspace(0, len(rows) - 1, min(SAMPLES, len(rows))).astype(np.int64)
+        bands = []
+        for number in np.unique(band):
+            places = np.flatnonzero(band == number)
+            bands.append(Band(places, rows, float(lengths[places].max()), share, k, samples))
 
         def search(number: int, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            places = held.candidates(query, max(share, LEAST / len(rows)))
-            places = places[numbers[places] != number]
-            scores = rows[places] @ query
-            if len(places) > k:
-                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                places, scores = places[scores >= kth - 1e-9], scores[scores >= kth - 1e-9]
+            length = np.sqrt((query**2).sum())
+            places, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
+            for held in bands:
+                # no score of a band exceeds the product of the lengths
+                if len(places) >= k and scores.min() > length * held.longest * (1 + 1e-9) + 1e-9:
+                    break
+                more = held.candidates(query)
+                more = more[numbers[more] != number]
+                places, scores = np.concatenate([places, more]), np.concatenate([scores, rows[more] @ query])
+                if len(places) > k:
+                    kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+                    places, scores = places[scores >= kth - 1e-9], scores[scores >= kth - 1e-9]
             # the sum over components in order, so that a score does not depend on the shard
             exact = np.array([float(sum((rows[p] * query).tolist())) for p in places])
             return blocks.top(places, exact, ids, k)

@@ -101,3 +101,24 @@ def test_large_components(spark):
         rows[at][1][at % 64] = large
     found = topk.top_k(table(spark, rows), shard_rows=40).collect()
     assert {tuple(r) for r in found} == plain(rows, 50, 5, lambda v, w: sum(int(np.floor(256 * a)) * int(np.floor(256 * b)) for a, b in zip(np.array(v, np.float32).astype(float), np.array(w, np.float32).astype(float))))
+
+
+@pytest.mark.parametrize("spread", ["one of twice the length", "one of four times", "lognormal", "within a band"])
+def test_recall_of_unequal_lengths(spread):
+    random = np.random.default_rng(12)
+    rows = random.standard_normal((ann.LEAST * 2, 64))
+    rows /= np.sqrt((rows**2).sum(axis=1))[:, None]
+    if spread == "lognormal":
+        rows *= random.lognormal(size=(len(rows), 1))
+    elif spread == "within a band":
+        rows *= random.uniform(0.82, 1, size=(len(rows), 1))
+    else:
+        rows[4321] *= 2 if "twice" in spread else 4
+    places = np.arange(len(rows))
+    search = ann.index(20, float(np.sqrt((rows**2).sum(axis=1)).max()), ann.SHARE)(places, places, rows)
+    hits = 0
+    for q in range(0, 800, 20):
+        scores = rows @ rows[q]
+        scores[q] = -np.inf
+        hits += len(np.intersect1d(search(q, rows[q])[0], np.argsort(-scores)[:20]))
+    assert hits >= 0.9 * 40 * 20
