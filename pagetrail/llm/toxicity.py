@@ -25,9 +25,16 @@ ORDER = 3
 DECAY = 0.6
 #: Labelled texts of each class that the machine is fitted on, at most; they are chosen by a hash of their doc_id.
 TRAIN_DOCS = 4000
-#: Terms that reach the driver, at most: candidates for toxic ones, frequent harmless ones, and harmless ones by hash.
-TOXIC_TERMS, FREQUENT_TERMS, HARMLESS_TERMS = 600, 3000, 12_000
-TOXIC_LANDMARKS, HARMLESS_LANDMARKS = 24, 8
+#: Harmless terms that reach the driver, at most: frequent ones, and some by hash. Toxic terms do all, as each must stand in
+#: several of the TRAIN_DOCS texts.
+FREQUENT_TERMS, HARMLESS_TERMS = 3000, 12_000
+#: Toxic landmarks are chosen until one is like each toxic term, but at most so many (about 40 MB of kernel values of the
+#: terms above in the driver, 4 MB in a task); all toxic terms are also found as they stand.
+TOXIC_LANDMARKS, HARMLESS_LANDMARKS = 512, 8
+#: Kernel value from which terms are like one another.
+ALIKE = 0.6
+#: Landmarks whose kernels are computed together.
+BLOCK = 64
 #: Evidence (twice the log-likelihood ratio) that a term needs to be taken for toxic.
 EVIDENCE = 27.0
 #: Characters of a word looked at together; longer words are looked at in windows that overlap by half.
@@ -48,7 +55,7 @@ def tokens(text: str | None) -> set[str]:
     """The different lower-case words of a text as they stand, and the words that it spells out letter by letter."""
     text = (text or "").lower()
     found = text.split()
-    spelled = b"\1\1\1\1" in bytes(map((1).__eq__, map(len, found)))
+    spelled = b"\1\1\1" in bytes(map((1).__eq__, map(len, found)))  # the last of SPACED may have punctuation behind it
     found = set(found)
     if spelled:
         found.update("".join(m[0].split()) for m in SPACED.finditer(text))
@@ -111,7 +118,7 @@ class Landmarks:
     """
 
     def __init__(self, terms: list[str], order: int = ORDER, toxic: int = 0) -> None:
-        """The first `toxic` terms, 64 at most, are those that near() looks for."""
+        """The first `toxic` terms, BLOCK at most, are those that near() looks for."""
         self.terms, self.order = terms, order
         self.starts = np.cumsum([0, *(len(t) + 1 for t in terms)])[:-1]
         text = "".join(f"\0{t}" for t in terms)
@@ -200,6 +207,21 @@ class Landmarks:
         return total / np.sqrt(np.where(own > 0, own, 1))[:, None] / self.scale
 
 
+class Blocks:
+    """Landmarks in blocks, as their kernels take time by the square of a block's length, and near() has a bit a term."""
+
+    def __init__(self, terms: list[str], toxic: int) -> None:
+        self.terms, self.toxic = terms, toxic
+        starts = range(0, len(terms), BLOCK)
+        self.blocks = [Landmarks(terms[i : i + BLOCK], toxic=min(BLOCK, max(0, toxic - i))) for i in starts]
+
+    def near(self, words: list[str]) -> np.ndarray:
+        return np.logical_or.reduce([block.near(words) for block in self.blocks if block.needed])
+
+    def kernels(self, words: list[str], rows: int = 1024) -> np.ndarray:
+        return np.concatenate([block.kernels(words, rows) for block in self.blocks], axis=1)
+
+
 def kernel(terms: list[str], others: list[str], order: int = ORDER) -> np.ndarray:
     """The normalised kernel of each term with each other."""
     return Landmarks(others, order).kernels(terms)
@@ -209,7 +231,7 @@ def kernel(terms: list[str], others: list[str], order: int = ORDER) -> np.ndarra
 class Model:
     """landmarks: words; weights: of their kernel values; bias; slope and shift: of the logistic curve."""
 
-    landmarks: Landmarks | None
+    landmarks: Blocks | None
     weights: np.ndarray
     bias: float
     slope: float = 1.0
@@ -218,10 +240,22 @@ class Model:
     floor: float = 0.0
     #: Of a text without words and of words unlike every landmark; no word has less.
     empty: float = -1.0
+    #: Terms that mark toxic texts; as they stand, they have the margin of the most toxic one, whether or not
+    #: a landmark is like them.
+    listed: frozenset[str] = frozenset()
+    highest: float = 1.0
 
     def margins(self, terms: list[str]) -> np.ndarray:
         return margins([self], terms)[:, 0]
 
+    def without_idle(self) -> Model:
+        """The same without the landmarks that have no weight."""
+        if self.landmarks is None or self.weights.all():
+            return self
+        used = np.flatnonzero(self.weights)
+        terms, toxic = [self.landmarks.terms[i] for i in used], int((used < self.landmarks.toxic).sum())
+        return replace(self, landmarks=Blocks(terms, toxic), weights=self.weights[used])
+
     def score(self, margin: float) -> float:
         curve = 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
         return float(self.floor + (1 - self.floor) * curve)
@@ -240,6 +274,10 @@ def margins(models: list[Model], terms: list[str]) -> np.ndarray:
         some = some[landmarks.near([terms[i] for i in some])]
         if len(some):
             out[some] = np.maximum(landmarks.kernels([terms[i] for i in some], 4096) @ weights + bias, out[some])
+    for i, m in enumerate(models):
+        if m.listed:
+            known = np.array([t in m.listed for t in terms], dtype=bool)
+            out[known, i] = np.maximum(out[known, i], m.highest)
     return out
 
 
@@ -279,7 +317,7 @@ def _stretched(term: str, number: int) -> str:
     return f"{term[:at]}{'*-x.'[number % 4]}{term[at:]}"
 
 
-def _distinct(terms: list[str], most: int, alike: float = 0.6) -> list[str]:
+def _distinct(terms: list[str], most: int, alike: float = ALIKE) -> list[str]:
     """The first terms, none of them much like one before it."""
     terms = [t for t in terms if len(t) >= ORDER]
     free = np.ones(len(terms), dtype=bool)
@@ -291,7 +329,7 @@ def _distinct(terms: list[str], most: int, alike: float = 0.6) -> list[str]:
 
 
 def train(toxic: list[str], harmless: list[str], pool: list[str]) -> list[Model]:
-    """Machines, one per penalty, from toxic terms, best first, and harmless words, most frequent first; `pool` are more
+    """Machines, one per penalty and choice of landmarks, from toxic terms, best first, and harmless words, most frequent first; `pool` are more
     harmless ones, of which those most like toxic ones are used. Without toxic or harmless terms there is one machine,
     which tells nothing apart."""
     toxic = [t for t in toxic if len(t) >= ORDER]
@@ -299,25 +337,39 @@ def train(toxic: list[str], harmless: list[str], pool: list[str]) -> list[Model]
     if not marks or not harmless:
         return [Model(None, np.zeros(0), -1.0)]
     common = _distinct([w for w in harmless[:200] if w not in toxic], HARMLESS_LANDMARKS)
-    landmarks = Landmarks(marks + common, toxic=len(marks))
-    values, vectors = np.linalg.eigh(landmarks.kernels(landmarks.terms).astype(np.float64))
-    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-4))) @ vectors.T
-    near = landmarks.kernels(toxic)[:, : len(marks)].max(axis=1)
-    positive = [t for t, k in zip(toxic, near, strict=True) if k > 0.5]
-    positive += [_stretched(t, i) for t in marks for i in range(5)]
-    x = landmarks.kernels(positive) @ root
     others = list(dict.fromkeys([*harmless, *pool]))
-    y = landmarks.kernels(others) @ root
-    models = []
-    for penalty in PENALTIES:
-        used = np.arange(len(others)) < len(harmless)
-        for _ in range(4):
-            w = _machine(np.concatenate([x, y[used]]), np.repeat([1.0, -1.0], [len(x), used.sum()]), penalty)
-            hard = np.argsort(-(y @ w[:-1]), kind="stable")[:500]
-            if used[hard].all():
-                break
-            used[hard] = True
-        models.append(Model(landmarks, root @ w[:-1], float(w[-1])))
+    landmarks = Blocks(marks + common, len(marks))
+    bad, good = landmarks.kernels(toxic), landmarks.kernels(others)
+    stretched = [_stretched(t, i) for t in marks for i in range(5)]
+    spread = landmarks.kernels(stretched)
+    between = landmarks.kernels(landmarks.terms).astype(np.float64)
+    models, tried = [], set()
+    for alike in (None, ALIKE, 0.5, 0.4):
+        # A term that is like more harmless words than toxic terms may say something only as it stands.
+        told = np.ones(len(marks), dtype=bool)
+        if alike is not None:
+            told = ((bad >= alike).sum(axis=0) >= (good >= alike).sum(axis=0))[: len(marks)]
+        if not told.any() or told.tobytes() in tried:
+            continue
+        tried.add(told.tobytes())
+        use = np.flatnonzero(np.concatenate([told, np.ones(len(common), dtype=bool)]))
+        values, vectors = np.linalg.eigh(between[np.ix_(use, use)])
+        root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-4))) @ vectors.T
+        covered = bad[:, use[: told.sum()]].max(axis=1) > 0.5
+        x = np.concatenate([bad[covered][:, use], spread[np.repeat(told, 5)][:, use]]) @ root
+        y = good[:, use] @ root
+        for penalty in PENALTIES:
+            used = np.arange(len(others)) < len(harmless)
+            for _ in range(4):
+                w = _machine(np.concatenate([x, y[used]]), np.repeat([1.0, -1.0], [len(x), used.sum()]), penalty)
+                hard = np.argsort(-(y @ w[:-1]), kind="stable")[:500]
+                if used[hard].all():
+                    break
+                used[hard] = True
+            weights = np.zeros(len(landmarks.terms))
+            weights[use] = root @ w[:-1]
+            highest = float((x @ w[:-1] + w[-1]).max())
+            models.append(Model(landmarks, weights, float(w[-1]), listed=frozenset(toxic), highest=highest))
     return models
 
 
@@ -418,7 +470,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
         clean = counts.where(good > 0).where(bad / n1 <= 8 * good / n0)
         frequent = clean.orderBy(F.desc("good"), "term").limit(FREQUENT_TERMS)
         other = clean.orderBy(F.xxhash64("term"), "term").limit(HARMLESS_TERMS)
-        models = train(*([r.term for r in f.select("term").collect()] for f in (best.limit(TOXIC_TERMS), frequent, other)))
+        models = train(*([r.term for r in f.select("term").collect()] for f in (best, frequent, other)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -428,7 +480,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
     seen = sample.mapInArrow(run, "margins array<double>, toxic int").collect()  # 2 * train_docs rows at most
     labels = np.array([r.toxic for r in seen])
     fitted = [calibrate(m, np.array([r.margins[i] for r in seen]), labels) for i, m in enumerate(models)]
-    return min(fitted, key=lambda f: f[0])[1]
+    return min(fitted, key=lambda f: f[0])[1].without_idle()
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -76,3 +76,22 @@ def test_edge_cases(spark, corpus, documents):
     assert toxicity.scored(docs.limit(0), model).collect() == []
     nothing = toxicity.fit(docs, labels.limit(0))
     assert {r.score for r in toxicity.scored(more, nothing).collect()} == {0.5}
+
+
+def test_many_dissimilar_insults(spark, documents):
+    rng = random.Random(8)
+    insults = ["".join(rng.choices("bcdfghjklmnpqrstvwxz", k=7)) for _ in range(60)]
+    rows, labels = [], []
+    for doc in range(5400):
+        text = ["".join(rng.choices(["ba", "no", "ti", "re", "lu", "ka"], k=rng.randrange(1, 5))) for _ in range(12)]
+        if doc % 3 == 0:
+            text[rng.randrange(12)] = insults[doc // 3 % 60]
+        rows.append((doc, " ".join(text)))
+        labels.append((doc, 1, int(doc % 3 == 0)))
+    model = toxicity.fit(documents(rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    found = [model.score(toxicity.token_margins([model], [w])[0][0]) >= toxicity.THRESHOLD for w in insults]
+    assert all(found), (sum(found), len(model.landmarks.terms))
+
+
+def test_spelled_out_with_punctuation_behind():
+    assert "scum" in toxicity.words("you s c u m! there") and "scum" in toxicity.words("s c u m")
