@@ -347,6 +347,19 @@ def decoded(rows: DataFrame, path: str = RANKS) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
+def with_texts(rows: DataFrame, path: str = RANKS) -> DataFrame:
+    """(doc_id, ids, text) of (doc_id, ids): each row with the text that its ids decode to."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = _decoder(path)
+        for batch in batches:
+            texts = [decoder.feed(ids or []) + decoder.finish() for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+
+    return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+
+
 def digests(rows: DataFrame, path: str = RANKS) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids), decoding them."""
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -87,3 +87,12 @@ def test_query(spark, reference):
         ids = reference.encode_ordinary(text)
         expected.add((doc, len(ids), sha(" ".join(map(str, ids)).encode()), sha(text.encode())))
     assert {tuple(r) for r in queries.bpe_round_trip(spark, sf).collect()} == expected
+
+
+def test_pipeline_decodes_its_own_rows(spark, documents):
+    import corpus_pipeline
+
+    texts = ["One text, é日 and 🙂.", "", "One text, é日 and 🙂.", "a\n\n  b"]
+    rows = corpus_pipeline.encode(spark, documents(list(enumerate(texts))), "").collect()
+    assert {r.doc_id: r.text for r in rows} == dict(enumerate(texts))
+    assert all(r.ids for r in rows if r.text)
