@@ -4,7 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import tuples
+from rows import tuples
 
 import __spark_entry__ as entry
 from workload.queries import registry

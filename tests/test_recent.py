@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import tuples
+from rows import tuples
 
 from pagetrail.functions.timecodec import CHROMIUM_TIME, FIREFOX_TIME, SAFARI_TIME
 from pagetrail.operators import chromium

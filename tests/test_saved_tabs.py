@@ -1,5 +1,5 @@
 import pytest
-from conftest import tuples
+from rows import tuples
 
 from pagetrail.operators.saved_tabs import grouped_tabs, saved_tabs
 from pagetrail.schemas import SAVED_TAB_FILES

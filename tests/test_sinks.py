@@ -1,5 +1,5 @@
 import pytest
-from conftest import tuples
+from rows import tuples
 
 from pagetrail.operators import summary
 from pagetrail.sinks import text

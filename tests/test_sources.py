@@ -2,7 +2,7 @@ import re
 import sqlite3
 
 import pytest
-from conftest import tuples
+from rows import tuples
 from pyspark.errors import AnalysisException
 
 from pagetrail.operators import chromium, firefox, summary
