@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm import ann, bpe, chat, licences, linededup, mixing, records, simhash, topk, toxicity
-from pagetrail.llm.common import shared_folder, table
+from pagetrail.llm import (
+    ann, bpe, chat, counts, hardnegatives, licences, linededup, mixing, records, runs, simhash, topk, toxicity,
+)
+from pagetrail.llm.common import WORD, shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +118,70 @@ def dropped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", F.size("dropped").cast("bigint").alias("n_dropped"), "dropped")
 
 
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some labels are wrong: every seventh row has the next one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.mined(table(spark, sf_dir, "embeddings"), label)
+
+
+HARD_SQL = """
+WITH usable AS (
+  SELECT vec_id, row_number() OVER () AS number, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.number, c.vec_id, c.number AS other, a.label = c.label AS alike,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM usable a JOIN usable c ON a.vec_id % 100 = 0 AND a.number <> c.number),
+positives AS (
+  SELECT anchor_id, number, vec_id AS positive_id, other AS positive, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY number ORDER BY score DESC, vec_id, other) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.number, p.positive ORDER BY n.score DESC, n.vec_id, n.other) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.number = n.number AND NOT n.alike
+  AND 100 * n.score BETWEEN 80 * p.positive_score AND 100 * p.positive_score
+QUALIFY rank <= 5
+"""
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents the words from some place on repeat themselves."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(hashed % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(0)))
+    docs = docs.select("doc_id", "text", F.floor(hashed / 10).alias("g"), words.alias("words"))
+    n = F.nullif(F.size("words"), F.lit(0))
+    docs = docs.select("*", n.alias("n"), (F.col("g") % n).alias("a"))
+    docs = docs.select("*", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).alias("p"))
+    a, p = F.col("a"), F.col("p")
+    repeated = F.transform(
+        "words", lambda w, i: F.when(i < a, w).otherwise(F.element_at(F.col("words"), (1 + a + (i - a) % p).cast("int")))
+    )
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_repeats(table(spark, sf_dir, "documents")))
+    best = F.col("strongest")
+    said = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(said, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def registry() -> dict[str, tuple[Query, str | None]]:
     return {
         "op1_simhash_near_dedup": (simhash_groups, None),
@@ -128,4 +194,7 @@ def registry() -> dict[str, tuple[Query, str | None]]:
         "op8_bpe": (bpe_round_trip, None),
         "op9_token_records": (token_records, None),
         "op10_licence_scan": (licence_scan, None),
+        "op11_hard_negatives": (hard_negatives, HARD_SQL),
+        "op12_token_counts": (token_counts, None),
+        "op13_periodic_runs": (repeated_runs, None),
     }
