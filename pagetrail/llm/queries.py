@@ -73,9 +73,9 @@ def top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOP_SQL = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+  SELECT vec_id, [CAST(floor(256 * x::DOUBLE) AS BIGINT) for x in embedding] AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 ranked AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT) AS score
   FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
@@ -127,10 +127,10 @@ def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 HARD_SQL = """
 WITH usable AS (
   SELECT vec_id, row_number() OVER () AS number, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+         [floor(256 * x::DOUBLE) for x in embedding] AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
   SELECT a.vec_id AS anchor_id, a.number, c.vec_id, c.number AS other, a.label = c.label AS alike,
          CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
