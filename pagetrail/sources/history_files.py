@@ -209,10 +209,11 @@ def _family_of(browser: str) -> str:
 
 def tables_from(rows: DataFrame, browser: str) -> dict[str, DataFrame]:
     """Split ``history_rows`` output into typed tables."""
-    return {table: _table(rows, browser, table) for table in FAMILIES[browser]}
+    return {table: typed_rows(rows, browser, table) for table in FAMILIES[browser]}
 
 
-def _table(rows: DataFrame, browser: str, table: str, *more: str) -> DataFrame:
+def typed_rows(rows: DataFrame, browser: str, table: str, *more: str) -> DataFrame:
+    """One typed table of ``history_rows`` output, with more of its columns behind the profile."""
     names = table_schema(FAMILIES[browser], table).names[1:]
     return rows.where(F.col("table_name") == table).select(PROFILE, *more, *(F.col(f"{table}.{n}").alias(n) for n in names))
 
@@ -222,7 +223,8 @@ def rejected(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("table_name") == REJECTED).select(PROFILE, "error")
 
 
-def _landed(spark: SparkSession, path: str, browser: str) -> DataFrame:
+def landed_rows(spark: SparkSession, path: str, browser: str) -> DataFrame:
+    """The rows of all landed snapshots of one browser."""
     schema = f"{_row_schema(browser)}, browser string, snapshot string, month string"
     return spark.read.schema(schema).parquet(f"{path}/{_family_of(browser)}").where(F.col("browser") == browser)
 
@@ -240,7 +242,7 @@ def landed(spark: SparkSession, path: str, browser: str, snapshot: str | None =
     Without ``snapshot`` each profile is shown as its newest readable file had it, or as rejected if
     none could be read; with it, as that snapshot has it, which costs no join.
     """
-    rows = _landed(spark, path, browser)
+    rows = landed_rows(spark, path, browser)
     if snapshot is not None:
         return rows.where(F.col("snapshot") == snapshot)
     return rows.join(_newest(rows), [PROFILE, "snapshot"], "left_semi")
@@ -249,12 +251,12 @@ def landed(spark: SparkSession, path: str, browser: str, snapshot: str | None =
 def landed_tables(spark: SparkSession, path: str, browser: str, snapshot: str | None = None) -> dict[str, DataFrame]:
     """Typed tables of ``landed``. Their columns are taken out below the join with the newest snapshots, so that
     nested column pruning and date filters reach the scan."""
-    rows = _landed(spark, path, browser)
+    rows = landed_rows(spark, path, browser)
     if snapshot is not None:
         return tables_from(rows.where(F.col("snapshot") == snapshot), browser)
     newest = _newest(rows)
     return {
-        table: _table(rows, browser, table, "snapshot").join(newest, [PROFILE, "snapshot"], "left_semi").drop("snapshot")
+        table: typed_rows(rows, browser, table, "snapshot").join(newest, [PROFILE, "snapshot"], "left_semi").drop("snapshot")
         for table in FAMILIES[browser]
     }
 

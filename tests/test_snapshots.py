@@ -1,0 +1,185 @@
+"""One history out of several snapshots, against a plain version, and what of them is read."""
+
+import random
+import re
+import sqlite3
+
+import pytest
+from rows import tuples
+
+from pagetrail.operators import chromium, firefox, safari, summary
+from pagetrail.schemas import CHROMIUM, FAMILIES
+from pagetrail.sources import history_files, snapshots
+
+DAY = 86_400_000_000
+BASE = 13348540800000000  # 2024-01-01 UTC
+
+
+def database(path, visits, urls, notes=()):
+    path.parent.mkdir(parents=True)
+    db = sqlite3.connect(path)
+    db.executescript(
+        "CREATE TABLE urls (id INTEGER PRIMARY KEY, url TEXT, title TEXT, visit_count INTEGER, typed_count INTEGER, last_visit_time INTEGER);"
+        "CREATE TABLE visits (id INTEGER PRIMARY KEY, url INTEGER, visit_time INTEGER, from_visit INTEGER, transition INTEGER, visit_duration INTEGER);"
+        "CREATE TABLE content_annotations (visit_id INTEGER, categories TEXT, page_language TEXT, search_terms TEXT);"
+    )
+    db.executemany("INSERT INTO urls VALUES (?,?,?,1,0,?)", urls)
+    db.executemany("INSERT INTO visits VALUES (?,?,?,?,1,?)", visits)
+    db.executemany("INSERT INTO content_annotations VALUES (?,NULL,'en',?)", notes)
+    db.commit()
+    db.close()
+
+
+def land(spark, root, landed, day):
+    files = history_files.history_files(spark, f"{root}/{day}", "chrome", recursive=True)
+    files = files.selectExpr("regexp_extract(profile_id, '[^/]*$', 0) AS profile_id", "content")
+    snapshots.land(files, "chrome", landed, day)
+
+
+def page(i, day, kind="", when=None):
+    return (i, f"https://p{i}{kind}/", f"t{i} {day}", BASE if when is None else when)
+
+
+@pytest.fixture
+def three(spark, tmp_path):
+    """Snapshots d1 to d3 of profile u1: visits expire, one is deleted, visit and page ids are used again. u2 is missing
+    from d2, and d2 is landed last."""
+    root, landed = tmp_path / "files", f"{tmp_path}/landed"
+    t = [BASE + 20 * DAY * n for n in range(8)]
+    database(root / "d1/u1/History", [(1, 1, t[0], 0, 10), (2, 2, t[1], 1, 20), (3, 1, t[2], 2, 0)], [page(1, "a"), page(2, "a")], [(2, "q2"), (3, "q3")])
+    database(root / "d2/u1/History", [(2, 2, t[1], 1, 20), (4, 3, t[4], 2, 40)], [page(1, "b"), page(2, "b"), page(3, "b")], [(2, "q2"), (4, "q4")])
+    # id 1 is that of a new visit, page 2 another page
+    database(root / "d3/u1/History", [(4, 3, t[4], 2, 41), (1, 2, t[5], 4, 50), (6, 3, t[6], 1, 60)], [page(2, "c", "new"), page(3, "c")], [(4, "q4"), (1, "q1")])
+    database(root / "d1/u2/History", [(1, 1, t[0], 0, 1)], [page(1, "x", "other")])
+    database(root / "d3/u2/History", [(2, 1, t[3], 1, 2)], [page(1, "y", "other")])
+    for day in ("d1", "d3", "d2"):
+        land(spark, root, landed, day)
+    return landed, t
+
+
+def seen(frame):
+    return sorted((r.url, r.title, r.duration_sec, r.from_url) for r in frame.collect())
+
+
+def test_merged_visits(spark, three):
+    landed, t = three
+    tables = snapshots.landed_history(spark, landed, "chrome")
+    got = {(r.profile_id, r.visit_time, r.visit_duration) for r in tables["visits"].collect()}
+    u1 = {(0, 10), (1, 20), (2, 0), (4, 41), (5, 50), (6, 60)}  # the newest version of the visit at t[4]
+    assert got == {("u1", t[n], d) for n, d in u1} | {("u2", t[0], 1), ("u2", t[3], 2)}
+    ids = [(r.profile_id, r.id) for r in tables["visits"].collect()]
+    assert len(set(ids)) == len(ids)
+    report = {r.visit_time: r for r in chromium.visits(tables, limit=-1, per_profile=True).where("profile_id = 'u1'").collect()}
+    shown = [(report[k].url, report[k].title, report[k].from_url) for k in sorted(report)]
+    assert shown == [
+        ("https://p1/", "t1 b", ""),
+        ("https://p2/", "t2 b", "https://p1/"),  # the page that had id 2 then, and the visit that had id 1
+        ("https://p1/", "t1 b", "https://p2/"),
+        ("https://p3/", "t3 c", "https://p2/"),
+        ("https://p2new/", "t2 c", "https://p3/"),
+        ("https://p3/", "t3 c", "https://p2new/"),  # the new visit with id 1
+    ]
+    assert seen(chromium.visits(tables)) == seen(chromium.visits(tables, limit=-1))
+    notes = {(r.url, r.search_terms) for r in chromium.annotations(tables, limit=-1).collect()}
+    assert notes == {("https://p2/", "q2"), ("https://p1/", "q3"), ("https://p3/", "q4"), ("https://p2new/", "q1")}
+
+
+def test_tombstones(spark, three):
+    """The visit at t[2] is gone from d2, which still has an earlier one; that at t[0] is only too old."""
+    landed, t = three
+    digests = snapshots.landed_digests(spark, landed, "chrome")
+    kept = snapshots.landed_history(spark, landed, "chrome", deleted=False)
+    times = {(r.profile_id, r.visit_time) for r in kept["visits"].collect()}
+    assert ("u1", t[2]) not in times and ("u1", t[0]) in times and len(times) == 7
+    assert tuples(summary.basic(kept, "chrome").select("total_visits")) == [(7,)]
+    states = snapshots.states_of(history_files.landed_rows(spark, landed, "chrome"), snapshots.spans(digests), "chrome")
+    visits = snapshots.merged(states, "chrome")["visits"]
+    gone = snapshots.tombstones(visits, digests, "chrome")
+    assert [(r.profile_id, r.visit_time, r.gone_in) for r in gone.collect()] == [("u1", t[2], "d2")]
+
+
+def test_landing_again_and_order_change_nothing(spark, three, tmp_path):
+    landed, _ = three
+    before = seen(chromium.visits(snapshots.landed_history(spark, landed, "chrome"), limit=-1))
+    land(spark, tmp_path / "files", landed, "d1")
+    assert seen(chromium.visits(snapshots.landed_history(spark, landed, "chrome"), limit=-1)) == before
+
+
+def test_only_changed_months_are_read(spark, tmp_path):
+    """A month that stays as it is, is read from the first snapshot that has it."""
+    root, landed = tmp_path / "files", f"{tmp_path}/landed"
+    visits = [(n, 1, BASE + n * 35 * DAY, 0, n) for n in range(1, 7)]
+    for day in range(1, 6):
+        database(root / f"d{day}/u1/History", visits[: day + 1], [page(1, "a")])
+        land(spark, root, landed, f"d{day}")
+    tables = snapshots.landed_history(spark, landed, "chrome")
+    assert tables["visits"].count() == 6
+    directories = {re.search(r"snapshot=(d\d)/table_name=visits/month=([0-9-]+)", f).groups() for f in tables["visits"].inputFiles() if "table_name=visits" in f}
+    text = tables["visits"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in text and "concat_ws(/, snapshot" in text
+    states = snapshots.spans(snapshots.landed_digests(spark, landed, "chrome")).where("table_name = 'visits'").collect()
+    assert len(states) == 6 and all(r.alone for r in states) and len(directories) >= 6
+    assert sorted(r.snapshot for r in states) == ["d1", "d1", "d2", "d3", "d4", "d5"]
+
+
+def test_states_of_a_month(spark):
+    """A state ends with a change, with a snapshot that lacks the month, and begins anew when it comes back."""
+    rows = []
+    for snapshot, digest in zip("abcdefg", (1, 1, 2, 2, None, 1, 1)):
+        rows.append(("p", "read", "undated", 1, {"x": 0, "s": 0}, None, snapshot))
+        if digest is not None:
+            rows.append(("p", "visits", "m", 5, {"x": digest, "s": 0}, 1.0, snapshot))
+    digests = spark.createDataFrame(
+        rows, "profile_id string, table_name string, month string, n bigint, digest struct<x: bigint, s: bigint>, earliest double, snapshot string"
+    )
+    got = sorted((r.snapshot, r.first_seen, r.last_seen, r.alone) for r in snapshots.spans(digests).collect())
+    assert got == [("a", 1, 2, False), ("c", 3, 4, False), ("f", 6, 7, False)]
+
+
+@pytest.mark.parametrize("browser", ["chrome", "firefox", "safari"])
+def test_one_snapshot_is_itself(spark, table, browser):
+    """With a single state, merging changes no report."""
+    from workload import fixtures
+
+    make = {"chrome": fixtures.chromium, "firefox": fixtures.firefox, "safari": fixtures.safari}[browser]
+    tables = make(spark, "/root/testdata/sf0.001")
+    states = {n: tables[n].selectExpr("*", "1L AS first_seen", "1L AS last_seen", "true AS alone") for n in FAMILIES[browser]}
+    merged = snapshots.merged(states, browser)
+    module = {"chrome": chromium, "firefox": firefox, "safari": safari}[browser]
+    assert sorted(tuples(module.visits(merged, limit=-1)), key=str) == sorted(tuples(module.visits(tables, limit=-1)), key=str)
+
+
+def test_random_histories(spark):
+    """Rows of many snapshots against a plain merge of them."""
+    rng = random.Random(5)
+    rows, plain, links = [], {}, {}
+    alive, clock = {}, 0
+    for place in range(1, 9):
+        for i in [i for i in alive if rng.random() < 0.3]:
+            del alive[i]
+        for _ in range(12):
+            i = rng.randrange(1, 25)
+            if i not in alive:
+                clock += 1
+                source = rng.choice([0, *alive])
+                alive[i] = (i, BASE + clock, source)
+                plain[i, BASE + clock] = alive[source][1] if source else None
+        for i, time, source in alive.values():
+            rows.append(("p", i, 1, time, source, 0, place, place, place, False))
+    columns = "profile_id string, id bigint, url bigint, visit_time bigint, from_visit bigint, transition bigint, visit_duration bigint"
+    visits = spark.createDataFrame(rows, f"{columns}, first_seen bigint, last_seen bigint, alone boolean")
+    empty = {n: spark.createDataFrame([], f"profile_id string, {ddl}, first_seen bigint, last_seen bigint, alone boolean") for n, ddl in CHROMIUM.items()}
+    found = snapshots.merged({**empty, "visits": visits}, "chrome")["visits"].collect()
+    by_id = {r.id: r.visit_time for r in found}
+    assert len(by_id) == len(found) == len({r.visit_time for r in found})
+    # a visit that began and ended between two snapshots was never seen
+    times = {t for _, _, _, t, *_ in rows}
+    assert {r.visit_time for r in found} == times
+    newest = {}
+    for _, i, _, time, *_, place, _, _, _ in rows:
+        newest[i] = max(newest.get(i, (0, 0)), (place, time))
+    assert {i: t for i, t in by_id.items() if i > 0} == {i: t for i, (_, t) in newest.items()}
+    for r in found:
+        target = next(t for (i, time), t in plain.items() if time == r.visit_time)
+        if target in times:
+            assert by_id.get(r.from_visit) == target, (r, target)
