@@ -24,6 +24,7 @@ from pagetrail.plans.newest import (
     is_cut,
     join_links,
     keep,
+    leading,
     leading_matched,
     newest,
     newest_matched,
@@ -81,6 +82,10 @@ def visits(
         named = attach(top, pages, "page", {"url": "url", "title": "title"}, limit)
         from_urls = referrer_urls(top, every, pages, "from_visit", "page", limit).withColumnRenamed("_url", "from_url")
         rows = named.join(from_urls, ["from_visit", PROFILE], "left")
+    elif "named_visits" in tables:
+        rows = _dated(tables["named_visits"], "visit_time", date_from, date_to, tz)
+        rows, limit = (leading(rows, order, limit), -1) if per_profile else (rows, limit)
+        rows = rows.withColumnRenamed("from_visit_url", "from_url")
     else:
         if per_profile:
             dated, limit = leading_matched(dated, ids_of(pages, "page"), "page", order, limit), -1
@@ -111,12 +116,16 @@ def searches(
     order = newest("last_visit_time", "url_id", "term")
     if is_cut(limit, per_profile):
         # Every page kept here has a term, so the first n pages hold the first n rows.
-        used = terms.select(PROFILE, "url_id").distinct()
-        timed = pages.select(PROFILE, "url_id", "last_visit_time").join(used, ["url_id", PROFILE], "left_semi")
-        leaders = first_rows(timed, newest("last_visit_time", "url_id"), limit)
+        timed = pages.select(PROFILE, "url_id", "last_visit_time")
+        used = [(terms.select(PROFILE, "url_id"), "url_id")]
+        by_page = newest("last_visit_time", "url_id")
+        leaders = newest_matched(timed, used, by_page, limit, "last_visit_time", CHROMIUM_TIME, repeating=["url_id"])
         top = first_rows(terms.join(few(leaders, limit), ["url_id", PROFILE]), order, limit)
         names = fetch(pages.select(PROFILE, "url_id", "url", "title"), top, "url_id", limit)
         rows = top.join(names, ["url_id", PROFILE])
+    elif "named_keyword_search_terms" in tables:
+        rows = _dated(tables["named_keyword_search_terms"], "last_visit_time", date_from, date_to, tz)
+        rows = rows.withColumnRenamed("page", "url_id")
     else:
         rows = terms.join(pages, ["url_id", PROFILE])
     rows = first_rows(rows, order, limit, per_profile)
@@ -152,10 +161,10 @@ def downloads(
 
 
 def _annotated(
-    tables: Tables, notes: DataFrame, date_from: str | None, date_to: str | None, limit: int, tz: str, per_profile: bool
+    tables: Tables, table: str, date_from: str | None, date_to: str | None, limit: int, tz: str, per_profile: bool
 ) -> DataFrame:
     """Annotation rows with their visit's time and page, newest first."""
-    pages = tables["urls"]
+    pages, notes = tables["urls"], tables[table]
     timed = _dated(tables["visits"], "visit_time", date_from, date_to, tz).select(
         PROFILE, F.col("id").alias("visit_id"), F.col("url").alias("page"), "visit_time"
     )
@@ -166,6 +175,9 @@ def _annotated(
         top = newest_matched(timed, matches, order, limit, "visit_time", CHROMIUM_TIME, repeating=["visit_id"])
         rows = top.join(fetch(notes, top, "visit_id", limit), ["visit_id", PROFILE])
         rows = rows.join(fetch(names, top, "page", limit), ["page", PROFILE])
+    elif f"named_{table}" in tables:
+        rows = _dated(tables[f"named_{table}"], "visit_time", date_from, date_to, tz)
+        rows, limit = (leading(rows, order, limit), -1) if per_profile else (rows, limit)
     else:
         rows = timed.join(notes, ["visit_id", PROFILE])
         if per_profile:
@@ -183,7 +195,7 @@ def annotations(
     per_profile: bool = False,
 ) -> DataFrame:
     """Page categories, language and search terms per visit."""
-    rows = _annotated(tables, tables["content_annotations"], date_from, date_to, limit, tz, per_profile)
+    rows = _annotated(tables, "content_annotations", date_from, date_to, limit, tz, per_profile)
     texts = (blank_if_null(F.col(c)).alias(c) for c in ("categories", "page_language", "search_terms"))
     return rows.select(*owner(per_profile), "url", "title", _time("visit_time", tz), *texts)
 
@@ -197,7 +209,7 @@ def contexts(
     per_profile: bool = False,
 ) -> DataFrame:
     """Foreground time, response code, tab and window per visit."""
-    rows = _annotated(tables, tables["context_annotations"], date_from, date_to, limit, tz, per_profile)
+    rows = _annotated(tables, "context_annotations", date_from, date_to, limit, tz, per_profile)
     return rows.select(
         *owner(per_profile),
         "url",

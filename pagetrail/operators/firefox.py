@@ -79,6 +79,10 @@ def visits(
         named = attach(top, pages, "place_id", {"url": "url", "title": "title"}, limit)
         from_urls = referrer_urls(top, every, pages, "from_visit", "place_id", limit).withColumnRenamed("_url", "from_url")
         rows = named.join(from_urls, ["from_visit", PROFILE], "left")
+    elif "named_moz_historyvisits" in tables:
+        rows = tables["named_moz_historyvisits"].withColumnsRenamed({"page": "place_id", "from_visit_url": "from_url"})
+        rows = keep(rows, in_dates(F.col("visit_date"), FIREFOX_TIME, date_from, date_to, tz))
+        rows, limit = (leading(rows, order, limit), -1) if per_profile else (rows, limit)
     else:
         if per_profile:
             dated, limit = leading_matched(dated, ids_of(pages, "place_id"), "place_id", order, limit), -1
@@ -107,6 +111,8 @@ def searches(tables: Tables, limit: int = 100, per_profile: bool = False) -> Dat
         top = newest_matched(pairs, matches, newest("use_count", "place_id"), limit)
         rows = first_rows(fetch(inputs, top, "place_id", limit), order, limit)
         rows = rows.join(fetch(names, top, "place_id", limit), ["place_id", PROFILE])
+    elif "named_moz_inputhistory" in tables:
+        rows = tables["named_moz_inputhistory"].withColumnRenamed("page", "place_id")
     else:
         rows = inputs.join(names, ["place_id", PROFILE])
     return first_rows(rows, order, limit, per_profile).select(

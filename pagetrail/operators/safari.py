@@ -22,6 +22,7 @@ from pagetrail.plans.newest import (
     keep,
     leading,
     leading_matched,
+    merged_first_rows,
     newest,
     newest_matched,
     owner,
@@ -74,7 +75,7 @@ def urls(
         pages = pages.join(newest_visit, ["id", PROFILE], "left")
     order = newest("last_visit", "id")
     if is_cut(limit, per_profile):
-        pages = first_rows(pages, order, limit)
+        pages = merged_first_rows(pages, order, limit)
         visits = fetch(visits, pages.select(PROFILE, F.col("id").alias("history_item")), "history_item", limit)
     elif per_profile:
         pages, limit = leading(pages, order, limit), -1
@@ -113,6 +114,10 @@ def visits(
         for link in links:
             urls = targets.select(PROFILE, F.col("end").alias(link), F.col("_url").alias(f"{link}_url"))
             rows = rows.join(urls, [link, PROFILE], "left")
+    elif "named_history_visits" in tables:
+        rows = tables["named_history_visits"].withColumnRenamed("page", "history_item")
+        rows = keep(rows, in_dates(F.col("visit_time"), SAFARI_TIME, date_from, date_to, tz))
+        rows, limit = (leading(rows, order, limit), -1) if per_profile else (rows, limit)
     else:
         if per_profile:
             dated, limit = leading_matched(dated, ids_of(pages, "history_item"), "history_item", order, limit), -1

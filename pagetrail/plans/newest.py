@@ -37,6 +37,9 @@ from pagetrail.schemas import PROFILE
 #: their size at run time suggests; the program is the same.
 MAX_BROADCAST_ROWS = 50_000
 
+#: Tasks that merge the first rows of all tasks, and how many rows Spark's window operator cuts in a task at most.
+MERGES, MAX_CUT_ROWS = 512, 1000
+
 #: Copies of a sentinel key in a salted join.
 SALTS = 64
 
@@ -92,6 +95,16 @@ def first_rows(df: DataFrame, order: Sequence[Column], limit: int, per_profile:
     return ordered if check_limit(limit) < 0 else ordered.limit(limit)
 
 
+def merged_first_rows(df: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
+    """``first_rows`` of rows that no time cuts short: the first rows of every task meet in MERGES tasks before those of
+    these meet in one."""
+    if not 0 < check_limit(limit) <= MAX_CUT_ROWS:
+        return first_rows(df, order, limit)
+    rank = F.row_number().over(Window.partitionBy("_task").orderBy(*order))
+    ranked = df.withColumn("_task", F.pmod(F.spark_partition_id(), F.lit(MERGES))).withColumn("_rank", rank)
+    return first_rows(ranked.where(F.col("_rank") <= limit).drop("_task", "_rank"), order, limit)
+
+
 def keep(df: DataFrame, test: Column | None) -> DataFrame:
     return df if test is None else df.where(test)
 
@@ -148,8 +161,8 @@ def newest_matched(
     (profile_id, key) frame and the name of its numeric key; those with repeated keys are named
     in ``repeating``. ``time`` names the leading order column if that is a time.
     """
-    reach = reach_of(limit)
-    found = first_rows(recent(rows, time, encoding, reach) if time else rows, order, reach)
+    reach = reach_of(limit) if time else max(limit, min(reach_of(limit), MAX_CUT_ROWS))
+    found = first_rows(recent(rows, time, encoding, reach), order, reach) if time else merged_first_rows(rows, order, reach)
     for ids, key in matches:  # streamed past the few rows
         numbered = found.withColumn("_row", F.monotonically_increasing_id()) if key in repeating else found
         found = ids.join(few(numbered, reach), [key, PROFILE])

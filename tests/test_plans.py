@@ -109,3 +109,22 @@ def test_full_join_splits_a_hot_page(spark):
 
 def test_broadcast_reach_is_bounded():
     assert not newest.is_cut(-1) and newest.is_cut(0) and newest.is_cut(10**9)
+
+
+def test_rows_without_a_time_meet_by_steps(spark, landed):
+    """The first rows of all tasks meet in some tasks before those of these meet in one."""
+    fox, apple = fixtures.firefox(spark, SF), fixtures.safari(spark, SF)
+    for frame in (firefox.searches(fox), safari.urls(apple)):
+        text = plan(frame)
+        assert "WindowGroupLimit" in text and "SPARK_PARTITION_ID" in text
+    rows = spark.range(0, 5000, 1, 16).selectExpr("id % 7 AS score", "id")
+    order = [newest.F.desc("score"), newest.F.asc("id")]
+    assert newest.merged_first_rows(rows, order, 30).collect() == rows.orderBy(*order).limit(30).collect()
+    assert newest.merged_first_rows(rows, order, 0).collect() == []
+
+
+def test_searches_shuffle_no_table(landed):
+    frame = chromium.searches(landed, limit=10)
+    frame.collect()
+    text = plan(frame).split("== Initial Plan ==")[0]
+    assert "GreaterThanOrEqual(last_visit_time,ScalarSubquery" in plan(frame) and "SortMergeJoin" not in text
