@@ -24,6 +24,9 @@ Tables = Mapping[str, DataFrame]
 
 TOP_DOMAINS = 10
 
+#: Slots that domains are hashed into.
+SLOTS = 1 << 16
+
 BASIC, DOMAINS, TYPES = "basic", "domains", "types"
 
 
@@ -46,6 +49,11 @@ class Layout:
     def totals(self) -> tuple[str, ...]:
         return ("total_visits", "unique_urls") + (("total_hours",) if self.duration else ())
 
+    @property
+    def counts(self) -> tuple[str, ...]:
+        """The columns of ``page_counts``."""
+        return ("n", *(("us",) if self.duration else ()), *(f"type_{i}" for i in range(len(self.types))))
+
 
 _CHROMIUM = {"visits": "visits", "time": "visit_time", "page": "url", "pages": "urls", "encoding": CHROMIUM_TIME}
 
@@ -98,6 +106,17 @@ def _total(duration: str) -> Column:
     return F.sum(F.col(duration).cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
+def _page_bits() -> tuple[Column, Column]:
+    """A page as a bit in one of its profile's 64-bit words.
+
+    Databases number their pages densely, so distinct pages are counted from few words, and never from more words than
+    pages; words of several tasks are merged by OR.
+    """
+    place = F.col("page").bitwiseAND(F.lit(63)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+    return F.shiftright("page", 6), F.when(F.col(PROFILE).isNotNull(), bit)
+
+
 def _domains_of(tables: Tables, layout: Layout) -> DataFrame:
     """(profile_id, page, domain): the domain is cut out before the shuffle, not the whole URL carried."""
     return tables[layout.pages].select(PROFILE, F.col("id").alias("page"), domain(F.col("url")).alias("domain"))
@@ -122,10 +141,17 @@ def basic(
     With ``per_profile`` one row for each profile that has a visit in the range, here and below.
     """
     layout = _layout(browser)
-    totals = [F.count(F.lit(1)).alias("total_visits"), F.countDistinct(PROFILE, "page").alias("unique_urls")]
+    word, bit = _page_bits()
+    counts = {"n": F.count(F.lit(1)), "bits": F.bit_or(bit)}
+    if layout.duration:
+        counts["us"] = _total(layout.duration)
+    words = _visits(tables, layout, date_from, date_to, tz).groupBy(PROFILE, word.alias("word"))
+    words = words.agg(*(count.alias(name) for name, count in counts.items()))
+    totals = [F.coalesce(F.sum(amount), F.lit(0)) for amount in (F.col("n"), F.bit_count("bits"))]
+    totals = [total.alias(name) for total, name in zip(totals, layout.totals)]
     if layout.duration:
-        totals.append(hours_2dp(_total(layout.duration)).alias("total_hours"))
-    return _visits(tables, layout, date_from, date_to, tz).groupBy(*owner(per_profile)).agg(*totals)
+        totals.append(hours_2dp(F.sum("us").cast("decimal(38,0)")).alias("total_hours"))
+    return words.groupBy(*owner(per_profile)).agg(*totals)
 
 
 def domains(
@@ -144,6 +170,41 @@ def domains(
     return first_rows(counted.agg(F.sum("n").alias("cnt")), order, TOP_DOMAINS, per_profile)
 
 
+def leading_domains(
+    tables: Tables,
+    browser: str,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    tz: str = "UTC",
+    limit: int = TOP_DOMAINS,
+) -> DataFrame:
+    """``domains`` for very many different domains: those that cannot be among the first are never shuffled.
+
+    Domains are hashed into SLOTS slots. No domain has more visits than its slot. The domains of the ``limit`` fullest
+    slots give a bound: the last of their first ``limit`` is surely matched by the last of all. Only domains of slots
+    that reach the bound are then counted one by one.
+    """
+    layout = _layout(browser)
+    per_page = _visits(tables, layout, date_from, date_to, tz).groupBy(PROFILE, "page").agg(F.count(F.lit(1)).alias("n"))
+    counted = per_page.join(_domains_of(tables, layout), ["page", PROFILE]).select("domain", "n")
+    order = [F.desc("cnt"), F.asc_nulls_first("domain")]
+    return first_rows(possible_domains(counted, limit), order, limit)
+
+
+def possible_domains(counted: DataFrame, limit: int) -> DataFrame:
+    """(domain, cnt): the sums of n over (domain, n) rows, of every domain that can be among the first ``limit`` and few
+    others; ties with the last of them are there too."""
+    counted = counted.withColumn("slot", F.pmod(F.xxhash64("domain"), F.lit(SLOTS)).cast("int"))
+    slots = counted.groupBy("slot").agg(F.sum("n").alias("total"))
+    fullest = first_rows(slots, [F.desc("total"), F.asc("slot")], limit).select("slot")
+    # Broadcasts of at most SLOTS numbers.
+    some = counted.join(F.broadcast(fullest), "slot", "left_semi").groupBy("domain").agg(F.sum("n").alias("cnt"))
+    leaders = some.orderBy(F.desc("cnt")).limit(limit)
+    bound = leaders.agg(F.when(F.count(F.lit(1)) == limit, F.min("cnt")).otherwise(F.lit(0))).scalar()
+    reached = slots.where(F.col("total") >= bound).select("slot")
+    return counted.join(F.broadcast(reached), "slot", "left_semi").groupBy("domain").agg(F.sum("n").alias("cnt"))
+
+
 def types(
     tables: Tables,
     browser: str,
@@ -175,6 +236,11 @@ def summary(
     """
     layout = _layout(browser)
     visits = _visits(tables, layout, date_from, date_to, tz)
+    return report(page_counts(visits, layout), tables, browser)
+
+
+def page_counts(visits: DataFrame, layout: Layout, *more: str) -> DataFrame:
+    """(profile_id, *more, page, n, us, type_0...): visits, duration and visits of each type, as far as there are any."""
     counts = {"n": F.count(F.lit(1))}
     if layout.duration:
         counts["us"] = _total(layout.duration)
@@ -182,7 +248,19 @@ def summary(
         visits = visits.withColumn("type", layout.label(F.col(layout.code)))
     for i, label in enumerate(layout.types):
         counts[f"type_{i}"] = F.count_if(F.col("type") == label)
-    per_page = visits.groupBy(PROFILE, "page").agg(*(c.alias(name) for name, c in counts.items()))
+    return visits.groupBy(PROFILE, *more, "page").agg(*(c.alias(name) for name, c in counts.items()))
+
+
+def added_up(counts: DataFrame, layout: Layout, *more: str) -> DataFrame:
+    """The same from rows of ``page_counts`` with the same keys in several parts."""
+    sums = [F.sum(name).cast("decimal(38,0)" if name == "us" else "bigint").alias(name) for name in layout.counts]
+    return counts.groupBy(PROFILE, *more, "page").agg(*sums)
+
+
+def report(per_page: DataFrame, tables: Tables, browser: str) -> DataFrame:
+    """The sections of ``summary`` from the counts of each page."""
+    layout = _layout(browser)
+    counts = layout.counts
     domains_of = _domains_of(tables, layout).withColumn("known", F.lit(True))
     per_domain = (
         per_page.join(domains_of, ["page", PROFILE], "left")
@@ -204,7 +282,7 @@ def summary(
     # Without any visit the totals are still reported: 0, 0 and no hours.
     zero, none = F.lit(0), F.lit(None)
     seeds = [figure(BASIC, key, none if key == "total_hours" else zero) for key in layout.totals]
-    seed_rows = visits.sparkSession.range(1).select(F.explode(F.array(*seeds)).alias("f")).select("f.*")
+    seed_rows = per_page.sparkSession.range(1).select(F.explode(F.array(*seeds)).alias("f")).select("f.*")
     sums = figures.unionByName(seed_rows).groupBy("section", "key").agg(F.sum("amount").alias("amount"))
     return _ranked(sums, layout)
 
