@@ -103,3 +103,14 @@ def test_many_tabs_in_one_group(files):
     # A stray "[{" opens the match and spoils the JSON, so the pairs are taken without a date.
     spoiled = saved_tabs(files(("1.ldb", "[{" * 3 + tabs)), 0)
     assert [(r.group_date, r["count"]) for r in spoiled.groupBy("group_date").count().collect()] == [("", 20_000)]
+
+
+def test_files_are_searched_once(spark, tmp_path):
+    from workload import fixtures
+
+    fixtures.odd_tab_files(spark, "/root/testdata/sf0.01").write.parquet(f"{tmp_path}/files")
+    frame = saved_tabs(spark.read.parquet(f"{tmp_path}/files"), 0)
+    assert frame.count() == 86
+    frame.collect()
+    final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final

@@ -6,11 +6,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from pagetrail.schemas import PROFILE
+from pagetrail.schemas import CHROMIUM, PROFILE
 
 FILE_ROWS = 500
 
@@ -77,6 +79,7 @@ class Base:
             "ELSE (user_id * 7 + event_id % 11) % page_rows + 1 END AS url_id",
             "CASE WHEN event_id % 5 = 0 THEN 0 WHEN event_id % 89 = 0 THEN event_rows + 1000 "
             "ELSE event_id END AS from_id",
+            "event_rows DIV 4 AS quarter",
         )
         return shared.where(where).selectExpr(PROFILE_COLUMN, *columns)
 
@@ -150,6 +153,71 @@ def chromium_fleet(spark: SparkSession, sf_dir: str) -> Derived:
     return Derived({name: lambda name=name: both(name) for name in first})
 
 
+def chromium_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed rows of three snapshots of one profile, by six days instead of months.
+
+    The first snapshot has the older half of the visits. The second lacks the oldest eighth, which expired, and every
+    41st of the first, which were deleted; the third lacks the oldest quarter and has the newest visits. Every 29th of
+    the newest has the id of an expired one. From the third on, every 19th page id is that of another URL; titles are
+    old ones in the first.
+    """
+    base = Base(spark, sf_dir)
+    visit = "if(e >= 3 * quarter AND e < 4 * quarter AND e % 29 = 0, e + 1 - 3 * quarter, e + 1)"
+    before = "if(from_id = e AND e > 3 * quarter AND e <= 4 * quarter AND (e - 1) % 29 = 0, e - 3 * quarter, from_id)"
+    stays = "NOT (e % 41 = 0 AND e < 2 * quarter)"
+    snapshots = {
+        "s1": "e < 2 * quarter",
+        "s2": f"e >= quarter DIV 2 AND e < 3 * quarter AND {stays}",
+        "s3": f"e >= quarter AND {stays}",
+    }
+    columns = {table: [f.name for f in StructType.fromDDL(ddl)] for table, ddl in CHROMIUM.items()}
+    structs = {t: f"struct<{ddl.replace(' ', ':').replace(',:', ', ')}>" for t, ddl in CHROMIUM.items()}
+
+    def landed(rows: DataFrame, table: str, snapshot: str, month: str) -> DataFrame:
+        values = [
+            f"named_struct({', '.join(f'{c!r}, {c}' for c in columns[t])}) AS {t}" if t == table else f"cast(NULL AS {kind}) AS {t}"
+            for t, kind in structs.items()
+        ]
+        names = [f"'{table}' AS table_name", "cast(NULL AS string) AS error", f"'{snapshot}' AS snapshot", f"{month} AS month"]
+        return rows.selectExpr(PROFILE, *names, *values)
+
+    parts = []
+    for snapshot, where in snapshots.items():
+        visits = base.events(
+            f"{visit} AS id",
+            "url_id AS url",
+            "m + 11644473600000000 AS visit_time",
+            f"{before} AS from_visit",
+            "if(e % 101 = 0, NULL, 805306368 + e * 7 % 13) AS transition",
+            # a duration is known only once the next visit was made
+            f"if({snapshot == 's1'} AND e = 2 * quarter - 1, 0, c * 10000) AS visit_duration",
+            where=where,
+        )
+        notes = base.events(
+            f"{visit} AS visit_id",
+            "if(e % 2 = 0, NULL, concat('/m/0', k)) AS categories",
+            "if(e % 7 = 0, NULL, 'en') AS page_language",
+            "if(e % 4 = 0, concat('q ', k), NULL) AS search_terms",
+            where=f"e % 3 = 0 AND {where}",
+        )
+        pages = base.pages(
+            "p + 1 AS id",
+            f"if({snapshot == 's3'} AND p % 19 = 0, concat(url, '#new'), url) AS url",
+            f"if(p % 17 = 0, NULL, concat('{'old ' if snapshot == 's1' else ''}', page_title)) AS title",
+            "visit_count",
+            "visit_count % 7 AS typed_count",
+            "13348540800000000 AS last_visit_time",
+        )
+        day = "cast(visit_time DIV 518400000000 AS string)"
+        parts += [landed(visits, "visits", snapshot, day), landed(notes, "content_annotations", snapshot, "'undated'")]
+        parts += [landed(pages, "urls", snapshot, "'undated'")]
+        read = base.pages("p").limit(1)
+        nothing = [f"cast(NULL AS {kind}) AS {t}" for t, kind in structs.items()]
+        names = ["'read' AS table_name", "cast(NULL AS string) AS error", f"'{snapshot}' AS snapshot", "'undated' AS month"]
+        parts.append(read.selectExpr(PROFILE, *names, *nothing))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def edge(spark: SparkSession, sf_dir: str) -> Derived:
     return chromium(spark, sf_dir, "user_id % 2 = 1")
 
@@ -228,6 +296,32 @@ def saved_tab_files(spark: SparkSession, sf_dir: str, grouped: bool = True) -> D
     )
 
 
+def odd_tab_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Storage files with and without groups, whose tabs are repeated, too long, broken, blank or full of control bytes.
+
+    The first two files and every third have no readable group.
+    """
+    loose = "(p DIV 20 < 2 OR p DIV 20 % 3 = 0)"
+    tabs = Base(spark, sf_dir)._pages.selectExpr(
+        "page_id AS p", "page_id DIV 20 AS g", "regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '[^A-Za-z0-9 ]', '') AS said"
+    )
+    shown = f"""CASE p % 10 WHEN 0 THEN concat('"', repeat('x', 500), '"') WHEN 1 THEN concat('"', repeat('y', 501), '"')
+        WHEN 2 THEN if({loose}, concat('"a\\x01b', chr(127), ' ', said, '"'), concat('"', said, '"'))
+        WHEN 3 THEN concat('"', chr(255), said, '"') WHEN 4 THEN 'null' ELSE concat('"', said, '"') END"""
+    page = "CASE p % 10 WHEN 5 THEN p - 5 WHEN 6 THEN p - 5 WHEN 8 THEN p % 40 ELSE p END"
+    url = f"concat('https://tab.example/', {page}, if(p % 10 = 7 AND {loose}, chr(2), ''))"
+    shown = shown.replace("\\x01", "', chr(1), '")
+    tabs = tabs.selectExpr("g", f"struct(p, concat('{{\"url\":\"', {url}, '\",\"title\":', {shown}, '}}') AS json) AS tab")
+    files = tabs.groupBy("g").agg(F.sort_array(F.collect_list("tab")).alias("tabs"))
+    date = "if(g < 2 OR g % 3 = 0, 'createDat', 'createDate')"
+    return files.selectExpr(
+        PROFILE_COLUMN,
+        "format_string('%06d.ldb', g) AS file_name",
+        # one byte a character, so that 255 is a byte that UTF-8 does not know
+        f"encode(concat('xx[', concat_ws(',', tabs.json), '],\"', {date}, '\":', 1704067200000 + g * 60000, 'yy'), 'ISO-8859-1') AS content",
+    )
+
+
 def profile_listing(spark: SparkSession, sf_dir: str, browser: str) -> DataFrame:
     """A file listing with one root per seven pages; each page adds one file."""
     if browser == "firefox":

@@ -310,17 +310,17 @@ def summary_basic(browser: str, date_from=None, date_to=None) -> str:
     )
 
 
-def _domain_counts(browser: str, date_from, date_to) -> str:
+def _domain_counts(browser: str, date_from, date_to, zone="UTC") -> str:
     _, pages, page, time, offset, _, _ = SUMMARIES[browser]
     return (
         f"SELECT {domain('g.url')} AS domain, count(*) AS cnt FROM visits v JOIN {pages} g ON g.id = v.{page} "
-        f"WHERE {between('v.' + time, date_from, date_to, offset)} GROUP BY 1 ORDER BY cnt DESC, domain NULLS FIRST LIMIT 10"
+        f"WHERE {between('v.' + time, date_from, date_to, offset, zone)} GROUP BY 1 ORDER BY cnt DESC, domain NULLS FIRST LIMIT 10"
     )
 
 
-def _type_counts(browser: str, date_from, date_to) -> str:
+def _type_counts(browser: str, date_from, date_to, zone="UTC") -> str:
     _, _, _, time, offset, _, label = SUMMARIES[browser]
-    return f"SELECT {label} AS type, count(*) AS cnt FROM visits WHERE {between(time, date_from, date_to, offset)} GROUP BY 1"
+    return f"SELECT {label} AS type, count(*) AS cnt FROM visits WHERE {between(time, date_from, date_to, offset, zone)} GROUP BY 1"
 
 
 def summary_domains(browser: str, date_from=None, date_to=None) -> str:
@@ -331,7 +331,7 @@ def summary_types(browser: str, date_from=None, date_to=None) -> str:
     return SUMMARIES[browser][0](_type_counts(browser, date_from, date_to))
 
 
-def _sections(browser: str, date_from, date_to) -> str:
+def _sections(browser: str, date_from, date_to, zone="UTC") -> str:
     """Long form as a chain of CTEs ending in ``report``."""
     _, _, page, time, offset, timed, label = SUMMARIES[browser]
     basic = ["(1, 'total_visits', visits)", "(2, 'unique_urls', pages)"]
@@ -345,17 +345,17 @@ def _sections(browser: str, date_from, date_to) -> str:
     ]
     if label:
         parts.append("SELECT 'types', row_number() OVER (ORDER BY cnt DESC, type), type, cnt::VARCHAR FROM t")
-    types = f", t AS ({_type_counts(browser, date_from, date_to)})" if label else ""
+    types = f", t AS ({_type_counts(browser, date_from, date_to, zone)})" if label else ""
     return f""", b AS (
   SELECT count(*)::VARCHAR AS visits, count(DISTINCT {page})::VARCHAR AS pages{hours}
-  FROM visits WHERE {between(time, date_from, date_to, offset)}),
-d AS ({_domain_counts(browser, date_from, date_to)}){types},
+  FROM visits WHERE {between(time, date_from, date_to, offset, zone)}),
+d AS ({_domain_counts(browser, date_from, date_to, zone)}){types},
 report AS ({" UNION ALL ".join(parts)})"""
 
 
-def summary(browser: str, date_from=None, date_to=None) -> str:
+def summary(browser: str, date_from=None, date_to=None, zone="UTC") -> str:
     sql = SUMMARIES[browser][0]("@@")
-    return sql.replace("\n@@", _sections(browser, date_from, date_to) + "\nSELECT section, rank::INTEGER AS rank, key, value FROM report")
+    return sql.replace("\n@@", _sections(browser, date_from, date_to, zone) + "\nSELECT section, rank::INTEGER AS rank, key, value FROM report")
 
 
 def summary_text(browser: str, date_from=None, date_to=None) -> str:
@@ -419,6 +419,46 @@ QUALIFY row_number() OVER (PARTITION BY profile_id ORDER BY cnt DESC, domain NUL
     )
 
 
+# ---- three snapshots of one profile -----------------------------------------
+
+#: Every visit is in some snapshot. Those of the last quarter were first seen in the third, which renamed some pages.
+SEEN = f"""
+later AS (
+  SELECT v.*, v.id - 1 AS e, u.id IS NOT NULL AS known, u.title,
+    CASE WHEN (u.id - 1) % 19 = 0 AND v.id - 1 >= 3 * (n.event_rows // 4) THEN u.url || '#new' ELSE u.url END AS page_url,
+    n.event_rows // 4 AS quarter
+  FROM visits v CROSS JOIN n LEFT JOIN urls u ON u.id = v.url)"""
+
+
+def history_visits() -> str:
+    return with_tables(
+        f"{CHROMIUM},{SEEN}",
+        f"""SELECT v.page_url AS url, v.title, {webkit("v.visit_time")} AS visit_time,
+  {rounded("v.visit_duration", 100000, 10)} AS duration_sec, {transition("v.transition")} AS transition,
+  coalesce(o.page_url, '') AS from_url
+FROM later v LEFT JOIN later o ON o.id = v.from_visit WHERE v.known""",
+    )
+
+
+def history_annotations() -> str:
+    return with_tables(
+        f"{CHROMIUM},{SEEN}",
+        f"""SELECT v.page_url AS url, v.title, {webkit("v.visit_time")} AS visit_time, coalesce(a.categories, '') AS categories,
+  coalesce(a.page_language, '') AS page_language, coalesce(a.search_terms, '') AS search_terms
+FROM content_notes a JOIN later v ON v.id = a.visit_id WHERE v.known""",
+    )
+
+
+def history_basic() -> str:
+    """Without the deleted visits: those still younger than the oldest one of the second snapshot."""
+    return with_tables(
+        f"{CHROMIUM},{SEEN}",
+        f"""SELECT count(*) AS total_visits, count(DISTINCT (url, known AND (url - 1) % 19 = 0 AND e >= 3 * quarter)) AS unique_urls,
+  ({HOURS} / 100)::DOUBLE AS total_hours
+FROM later WHERE NOT (e % 41 = 0 AND e < 2 * quarter AND e > quarter // 2 + CASE WHEN quarter // 2 % 41 = 0 THEN 1 ELSE 0 END)""",
+    )
+
+
 # ---- saved tabs, sinks, profiles, ingest ----------------------------------
 
 
@@ -433,6 +473,23 @@ WHERE copy = 1 AND length(title) <= 500 ORDER BY p{"" if limit <= 0 else f" LIMI
     )
 
 
+def odd_saved_tabs() -> str:
+    return """WITH t AS (
+  SELECT page_id AS p, page_id // 20 AS g,
+    regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '[^A-Za-z0-9 ]', '', 'g') AS said
+  FROM pages),
+k AS (SELECT *, g < 2 AS loose, g >= 2 AND g % 3 <> 0 AS grouped FROM t),
+f AS (
+  SELECT p, 'https://tab.example/' || CASE WHEN p % 10 IN (5, 6) THEN p - 5 WHEN p % 10 = 8 THEN p % 40 ELSE p END AS url,
+    CASE p % 10 WHEN 0 THEN repeat('x', 500) WHEN 2 THEN CASE WHEN loose THEN 'ab ' || said ELSE said END WHEN 4 THEN ''
+      ELSE said END AS title,
+    CASE WHEN grouped THEN strftime(make_timestamp((1704067200 + g * 60) * 1000000), '%Y-%m-%d %H:%M:%S') ELSE '' END AS group_date,
+    p % 10 = 1 OR p % 10 = 3 OR (p % 10 = 7 AND loose) AS unreadable,
+    row_number() OVER (PARTITION BY CASE WHEN p % 10 IN (5, 6) THEN p - 5 WHEN p % 10 = 8 THEN p % 40 ELSE p END ORDER BY p) AS copy
+  FROM k WHERE grouped OR (loose AND p % 10 <> 4))
+SELECT url, title, group_date FROM f WHERE copy = 1 AND NOT unreadable"""
+
+
 def lines(wrap, report: str, columns: list[str], sep: str) -> str:
     fields = ", ".join(f"coalesce({c}::VARCHAR, '')" for c in columns)
     return wrap(

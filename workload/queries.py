@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pagetrail.operators import chromium, firefox, safari, saved_tabs, summary
+from pagetrail.operators import chromium, firefox, rollup, safari, saved_tabs, summary
+from pagetrail.plans.kept import shared_folder
 from pagetrail.sinks import text
-from pagetrail.sources import history_files, profiles
+from pagetrail.sources import history_files, keyed_tables, profiles, snapshots
 from workload import fixtures, oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +105,46 @@ def _fleet(operator: Callable, sql: str, *args, **options):
     return run, sql
 
 
+def _keyed(browser: str, operator: Callable, sql: str):
+    """An unlimited report over tables kept in buckets, in a folder of this run."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{shared_folder(spark)}/keyed-{uuid.uuid4()}"
+        keyed_tables.keep_keyed(TABLES[browser](spark, sf_dir), browser, path, buckets=8, rows_per_salt=500)
+        return operator(keyed_tables.keyed_tables(spark, path, browser), limit=-1)
+
+    return run, WRAP[browser](sql)
+
+
+def _history(operator: Callable, sql: str, *args, deleted: bool = True, **options):
+    """A report over the one history of three snapshots, landed in a folder of this run."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{shared_folder(spark)}/landed-{uuid.uuid4()}"
+        rows = fixtures.chromium_snapshots(spark, sf_dir).withColumn("browser", F.lit("chrome"))
+        rows.write.partitionBy("browser", "snapshot", "table_name", "month").parquet(f"{path}/chromium")
+        snapshots.keep_digests(spark, path, "chrome")
+        return operator(snapshots.landed_history(spark, path, "chrome", deleted), *args, **options)
+
+    return run, sql
+
+
+def _rolled(browser: str, zone: str = "UTC", **dates):
+    """A summary from daily counts put together from two halves of the visits."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = TABLES[browser](spark, sf_dir)
+        visits = summary.LAYOUTS[browser].visits
+        halves = [rollup.daily({visits: tables[visits].where(f"id % 2 = {half}")}, browser) for half in (0, 1)]
+        return rollup.summary(rollup.put_together(browser, *halves), tables, browser, **dates, tz=zone)
+
+    return run, oracle.summary(browser, **dates, zone=zone)
+
+
+def _odd_tabs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return saved_tabs.saved_tabs(fixtures.odd_tab_files(spark, sf_dir), 0)
+
+
 def _zoned(operator: Callable, sql: Callable, browser: str, **options):
     return _report(browser, operator, sql, {**options, "zone": NEW_YORK}, **options, tz=NEW_YORK)
 
@@ -135,6 +178,22 @@ def registry() -> dict[str, tuple[Query, str]]:
         "fleet_visits_per_profile": _fleet(chromium.visits, oracle.fleet_visits(100, True), per_profile=True),
         "fleet_basic_per_profile": _fleet(summary.basic, oracle.fleet_basic(), "chrome", per_profile=True),
         "fleet_domains_per_profile": _fleet(summary.domains, oracle.fleet_domains(), "chrome", per_profile=True),
+        # one history of three snapshots
+        "history_visits_all": _history(chromium.visits, oracle.history_visits(), **EVERY),
+        "history_annotations_all": _history(chromium.annotations, oracle.history_annotations(), **EVERY),
+        "history_summary_basic": _history(summary.basic, oracle.history_basic(), "chrome", deleted=False),
+        # tables kept in buckets
+        "keyed_visits_all": _keyed("chrome", chromium.visits, oracle.chromium_visits(**EVERY)),
+        "keyed_contexts_all": _keyed("chrome", chromium.contexts, oracle.chromium_contexts(**EVERY)),
+        "keyed_searches_all": _keyed("chrome", chromium.searches, oracle.chromium_searches(**EVERY)),
+        "keyed_firefox_visits_all": _keyed("firefox", firefox.visits, oracle.firefox_visits(**EVERY)),
+        "keyed_safari_visits_all": _keyed("safari", safari.visits, oracle.safari_visits(**EVERY)),
+        # daily counts, leading domains
+        "rolled_chrome_summary": _rolled("chrome", NEW_YORK, **WEEK),
+        "rolled_firefox_summary": _rolled("firefox"),
+        "rolled_safari_summary": _rolled("safari", NEW_YORK, **SINCE),
+        "chrome_leading_domains": _section("chrome", summary.leading_domains, oracle.summary_domains),
+        "safari_leading_domains": _section("safari", summary.leading_domains, oracle.summary_domains, **WEEK),
         # Edge
         "edge_urls": _report("edge", chromium.urls, oracle.chromium_urls, **WEEK),
         "edge_visits": _report("edge", chromium.visits, oracle.chromium_visits),
@@ -170,6 +229,7 @@ def registry() -> dict[str, tuple[Query, str]]:
         "onetab": _tabs(True, 100),
         "onetab_all": _tabs(True, 0),
         "onetab_fallback": _tabs(False, 100),
+        "onetab_odd": (_odd_tabs, oracle.odd_saved_tabs()),
         # sinks
         "chrome_visits_tsv": _lines("chrome", chromium.visits, oracle.chromium_visits, visit_columns, "tsv", **WEEK),
         "chrome_urls_csv": _lines("chrome", chromium.urls, oracle.chromium_urls, url_columns, "csv"),
