@@ -11,8 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -21,14 +20,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from pagetrail.llm.pieces import Held, id_lists, slices
+
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-#: Pieces whose ids, and states of the transducer, that are held before they are dropped and built anew.
-HELD, HELD_STATES = 800_000, 300_000
-#: White space before a space: only there a piece can reach across the cut before a space.
-CROSSING = re.compile(r"\s ")
-CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Runs of these behind a word are one piece.
-PUNCTUATION = ".,;:!?"
+#: States of the transducer, twice as many steps, and pairs of tokens, that are held before they are dropped and built anew.
+HELD_STATES, HELD_PAIRS = 60_000, 100_000
+NEVER = 1 << 60
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,38 +44,79 @@ class Transducer:
 
     def _reset(self) -> None:
         self.fits: dict[tuple[int, int], bool] = {}
+        self.edges: dict[int, tuple[list, list] | None] = {}  # one a token at most
         start = ((b"", -1, ()),)
         self.states: list[tuple] = [start]
         self.numbers: dict[tuple, int] = {start: 0}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
         self.ends: dict[int, tuple[int, ...]] = {}
 
-    def _merged(self, data: bytes) -> list[bytes]:
-        """Single bytes merged, always the pair of the lowest rank, first from the left."""
-        get, none = self.ranks.get, 1 << 60
+    def _merged(self, data: bytes) -> tuple[list[bytes], list[tuple[int, bytes, bytes]]]:
+        """Single bytes merged, always the pair of the lowest rank, first from the left, and the merges in order."""
+        get = self.ranks.get
         cuts = list(range(len(data) + 1))
-        ranks = [get(data[i : i + 2], none) for i in range(len(data) - 1)]
-        while ranks and (low := min(ranks)) < none:
+        ranks = [get(data[i : i + 2], NEVER) for i in range(len(data) - 1)]
+        merges = []
+        while ranks and (low := min(ranks)) < NEVER:
             at = ranks.index(low)
+            merges.append((low, data[cuts[at] : cuts[at + 1]], data[cuts[at + 1] : cuts[at + 2]]))
             del cuts[at + 1], ranks[at]
             if at < len(ranks):
-                ranks[at] = get(data[cuts[at] : cuts[at + 2]], none)
+                ranks[at] = get(data[cuts[at] : cuts[at + 2]], NEVER)
             if at:
-                ranks[at - 1] = get(data[cuts[at - 1] : cuts[at + 1]], none)
-        return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+                ranks[at - 1] = get(data[cuts[at - 1] : cuts[at + 1]], NEVER)
+        return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], merges
+
+    def _edges(self, token: int) -> tuple[list, list] | None:
+        """What stands at the left and at the right end of a token while it is merged: (rank of the merge that ends
+        this, symbol), from a byte to the whole; None if the token does not encode itself."""
+        known = self.edges.get(token, False)
+        if known is False:
+            data = self.tokens[token]
+            parts, merges = self._merged(data)
+            known = None
+            if parts == [data]:
+                # the last merge of the symbols at an end, then that of the longer one they are part of, and so on
+                left, right = [(NEVER, data)], [(NEVER, data)]
+                for rank, a, b in reversed(merges):
+                    if a + b == left[-1][1] and data.startswith(a + b):
+                        left.append((rank, a))
+                    if a + b == right[-1][1] and data.endswith(a + b):
+                        right.append((rank, b))
+                known = left[::-1], right[::-1]
+            self.edges[token] = known
+        return known
 
     def _follows(self, before: int, token: int) -> bool:
-        """Whether `token` encodes itself and stays apart from the token before it (-1: none)."""
+        """Whether `token` encodes itself and stays apart from the token before it (-1: none).
+
+        Symbols of the two can only be merged where they meet, so the symbols there are followed, rank by rank.
+        """
         known = self.fits.get((before, token))
         if known is None:
-            data = self.tokens[token]
-            if before < 0:
-                known = self._merged(data) == [data]
-            else:
-                known = self._follows(-1, token) and self._merged(self.tokens[before] + data) == [self.tokens[before], data]
+            edges = self._edges(token)
+            known = edges is not None and (before < 0 or self._apart(self._edges(before), edges))
             self.fits[before, token] = known
         return known
 
+    def _apart(self, before: tuple | None, after: tuple) -> bool:
+        if before is None:
+            return False
+        right, left, i, j = before[1], after[0], 0, 0
+        while True:
+            until, symbol = right[i]
+            until_after, symbol_after = left[j]
+            rank = self.ranks.get(symbol + symbol_after, NEVER)
+            # of equal ranks the merge further left comes first
+            if rank < until and rank <= until_after and rank < NEVER:
+                return False
+            if until <= until_after:
+                if until == NEVER:
+                    return True
+                i += 1
+            else:
+                j += 1
+
     def _last(self, state: int) -> tuple[int, ...]:
         """The tokens that a state's bytes end in if they end here; just one hypothesis can be right about that."""
         found = self.ends.get(state)
@@ -116,7 +154,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None or not piece:
             return [] if whole is None else [whole]
-        if len(self.states) > HELD_STATES or len(self.steps) > 4 * HELD_STATES:
+        if len(self.states) > HELD_STATES or len(self.steps) > 2 * HELD_STATES or len(self.fits) > HELD_PAIRS:
             self._reset()
         out: list[int] = []
         state, steps = 0, self.steps
@@ -129,74 +167,29 @@ class Transducer:
         return out
 
 
-def chunks(text: str) -> list[str]:
-    """A text cut before single spaces between other characters, which no piece of the pattern reaches across.
-
-    The first chunk stands as it is; a space goes before each other one.
-    """
-    return (CUT.split(text) if CROSSING.search(text) else text.split(" ")) if text else []
-
-
-class Pieces(dict):
-    """Packed ids of pieces of the pattern, worked out by `function` when first asked for."""
-
-    def __init__(self, function: Callable[[str], bytes], held: int = HELD) -> None:
-        super().__init__()
-        self.function, self.held = function, held
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > self.held:
-            self.clear()
-        self[piece] = value = self.function(piece)
-        return value
-
-
-class Chunks(dict):
-    """Packed ids of chunks behind a space. Only words are held: what else a chunk is made of, punctuation behind a word
-    above all, takes on too many forms."""
-
-    def __init__(self, function: Callable[[str], bytes], pattern: str, held: int) -> None:
-        super().__init__()
-        self.function, self.held = function, held
-        self.pieces = Pieces(function)
-        self.split = regex.compile(pattern).findall
-
-    def __missing__(self, chunk: str) -> bytes:
-        if chunk.isalpha():  # one piece of the pattern with the space before it
-            if len(self) > self.held:
-                self.clear()
-            self[chunk] = value = self.function(" " + chunk)
-            return value
-        word = chunk.rstrip(PUNCTUATION)
-        if word.isalpha():
-            return self[word] + self.pieces[chunk[len(word) :]]
-        return self.whole(" " + chunk)
-
-    def whole(self, text: str) -> bytes:
-        """Packed ids of any text, piece by piece."""
-        return b"".join(
-            self[p[1:]] if p[:1] == " " and p[1:].isalpha() else self.pieces[p] for p in self.split(text)
-        )
-
-    def text(self, text: str | None) -> bytes:
-        parts = chunks(text or "")
-        if not parts:
-            return b""
-        return self.whole(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
-
-
 class Encoder:
-    """Encodes texts: each match of the pattern is a piece of its own."""
+    """Encodes texts: each match of the pattern is a piece of its own, worked out once while it is held."""
 
     def __init__(self, path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> None:
         self.transducer = Transducer(read_ranks(path))
-        self.chunks = Chunks(self._packed, pattern, HELD)
+        self.pieces = Held(self._packed)
+        self.split = regex.compile(pattern).findall
 
     def _packed(self, piece: str) -> bytes:
         return np.array(self.transducer.encode(piece.encode()), dtype="<i4").tobytes()
 
+    def alone(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+
+    def behind(self, chunk: str) -> bytes:
+        """The ids of a chunk with a space before it; of letters alone it is one piece."""
+        return self.pieces[" " + chunk] if chunk.isalpha() else self.alone(" " + chunk)
+
+    def lists(self, texts: pa.Array) -> pa.ListArray:
+        return id_lists(texts, self.alone, self.behind)
+
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(self.chunks.text(text), dtype="<i4")
+        return self.lists(pa.array([text], pa.string())).values.to_numpy()
 
 
 #: What may follow a lead byte of UTF-8: the first and last value of the second byte, and how many bytes follow in all.
@@ -294,34 +287,44 @@ def _decoder(path: str) -> Decoder:
     return Decoder({rank: token for token, rank in read_ranks(path).items()})
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    encode = _encoder(path).encode
+def _lists(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+    """(doc_ids, ids) of (doc_id, text) batches, a slice at a time."""
+    encoder = _encoder(path)
     for batch in batches:
-        for start in range(0, batch.num_rows, 1024):
-            part = batch.slice(start, 1024)
-            ids = [encode(text.as_py()) for text in part.column(1)]
-            ends = np.cumsum([0, *map(len, ids)])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
-            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
+        for part in slices(batch, 1):
+            yield part.column(0), encoder.lists(part.column(1))
+
+
+def _rows(lists: pa.ListArray) -> Iterator[list[int]]:
+    ends = np.cumsum([0, *(n or 0 for n in lists.value_lengths().to_pylist())])
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    return (flat[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False))
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    for docs, lists in _lists(batches, path):
+        yield pa.RecordBatch.from_arrays([docs, lists], names=["doc_id", "ids"])
+
+
+def _with_texts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    decoder = _decoder(path)
+    for docs, lists in _lists(batches, path):
+        texts = [decoder.feed(ids) + decoder.finish() for ids in _rows(lists)]
+        yield pa.RecordBatch.from_arrays([docs, lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
 
 def _digests(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     decoder = _decoder(path)
     decimal = {i: str(i) for i in decoder.tokens}.__getitem__
-    for batch in batches:
-        lists = batch.column(1)
-        ends = np.cumsum([0, *(n or 0 for n in lists.value_lengths().to_pylist())])
-        flat = lists.flatten().to_numpy(zero_copy_only=False)
+    for docs, lists in _lists(batches, path):
         rows = []
-        for a, b in zip(ends, ends[1:], strict=False):
-            ids = flat[a:b].tolist()
+        for ids in _rows(lists):
             said = " ".join(map(decimal, ids)).encode()
             text = decoder.feed(ids) + decoder.finish()
             rows.append((len(ids), hashlib.sha256(said).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
-        if rows:
-            n, said, text = zip(*rows, strict=True)
-            arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(said), pa.array(text)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        n, said, text = zip(*rows, strict=True)
+        arrays = [docs, pa.array(n, pa.int64()), pa.array(said), pa.array(text)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
 def encoded(docs: DataFrame, path: str = RANKS) -> DataFrame:
@@ -347,21 +350,15 @@ def decoded(rows: DataFrame, path: str = RANKS) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def with_texts(rows: DataFrame, path: str = RANKS) -> DataFrame:
-    """(doc_id, ids, text) of (doc_id, ids): each row with the text that its ids decode to."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = _decoder(path)
-        for batch in batches:
-            texts = [decoder.feed(ids or []) + decoder.finish() for ids in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
-
-    return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+def with_texts(docs: DataFrame, path: str = RANKS) -> DataFrame:
+    """(doc_id, ids, text) of (doc_id, text): the ids of each row and the text that these decode to, in one pass."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, ids array<int>, text string"
+    return docs.select("doc_id", "text").mapInArrow(lambda b: _with_texts(b, path), schema)
 
 
-def digests(rows: DataFrame, path: str = RANKS) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids), decoding them."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
+def digests(docs: DataFrame, path: str = RANKS) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, text), encoded and decoded in one pass."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return rows.select("doc_id", "ids").mapInArrow(lambda b: _digests(b, path), schema)
+    return docs.select("doc_id", "text").mapInArrow(lambda b: _digests(b, path), schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at a time, and that a worker holds of what it has worked out.
-SLICE_BYTES, HELD_BYTES = 8 << 20, 96 << 20
+SLICE_BYTES, HELD_BYTES = 8 << 20, 80 << 20
 #: Bytes that an entry of a dictionary takes beside its key and value.
 ENTRY = 104
 
@@ -34,12 +34,28 @@ class Held(dict):
         value = self.old.get(key)
         if value is None:
             value = self.function(key)
+        self._hold(key, value)
+        return value
+
+    def many(self, keys: list, function: Callable) -> list:
+        """The values of all keys; `function` works out those of a list of new ones together."""
+        found = list(map(self.get, keys))
+        asked = {key for key, value in zip(keys, found, strict=True) if value is None}
+        if asked:
+            known = {key: self.old[key] for key in asked if key in self.old}
+            new = [key for key in asked if key not in known]
+            known.update(zip(new, function(new) if new else [], strict=True))
+            found = [known[key] if value is None else value for key, value in zip(keys, found, strict=True)]
+            for key, value in known.items():
+                self._hold(key, value)
+        return found
+
+    def _hold(self, key, value) -> None:
         self.room -= sys.getsizeof(key) + sys.getsizeof(value) + ENTRY
         if self.room < 0:
             self.old, self.room = self.copy(), self.half
             self.clear()
         self[key] = value
-        return value
 
 
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
@@ -81,6 +97,27 @@ def by_chunk(texts: pa.Array, alone: Callable, behind: Callable, whole: np.ndarr
     return codes, offsets, values
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, split at space and the control characters 9 to 13, and where those of each text start."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    words = lists.flatten()
+    real = pc.not_equal(pc.binary_length(words), 0)
+    ends = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    offsets = lists.offsets.to_numpy()
+    return words.filter(real), ends[offsets - offsets[0]].astype(np.int64)
+
+
+def id_lists(texts: pa.Array, alone: Callable, behind: Callable, whole: np.ndarray | None = None) -> pa.ListArray:
+    """The ids of each text, where `alone` and `behind` give packed 32-bit ids."""
+    codes, offsets, values = by_chunk(texts, alone, behind, whole)
+    sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
+    ids = pa.array(np.frombuffer(b"".join(values), dtype="<i4"))
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    chunks = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids).take(pa.array(codes))
+    ends = np.concatenate([[0], np.cumsum(sizes[codes])])[offsets]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), chunks.flatten())
+
+
 def _number(name: str, firsts: dict[str, int], alone: Callable, values: list) -> int:
     number = firsts.get(name)
     if number is None:

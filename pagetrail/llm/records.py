@@ -19,21 +19,23 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from pagetrail.llm.bpe import Chunks
 from pagetrail.llm.common import keep
+from pagetrail.llm.pieces import Held, id_lists, slices
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 2
 HEAD = struct.Struct("<QI")
 SUM = struct.Struct("<I")
 IDENTITY = struct.Struct("<?q")
-#: Words whose ids a task holds before it drops them, about 200 bytes each.
-HELD_WORDS = 1_000_000
-#: Documents of a file at most.
-FILE_ROWS = 20_000
+#: A file is closed once it has this many bytes; one record may exceed them.
+FILE_BYTES = 128 << 20
 
 
 def masked(data: bytes) -> int:
@@ -73,8 +75,8 @@ def read_at(path: str, offset: int) -> bytes:
         return next(frames(head + rest))[1]
 
 
-def pack(doc_id: int | None, ids: np.ndarray, wide: bool) -> bytes:
-    return IDENTITY.pack(doc_id is not None, doc_id or 0) + ids.astype("<u4" if wide else "<u2").tobytes()
+def identity(doc_id: int | None) -> bytes:
+    return IDENTITY.pack(doc_id is not None, doc_id or 0)
 
 
 def unpack(payload: bytes, wide: bool) -> tuple[int | None, np.ndarray]:
@@ -82,54 +84,83 @@ def unpack(payload: bytes, wide: bool) -> tuple[int | None, np.ndarray]:
     return doc_id if known else None, np.frombuffer(payload, "<u4" if wide else "<u2", offset=IDENTITY.size)
 
 
-@cache
-def _tokenizer(path: str):
-    """Ids of a text. The library encodes each piece of its own first split once, as long as the piece is held; a text
-    that holds the content of an added token, which the library cuts out before that split, it encodes whole."""
-    import os
+class Library:
+    """Ids of texts by the tokenizers library. It encodes each piece of its own first split once, as long as the piece is
+    held; a text that holds the content of an added token, which it cuts out before that split, it encodes whole."""
+
+    def __init__(self, path: str) -> None:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
+        self.pieces = Held(self._packed)
+        self.split = regex.compile(public_tokenizers.PATTERN).findall
 
-    tokenizer = Tokenizer.from_file(path)
-    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+    def _packed(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<i4").tobytes()
 
-    def packed(piece: str) -> bytes:
-        return np.array(tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def alone(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return self._packed(text)
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
-    held = Chunks(packed, public_tokenizers.PATTERN, HELD_WORDS)
+    def behind(self, chunk: str) -> bytes:
+        if chunk.isalpha():  # one piece
+            return self.pieces[" " + chunk]
+        return b"".join(map(self.pieces.__getitem__, self.split(" " + chunk)))
 
-    def ids(text: str | None) -> np.ndarray:
-        whole = text is not None and any(token in text for token in added)
-        return np.frombuffer(packed(text) if whole else held.text(text), dtype="<u4")
+    def lists(self, texts: pa.Array) -> pa.ListArray:
+        whole = np.zeros(len(texts), dtype=bool)
+        for token in self.added:
+            whole |= pc.fill_null(pc.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
+        return id_lists(texts, self.alone, self.behind, whole)
 
-    return ids, tokenizer.get_vocab_size() > 1 << 16
+
+@cache
+def _library(path: str) -> Library:
+    return Library(path)
 
 
-def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END, file_bytes: int = FILE_BYTES) -> None:
     """Write the ids of every row of `docs` (doc_id, text) and the end id as records to the folder `path`, in ascending
     order of doc_id (nulls first, ties by a hash of the text) within and across the sorted file names.
 
-    A null text is an empty one. Repeated rows are written as often as they are there.
+    doc_id is an integer; another type is an error. A null text is an empty one. Repeated rows are written as often as
+    they are there. A task begins a new file, in a folder named by task and file, behind `file_bytes`.
     """
+    kind = docs.schema["doc_id"].dataType
+    if not isinstance(kind, IntegralType):
+        raise TypeError(f"doc_id must be an integer, not {kind.simpleString()}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, wide = _tokenizer(tokenizer)
+        library = _library(tokenizer)
+        task, written = TaskContext.get().partitionId(), 0
+        kind = "<u4" if library.wide else "<u2"
+        last = np.array([end], dtype=kind).tobytes()
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                out = [
-                    frame(pack(doc.as_py(), np.append(encode(text.as_py()), np.uint32(end)), wide))
-                    for doc, text in zip(part.column(0), part.column(1), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
+            for part in slices(batch, 1):
+                lists = library.lists(part.column(1))
+                ids, ends = lists.values.to_numpy().astype(kind), lists.offsets.to_numpy()
+                files, places, out = [], [], []
+                for doc, a, b in zip(part.column(0).to_pylist(), ends, ends[1:], strict=False):
+                    out.append(frame(identity(doc) + ids[a:b].tobytes() + last))
+                    files.append(f"{task:06d}-{written // file_bytes:06d}")
+                    places.append(written)
+                    written += len(out[-1])
+                arrays = [pa.array(files, pa.string()), pa.array(places, pa.int64()), pa.array(out, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["file", "place", "record"])
 
     mark = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = docs.select("doc_id", "text", mark.alias("mark"))
     rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), "mark")
     rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "mark").select("doc_id", "text")
-    records = rows.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
-    records.write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_ROWS).text(path)
+    records = rows.mapInArrow(run, "file string, place bigint, record binary").sortWithinPartitions("file", "place")
+    records = records.select("file", F.col("record").cast("string"))
+    records.write.option("lineSep", "\n").partitionBy("file").text(path)
 
 
 def _parsed(batches: Iterator[pa.RecordBatch], wide: bool) -> Iterator[pa.RecordBatch]:
@@ -153,7 +184,7 @@ def index(spark: SparkSession, path: str, tokenizer: str = TOKENIZER) -> DataFra
     `start` counts the ids of all records before it. Every length and checksum is checked. An empty folder gives no
     rows. One row per file, not per record, goes through one task to add up the starts.
     """
-    wide = _tokenizer(tokenizer)[1]
+    wide = _library(tokenizer).wide
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     schema = "file string, place bigint, doc_id bigint, offset bigint, size bigint, ahead bigint, n_tokens bigint, ids_crc32 bigint"
     records = keep(files.mapInArrow(lambda b: _parsed(b, wide), schema))
@@ -167,7 +198,7 @@ def index(spark: SparkSession, path: str, tokenizer: str = TOKENIZER) -> DataFra
 
 def documents_at(paths: Iterable[tuple[str, int]], tokenizer: str = TOKENIZER) -> Iterator[tuple[int | None, list[int]]]:
     """(doc_id, ids) of records in the order asked for, by (file, offset) rows of the index."""
-    wide = _tokenizer(tokenizer)[1]
+    wide = _library(tokenizer).wide
     for path, offset in paths:
         doc_id, ids = unpack(read_at(path.removeprefix("file://").removeprefix("file:"), offset), wide)
         yield doc_id, ids.tolist()

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from pagetrail.llm.pieces import slices
+from pagetrail.llm.pieces import slices, split_words
 
 #: A perfect difference cover, whose members differ by each number modulo its period.
 COVER, PERIOD = (1, 5, 11, 24, 25, 27), 31
@@ -228,21 +228,11 @@ def _strongest(text: list[int], start: list[int], length: list[int], period: lis
     return best
 
 
-def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts, split at space and the control characters 9 to 13, and where those of each text start."""
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    words = lists.flatten()
-    real = pc.not_equal(pc.binary_length(words), 0)
-    ends = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
-    offsets = lists.offsets.to_numpy()
-    return words.filter(real), ends[offsets - offsets[0]].astype(np.int64)
-
-
 RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 
 
 def _found(part: pa.RecordBatch, least: int, times: int) -> pa.RecordBatch:
-    words, offsets = _words(part.column(1))
+    words, offsets = split_words(part.column(1))
     coded = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
     text, start, length, period = find(coded, offsets, least, times)
     count = part.num_rows

@@ -2,10 +2,11 @@ import random
 import sys
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
-from pagetrail.llm import bpe
+from pagetrail.llm import bpe, pieces
 
 
 @pytest.fixture(scope="module")
@@ -45,13 +46,34 @@ def test_documents(reference, encoder, spark):
 
 
 def test_states_can_be_dropped(monkeypatch, reference):
-    monkeypatch.setattr(bpe, "HELD", 20)
+    monkeypatch.setattr(bpe, "HELD_PAIRS", 20)
     monkeypatch.setattr(bpe, "HELD_STATES", 20)
     encoder = bpe.Encoder()
     text = "Strange words: supercalifragilistic, onomatopoeia; antidisestablishmentarianism!"
     assert encoder.encode(text).tolist() == reference.encode_ordinary(text)
 
 
+def test_neighbours_equal_plain_merging(encoder):
+    transducer = encoder.transducer
+    rng = random.Random(6)
+    common = list(range(3000))
+    for _ in range(20_000):
+        a, b = rng.choice(common), rng.choice(common)
+        data = [transducer.tokens[a], transducer.tokens[b]]
+        alone = all(transducer._merged(d)[0] == [d] for d in data)
+        assert transducer._follows(a, b) == (alone and transducer._merged(b"".join(data))[0] == data), data
+
+
+def test_worker_memory_is_bounded(encoder):
+    rng = random.Random(8)
+    for _ in range(40):
+        encoder.lists(pa.array([" ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(2000))]))
+    transducer, held = encoder.transducer, encoder.pieces
+    assert len(transducer.states) < bpe.HELD_STATES + 100 and len(transducer.fits) < bpe.HELD_PAIRS + 1000
+    entries = [*held.items(), *held.old.items()]
+    assert sum(sys.getsizeof(k) + sys.getsizeof(v) + pieces.ENTRY for k, v in entries) <= pieces.HELD_BYTES
+
+
 def test_streaming_decoder(encoder):
     tokens = encoder.transducer.tokens
     decoder = bpe.Decoder(tokens)

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -25,13 +26,14 @@ def expected(rows, reference):
 
 
 def test_encoding_by_chunks(reference):
-    encode, wide = records._tokenizer(records.TOKENIZER)
-    assert not wide
+    library = records.Library(records.TOKENIZER)
+    assert not library.wide
     rng = random.Random(9)
+    texts = [None]
     for alphabet in ("ab 's", "a \n\t", "  　x", "é日 1.", "<|endoftext|> "):
-        for _ in range(300):
-            text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
-            assert encode(text).tolist() == reference(text), repr(text)
+        texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(300)]
+    plain = Tokenizer.from_file(records.TOKENIZER)
+    assert library.lists(pa.array(texts)).to_pylist() == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
 def test_damage_is_found():
@@ -61,6 +63,18 @@ def test_round_trip(spark, documents, reference, tmp_path):
     assert records.index(spark, f"{tmp_path}/empty").collect() == []
 
 
+def test_files_are_cut_by_bytes(spark, documents, reference, tmp_path):
+    rows = [(i, f"text {i} " * (i % 7 * 40)) for i in range(120)]
+    folder = f"{tmp_path}/out"
+    records.write(documents(rows).repartition(5), folder, file_bytes=3000)
+    listed = records.index(spark, folder).orderBy("start").collect()
+    assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in listed] == expected(rows, reference)
+    sizes = {f: p.stat().st_size for p in tmp_path.rglob("part-*") for f in [p.parent.name]}
+    assert len(sizes) > 5 and max(sizes.values()) < 3000 + 1000
+    with pytest.raises(TypeError, match="integer"):
+        records.write(spark.createDataFrame([("a", "b")], "doc_id string, text string"), f"{tmp_path}/odd")
+
+
 def test_query(spark, reference):
     sf = "/root/testdata/sf0.001"
     rows = sorted(map(tuple, spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()))
@@ -69,13 +83,13 @@ def test_query(spark, reference):
 
 def test_added_tokens_as_the_untouched_library_finds_them(spark, documents, tmp_path):
     library = Tokenizer.from_file(records.TOKENIZER)
-    encode = records._tokenizer(records.TOKENIZER)[0]
+    encode = lambda text: records.Library(records.TOKENIZER).lists(pa.array([text]))[0].as_py()
     rng = random.Random(4)
     parts = ["<|endoftext|>", "<|endoftext", "|>", " a", "b ", " ", "\n", "é's 12"]
     texts = ["a <|endoftext|> b"] + ["".join(rng.choices(parts, k=rng.randrange(9))) for _ in range(500)]
-    for text in texts:
-        assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
-    assert encode(texts[0]).tolist() == [64, 220, 50256, 275]
+    found = records.Library(records.TOKENIZER).lists(pa.array(texts)).to_pylist()
+    assert found == [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert encode(texts[0]) == [64, 220, 50256, 275]
     rows = list(enumerate([*texts[:3], "behind them"]))
     records.write(documents(rows), f"{tmp_path}/out")
     listed = records.index(spark, f"{tmp_path}/out").orderBy("start").collect()
