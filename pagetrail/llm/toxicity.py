@@ -1,16 +1,20 @@
-"""Toxicity by a support vector machine over a gap-weighted subsequence string kernel.
-
-The kernel of two words adds up their common subsequences of ORDER letters, each discounted by DECAY for every letter
-that it spans in either word, so letters put in between, left out or added weaken a match without ending it. Nyström
-landmarks turn it into vectors: terms that mark labelled toxic texts, and frequent harmless words. The machine is
-trained on terms of labelled texts and on such terms with foreign letters inserted, then again with the harmless words
-that it scored highest. A text's margin is that of its most toxic word, and a logistic curve fitted to labelled texts
-makes a probability of it.
+"""Toxicity by a support vector machine over a gap-weighted subsequence string kernel of sentences.
+
+A word is seen as its letters alone, without case, accents and whatever stands between them; single letters in a row are
+one word. Its features are its subsequences of three letters, the edges of the word counting as letters, each discounted
+by DECAY for every letter that it spans, up to REACH. So letters put in or doubled weaken a feature without ending it,
+while letters left out end all features that hold them.
+
+Nyström landmarks are the words of labelled texts with the most leverage: those that mark toxic ones and are least like
+the landmarks chosen before. A word's kernel with a landmark is an exponential of how much of the landmark's features it
+has; a sentence's is the sum over its words. The machine is a squared-hinge one, fitted to labelled sentences, and again
+to the clean ones and those toxic ones that it tells from them, as most sentences of a toxic text are harmless. A text's
+margin is that of its worst sentence, and a logistic curve fitted to labelled texts makes a probability of it.
 """
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -20,479 +24,461 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.llm.common import keep
-
-ORDER = 3
-DECAY = 0.6
-#: Labelled texts of each class that the machine is fitted on, at most; they are chosen by a hash of their doc_id.
-TRAIN_DOCS = 4000
-#: Harmless terms that reach the driver, at most: frequent ones, and some by hash. Toxic terms do all, as each must stand in
-#: several of the TRAIN_DOCS texts.
-FREQUENT_TERMS, HARMLESS_TERMS = 3000, 12_000
-#: Toxic landmarks are chosen until one is like each toxic term, but at most so many (about 40 MB of kernel values of the
-#: terms above in the driver, 4 MB in a task); all toxic terms are also found as they stand.
-TOXIC_LANDMARKS, HARMLESS_LANDMARKS = 512, 8
-#: Kernel value from which terms are like one another.
-ALIKE = 0.6
-#: Landmarks whose kernels are computed together.
-BLOCK = 64
-#: Evidence (twice the log-likelihood ratio) that a term needs to be taken for toxic.
-EVIDENCE = 27.0
-#: Characters of a word looked at together; longer words are looked at in windows that overlap by half.
+from pagetrail.llm.pieces import Held, slices, split_words
+
+#: Discount of a letter that a feature spans, and how many it spans at most, in a word and in a landmark.
+DECAY, REACH, MARK_REACH = 0.98, 7, 5
+#: Shares of a landmark's features below this are counted as none. Width of the exponential.
+FLOOR = 0.5
+WIDTH = 0.15
+#: Landmarks at most.
+LANDMARKS = 96
+#: Labelled texts of each class that are used, about, and sentences of each class with something in common with a landmark
+#: that the machine is fitted on, about; hashes choose them. All other sentences are one point, as often as they are there.
+TRAIN_DOCS, TRAIN_SENTENCES = 4000, 10_000
+#: Candidates for landmarks, at most, and the evidence (twice the log-likelihood ratio) that they need.
+CANDIDATES, EVIDENCE = 600, 22.0
+#: Kernel value from which a word has something in common with a landmark.
+COMMON = 0.05
+#: Letters of a word looked at together; longer words are looked at in windows that overlap by half.
 WINDOW = 24
-#: A word is compared if it holds one in PAIR_SHARE of a landmark's pairs of letters that are at most PAIR_REACH apart.
-PAIR_SHARE, PAIR_REACH = 3, 3
-#: Candidates for the weight of the penalty; the one that explains the labelled texts best is kept.
-PENALTIES = (1e-3, 1e-4, 1e-5, 1e-6)
-#: Words whose margins a task holds before it forgets them.
-HELD = 300_000
+#: Words of a sentence at most; a longer one is several.
+SENTENCE = 64
+#: Single letters in a row that are read as one word.
+SPELLED = 3
+#: Regularisation, and Newton steps of the machine at most.
+COST, STEPS = 0.1, 40
+#: Share of the clean sentences that score lower than what counts as toxic in the second fit.
+TOLD = 0.995
+#: Blocks of the curve and texts of a block; what the margin itself adds to the score.
+CURVE, LEAST, TILT = 60, 20, 0.01
+#: A text with this score or more is toxic.
 THRESHOLD = 0.7
-#: Single characters with white space between them, read as one word.
-SPACED = re.compile(r"(?<!\S)(?:\S\s+){3,}\S[.,;:!?]*(?!\S)")
-EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’…*_-#$%&|~^"
-
-
-def tokens(text: str | None) -> set[str]:
-    """The different lower-case words of a text as they stand, and the words that it spells out letter by letter."""
-    text = (text or "").lower()
-    found = text.split()
-    spelled = b"\1\1\1" in bytes(map((1).__eq__, map(len, found)))  # the last of SPACED may have punctuation behind it
-    found = set(found)
-    if spelled:
-        found.update("".join(m[0].split()) for m in SPACED.finditer(text))
-    return found
+#: Characters behind which a sentence ends.
+STOPS = ".!?…"
+#: The edge of a word, and any letter beyond a to z.
+EDGE, OTHER = "^", "~"
 
 
-def parts(token: str) -> list[str]:
-    """A word without punctuation around it, in overlapping windows if it is long."""
-    word = token.strip(EDGES)
-    if len(word) <= WINDOW:
-        return [word] if word else []
-    return [word[i : i + WINDOW] for i in range(0, len(word) - WINDOW // 2, WINDOW // 2)]
+# ---- words as letters ------------------------------------------------------------
 
 
-def words(text: str | None) -> set[str]:
-    return {part for token in tokens(text) for part in parts(token)}
+class _Letters(dict):
+    """A table for str.translate(): each character as the plain letters it is made of, nothing if it is no letter."""
 
+    def __missing__(self, code: int) -> str:
+        parts = unicodedata.normalize("NFD", chr(code).casefold())
+        found = self[code] = "".join(c if "a" <= c <= "z" else OTHER for c in parts if c.isalpha())
+        return found
 
-def _codes(terms: list[str]) -> np.ndarray:
-    """Code points, one row a term, -1 behind its end."""
-    out = np.full((len(terms), max(map(len, terms), default=0)), -1, dtype=np.int32)
-    for i, term in enumerate(terms):
-        out[i, : len(term)] = np.frombuffer(term.encode("utf-32-le"), dtype="<i4")
-    return out
 
+LETTERS = _Letters()
+CODES = np.zeros(256, dtype=np.int64)
+CODES[[*range(ord("a"), ord("z") + 1), ord(OTHER), ord(EDGE)]] = range(1, 29)
+SIZE = 29
 
-def _fade(starts: np.ndarray, width: int) -> np.ndarray:
-    """What a match at one place is worth at each place behind it, within the blocks that begin at `starts`."""
-    place = np.arange(width)
-    block = np.searchsorted(starts, place, side="right")
-    gap = place - place[:, None]
-    return np.where((gap >= 0) & (block == block[:, None]), DECAY ** np.maximum(gap, 0), 0).astype(np.float32)
 
+def windows(form: str) -> list[str]:
+    if len(form) <= WINDOW:
+        return [form]
+    return [form[start : start + WINDOW] for start in range(0, len(form) - WINDOW // 2, WINDOW // 2)]
 
-def self_kernel(terms: list[str], order: int = ORDER) -> np.ndarray:
-    """The kernel of each term with itself."""
-    codes = _codes(terms)
-    steps = codes.shape[1]
-    fade = _fade(np.array([0]), steps)
-    reach = [np.zeros(codes.shape, dtype=np.float32) for _ in range(order - 1)]
-    total = np.zeros(len(terms), dtype=np.float32)
-    for i in range(steps):
-        same = (codes[:, i, None] == codes) & (codes >= 0)
-        ending = same * np.float32(DECAY**2)
-        for q in range(order - 1):
-            higher = np.zeros_like(ending)
-            higher[:, 1:] = same[:, 1:] * reach[q][:, :-1] * np.float32(DECAY**2)
-            reach[q] = reach[q] * np.float32(DECAY) + ending @ fade
-            ending = higher
-        total += ending.sum(axis=1)
-    return total
 
+def _coded(forms: list[str]) -> np.ndarray:
+    """One row of codes for each form, its edges included, zero behind its end."""
+    width = WINDOW + 2
+    edged = np.array([f"{EDGE}{form}{EDGE}" for form in forms], dtype=f"S{width}")
+    return CODES[edged.view(np.uint8).reshape(len(forms), width)]
 
-class Landmarks:
-    """Normalised kernel values of words with fixed terms.
 
-    The terms stand behind one another, each behind an empty place. `reach[q]` holds, for every place, the discounted
-    common subsequences of q + 1 letters that end there or before. A letter of the words changes only the places of the
-    terms that hold this letter; all others fade.
-    """
+def _places(size: int, reach: int) -> Iterator[tuple[int, int, int]]:
+    for first in range(size):
+        for last in range(first + 2, min(size, first + reach)):
+            for middle in range(first + 1, last):
+                yield first, middle, last
 
-    def __init__(self, terms: list[str], order: int = ORDER, toxic: int = 0) -> None:
-        """The first `toxic` terms, BLOCK at most, are those that near() looks for."""
-        self.terms, self.order = terms, order
-        self.starts = np.cumsum([0, *(len(t) + 1 for t in terms)])[:-1]
-        text = "".join(f"\0{t}" for t in terms)
-        places: dict[str, list[int]] = {}
-        for place, letter in enumerate(text):
-            if letter != "\0":
-                places.setdefault(letter, []).append(place)
-        fade = _fade(self.starts, len(text))
-        self.width = len(text)
-        self.letters = []
-        for letter, at in places.items():
-            owner = np.searchsorted(self.starts, at, side="right") - 1
-            to_term = (owner[:, None] == np.arange(len(terms))).astype(np.float32)
-            self.letters.append((ord(letter), np.array(at) - 1, fade[at], to_term))
-        self._index_pairs(terms[:toxic])
-        own = self_kernel(terms, order)
-        self.scale = np.sqrt(np.where(own > 0, own, 1))
-
-    def _index_pairs(self, terms: list[str]) -> None:
-        letters = sorted({ord(c) for t in terms for c in t})
-        self.alphabet = np.array([*letters, 1 << 30])
-        self.pairs = np.zeros((len(letters) + 1, len(letters) + 1), dtype=np.uint64)
-        self.needed: dict[int, np.uint64] = {}  # pairs needed -> the terms that need so many
-        for number, term in enumerate(terms):
-            bit, total = np.uint64(1 << number), 0
-            for gap in range(1, PAIR_REACH + 1):
-                for a, b in zip(term, term[gap:], strict=False):
-                    self.pairs[letters.index(ord(a)), letters.index(ord(b))] |= bit
-                    total += 1
-            need = max(2, min(15, -(-total // PAIR_SHARE)))
-            self.needed[need] = self.needed.get(need, np.uint64(0)) | bit
-
-    def near(self, words: list[str]) -> np.ndarray:
-        """Whether each word has, for one of the toxic terms, a PAIR_SHARE-th of its pairs of letters in order and at most
-        PAIR_REACH apart; only then can its kernel with that term be large."""
-        codes = _codes(words)
-        at = np.searchsorted(self.alphabet, codes)
-        at[self.alphabet[np.minimum(at, len(self.alphabet) - 1)] != codes] = len(self.alphabet) - 1
-        counts = [np.zeros(len(words), dtype=np.uint64) for _ in range(5)]  # a binary counter per bit; the last stays set
-        for gap in range(1, PAIR_REACH + 1):
-            for i in range(codes.shape[1] - gap):
-                carry = self.pairs[at[:, i], at[:, i + gap]]
-                for count in counts[:-1]:
-                    count ^= carry
-                    carry = carry & ~count
-                counts[-1] |= carry
-        found = np.zeros(len(words), dtype=bool)
-        for need, terms in self.needed.items():
-            equal, more = np.full(len(words), ~np.uint64(0)), counts[-1].copy()
-            for place in (3, 2, 1, 0):
-                if need >> place & 1:
-                    equal &= counts[place]
-                else:
-                    more |= equal & counts[place]
-                    equal &= ~counts[place]
-            found |= ((more | equal) & terms) != 0
-        return found
-
-    def kernels(self, words: list[str], rows: int = 1024) -> np.ndarray:
-        """kernel() of many words, some at a time."""
-        parts = [self.kernel(words[i : i + rows]) for i in range(0, len(words), rows)]
-        return np.concatenate(parts) if parts else np.zeros((0, len(self.terms)), dtype=np.float32)
-
-    def kernel(self, words: list[str]) -> np.ndarray:
-        """One row a word and one column a term; 0 where there is no common subsequence of the order."""
-        codes = _codes(words)
-        square, decay = np.float32(DECAY**2), np.float32(DECAY)
-        reach = [np.zeros((len(words), self.width), dtype=np.float32) for _ in range(self.order - 1)]
-        total = np.zeros((len(words), len(self.terms)), dtype=np.float32)
-        for i in range(codes.shape[1]):
-            column = codes[:, i]
-            rows = [np.flatnonzero(column == letter) for letter, *_ in self.letters]
-            before = [
-                [r[np.ix_(some, ahead)] for r in reach] if len(some) else []
-                for some, (_, ahead, _, _) in zip(rows, self.letters, strict=True)
-            ]
-            for r in reach:
-                r *= decay
-            for some, held, (_, _, fade, to_term) in zip(rows, before, self.letters, strict=True):
-                if len(some):
-                    reach[0][some] += square * fade.sum(axis=0)
-                    for q in range(1, self.order - 1):
-                        reach[q][some] += (held[q - 1] * square) @ fade
-                    total[some] += (held[-1] * square) @ to_term
-        own = self_kernel(words, self.order)
-        return total / np.sqrt(np.where(own > 0, own, 1))[:, None] / self.scale
 
+def _features(codes: np.ndarray, first: int, middle: int, last: int) -> np.ndarray:
+    return (codes[:, first] * SIZE + codes[:, middle]) * SIZE + codes[:, last]
 
-class Blocks:
-    """Landmarks in blocks, as their kernels take time by the square of a block's length, and near() has a bit a term."""
 
-    def __init__(self, terms: list[str], toxic: int) -> None:
-        self.terms, self.toxic = terms, toxic
-        starts = range(0, len(terms), BLOCK)
-        self.blocks = [Landmarks(terms[i : i + BLOCK], toxic=min(BLOCK, max(0, toxic - i))) for i in starts]
+class Landmarks:
+    """Words that others are compared with."""
+
+    def __init__(self, forms: list[str]) -> None:
+        self.forms = forms
+        codes = _coded(forms)
+        found: list[dict[int, float]] = [{} for _ in forms]
+        for mark, form in enumerate(forms):
+            for places in _places(len(form) + 2, MARK_REACH):
+                feature = int(_features(codes[mark : mark + 1], *places)[0])
+                found[mark][feature] = found[mark].get(feature, 0.0) + DECAY ** (places[-1] - places[0] + 1)
+        most = max(map(len, found), default=0)
+        #: [landmark, feature]: the feature's column in `amounts`; one more column holds what is no feature of it
+        self.column = np.full((len(forms), SIZE**3), most, dtype=np.int16)
+        self.amounts = np.zeros((len(forms), most + 1), dtype=np.float32)
+        self.parts = np.zeros((SIZE**3, len(forms)), dtype=np.float32)
+        for mark, features in enumerate(found):
+            for column, (feature, amount) in enumerate(features.items()):
+                self.column[mark, feature], self.amounts[mark, column] = column, amount
+                self.parts[feature, mark] = amount / sum(features.values())
+        self.used = self.parts.any(axis=1)
+
+    def shares(self, forms: list[str]) -> np.ndarray:
+        """[form, landmark]: the share of the landmark's features that a form of at most WINDOW letters has, as far as it
+        has them (the intersection of both); 0 if it is below FLOOR for sure."""
+        shares = np.zeros((len(forms), len(self.forms)), dtype=np.float32)
+        if not forms:
+            return shares
+        codes, sizes = _coded(forms), np.fromiter(map(len, forms), dtype=np.int64, count=len(forms)) + 2
+        for size in np.unique(sizes):
+            rows = np.flatnonzero(sizes == size)
+            here, bound = codes[rows], np.zeros((len(rows), len(self.forms)), dtype=np.float32)
+            for places in _places(int(size), REACH):
+                feature = _features(here, *places)
+                shared = np.flatnonzero(self.used[feature])  # the others have nothing in common with any landmark
+                if len(shared):
+                    bound[shared] += self.parts[feature[shared]]
+            row, mark = np.nonzero(bound >= FLOOR)
+            if len(row):
+                shares[rows[row], mark] = self._common(here[row], int(size), mark)
+        return shares
+
+    def _common(self, codes: np.ndarray, size: int, mark: np.ndarray) -> np.ndarray:
+        amounts, pair = np.zeros((len(mark), self.amounts.shape[1]), dtype=np.float32), np.arange(len(mark))
+        for places in _places(size, REACH):
+            amounts[pair, self.column[mark, _features(codes, *places)]] += np.float32(DECAY ** (places[-1] - places[0] + 1))
+        whole = self.amounts[mark]
+        return np.minimum(amounts, whole).sum(axis=1) / whole.sum(axis=1)
+
+    def kernel(self, forms: list[str]) -> np.ndarray:
+        """From 0 for nothing in common to 1 for everything that a landmark has."""
+        return np.expm1(self.shares(forms) / WIDTH) / np.float32(np.expm1(1 / WIDTH))
+
+
+# ---- sentences of texts ------------------------------------------------------------
 
-    def near(self, words: list[str]) -> np.ndarray:
-        return np.logical_or.reduce([block.near(words) for block in self.blocks if block.needed])
 
-    def kernels(self, words: list[str], rows: int = 1024) -> np.ndarray:
-        return np.concatenate([block.kernels(words, rows) for block in self.blocks], axis=1)
+@dataclass
+class Sentences:
+    """The sentences of some texts: `words` are places in `forms`, `starts` where sentences start among the words,
+    `first` the first sentence of each text; a text without words has none."""
+
+    forms: list[str]
+    words: np.ndarray
+    starts: np.ndarray
+    first: np.ndarray
+
+
+def sentences(texts: pa.Array) -> Sentences:
+    words, offsets = split_words(texts)
+    coded = words.dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    tokens = coded.dictionary.to_pylist()
+    forms = [token.translate(LETTERS) for token in tokens]
+    sizes = np.fromiter(map(len, forms), dtype=np.int64, count=len(forms))
+    stop = np.fromiter((token[-1] in STOPS for token in tokens), dtype=bool, count=len(tokens))
+    count = len(codes)
+    begin = np.zeros(count + 1, dtype=bool)
+    begin[offsets] = True
+    begin[1:] |= stop[codes] if count else False
+    if count:
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        begin[:-1] |= (np.arange(count) - offsets[text]) % SENTENCE == 0
+    extra = _spelled(codes, sizes, offsets, forms)
+    # a spelled word stands where its first letter does
+    codes = codes.copy()
+    for place, form in extra:
+        codes[place] = len(forms)
+        forms.append(form)
+    starts = np.flatnonzero(begin[:-1])
+    return Sentences(forms, codes, starts, np.searchsorted(starts, offsets))
+
+
+def _spelled(codes: np.ndarray, sizes: np.ndarray, offsets: np.ndarray, forms: list[str]) -> list[tuple[int, str]]:
+    """(place, letters) of the runs of single letters; words without any letter do not end them."""
+    places = np.flatnonzero(sizes[codes] > 0) if len(codes) else np.zeros(0, dtype=np.int64)
+    single = sizes[codes[places]] == 1
+    text = np.searchsorted(offsets, places, side="right")
+    new = np.ones(len(places), dtype=bool)
+    new[1:] = (single[1:] != single[:-1]) | (text[1:] != text[:-1])
+    edges = np.concatenate([np.flatnonzero(new), [len(places)]])
+    long = np.flatnonzero((np.diff(edges) >= SPELLED) & single[edges[:-1][: len(edges) - 1]]) if len(places) else []
+    found = []
+    for run in long:
+        run_places = places[edges[run] : edges[run + 1]]
+        found.append((int(run_places[0]), "".join(forms[c] for c in codes[run_places].tolist())))
+    return found
 
 
-def kernel(terms: list[str], others: list[str], order: int = ORDER) -> np.ndarray:
-    """The normalised kernel of each term with each other."""
-    return Landmarks(others, order).kernels(terms)
+# ---- the machine -------------------------------------------------------------------
 
 
-@dataclass
+@dataclass(frozen=True)
 class Model:
-    """landmarks: words; weights: of their kernel values; bias; slope and shift: of the logistic curve."""
+    """A machine and the curve from margins to shares of toxic texts; without landmarks every text gets the same score."""
 
-    landmarks: Blocks | None
-    weights: np.ndarray
+    marks: tuple[str, ...]
+    gains: np.ndarray
     bias: float
-    slope: float = 1.0
-    shift: float = 0.0
-    #: Share of toxic texts among those whose margin tells nothing.
-    floor: float = 0.0
-    #: Of a text without words and of words unlike every landmark; no word has less.
-    empty: float = -1.0
-    #: Terms that mark toxic texts; as they stand, they have the margin of the most toxic one, whether or not
-    #: a landmark is like them.
-    listed: frozenset[str] = frozenset()
-    highest: float = 1.0
-
-    def margins(self, terms: list[str]) -> np.ndarray:
-        return margins([self], terms)[:, 0]
-
-    def without_idle(self) -> Model:
-        """The same without the landmarks that have no weight."""
-        if self.landmarks is None or self.weights.all():
-            return self
-        used = np.flatnonzero(self.weights)
-        terms, toxic = [self.landmarks.terms[i] for i in used], int((used < self.landmarks.toxic).sum())
-        return replace(self, landmarks=Blocks(terms, toxic), weights=self.weights[used])
-
-    def score(self, margin: float) -> float:
-        curve = 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
-        return float(self.floor + (1 - self.floor) * curve)
-
-
-def margins(models: list[Model], terms: list[str]) -> np.ndarray:
-    """The margins of each term by each of some machines that share their landmarks."""
-    landmarks = models[0].landmarks
-    if landmarks is None:
-        return np.tile([m.bias for m in models], (len(terms), 1))
-    weights, bias = np.column_stack([m.weights for m in models]), np.array([m.bias for m in models])
-    out = np.tile([m.empty for m in models], (len(terms), 1))
-    order = np.argsort([len(t) for t in terms], kind="stable")
-    for start in range(0, len(terms), 8192):
-        some = order[start : start + 8192]
-        some = some[landmarks.near([terms[i] for i in some])]
-        if len(some):
-            out[some] = np.maximum(landmarks.kernels([terms[i] for i in some], 4096) @ weights + bias, out[some])
-    for i, m in enumerate(models):
-        if m.listed:
-            known = np.array([t in m.listed for t in terms], dtype=bool)
-            out[known, i] = np.maximum(out[known, i], m.highest)
-    return out
-
-
-def token_margins(models: list[Model], tokens: list[str]) -> list[tuple[float, ...]]:
-    """The margins of each token: those of its most toxic parts."""
-    split = [parts(t) for t in tokens]
-    terms = list({p for some in split for p in some})
-    known = dict(zip(terms, map(tuple, margins(models, terms).tolist()), strict=True))
-    empty = tuple(m.empty for m in models)
-    return [known[some[0]] if len(some) == 1 else tuple(map(max, zip(empty, *(known[p] for p in some)))) for some in split]
-
-
-def _machine(features: np.ndarray, labels: np.ndarray, penalty: float) -> np.ndarray:
-    """Weights and bias of the least squared hinge loss, by Newton steps on the rows inside the margin."""
-    x = np.column_stack([features, np.ones(len(features))])
-    cost = np.where(labels > 0, 0.5 / max(1, (labels > 0).sum()), 0.5 / max(1, (labels < 0).sum()))
-    ridge = penalty * np.eye(x.shape[1])
-    ridge[-1, -1] = 1e-9
-    w = np.zeros(x.shape[1])
-    for step in range(50):
-        inside = labels * (x @ w) < 1
-        if not inside.any():
-            break
-        part = x[inside] * cost[inside, None]
-        new = np.linalg.solve(ridge + part.T @ x[inside], part.T @ labels[inside])
-        if np.allclose(new, w, atol=1e-7):
+    knots: tuple[float, ...] = (0.0,)
+    shares: tuple[float, ...] = (0.5,)
+
+    def score(self, margins: np.ndarray) -> np.ndarray:
+        # a little of the margin itself keeps different margins apart where the curve is level
+        level = 1 / (1 + np.exp(-np.clip(margins, -500, 500)))
+        return (1 - TILT) * np.interp(margins, self.knots, self.shares) + TILT * level
+
+
+class Scorer:
+    """Margins of texts, with what each word adds held while it is in use."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.landmarks = Landmarks(list(model.marks)) if model.marks else None
+        self.held = Held(float)
+
+    def gains(self, forms: list[str]) -> list[float]:
+        """What each form adds to its sentence: of a long one, its worst window."""
+        parts = [windows(form) for form in forms]
+        flat = [part for some in parts for part in some]
+        found = np.concatenate(
+            [self.landmarks.kernel(flat[start : start + 50_000]) @ self.model.gains for start in range(0, len(flat), 50_000)]
+        )
+        ends = np.cumsum([0, *map(len, parts)])
+        return np.maximum.reduceat(found, ends[:-1]).tolist()
+
+    def margins(self, texts: pa.Array) -> np.ndarray:
+        out = np.full(len(texts), self.model.bias)
+        if self.landmarks is None:
+            return out
+        some = sentences(texts)
+        if not len(some.words):
+            return out
+        gain = np.array(self.held.many(some.forms, self.gains))
+        sums = np.add.reduceat(gain[some.words], some.starts)
+        full = some.first[1:] > some.first[:-1]
+        out[full] += np.maximum.reduceat(sums, some.first[:-1][full])
+        return out
+
+
+def by_leverage(forms: list[str], weights: np.ndarray, count: int) -> list[str]:
+    """The forms chosen one by one for the greatest weight times what is left of them beside those chosen before: a
+    pivoted Cholesky factorisation of their kernel."""
+    if not forms:
+        return []
+    kernel = Landmarks(forms).kernel(forms).astype(float)
+    kernel = (kernel + kernel.T) / 2
+    left, factor, chosen = np.ones(len(forms)), np.zeros((len(forms), 0)), []
+    for _ in range(min(count, len(forms))):
+        best = int(np.argmax(weights * left))
+        if weights[best] * left[best] <= 1e-6:
             break
-        w = 0.5 * (w + new) if step > 20 else new
-    return w
-
-
-def _stretched(term: str, number: int) -> str:
-    """The term with foreign characters put in: between all letters, or after one of them."""
-    if number == 0:
-        return ".".join(term)
-    at = 1 + number % max(1, len(term) - 1)
-    return f"{term[:at]}{'*-x.'[number % 4]}{term[at:]}"
-
-
-def _distinct(terms: list[str], most: int, alike: float = ALIKE) -> list[str]:
-    """The first terms, none of them much like one before it."""
-    terms = [t for t in terms if len(t) >= ORDER]
-    free = np.ones(len(terms), dtype=bool)
-    chosen: list[str] = []
-    while len(chosen) < most and free.any():
-        chosen.append(terms[int(free.argmax())])
-        free &= kernel(terms, chosen[-1:])[:, 0] < alike
+        column = (kernel[:, best] - factor @ factor[best]) / np.sqrt(left[best])
+        factor = np.column_stack([factor, column])
+        left = np.clip(left - column**2, 0, 1)
+        left[best] = 0
+        chosen.append(forms[best])
     return chosen
 
 
-def train(toxic: list[str], harmless: list[str], pool: list[str]) -> list[Model]:
-    """Machines, one per penalty and choice of landmarks, from toxic terms, best first, and harmless words, most frequent first; `pool` are more
-    harmless ones, of which those most like toxic ones are used. Without toxic or harmless terms there is one machine,
-    which tells nothing apart."""
-    toxic = [t for t in toxic if len(t) >= ORDER]
-    marks = _distinct(toxic, TOXIC_LANDMARKS)
-    if not marks or not harmless:
-        return [Model(None, np.zeros(0), -1.0)]
-    common = _distinct([w for w in harmless[:200] if w not in toxic], HARMLESS_LANDMARKS)
-    others = list(dict.fromkeys([*harmless, *pool]))
-    landmarks = Blocks(marks + common, len(marks))
-    bad, good = landmarks.kernels(toxic), landmarks.kernels(others)
-    stretched = [_stretched(t, i) for t in marks for i in range(5)]
-    spread = landmarks.kernels(stretched)
-    between = landmarks.kernels(landmarks.terms).astype(np.float64)
-    models, tried = [], set()
-    for alike in (None, ALIKE, 0.5, 0.4):
-        # A term that is like more harmless words than toxic terms may say something only as it stands.
-        told = np.ones(len(marks), dtype=bool)
-        if alike is not None:
-            told = ((bad >= alike).sum(axis=0) >= (good >= alike).sum(axis=0))[: len(marks)]
-        if not told.any() or told.tobytes() in tried:
-            continue
-        tried.add(told.tobytes())
-        use = np.flatnonzero(np.concatenate([told, np.ones(len(common), dtype=bool)]))
-        values, vectors = np.linalg.eigh(between[np.ix_(use, use)])
-        root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-4))) @ vectors.T
-        covered = bad[:, use[: told.sum()]].max(axis=1) > 0.5
-        x = np.concatenate([bad[covered][:, use], spread[np.repeat(told, 5)][:, use]]) @ root
-        y = good[:, use] @ root
-        for penalty in PENALTIES:
-            used = np.arange(len(others)) < len(harmless)
-            for _ in range(4):
-                w = _machine(np.concatenate([x, y[used]]), np.repeat([1.0, -1.0], [len(x), used.sum()]), penalty)
-                hard = np.argsort(-(y @ w[:-1]), kind="stable")[:500]
-                if used[hard].all():
-                    break
-                used[hard] = True
-            weights = np.zeros(len(landmarks.terms))
-            weights[use] = root @ w[:-1]
-            highest = float((x @ w[:-1] + w[-1]).max())
-            models.append(Model(landmarks, weights, float(w[-1]), listed=frozenset(toxic), highest=highest))
-    return models
-
-
-def calibrate(model: Model, margins: np.ndarray, labels: np.ndarray) -> tuple[float, Model]:
-    """The logistic curve through labelled margins, by Newton steps on targets kept off 0 and 1, and its loss.
-
-    Toxic texts with margins like those of 95 in 100 harmless ones say nothing about the curve: they make its floor.
-    """
-    n, p = (labels == 0).sum(), (labels == 1).sum()
-    if not n or not p:
-        return 0.0, replace(model, slope=0.0, shift=float(np.log((p + 0.5) / (n + 0.5))))
-    told = (labels == 0) | (margins > np.quantile(margins[labels == 0], 0.95))
-    floor = float((~told).sum() / (n + (~told).sum()))
-    every, margins, labels = (margins, labels), margins[told], labels[told]
-    p = (labels == 1).sum()
-    aim = np.where(labels == 1, (p + 1) / (p + 2), 1 / (n + 2))
-    x = np.column_stack([margins, np.ones(len(margins))])
-    theta = np.array([1.0, 0.0])
-    for _ in range(100):
-        q = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
-        curve = x.T @ (x * np.maximum(q * (1 - q), 1e-9)[:, None]) + 1e-6 * np.eye(2)
-        step = np.linalg.solve(curve, x.T @ (aim - q) - 1e-6 * theta)
-        theta = theta + step * min(1.0, 5.0 / max(1e-9, np.abs(step).max()))
-        if np.abs(step).max() < 1e-8:
+def squared_hinge(points: np.ndarray, signs: np.ndarray, costs: np.ndarray) -> tuple[np.ndarray, float]:
+    """(weights, bias) of least |weights|^2 / 2 + costs * max(0, 1 - sign * margin)^2, by Newton steps."""
+    full = np.column_stack([points, np.ones(len(points))])
+    ridge = np.eye(full.shape[1])
+    ridge[-1, -1] = 1e-6
+    w = np.zeros(full.shape[1])
+
+    def loss(w: np.ndarray) -> float:
+        return float(w @ ridge @ w / 2 + costs @ np.maximum(0, 1 - signs * (full @ w)) ** 2)
+
+    now = loss(w)
+    for _ in range(STEPS):
+        short = 1 - signs * (full @ w)
+        inside = short > 0
+        some = full[inside]
+        slope = ridge @ w - 2 * some.T @ (costs[inside] * signs[inside] * short[inside])
+        step = np.linalg.solve(ridge + 2 * some.T @ (some * costs[inside, None]), slope)
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > now:
+            size /= 2
+        w, before = w - size * step, now
+        now = loss(w)
+        if before - now <= 1e-9 * (1 + abs(now)):
             break
-    found = replace(model, slope=max(0.0, float(theta[0])), shift=float(theta[1]), floor=floor)
-    q = np.clip([found.score(m) for m in every[0]], 1e-6, 1 - 1e-6)
-    return -float(np.mean(np.where(every[1] == 1, np.log(q), np.log(1 - q)))), found
+    return w[:-1], float(w[-1])
+
+
+def landmarks_of(told: dict[str, float]) -> tuple[str, ...]:
+    """Landmarks from words by how strongly they mark toxic texts."""
+    return tuple(by_leverage(list(told), np.array(list(told.values())), LANDMARKS))
+
+
+def _points(some: Sentences, landmarks: Landmarks) -> tuple[np.ndarray, np.ndarray]:
+    """(sentences, points) of the sentences with something in common with a landmark: the sums of their words' kernels."""
+    kernel = landmarks.kernel([form[:WINDOW] for form in some.forms])
+    active = (kernel > COMMON).any(axis=1)
+    at = np.flatnonzero(active[some.words])
+    which, row = np.unique(np.searchsorted(some.starts, at, side="right") - 1, return_inverse=True)
+    points = np.zeros((len(which), kernel.shape[1]))
+    np.add.at(points, row, kernel[some.words[at]])
+    return which, points
+
+
+def train(marks: tuple[str, ...], points: np.ndarray, toxic: np.ndarray, counts: np.ndarray) -> Model:
+    """A machine from points of sentences, each as often as `counts` says."""
+    between = Landmarks(list(marks)).kernel(list(marks)).astype(float)
+    values, vectors = np.linalg.eigh((between + between.T) / 2)
+    white = vectors / np.sqrt(np.maximum(values, 1e-2)) @ vectors.T
+    full, signs = points @ white, np.where(toxic, 1.0, -1.0)
+
+    costs = COST * counts
+    w, bias = squared_hinge(full, signs, costs)
+    margins = full @ w + bias
+    order = np.argsort(margins[~toxic])
+    below = np.cumsum(counts[~toxic][order])
+    bound = margins[~toxic][order][np.searchsorted(below, TOLD * below[-1])]
+    stays = ~toxic | (margins > bound)
+    if (stays & toxic).any():
+        w, bias = squared_hinge(full[stays], signs[stays], costs[stays])
+    return Model(marks, white @ w, bias)
+
+
+def calibrated(model: Model, margins: np.ndarray, toxic: np.ndarray) -> Model:
+    """The model with the curve that fits the texts' margins best among those that never fall: shares of toxic texts in
+    blocks of neighbouring margins, merged while a block has a smaller share than one below it."""
+    order = np.argsort(margins, kind="stable")
+    blocks: list[list[float]] = []  # texts, toxic ones, sum of margins
+    for chunk in np.array_split(order, max(1, min(CURVE, len(order) // LEAST))):
+        blocks.append([len(chunk), float(toxic[chunk].sum()), float(margins[chunk].sum())])
+        while len(blocks) > 1 and _share(blocks[-2]) >= _share(blocks[-1]):
+            last = blocks.pop()
+            blocks[-1] = [a + b for a, b in zip(blocks[-1], last, strict=True)]
+    knots = [total / max(size, 1) for size, _, total in blocks]
+    return replace(model, knots=tuple(knots), shares=tuple(map(_share, blocks)))
+
+
+def _share(block: list[float]) -> float:
+    return (block[1] + 0.5) / (block[0] + 1)
+
+
+# ---- on Spark --------------------------------------------------------------------------
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:
-    """Rows whose labels are never learned from."""
+    """Rows that are never learnt from."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, toxic) for the words of each text and the beginnings of its words, each once a text."""
+def _chosen(rows: DataFrame, limit: int, mark: Column) -> DataFrame:
+    """About `limit` rows of each class, all if there are fewer, by a hash from 0 to 2 ** 32 - 1."""
+    sizes = dict(rows.groupBy("toxic").count().collect())  # two rows
+    bound = F.lit(0)
+    for label, size in sizes.items():
+        bound = F.when(F.col("toxic") == label, F.lit(int(min(1.0, limit / size) * 2**32))).otherwise(bound)
+    return rows.where(F.pmod(mark, F.lit(2**32)) < bound)
+
+
+def _labelled_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(form, toxic) of (text, toxic): the forms of each text that can be landmarks, each once."""
     for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            terms, labels = [], []
-            for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                found = {w for w in words(text) if len(w) >= ORDER}
-                found |= {w[:n] for w in found for n in range(4, min(8, len(w)))}
-                terms += found
-                labels += [label] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(labels, pa.int32())], names=["term", "toxic"])
-
-
-def _margins(
-    batches: Iterator[pa.RecordBatch], models: list[Model], texts: int = 512
-) -> Iterator[tuple[pa.RecordBatch, list[tuple[float, ...]]]]:
-    """Slices of the batches with the margins of each text (column "text") by each machine."""
-    known: dict[str, tuple[float, ...]] = {}
-    empty = tuple(m.empty for m in models)
+        for part in slices(batch, 0):
+            some = sentences(part.column(0))
+            ends = np.append(some.starts, len(some.words))[some.first]
+            out, labels = [], []
+            for label, a, b in zip(part.column(1).to_pylist(), ends, ends[1:], strict=False):
+                found = [form for c in set(some.words[a:b].tolist()) if 3 <= len(form := some.forms[c]) <= WINDOW]
+                out += set(found)
+                labels += [label] * (len(out) - len(labels))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(labels, pa.int32())], names=["form", "toxic"])
+
+
+def _labelled_points(batches: Iterator[pa.RecordBatch], marks: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """(toxic, point, n) of (text, toxic): the point of each sentence with something in common with a landmark, and how
+    many others there are."""
+    landmarks = Landmarks(list(marks))
     for batch in batches:
-        for start in range(0, batch.num_rows, texts):
-            part = batch.slice(start, texts)
-            if len(known) > HELD:
-                known.clear()
-            found = [tokens(t.as_py()) for t in part.column(part.schema.get_field_index("text"))]
-            fresh = list(set().union(*found) - known.keys())
-            known.update(zip(fresh, token_margins(models, fresh), strict=True))
-            if len(models) == 1:
-                yield part, [max(map(known.__getitem__, some), default=empty) for some in found]
-            else:
-                yield part, [tuple(map(max, zip(empty, *map(known.__getitem__, some)))) for some in found]
-
-
-def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
+        for part in slices(batch, 0):
+            some = sentences(part.column(0))
+            which, points = _points(some, landmarks)
+            labels = np.repeat(part.column(1).to_numpy(zero_copy_only=False), np.diff(some.first))
+            others = np.bincount(np.delete(labels, which), minlength=2)
+            arrays = [
+                pa.array(np.append(labels[which], [0, 1]), pa.int32()),
+                pa.array([*points.tolist(), None, None], pa.list_(pa.float64())),
+                pa.array(np.append(np.ones(len(which)), others).astype(np.int64)),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["toxic", "point", "n"])
+
+
+def _candidates(sample: DataFrame) -> dict[str, float]:
+    """Forms that mark toxic texts, by their evidence, CANDIDATES at most, ties by the form."""
+    sizes = dict(sample.groupBy("toxic").count().collect())  # two rows
+    n1, n0 = float(sizes.get(1, 0)), float(sizes.get(0, 0))
+    if not n1 or not n0:
+        return {}
+    forms = sample.mapInArrow(_labelled_forms, "form string, toxic int").groupBy("form")
+    forms = forms.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    bad, good = F.col("bad"), F.col("good")
+
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    share = (bad + good) / (n0 + n1)
+    evidence = F.when(bad / n1 > good / n0, 2 * (part(bad, share * n1) + part(good, share * n0))).otherwise(0.0)
+    told = forms.select("form", evidence.alias("weight")).where(F.col("weight") >= EVIDENCE)
+    return dict(told.orderBy(F.desc("weight"), "form").limit(CANDIDATES).collect())
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_sentences: int = TRAIN_SENTENCES) -> Model:
     """A calibrated machine from `docs` (doc_id, text) and `labels` (doc_id, toxic 0 or 1), held-out rows left out.
 
-    At most `train_docs` labelled texts of each class are used, the first by a hash of their doc_id; a text with both
-    labels is toxic. Labels that are null or belong to no text are not used. Without texts of both classes every text
-    gets the share of toxic ones.
+    About `train_docs` labelled texts of each class are used, and about `train_sentences` sentences of each class that have
+    something in common with a landmark, by hashes; the points of these reach the driver, and a number for each text. A
+    text with both labels is toxic. Labels that are null or belong to no text are not used. Without texts of both classes,
+    or words that tell them apart, every text gets the share of toxic ones.
     """
     known = labels.where(~is_held_out() & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    by_hash = [F.xxhash64("id"), F.col("id")]
-    chosen = [known.where(F.col("toxic") == c).orderBy(*by_hash).limit(train_docs) for c in (0, 1)]
-    chosen = F.broadcast(chosen[0].union(chosen[1]))  # 2 * train_docs rows at most
-    sample = keep(docs.join(chosen, docs.doc_id == chosen.id).select("text", "toxic"))
-    sizes = dict(sample.groupBy("toxic").count().collect())
-    n0, n1 = float(sizes.get(0, 0)), float(sizes.get(1, 0))
-    counts = sample.mapInArrow(_terms, "term string, toxic int").groupBy("term")
-    counts = keep(counts.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")))
-    bad, good = F.col("bad"), F.col("good")
-    models = [Model(None, np.zeros(0), -1.0)]
-    if n0 and n1:
-
-        def part(seen: Column, expected: Column) -> Column:
-            return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-        share = (bad + good) / (n0 + n1)
-        evidence = 2 * (part(bad, share * n1) + part(good, share * n0))
-        marked = counts.where(bad / n1 > 8 * good / n0).select("term", evidence.alias("evidence"))
-        best = marked.where(F.col("evidence") >= EVIDENCE).orderBy(F.desc("evidence"), F.desc(F.length("term")), "term")
-        clean = counts.where(good > 0).where(bad / n1 <= 8 * good / n0)
-        frequent = clean.orderBy(F.desc("good"), "term").limit(FREQUENT_TERMS)
-        other = clean.orderBy(F.xxhash64("term"), "term").limit(HARMLESS_TERMS)
-        models = train(*([r.term for r in f.select("term").collect()] for f in (best, frequent, other)))
+    chosen = _chosen(known, train_docs, F.xxhash64("id"))
+    texts = docs.select("doc_id", "text")
+    sample = keep(texts.join(chosen, texts.doc_id == chosen.id).select("text", "toxic"))
+    marks = landmarks_of(_candidates(sample))
+    model = Model((), np.zeros(0), -1.0)
+    if marks:
+        found = keep(sample.mapInArrow(lambda b: _labelled_points(b, marks), "toxic int, point array<double>, n bigint"))
+        others = dict(found.where("point IS NULL").groupBy("toxic").agg(F.sum("n")).collect())  # two rows
+        # equal points have equal hashes, so a number makes them differ
+        near = found.where("point IS NOT NULL").withColumn("n", F.monotonically_increasing_id())
+        rows = _chosen(near, train_sentences, F.xxhash64("point", "n")).collect()
+        points = np.array([r.point for r in rows] + [[0.0] * len(marks)] * len(others)).reshape(-1, len(marks))
+        toxic = np.array([r.toxic == 1 for r in rows] + [label == 1 for label in others], dtype=bool)
+        model = train(marks, points, toxic, np.array([1.0] * len(rows) + list(map(float, others.values()))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
         for batch in batches:
-            rows = [m for _, out in _margins(iter([batch]), models) for m in out]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], names=["margins", "toxic"])
+            for part in slices(batch, 0):
+                margins = pa.array(scorer.margins(part.column(0)))
+                yield pa.RecordBatch.from_arrays([margins, part.column(1)], names=["margin", "toxic"])
 
-    seen = sample.mapInArrow(run, "margins array<double>, toxic int").collect()  # 2 * train_docs rows at most
-    labels = np.array([r.toxic for r in seen])
-    fitted = [calibrate(m, np.array([r.margins[i] for r in seen]), labels) for i, m in enumerate(models)]
-    return min(fitted, key=lambda f: f[0])[1].without_idle()
+    seen = sample.mapInArrow(run, "margin double, toxic int").collect()  # about 2 * train_docs rows
+    return calibrated(model, np.array([r.margin for r in seen]), np.array([r.toxic == 1 for r in seen], dtype=bool))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row of `docs` (doc_id, text); null and empty texts get the score of no word at all.
 
-    Repeated rows come out as often as they went in; no rows give no rows.
+    Repeated rows come out as often as they went in; no rows give no rows. Other columns play no part.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, out in _margins(batches, [model]):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([model.score(m) for (m,) in out])], names=["doc_id", "score"])
+        scorer = Scorer(model)
+        for batch in batches:
+            for part in slices(batch, 1):
+                scores = pa.array(model.score(scorer.margins(part.column(1))))
+                yield pa.RecordBatch.from_arrays([part.column(0), scores], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
 
@@ -500,12 +486,12 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 def without_toxic(docs: DataFrame, labelled: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs`, with all their columns, that a machine fitted on `labelled` scores below `threshold`."""
     model = fit(labelled, labels)
-    names = docs.columns
-    schema = docs.schema
+    place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, out in _margins(batches, [model]):
-            stays = pa.array([model.score(m) < threshold for (m,) in out])
-            yield part.filter(stays)
+        scorer = Scorer(model)
+        for batch in batches:
+            for part in slices(batch, place):
+                yield part.filter(pa.array(model.score(scorer.margins(part.column(place))) < threshold))
 
-    return docs.select(*names).mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.schema)
