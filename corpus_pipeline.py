@@ -36,7 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id and token ids of each row, and the text that these decode to."""
-    return bpe.with_texts(bpe.encoded(docs))
+    return bpe.with_texts(docs)
 
 
 STAGES = [
