@@ -3,11 +3,14 @@
 Each of TABLES tables hashes a vector by HASHES Gaussian projections, cut into slots of WIDTH. Inner products become
 distances by one more component that gives every candidate the length of the longest, and queries, scaled to that length
 too, a zero. Where lengths differ, that component would swamp the others, so vectors are cut into bands of like length,
-each with tables and a longest of its own. A query's own slots and the places within them tell how far it is from each slot beside them, so that every
-occupied bucket has an estimate of how likely it holds near vectors: the squared distances to the slots that it differs
-in. Buckets of all tables are probed in that order, until their vectors make up SHARE of the band, or LEAST, or what some
-of the shard's own vectors, taken as queries, need to find RECALL of their nearest; the merged candidates are ranked by
-their exact inner products. Bands follow by descending length until no vector of the next can reach the k-th best.
+each with tables and a longest of its own.
+
+A query's place within its slots tells how far it is from the slots beside them, so every occupied bucket has an estimate
+of how likely it holds near vectors: the squared distances to the slots that it differs in. Buckets are probed in that
+order, in all tables at once: a vector comes up the earlier, the nearer its buckets are together. Probing goes on until a
+share of the band has come up that some of the shard's own vectors, taken as queries, needed to find RECALL of their
+nearest. The merged candidates are ranked by their exact inner products. Bands follow by descending length until no
+vector of the next can reach the k-th best. Queries are hashed, and their buckets estimated, in blocks.
 """
 
 from __future__ import annotations
@@ -18,16 +21,13 @@ from pyspark.sql import functions as F
 
 from pagetrail.llm import blocks
 
-TABLES, HASHES, WIDTH, SEED = 12, 10, 1.2, 11
-#: Share of a shard's vectors that are ranked exactly. Vectors without clusters need about half for a recall of 0.95;
-#: the fewer, the more clustered they are.
-SHARE = 0.5
-#: Vectors of a shard that are ranked exactly at least: among few vectors the nearest are not so near.
-LEAST = 4096
+TABLES, HASHES, WIDTH, SEED = 16, 5, 1.0, 11
+#: Share of a band that is probed at least; vectors without clusters need more.
+SHARE = 0.01
 #: Vectors of a band are shorter than its longest by less than this factor.
 BAND = 1.25
-#: Share of their nearest that SAMPLES of a shard's vectors find in each band.
-RECALL, SAMPLES = 0.97, 48
+#: Share of their nearest that SAMPLES of a band's vectors find in it.
+RECALL, SAMPLES = 0.975, 64
 
 
 class Tables:
@@ -36,92 +36,101 @@ class Tables:
     def __init__(self, rows: np.ndarray, longest: float, tables: int = TABLES) -> None:
         random = np.random.default_rng(SEED)
         dims = rows.shape[1] + 1
-        self.longest = longest
         rest = np.sqrt(np.maximum(longest**2 - (rows**2).sum(axis=1), 0))
         points = np.column_stack([rows, rest]) / longest
-        self.tables = []
+        self.size, self.tables = len(rows), []
         for _ in range(tables):
             lines = random.standard_normal((dims, HASHES)) / WIDTH
             shift = random.uniform(0, 1, HASHES)
-            slots, owner = np.unique(np.floor(points @ lines + shift).astype(np.int64), axis=0, return_inverse=True)
-            low = slots.min(axis=0)
-            self.tables.append((lines, shift, low, np.ascontiguousarray((slots - low).T), owner.reshape(-1)))
-
-    def estimates(self, query: np.ndarray) -> np.ndarray:
-        """How far each vector's nearest bucket is from the query."""
-        length = np.sqrt((query**2).sum())
-        point = np.append(query / length, 0.0)
-        estimate = None
-        for lines, shift, low, slots, owner in self.tables:
-            place = point @ lines + shift
-            total = np.zeros(slots.shape[1])
+            slots = np.floor(points @ lines + shift).astype(np.int64)
+            low, high = slots.min(axis=0), slots.max(axis=0)
+            # a bucket as one number; points are no longer than 1, so its slots are few
+            steps = np.cumprod([1, *(high - low + 1)[:-1]])
+            _, first, owner = np.unique((slots - low) @ steps, return_index=True, return_inverse=True)
+            self.tables.append((lines[:-1], shift, low, high, (slots[first] - low).T.copy(), owner.reshape(-1)))
+
+    def estimates(self, queries: np.ndarray) -> np.ndarray:
+        """[query, vector]: how far the vector's buckets are from the query, added up over the tables."""
+        points = queries / np.sqrt((queries**2).sum(axis=1))[:, None]
+        estimate = np.zeros((len(queries), self.size), dtype=np.float32)
+        for lines, shift, low, high, slots, owner in self.tables:
+            place = points @ lines + shift
+            total = np.zeros((len(queries), slots.shape[1]), dtype=np.float32)
             for h in range(HASHES):
-                edge = low[h] + np.arange(slots[h].max() + 1)  # the lower edge of each slot in use
-                away = np.maximum(np.maximum(edge - place[h], place[h] - edge - 1), 0)
-                total += (away * away)[slots[h]]
-            own = total[owner]
-            estimate = own if estimate is None else np.minimum(estimate, own)
+                edge = np.arange(low[h], high[h] + 1)  # the lower edge of each slot in use
+                away = np.maximum(np.maximum(edge - place[:, h, None], place[:, h, None] - edge - 1), 0)
+                total += (away * away).astype(np.float32)[:, slots[h]]
+            estimate += total[:, owner]
         return estimate
 
-    def candidates(self, query: np.ndarray, share: float) -> np.ndarray:
-        """Places of the vectors in the buckets probed until they make up `share` of all, nearest buckets first."""
-        estimate = self.estimates(query)
-        wanted = int(np.ceil(share * len(estimate)))
-        if wanted >= len(estimate):  # every occupied bucket is probed
-            return np.arange(len(estimate))
-        limit = np.partition(estimate, wanted - 1)[wanted - 1]
-        return np.flatnonzero(estimate <= limit)
-
 
 class Band:
-    """Places of a shard's vectors of like length, with tables if not all are ranked."""
+    """Places of a shard's vectors of like length."""
 
-    def __init__(self, places: np.ndarray, rows: np.ndarray, longest: float, share: float, k: int, samples: np.ndarray) -> None:
-        self.places, self.rows, self.longest, self.share = places, rows[places], longest, max(share, LEAST / len(places))
-        if self.share < 1:
+    def __init__(self, places: np.ndarray, rows: np.ndarray, longest: float, share: float, k: int) -> None:
+        self.places, self.rows, self.longest, self.share = places, rows[places], longest, share
+        if share < 1:
             self.tables = Tables(self.rows, longest)
-            self.share = max(self.share, self._needed(rows, k, samples))
-
-    def _needed(self, rows: np.ndarray, k: int, samples: np.ndarray) -> float:
-        """The share to probe so that the sample vectors find RECALL of their k nearest others in the band."""
-        needed = []
-        for sample in samples:
-            scores = np.where(self.places == sample, -np.inf, self.rows @ rows[sample])
-            nearest = np.argpartition(scores, -k)[-k:] if len(scores) > k else np.arange(len(scores))
-            estimate = self.tables.estimates(rows[sample])
-            needed.append(np.searchsorted(np.sort(estimate), estimate[nearest], side="right") / len(estimate))
-        return float(np.quantile(np.concatenate(needed), RECALL))
-
-    def candidates(self, query: np.ndarray) -> np.ndarray:
-        return self.places if self.share >= 1 else self.places[self.tables.candidates(query, self.share)]
+            self.share = max(share, self._needed(k))
+
+    def _needed(self, k: int) -> float:
+        """The share to probe so that sample vectors find RECALL of their k nearest others in the band."""
+        size = len(self.rows)
+        if size <= k + 1:
+            return 1.0
+        samples = np.unique(np.linspace(0, size - 1, min(SAMPLES, size)).astype(np.int64))
+        scores = self.rows[samples] @ self.rows.T
+        scores[np.arange(len(samples)), samples] = -np.inf
+        nearest = np.argpartition(scores, size - k, axis=1)[:, size - k :]
+        estimate = self.tables.estimates(self.rows[samples])
+        found = np.take_along_axis(estimate, nearest, axis=1)
+        ranks = [np.searchsorted(np.sort(e), f, side="right") for e, f in zip(estimate, found, strict=True)]
+        return float(np.quantile(np.concatenate(ranks) / size, RECALL))
+
+    def candidates(self, queries: np.ndarray) -> list[np.ndarray]:
+        """Places in the band of the vectors that come up first for each query."""
+        size = len(self.rows)
+        wanted = int(np.ceil(self.share * size))
+        if wanted >= size:  # every occupied bucket is probed
+            return [np.arange(size)] * len(queries)
+        estimate = self.tables.estimates(queries)
+        limits = np.partition(estimate, wanted - 1, axis=1)[:, wanted - 1]
+        return [np.flatnonzero(e <= limit) for e, limit in zip(estimate, limits, strict=True)]
 
 
 def index(k: int, longest: float, share: float) -> blocks.Index:
     def build(numbers: np.ndarray, ids: np.ndarray, rows: np.ndarray):
         lengths = np.sqrt((rows**2).sum(axis=1))
         band = np.floor(np.log(np.maximum(longest / lengths, 1)) / np.log(BAND))
-        samples = np.linspace(0, len(rows) - 1, min(SAMPLES, len(rows))).astype(np.int64)
         bands = []
         for number in np.unique(band):
             places = np.flatnonzero(band == number)
-            bands.append(Band(places, rows, float(lengths[places].max()), share, k, samples))
+            bands.append(Band(places, rows, float(lengths[places].max()), share, k))
 
-        def search(number: int, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            length = np.sqrt((query**2).sum())
-            places, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
+        def search(asked: np.ndarray, queries: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+            found = [(np.zeros(0, dtype=np.int64), np.zeros(0)) for _ in asked]
+            size = np.sqrt((queries**2).sum(axis=1))
             for held in bands:
                 # no score of a band exceeds the product of the lengths
-                if len(places) >= k and scores.min() > length * held.longest * (1 + 1e-9) + 1e-9:
+                open_ = [
+                    i for i, (places, scores) in enumerate(found)
+                    if len(places) < k or scores.min() <= size[i] * held.longest * (1 + 1e-9) + 1e-9
+                ]
+                if not open_:
                     break
-                more = held.candidates(query)
-                more = more[numbers[more] != number]
-                places, scores = np.concatenate([places, more]), np.concatenate([scores, rows[more] @ query])
-                if len(places) > k:
-                    kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                    places, scores = places[scores >= kth - 1e-9], scores[scores >= kth - 1e-9]
+                for i, more in zip(open_, held.candidates(queries[open_]), strict=True):
+                    score = held.rows[more] @ queries[i]
+                    more = held.places[more]
+                    other = numbers[more] != asked[i]
+                    places, scores = np.concatenate([found[i][0], more[other]]), np.concatenate([found[i][1], score[other]])
+                    if len(places) > k:
+                        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+                        stays = scores >= kth - 1e-9 * (1 + abs(kth))
+                        places, scores = places[stays], scores[stays]
+                    found[i] = places, scores
             # the sum over components in order, so that a score does not depend on the shard
-            exact = np.array([float(sum((rows[p] * query).tolist())) for p in places])
-            return blocks.top(places, exact, ids, k)
+            exact = [np.cumsum(rows[places] * query, axis=1)[:, -1] for (places, _), query in zip(found, queries, strict=True)]
+            return [blocks.top(places, scores, ids, k) for (places, _), scores in zip(found, exact, strict=True)]
 
         return search
 

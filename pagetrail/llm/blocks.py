@@ -18,8 +18,12 @@ from pagetrail.llm.common import keep
 
 SHARD_ROWS = 8192
 
-#: Given the numbers, ids and rows of a shard, a function from (query's number, query) to (places, scores).
-Index = Callable[[np.ndarray, np.ndarray, np.ndarray], Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray]]]
+#: Queries that a shard is asked at a time.
+QUERIES = 64
+
+#: Given the numbers, ids and rows of a shard, a function from the numbers and rows of queries to (places, scores) of each.
+Found = list[tuple[np.ndarray, np.ndarray]]
+Index = Callable[[np.ndarray, np.ndarray, np.ndarray], Callable[[np.ndarray, np.ndarray], Found]]
 
 
 def usable(vectors: DataFrame, nonzero: bool) -> DataFrame:
@@ -59,16 +63,18 @@ def _search(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Reco
             if search is None:
                 numbers, names, matrix = (np.concatenate(x) for x in zip(*rows, strict=True))
                 search = index(numbers, names, matrix)
-            found = [search(int(number[i]), part[i - a]) for i in range(a, b)]
-            times = [len(p) for p, _ in found]
-            places = np.concatenate([p for p, _ in found]).astype(np.int64)
-            arrays = [
-                pa.array(np.repeat(number[a:b], times)),
-                pa.array(np.repeat(ids[a:b], times)),
-                pa.array(names[places]),
-                pa.array(np.concatenate([s for _, s in found])),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["number", "query_id", "vec_id", "score"])
+            for start in range(a, b, QUERIES):
+                some = slice(start, min(b, start + QUERIES))
+                found = search(number[some], part[some.start - a : some.stop - a])
+                times = [len(p) for p, _ in found]
+                places = np.concatenate([p for p, _ in found]).astype(np.int64)
+                arrays = [
+                    pa.array(np.repeat(number[some], times)),
+                    pa.array(np.repeat(ids[some], times)),
+                    pa.array(names[places]),
+                    pa.array(np.concatenate([s for _, s in found])),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=["number", "query_id", "vec_id", "score"])
 
 
 def best(rows: DataFrame, every: int, k: int, index: Index, score_type: str, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -78,15 +84,15 @@ def best(rows: DataFrame, every: int, k: int, index: Index, score_type: str, sha
     """
     rows = rows.withColumn("dimensions", F.size("vector").cast("bigint"))
     shards = max(1, -(-rows.count() // shard_rows))
-    spread = rows.withColumn("shard", F.pmod(F.xxhash64("number"), F.lit(shards)).cast("bigint"))
+    spread = rows.withColumn("shard", F.pmod(F.xxhash64("number"), F.lit(shards)).cast("int"))
     queries = rows.where(F.col("vec_id") % every == 0)
-    queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))))
+    queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     columns = [F.col("shard"), "is_query", "dimensions", "number", F.col("vec_id").cast("bigint").alias("vec_id"), "vector"]
     both = spread.withColumn("is_query", F.lit(False)).select(*columns)
     both = both.union(queries.withColumn("is_query", F.lit(True)).select(*columns))
     order = ["shard", "dimensions", "is_query"]
     near = (
-        both.repartition(shards, "shard")
+        both.repartitionById(shards, F.col("shard"))  # one shard a task
         .sortWithinPartitions(*order)
         .mapInArrow(lambda b: _search(b, index), f"number bigint, query_id bigint, vec_id bigint, score {score_type}")
     )

@@ -105,6 +105,10 @@ def wide(k: int, numbers: np.ndarray, ids: np.ndarray, rows: np.ndarray):
     return search
 
 
+def one_by_one(search):
+    return lambda numbers, queries: [search(int(n), q) for n, q in zip(numbers, queries, strict=True)]
+
+
 def index(k: int) -> blocks.Index:
     def build(numbers: np.ndarray, ids: np.ndarray, rows: np.ndarray):
         widest = float(np.abs(rows).max(initial=0)) + 1
@@ -114,7 +118,7 @@ def index(k: int) -> blocks.Index:
             return (float(np.abs(vector).max(initial=0)) + 1) * widest * rows.shape[1] < EXACT
 
         if not fits(rows):
-            return others
+            return one_by_one(others)
         values = np.floor(256 * rows).astype(np.int64)
         held = ImpactIndex(values)
 
@@ -126,7 +130,7 @@ def index(k: int) -> blocks.Index:
             places = places[numbers[places] != number]
             return blocks.top(places, values[places] @ query, ids, k)
 
-        return search
+        return one_by_one(search)
 
     return build
 

@@ -65,17 +65,46 @@ def test_whole_share_is_exact(spark):
     assert ann.nearest(table(spark, [])).collect() == []
 
 
+def recall(rows, asked, k=20):
+    """The share of the true nearest that a shard's index finds."""
+    places, asked = np.arange(len(rows)), np.array(asked)
+    search = ann.index(k, float(np.sqrt((rows**2).sum(axis=1)).max()), ann.SHARE)(places, places, rows)
+    hits = 0
+    for start in range(0, len(asked), blocks.QUERIES):
+        some = asked[start : start + blocks.QUERIES]
+        for q, (found, scores) in zip(some, search(some, rows[some]), strict=True):
+            every = rows @ rows[q]
+            every[q] = -np.inf
+            hits += len(np.intersect1d(found, np.argsort(-every)[:k]))
+            assert q not in found and (np.diff(scores) <= 0).all()
+    return hits / (len(asked) * k)
+
+
+@pytest.mark.parametrize("size", [2, 22, 60, 500])
+def test_small_shards_are_hashed_too(size):
+    random = np.random.default_rng(size)
+    rows = random.standard_normal((size, 64))
+    assert recall(rows, range(0, size, 7), min(20, size - 1)) >= 0.9
+    if size == 500:
+        longest = float(np.sqrt((rows**2).sum(axis=1)).max())
+        band = ann.Band(np.arange(size), rows, longest, ann.SHARE, 20)
+        assert len(band.tables.tables) == ann.TABLES and band.share < 0.9
+
+
+def test_clustered_vectors_need_a_small_share():
+    random = np.random.default_rng(2)
+    centres = random.standard_normal((100, 64))
+    rows = centres[np.arange(4000) % 100] + 0.1 * random.standard_normal((4000, 64))
+    rows /= np.sqrt((rows**2).sum(axis=1))[:, None]
+    assert ann.Band(np.arange(4000), rows, 1.0, ann.SHARE, 20).share < 0.03
+    assert recall(rows, range(0, 400, 10)) >= 0.9
+
+
 def test_recall_of_a_large_shard():
     random = np.random.default_rng(8)
-    rows = random.standard_normal((ann.LEAST * 2, 64))
+    rows = random.standard_normal((8192, 64))
     rows /= np.sqrt((rows**2).sum(axis=1))[:, None]
-    search = ann.index(20, 1.0, ann.SHARE)(np.arange(len(rows)), np.arange(len(rows)), rows)
-    hits = 0
-    for q in range(0, 400, 10):
-        scores = rows @ rows[q]
-        scores[q] = -9
-        hits += len(np.intersect1d(search(q, rows[q])[0], np.argsort(-scores)[:20]))
-    assert hits >= 0.9 * 40 * 20
+    assert recall(rows, range(0, 400, 10)) >= 0.9
 
 
 def test_recall(spark):
@@ -106,7 +135,7 @@ def test_large_components(spark):
 @pytest.mark.parametrize("spread", ["one of twice the length", "one of four times", "lognormal", "within a band"])
 def test_recall_of_unequal_lengths(spread):
     random = np.random.default_rng(12)
-    rows = random.standard_normal((ann.LEAST * 2, 64))
+    rows = random.standard_normal((8192, 64))
     rows /= np.sqrt((rows**2).sum(axis=1))[:, None]
     if spread == "lognormal":
         rows *= random.lognormal(size=(len(rows), 1))
@@ -114,11 +143,4 @@ def test_recall_of_unequal_lengths(spread):
         rows *= random.uniform(0.82, 1, size=(len(rows), 1))
     else:
         rows[4321] *= 2 if "twice" in spread else 4
-    places = np.arange(len(rows))
-    search = ann.index(20, float(np.sqrt((rows**2).sum(axis=1)).max()), ann.SHARE)(places, places, rows)
-    hits = 0
-    for q in range(0, 800, 20):
-        scores = rows @ rows[q]
-        scores[q] = -np.inf
-        hits += len(np.intersect1d(search(q, rows[q])[0], np.argsort(-scores)[:20]))
-    assert hits >= 0.9 * 40 * 20
+    assert recall(rows, range(0, 800, 20)) >= 0.9
