@@ -11,6 +11,7 @@ unknown.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,32 +20,102 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Notices by which well-known licences are named.
+#: Notices and paragraphs of well-known licences.
+AS_IS = (
+    "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+    "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+FREE_PROGRAM = (
+    "This program is free software{} you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+    "the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+)
 TEMPLATES = {
     "MIT": [
         "Released under the MIT License.",
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        "documentation files (the Software), to deal in the Software without restriction",
+        "documentation files (the Software), to deal in the Software without restriction, including without limitation the "
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+        "permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the Software.",
+        AS_IS,
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance "
-        "with the License.",
+        "with the License. You may obtain a copy of the License at",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+        "an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+        "specific language governing permissions and limitations under the License.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, "
+        "non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, "
+        "publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or "
+        "Object form.",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        FREE_PROGRAM.format(";", "General Public License", "2"),
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License",
+        FREE_PROGRAM.format(":", "General Public License", "3"),
+    ],
+    "LGPL-2.1": [
+        "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        FREE_PROGRAM.format(";", "Lesser General Public License", "2.1"),
+    ],
+    "LGPL-3.0": [
+        "This library is licensed under the GNU Lesser General Public License, version 3.",
+        FREE_PROGRAM.format(":", "Lesser General Public License", "3"),
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        FREE_PROGRAM.format(":", "Affero General Public License", "3"),
+    ],
+    "BSD-2-Clause": [
+        "Distributed under the BSD 2-Clause License.",
+        "Use of this source code is governed by the Simplified BSD 2-Clause license.",
     ],
-    "LGPL-2.1": ["This library is licensed under the GNU Lesser General Public License, version 2.1."],
     "BSD-3-Clause": [
         "Distributed under the BSD 3-Clause License.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ],
+    #: what both of them say
+    "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met",
+        "the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution.",
+    ],
+    "ISC": [
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS.",
     ],
     "MPL-2.0": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at",
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at",
+        "Licensed under the Eclipse Public License, version 2.0.",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form "
+        "or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all "
+        "copyright interest in the software to the public domain.",
     ],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
@@ -60,12 +131,22 @@ TEMPLATES = {
     ],
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0 Universal."],
 }
+#: Words that tell licences of otherwise equal wording apart; version numbers do so too.
+TELLING = frozenset(
+    "affero lesser noncommercial noderivatives sharealike attribution attribution-noncommercial attribution-sharealike "
+    "attribution-noderivatives by by-nc by-sa by-nd by-nc-sa by-nc-nd 2-clause 3-clause 4-clause".split()
+)
+NUMBER = re.compile(r"v?(\d+(?:\.\d+)*)")
 NONE, UNKNOWN = "none", "unknown"
 GRAMS = 3
 WORDS = re.compile(r"[^\W_]+(?:[.+-][^\W_]+)*")
-#: Paragraphs of the corpus to train on, at most; the first by a hash of them.
-SAMPLE = 3000
-VARIANTS = 40
+#: Paragraphs of the corpus to train on, about, chosen by a hash; the words of it that stand in COMMON of them or more are
+#: features too.
+SAMPLE, COMMON = 1500, 5
+#: Variants of a template, and training steps.
+VARIANTS, STEPS = 24, 150
+#: Characters of a paragraph of the background at most; `SAMPLE` of them reach the driver.
+LONGEST = 4000
 SEED = 17
 CERTAIN = 0.5
 #: Share of the word pairs of the shorter of paragraph and template that the other must have.
@@ -94,6 +175,12 @@ def grams(found: list[str], vocabulary: dict[tuple[str, ...], int] | None = None
     return out
 
 
+def telling(found: list[str]) -> set[str]:
+    """The words and version numbers that tell licences apart; 3 and 3.0 are the same."""
+    numbers = (NUMBER.fullmatch(word) for word in found)
+    return {n[1].removesuffix(".0") for n in numbers if n} | TELLING.intersection(found)
+
+
 def _pairs(found: list[str]) -> set[tuple[str, str]]:
     return set(zip(found, found[1:], strict=False))
 
@@ -107,16 +194,20 @@ class Model:
     temperature: float = 1.0
 
     def __post_init__(self) -> None:
-        self.pairs = {name: [_pairs(words(t)) for t in texts] for name, texts in TEMPLATES.items()}
+        self.marks = {name: [(_pairs(words(t)), telling(words(t))) for t in texts] for name, texts in TEMPLATES.items()}
 
     def logits(self, found: list[str]) -> np.ndarray:
         numbers = list(grams(found, self.vocabulary))
         return (self.weights[numbers].sum(axis=0) if numbers else 0) + self.bias
 
     def confirmed(self, family: str, found: list[str]) -> bool:
-        """Whether the paragraph shares enough word pairs with a template of the family."""
-        own = _pairs(found)
-        return any(len(own & t) >= CONFIRMED * min(len(t), max(len(own), 3)) for t in self.pairs[family])
+        """Whether the paragraph shares enough word pairs with a template of the family, has all of its telling words and
+        numbers, and no telling words of another."""
+        own, told = _pairs(found), telling(found)
+        return any(
+            len(own & pairs) >= CONFIRMED * min(len(pairs), max(len(own), 3)) and marks <= told and told & TELLING <= marks
+            for pairs, marks in self.marks[family]
+        )
 
     def classify(self, paragraph: str) -> tuple[str, float]:
         """(class, its probability) of one paragraph."""
@@ -134,32 +225,37 @@ class Model:
 
 
 def _examples(background: list[list[str]], random: np.random.Generator) -> tuple[list[list[str]], list[str]]:
-    """Variants of every template, of licences of no known family, and the background."""
+    """Variants of every template, of licences of no known family, and the background.
+
+    Unknown ones are templates whose telling words and numbers, and names, are others: words that no other family has.
+    """
     spare = sorted({w for p in background for w in p if len(w) > 2}) or ["lorem", "ipsum", "dolor", "amet"]
-    common = {w for t in (x for texts in TEMPLATES.values() for x in texts) for w in words(t)}
-    telling = {
-        name: {w for t in texts for w in words(t)} - {w for other, ts in TEMPLATES.items() if other != name for t in ts for w in words(t)}
-        for name, texts in TEMPLATES.items()
-    }
+    of_family = {name: {w for t in texts for w in words(t)} for name, texts in TEMPLATES.items()}
+    own = {name: found - set().union(*(f for n, f in of_family.items() if n != name)) for name, found in of_family.items()}
     pick = lambda n: [spare[i] for i in random.integers(len(spare), size=n)]
-    paragraphs, labels = [], []
+    made, labels = [], []
     for name, texts in TEMPLATES.items():
         for text in texts:
-            base = words(text)
+            base, told = words(text), telling(words(text))
             for i in range(VARIANTS):
-                kept = [w for w in base if i == 0 or random.random() > 0.08]
+                # what tells families apart is never left out
+                kept = [w for w in base if i == 0 or telling([w]) & told or w in own[name] or random.random() > 0.1]
+                kept = [w + ".0" if w.isdigit() and i % 5 == 4 else w for w in kept]
+                if i % 2 and len(base) > 24:  # a line of a paragraph that was wrapped
+                    start = int(random.integers(len(base) - 12))
+                    kept = base[start : start + int(random.integers(10, 16))]
                 around = [pick(random.integers(0, 7)) if i % 3 else [], pick(random.integers(0, 7)) if i % 2 else []]
-                paragraphs.append([*around[0], *kept, *around[1]])
+                made.append([*around[0], *kept, *around[1]])
                 labels.append(name)
-            for _ in range(VARIANTS // 2):
-                marks = telling[name] | set(random.choice(sorted(common), 2).tolist()) - {"licensed", "license", "under"}
-                changed = [pick(1)[0] if w in marks or re.search(r"\d", w) else w for w in base]
+            for _ in range(VARIANTS // 3):
+                changed = [
+                    str(random.integers(5, 30)) if NUMBER.fullmatch(w) else pick(1)[0] if w in own[name] or w in TELLING or random.random() < 0.2 else w
+                    for w in base
+                ]
                 if changed != base and {"license", "licensed", "permission", "redistribution", "cc"} & set(changed):
-                    paragraphs.append(changed)
+                    made.append(changed)
                     labels.append(UNKNOWN)
-    paragraphs += background
-    labels += [NONE] * len(background)
-    return paragraphs, labels
+    return made + background, labels + [NONE] * len(background)
 
 
 def train(background: list[str]) -> Model:
@@ -167,33 +263,42 @@ def train(background: list[str]) -> Model:
     random = np.random.default_rng(SEED)
     probe = Model([], {}, np.zeros((0, 0)), np.zeros(0))
     others = [w for w in map(words, background) if w and not any(probe.confirmed(f, w) for f in TEMPLATES)] or [["lorem", "ipsum"]]
-    paragraphs, labels = _examples(others, random)
+    made, labels = _examples(others, random)
     classes = [*TEMPLATES, UNKNOWN, NONE]
-    vocabulary = {g: i for i, g in enumerate(sorted({g for t in (x for ts in TEMPLATES.values() for x in ts) for g in grams(words(t))}))}
-    x = np.zeros((len(paragraphs), len(vocabulary)), dtype=np.float32)
-    for i, paragraph in enumerate(paragraphs):
-        x[i, list(grams(paragraph, vocabulary))] = 1
+    known = {g for texts in TEMPLATES.values() for t in texts for g in grams(words(t))}
+    seen = Counter(w for p in others for w in set(p))
+    known |= {(w,) for w, n in seen.items() if n >= COMMON}
+    vocabulary = {g: i for i, g in enumerate(sorted(known))}
+    features = [sorted(grams(paragraph, vocabulary)) or [len(vocabulary)] for paragraph in made]
     y = np.array([classes.index(c) for c in labels])
     held = random.random(len(y)) < 0.2
-    aim = np.eye(len(classes), dtype=np.float32)[y]
-    weight = (1 / np.bincount(y, minlength=len(classes)).clip(1))[y].astype(np.float32)[:, None] / len(classes)
+    aim = np.eye(len(classes))[y]
+    weight = (1 / np.bincount(y[~held], minlength=len(classes)).clip(1))[y][:, None] / len(classes)
     weight[held] = 0
-    w, b = np.zeros((len(vocabulary), len(classes)), dtype=np.float32), np.zeros(len(classes), dtype=np.float32)
+    # paragraphs by feature and features by paragraph, one behind the other; one more weight, always 0, is that of none
+    flat, sizes = np.concatenate(features), np.array([len(f) for f in features])
+    starts, row = np.concatenate([[0], np.cumsum(sizes)])[:-1], np.repeat(np.arange(len(features)), sizes)
+    order = np.argsort(flat, kind="stable")
+    present, first = np.unique(flat[order], return_index=True)
+    w, b = np.zeros((len(vocabulary) + 1, len(classes))), np.zeros(len(classes))
     speed = [np.zeros_like(w), np.zeros_like(b)]
-    for _ in range(200):
-        z = x @ w + b
+    for _ in range(STEPS):
+        z = np.add.reduceat(w[flat], starts) + b
         p = np.exp(z - z.max(axis=1, keepdims=True))
         miss = weight * (p / p.sum(axis=1, keepdims=True) - aim)
-        speed = [0.9 * speed[0] - 2.0 * (x.T @ miss + 1e-5 * w), 0.9 * speed[1] - 2.0 * miss.sum(axis=0)]
+        slope = 1e-5 * w
+        slope[present] += np.add.reduceat(miss[row[order]], first)
+        slope[-1] = 0
+        speed = [0.9 * speed[0] - 2.0 * slope, 0.9 * speed[1] - 2.0 * miss.sum(axis=0)]
         w, b = w + speed[0], b + speed[1]
-    z = (x @ w + b)[held]
+    z = (np.add.reduceat(w[flat], starts) + b)[held]
 
     def loss(t: float) -> float:
         s = z / t - (z / t).max(axis=1, keepdims=True)
         return float(-(s[np.arange(len(s)), y[held]] - np.log(np.exp(s).sum(axis=1))).mean())
 
     temperature = min(np.geomspace(0.2, 5, 41).tolist(), key=loss) if held.any() else 1.0
-    return Model(classes, vocabulary, w.astype(np.float64), b.astype(np.float64), temperature)
+    return Model(classes, vocabulary, w[:-1], b, temperature)
 
 
 def paragraphs(text: str | None) -> list[str]:
@@ -201,10 +306,14 @@ def paragraphs(text: str | None) -> list[str]:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model with at most `sample` different paragraphs of `docs` as background, the first by a hash of them."""
+    """A model with about `sample` different paragraphs of `docs` as background, chosen by a hash; longer ones than
+    LONGEST characters are left out of it."""
     lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line")).where("line rlike '[^ ]'")
-    lines = lines.select(F.substring("line", 1, 2000).alias("line")).distinct()
-    chosen = lines.orderBy(F.xxhash64("line"), "line").limit(sample).collect()  # `sample` rows at most
+    lines = lines.where(F.length("line") <= LONGEST)
+    mark = F.pmod(F.xxhash64("line"), F.lit(2**32))
+    share = min(1.0, 1.2 * sample / max(lines.count(), 1))
+    # equal lines have equal marks; so few rows, not some of every task, reach the driver
+    chosen = lines.where(mark < int(share * 2**32)).distinct().orderBy(mark, "line").limit(sample).collect()
     return train([r.line for r in chosen])
 
 

@@ -31,6 +31,45 @@ def test_unknown_and_none(model):
         assert model.classify(text)[0] == licences.NONE
 
 
+MIT_WARRANTY = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
+)
+
+
+@pytest.mark.parametrize(
+    ("text", "family"),
+    [
+        (MIT_WARRANTY, "MIT"),
+        ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+        ("Licensed under the GNU Affero General Public License version 3", "AGPL-3.0"),
+        ("This software is distributed under the BSD 2-Clause License", "BSD-2-Clause"),
+        ("This software is distributed under the BSD 3-Clause License", "BSD-3-Clause"),
+        ("This program is licensed under the GNU General Public License, version 2", "GPL-2.0"),
+        ("This program is licensed under the GNU General Public License, version 3.0", "GPL-3.0"),
+        ("Licensed under the GNU Lesser General Public License, version 3", "LGPL-3.0"),
+        ("made available under the terms of the Eclipse Public License 2.0", "EPL-2.0"),
+        ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted", "ISC"),
+        ("rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell", "MIT"),
+        ("Redistributions of source code must retain the above copyright notice", "BSD"),
+        ("This project is released under the terms of the Apache License, Version 2.0, see the file.", "Apache-2.0"),
+    ],
+)
+def test_bodies_and_other_wordings(model, text, family):
+    assert model.classify(text)[0] in (family, licences.UNKNOWN)
+    # what the templates say is found by name
+    if family not in ("GPL-3.0", "Apache-2.0", "AGPL-3.0"):
+        assert model.classify(text)[0] == family
+
+
+@pytest.mark.parametrize("text", [
+    "This work is licensed under the GNU General Public License, version 4.", "Licensed under the Apache License, Version 1.1.",
+    "Distributed under the BSD 4-Clause License.", "Licensed under CC BY-ND 4.0.", "Licensed under CC BY-NC-SA 3.0.",
+])
+def test_neighbours_are_unknown(model, text):
+    assert model.classify(text)[0] == licences.UNKNOWN
+
+
 def test_calibration(model):
     assert all(0 <= model.classify(t)[1] <= 1 for ts in licences.TEMPLATES.values() for t in ts)
     assert 0.2 <= model.temperature <= 5
