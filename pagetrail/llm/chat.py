@@ -23,12 +23,16 @@ OPEN, HEAD_END, CLOSE = "### ", ":\n", "</turn>\n"
 #: What starts a control string or an escape, or ends a head.
 TRIGGERS = re.compile(r"[\\#<:]")
 ESCAPED = re.compile(r"\\(.)", re.DOTALL)
-PLACEHOLDER = re.compile(r"<(image|audio|document)>")
-SEGMENT = re.compile(r"### ((?:\\.|[^\\:])*):\n((?:\\.|<(?:image|audio|document)>|[^\\<])*)</turn>\n", re.DOTALL)
+#: Placeholders of parts that are no text; parts of a kind that is none of these are unknown.
+KINDS = ("image", "audio", "document", "unknown")
+PLACEHOLDER = re.compile(f"<({'|'.join(KINDS)})>")
+SEGMENT = re.compile(rf"### ((?:\\.|[^\\:])*):\n((?:\\.|<(?:{'|'.join(KINDS)})>|[^\\<])*)</turn>\n", re.DOTALL)
 #: The role whose texts the loss is taken over.
 LEARNED = "assistant"
 #: Pixels on a side of the patch that one image token stands for, audio tokens a second, tokens a document page.
 PATCH, AUDIO_RATE, PAGE_TOKENS = 28, 25, 512
+#: No part expands to more tokens.
+MOST_TOKENS = 2**53
 
 PART = "struct<kind:string,text:string,uri:string,width:int,height:int,seconds:double,pages:int>"
 ATTACHED = pa.list_(
@@ -47,6 +51,11 @@ def unescape(text: str) -> str:
     return ESCAPED.sub(r"\1", text)
 
 
+def amount(value: float | None) -> float:
+    """A size as it is, nothing for what is none: null, negative, not a number, without end."""
+    return value if value is not None and math.isfinite(value) and value > 0 else 0
+
+
 @dataclass
 class Flattener:
     """Visits the parts of a turn in order."""
@@ -55,31 +64,35 @@ class Flattener:
     attachments: list[dict] = field(default_factory=list)
     length: int = 0
 
-    def visit(self, part: dict) -> None:
-        method = getattr(self, f"visit_{part['kind']}", None)
-        if method is None:
-            raise ValueError(f"no such kind of part: {part['kind']}")
-        method(part)
+    def visit(self, part: dict | None) -> None:
+        """Flatten one part; a null part is none, one of a null or another kind is unknown and has no tokens."""
+        if part is not None:
+            method = getattr(self, f"visit_{part['kind']}", None) if part["kind"] in ("text", *KINDS) else None
+            (method or self.visit_unknown)(part)
 
     def _add(self, text: str) -> None:
         self.out.append(text)
         self.length += len(text)
 
-    def _attach(self, part: dict, tokens: int) -> None:
-        self.attachments.append({"kind": part["kind"], "uri": part.get("uri"), "offset": self.length, "tokens": tokens})
-        self._add(f"<{part['kind']}>")
+    def _attach(self, part: dict, kind: str, tokens: int) -> None:
+        self.attachments.append({"kind": kind, "uri": part.get("uri"), "offset": self.length, "tokens": tokens})
+        self._add(f"<{kind}>")
 
     def visit_text(self, part: dict) -> None:
         self._add(escape(part.get("text") or ""))
 
     def visit_image(self, part: dict) -> None:
-        self._attach(part, math.ceil((part.get("width") or 0) / PATCH) * math.ceil((part.get("height") or 0) / PATCH))
+        across, down = (math.ceil(amount(part.get(side)) / PATCH) for side in ("width", "height"))
+        self._attach(part, "image", across * down)
 
     def visit_audio(self, part: dict) -> None:
-        self._attach(part, math.ceil((part.get("seconds") or 0) * AUDIO_RATE))
+        self._attach(part, "audio", min(math.ceil(amount(part.get("seconds")) * AUDIO_RATE), MOST_TOKENS))
 
     def visit_document(self, part: dict) -> None:
-        self._attach(part, (part.get("pages") or 0) * PAGE_TOKENS)
+        self._attach(part, "document", int(amount(part.get("pages"))) * PAGE_TOKENS)
+
+    def visit_unknown(self, part: dict) -> None:
+        self._attach(part, "unknown", 0)
 
 
 def segment(role: str | None, text: str | None, parts: list[dict] | None = None) -> tuple:
@@ -107,7 +120,8 @@ def formatted(turns: DataFrame) -> DataFrame:
     """(conv_id, turn, segment, loss_start, loss_end, attachments) of each row of `turns` (conv_id, turn, role, text).
 
     A column `parts`, a list of PART, replaces the text where it is not null. A conversation's text is its segments in
-    the order of turn (nulls first), then segment. Null texts and roles are empty. Repeated rows are turns of their
+    the order of turn (nulls first), then segment. Null texts and roles are empty, null parts left out; a part of a null or
+    other kind is an `<unknown>` placeholder, and sizes that are null, negative or not finite are zero. Repeated rows are turns of their
     own. Rows need no other row, so no conversation is too long. No rows give no rows.
     """
     kinds = {n: turns.schema[n].dataType.simpleString() for n in ("conv_id", "turn")}

@@ -1,8 +1,6 @@
 import hashlib
 import random
 
-import pytest
-
 from pagetrail.llm import chat, queries
 
 TURNS = "conv_id bigint, turn bigint, role string, text string"
@@ -51,8 +49,33 @@ def test_parts():
     assert [(a["kind"], a["uri"], a["tokens"]) for a in attached] == [("image", "a.png", 3), ("audio", "b.wav", 26), ("document", None, 1024)]
     assert all(made[a["offset"] :].startswith(f"<{a['kind']}>") for a in attached)
     assert chat.read_segment(made, start, end)[1:] == ("see <image>: end",) * 2
-    with pytest.raises(ValueError):
-        chat.segment("user", None, [{"kind": "video"}])
+
+
+def test_odd_parts():
+    nan, inf = float("nan"), float("inf")
+    parts = [None, {"kind": None, "uri": "x"}, {"kind": "video", "uri": "y"}, {"kind": "__init__"}, {"kind": "audio", "seconds": nan}]
+    parts += [{"kind": "audio", "seconds": inf}, {"kind": "audio", "seconds": 1e300}, {"kind": "image", "width": -5, "height": 30}]
+    parts += [{"kind": "document", "pages": -1}, {"kind": "text", "text": "<unknown> t"}]
+    made, start, end, attached = chat.segment("assistant", None, parts)
+    assert [(a["kind"], a["tokens"]) for a in attached] == [
+        ("unknown", 0), ("unknown", 0), ("unknown", 0), ("audio", 0), ("audio", 0), ("audio", chat.MOST_TOKENS), ("image", 0), ("document", 0)
+    ]
+    assert chat.read_segment(made, start, end) == ("assistant", "<unknown> t", "<unknown> t")
+
+
+def test_one_odd_part_does_not_end_the_job(spark):
+    schema = f"conv_id bigint, turn bigint, role string, text string, parts array<{chat.PART}>, segment string"
+    rows = [
+        (1, 0, "user", "t", [None, (None, "a", "u", 1, 1, 1.0, 1), ("text", "said", None, None, None, None, None)], "clash"),
+        (1, 1, "assistant", "t", [("audio", None, "u", None, None, float("nan"), None)], "clash"),
+        (1, 2, "assistant", "plain", None, "clash"),
+        (1, 3, "assistant", "none", [], "clash"),
+    ]
+    found = chat.formatted(spark.createDataFrame(rows, schema)).orderBy("turn").collect()
+    assert [r.segment for r in found] == [
+        "### user:\n<unknown>said</turn>\n", "### assistant:\n<audio></turn>\n", "### assistant:\nplain</turn>\n", "### assistant:\n</turn>\n"
+    ]
+    assert chat.digests(chat.formatted(spark.createDataFrame(rows, schema))).collect()[0].n_turns == 4
 
 
 def test_operator(spark):
