@@ -61,7 +61,9 @@ def write_report(
     if raw:
         with_header(report, fmt, clean).write.text(path)
     else:
-        report.write.option("sep", _separator(fmt)).option("header", True).option("escape", '"').csv(path)
+        # Spark's writer would trim fields.
+        as_is = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        report.write.options(sep=_separator(fmt), header=True, escape='"', **as_is).csv(path)
 
 
 def visit_pairs(visits: DataFrame) -> DataFrame:

@@ -31,6 +31,13 @@ def test_quoted_files_read_back(spark, report, tmp_path, fmt, sep):
     assert sorted(map(str, tuples(back))) == sorted(map(str, tuples(report)))
 
 
+def test_blanks_at_the_ends_of_fields_are_kept(spark, tmp_path):
+    odd = spark.createDataFrame([(" a ", "b\t"), ("  ", " \"q\" ")], "title string, url string")
+    text.write_report(odd, f"{tmp_path}/out", "csv")
+    back = spark.read.option("header", True).option("escape", '"').schema(odd.schema).csv(f"{tmp_path}/out")
+    assert sorted(tuples(back)) == sorted(tuples(odd))
+
+
 def test_raw_file_starts_with_header(spark, report, tmp_path):
     text.write_report(report.limit(1), f"{tmp_path}/raw", "tsv", raw=True)
     lines = [r.value for r in spark.read.text(f"{tmp_path}/raw").collect()]

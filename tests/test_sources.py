@@ -225,3 +225,13 @@ def test_saved_tab_files(spark, tmp_path):
     got = sorted(tuples(saved_tab_files(spark, str(storage)).select("file_name", "profile_id")))
     assert [r[0] for r in got] == ["000003.log", "000005.ldb"]
     assert all(r[1].endswith("/Default") for r in got)
+
+
+def test_oversized_saved_tab_files_are_left_out(spark, tmp_path, monkeypatch):
+    from pagetrail.sources import saved_tab_files as source
+
+    monkeypatch.setattr(source, "MAX_FILE_BYTES", 10)
+    (tmp_path / "000001.ldb").write_bytes(b"x" * 11)
+    (tmp_path / "000002.ldb").write_bytes(b"x" * 10)
+    assert [r.file_name for r in source.saved_tab_files(spark, str(tmp_path)).collect()] == ["000002.ldb"]
+    assert [r.length for r in source.oversized_files(spark, str(tmp_path)).collect()] == [11]
