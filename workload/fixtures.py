@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pagetrail.schemas import CHROMIUM, PROFILE
+from pagetrail.schemas import CHROMIUM, FAMILIES, PROFILE
 
 FILE_ROWS = 500
 
@@ -218,6 +218,26 @@ def chromium_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def landed(spark: SparkSession, sf_dir: str, browser: str) -> DataFrame:
+    """Landed rows of one snapshot of the derived tables, with their months."""
+    family = FAMILIES[browser]
+    tables = {"firefox": firefox, "safari": safari}.get(browser, chromium)(spark, sf_dir)
+    structs = {t: f"struct<{ddl.replace(' ', ':').replace(',:', ', ')}>" for t, ddl in family.items()}
+    parts = []
+    for table, ddl in family.items():
+        columns = [f.name for f in StructType.fromDDL(ddl)]
+        values = [
+            f"named_struct({', '.join(f'{c!r}, {c}' for c in columns)}) AS {t}" if t == table else f"cast(NULL AS {kind}) AS {t}"
+            for t, kind in structs.items()
+        ]
+        names = [f"'{table}' AS table_name", "cast(NULL AS string) AS error", "'2024-01' AS month", "'s1' AS snapshot"]
+        parts.append(tables[table].selectExpr(PROFILE, *names, *values))
+    marks = parts[0].limit(1).selectExpr(
+        PROFILE, "'read' AS table_name", "error", "month", "snapshot", *(f"cast(NULL AS {k}) AS {t}" for t, k in structs.items())
+    )
+    return reduce(DataFrame.unionByName, [*parts, marks]).withColumn("browser", F.lit(browser))
+
+
 def edge(spark: SparkSession, sf_dir: str) -> Derived:
     return chromium(spark, sf_dir, "user_id % 2 = 1")
 

@@ -403,6 +403,18 @@ WHERE place <= {limit}"""
     )
 
 
+def profile_visits(profile: str) -> str:
+    """All visits of one of the two profiles in the second week of the year."""
+    return chromium_fleet(
+        f"""SELECT u.url, u.title, {webkit("v.visit_time")} AS visit_time, {rounded("v.visit_duration", 100000, 10)} AS duration_sec,
+  {transition("v.transition")} AS transition, coalesce(p.url, '') AS from_url
+FROM fleet_visits v JOIN fleet_urls u ON (u.profile_id, u.id) = (v.profile_id, v.url)
+LEFT JOIN fleet_visits o ON (o.profile_id, o.id) = (v.profile_id, v.from_visit)
+LEFT JOIN fleet_urls p ON (p.profile_id, p.id) = (o.profile_id, o.url)
+WHERE v.profile_id = '{profile}' AND {between("v.visit_time", "2024-01-08", "2024-01-14", WEBKIT_US)}"""
+    )
+
+
 def fleet_basic() -> str:
     return chromium_fleet(
         f"SELECT profile_id, count(*) AS total_visits, count(DISTINCT url) AS unique_urls, ({HOURS} / 100)::DOUBLE AS total_hours "

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pagetrail.operators import chromium, firefox, rollup, safari, saved_tabs, summary
 from pagetrail.plans.kept import shared_folder
 from pagetrail.sinks import text
-from pagetrail.sources import history_files, keyed_tables, profiles, snapshots
+from pagetrail.sources import clustered_tables, history_files, keyed_tables, profiles, snapshots
 from workload import fixtures, oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +129,45 @@ def _history(operator: Callable, sql: str, *args, deleted: bool = True, **option
     return run, sql
 
 
+def _landed(browser: str, operator: Callable, sql: Callable, **options):
+    """A report over landed tables, in a folder of this run."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{shared_folder(spark)}/landed-{uuid.uuid4()}"
+        rows = fixtures.landed(spark, sf_dir, browser)
+        family = "chromium" if browser == "chrome" else browser
+        rows.write.partitionBy("browser", "snapshot", "table_name", "month").parquet(f"{path}/{family}")
+        return operator(history_files.landed_tables(spark, path, browser), **options)
+
+    return run, WRAP[browser](sql(**options))
+
+
+def _clustered(operator: Callable, sql: str, profiles: list[str] | None = None, **options):
+    """A report over two profiles' tables clustered by profile and time, in a folder of this run."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{shared_folder(spark)}/clustered-{uuid.uuid4()}"
+        clustered_tables.keep_clustered(fixtures.chromium_fleet(spark, sf_dir), "chrome", path, file_rows=2000)
+        return operator(clustered_tables.ClusteredTables(spark, path, "chrome", profiles), **options)
+
+    return run, sql
+
+
+def _quoted(browser: str, operator: Callable, sql: Callable, fmt: str, texts: list[str], **options):
+    """A report written as quoted lines and read back; what is missing comes back as NULL, like empty text."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{shared_folder(spark)}/report-{uuid.uuid4()}"
+        report = operator(TABLES[browser](spark, sf_dir), **options)
+        text.write_report(report, path, fmt)
+        reader = spark.read.option("sep", text.SEPARATORS[fmt]).option("header", True).option("escape", '"')
+        back = reader.option("multiLine", True).schema(report.schema).csv(path)
+        return back.select(*(F.nullif(c, F.lit("")).alias(c) if kind == "string" else F.col(c) for c, kind in report.dtypes))
+
+    texts = ", ".join(f"nullif({c}, '') AS {c}" for c in texts)
+    return run, WRAP[browser](f"SELECT * REPLACE ({texts}) FROM (\n{sql(**options)})")
+
+
 def _rolled(browser: str, zone: str = "UTC", **dates):
     """A summary from daily counts put together from two halves of the visits."""
 
@@ -188,6 +227,20 @@ def registry() -> dict[str, tuple[Query, str]]:
         "keyed_searches_all": _keyed("chrome", chromium.searches, oracle.chromium_searches(**EVERY)),
         "keyed_firefox_visits_all": _keyed("firefox", firefox.visits, oracle.firefox_visits(**EVERY)),
         "keyed_safari_visits_all": _keyed("safari", safari.visits, oracle.safari_visits(**EVERY)),
+        # landed tables, clustered tables, quoted files
+        "landed_chrome_visits": _landed("chrome", chromium.visits, oracle.chromium_visits, **WEEK),
+        "landed_firefox_visits": _landed("firefox", firefox.visits, oracle.firefox_visits, **WEEK),
+        "landed_firefox_bookmarks": _landed("firefox", firefox.bookmarks, oracle.firefox_bookmarks),
+        "landed_safari_visits": _landed("safari", safari.visits, oracle.safari_visits, **SINCE),
+        "landed_safari_urls": _landed("safari", safari.urls, oracle.safari_urls),
+        "clustered_visits": _clustered(chromium.visits, oracle.fleet_visits(100, False)),
+        "clustered_profile_visits": _clustered(chromium.visits, oracle.profile_visits("p1"), ["p1"], **WEEK, **EVERY),
+        "chrome_visits_quoted_csv": _quoted(
+            "chrome", chromium.visits, oracle.chromium_visits, "csv", ["url", "title", "from_url"], **WEEK
+        ),
+        "firefox_bookmarks_quoted_tsv": _quoted(
+            "firefox", firefox.bookmarks, oracle.firefox_bookmarks, "tsv", ["title", "url", "parent_title"], **EVERY
+        ),
         # daily counts, leading domains
         "rolled_chrome_summary": _rolled("chrome", NEW_YORK, **WEEK),
         "rolled_firefox_summary": _rolled("firefox"),
