@@ -2,9 +2,10 @@
 
 A sequence of tokens is the encoding of its bytes just if every token encodes itself and every two neighbours encode
 their joint bytes. That is a nondeterministic transducer over bytes: after some bytes, each hypothesis has a partial
-token, the token before it and the tokens that it has read but that are not agreed on yet. The deterministic states are
-sets of hypotheses, built when first reached; a transition emits what all surviving hypotheses agree on. Merges bound
-how far hypotheses can stay apart, so a token is emitted after a few bytes of lookahead, whatever the text's length.
+token and the token before it. The deterministic states are sets of hypotheses, built when first reached; a state knows the
+token that the bytes end in if they end there, which leads back to the tokens before. Tokens are emitted where the ways
+back of all surviving hypotheses meet. Merges bound how far these stay apart, so that is a few bytes behind, whatever the
+text's length; it is looked for every LOOKAHEAD bytes.
 """
 
 from __future__ import annotations
@@ -20,11 +21,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from pagetrail.llm.pieces import Held, id_lists, slices
+from pagetrail.llm.pieces import HELD_BYTES, Held, id_lists, slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: States of the transducer, twice as many steps, and pairs of tokens, that are held before they are dropped and built anew.
-HELD_STATES, HELD_PAIRS = 60_000, 100_000
+HELD_STATES, HELD_PAIRS = 200_000, 250_000
+#: Bytes of a piece that are read before what is settled is emitted.
+LOOKAHEAD = 1024
 NEVER = 1 << 60
 
 
@@ -39,17 +42,18 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.prefixes = {token[:n] for token in ranks for n in range(1, len(token) + 1)}
         self._reset()
 
     def _reset(self) -> None:
         self.fits: dict[tuple[int, int], bool] = {}
         self.edges: dict[int, tuple[list, list] | None] = {}  # one a token at most
-        start = ((b"", -1, ()),)
+        start = ((b"", -1),)
         self.states: list[tuple] = [start]
+        self.lasts: list[int] = [-1]
         self.numbers: dict[tuple, int] = {start: 0}
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
-        self.ends: dict[int, tuple[int, ...]] = {}
+        self.steps: dict[int, int] = {}  # by 256 * state + byte
 
     def _merged(self, data: bytes) -> tuple[list[bytes], list[tuple[int, bytes, bytes]]]:
         """Single bytes merged, always the pair of the lowest rank, first from the left, and the merges in order."""
@@ -117,37 +121,46 @@ class Transducer:
             else:
                 j += 1
 
-    def _last(self, state: int) -> tuple[int, ...]:
-        """The tokens that a state's bytes end in if they end here; just one hypothesis can be right about that."""
-        found = self.ends.get(state)
-        if found is None:
-            for part, before, said in self.states[state]:
-                token = self.ranks.get(part)
-                if token is not None and self._follows(before, token):
-                    found = self.ends[state] = (*said, token)
-                    break
-            else:
-                raise ValueError("the ranks do not cover every byte")
-        return found
-
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        one = bytes((byte,))
-        after = [(part + one, before, said) for part, before, said in self.states[state] if part + one in self.prefixes]
+    def _last(self, hypotheses: tuple) -> int:
+        """The token that the bytes end in if they end here; just one hypothesis can be right about that."""
+        for part, before in hypotheses:
+            token = self.ranks.get(part)
+            if token is not None and self._follows(before, token):
+                return token
+        raise ValueError("the ranks do not cover every byte")
+
+    def _step(self, state: int, byte: int) -> int:
+        one, prefixes = bytes((byte,)), self.prefixes
+        after = [(longer, before) for part, before in self.states[state] if (longer := part + one) in prefixes]
         if state:
-            said = self._last(state)
-            after.append((one, said[-1], said))
-        emitted = after[0][2]
-        for _, _, said in after[1:]:
-            while emitted != said[: len(emitted)]:
-                emitted = emitted[:-1]
-        agreed = len(emitted)
-        key = tuple((part, before, said[agreed:]) for part, before, said in after)  # in the order of their beginnings
+            after.append((one, self.lasts[state]))
+        key = tuple(after)
         number = self.numbers.get(key)
         if number is None:
+            last = self._last(key)
             number = self.numbers[key] = len(self.states)
             self.states.append(key)
-        found = self.steps[state << 8 | byte] = number, emitted
-        return found
+            self.lasts.append(last)
+        self.steps[state << 8 | byte] = number
+        return number
+
+    def _back(self, lasts: list[int], count: int) -> list[int]:
+        """The tokens of the first `count` bytes, from the token that each byte ends."""
+        out, sizes = [], self.sizes
+        while count:
+            token = lasts[count - 1]
+            out.append(token)
+            count -= sizes[token]
+        return out[::-1]
+
+    def _settled(self, state: int, lasts: list[int]) -> int:
+        """How many bytes have tokens that every hypothesis agrees on: where their ways back meet."""
+        ways = {len(lasts) - len(part) for part, _ in self.states[state]} | {len(lasts)}
+        while len(ways) > 1:
+            furthest = max(ways)
+            ways.remove(furthest)
+            ways.add(furthest - self.sizes[lasts[furthest - 1]])
+        return ways.pop()
 
     def encode(self, piece: bytes) -> list[int]:
         """The tokens of one piece; a piece that is a token as it stands is that token."""
@@ -157,14 +170,17 @@ class Transducer:
         if len(self.states) > HELD_STATES or len(self.steps) > 2 * HELD_STATES or len(self.fits) > HELD_PAIRS:
             self._reset()
         out: list[int] = []
-        state, steps = 0, self.steps
-        for byte in piece:
-            found = steps.get(state << 8 | byte) or self._step(state, byte)
-            state = found[0]
-            if found[1]:
-                out += found[1]
-        out += self._last(state)
-        return out
+        lasts: list[int] = []
+        state, get, found = 0, self.steps.get, self.lasts
+        for start in range(0, len(piece), LOOKAHEAD):
+            if start:
+                settled = self._settled(state, lasts)
+                out += self._back(lasts, settled)
+                del lasts[:settled]
+            for byte in piece[start : start + LOOKAHEAD]:
+                state = get(state << 8 | byte) or self._step(state, byte)
+                lasts.append(found[state])
+        return out + self._back(lasts, len(lasts))
 
 
 class Encoder:
@@ -172,7 +188,7 @@ class Encoder:
 
     def __init__(self, path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> None:
         self.transducer = Transducer(read_ranks(path))
-        self.pieces = Held(self._packed)
+        self.pieces = Held(self._packed, 2 * HELD_BYTES)
         self.split = regex.compile(pattern).findall
 
     def _packed(self, piece: str) -> bytes:
