@@ -21,11 +21,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from pagetrail.llm.pieces import HELD_BYTES, Held, id_lists, slices
+from pagetrail.llm.pieces import Held, id_lists, slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: States of the transducer, twice as many steps, and pairs of tokens, that are held before they are dropped and built anew.
-HELD_STATES, HELD_PAIRS = 200_000, 250_000
+HELD_STATES, HELD_PAIRS = 300_000, 400_000
+#: Bytes of pieces and their ids that are held.
+HELD_PIECES = 300 << 20
 #: Bytes of a piece that are read before what is settled is emitted.
 LOOKAHEAD = 1024
 NEVER = 1 << 60
@@ -44,11 +46,11 @@ class Transducer:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.prefixes = {token[:n] for token in ranks for n in range(1, len(token) + 1)}
+        self.fits: dict[int, bool] = {}  # by 2 ** 32 * (token + 1) + the token behind it
+        self.edges: dict[int, tuple[list, list] | None] = {}  # one a token at most
         self._reset()
 
     def _reset(self) -> None:
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.edges: dict[int, tuple[list, list] | None] = {}  # one a token at most
         start = ((b"", -1),)
         self.states: list[tuple] = [start]
         self.lasts: list[int] = [-1]
@@ -96,11 +98,14 @@ class Transducer:
 
         Symbols of the two can only be merged where they meet, so the symbols there are followed, rank by rank.
         """
-        known = self.fits.get((before, token))
+        key = before + 1 << 32 | token
+        known = self.fits.get(key)
         if known is None:
             edges = self._edges(token)
             known = edges is not None and (before < 0 or self._apart(self._edges(before), edges))
-            self.fits[before, token] = known
+            if len(self.fits) > HELD_PAIRS:
+                self.fits.clear()
+            self.fits[key] = known
         return known
 
     def _apart(self, before: tuple | None, after: tuple) -> bool:
@@ -167,7 +172,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None or not piece:
             return [] if whole is None else [whole]
-        if len(self.states) > HELD_STATES or len(self.steps) > 2 * HELD_STATES or len(self.fits) > HELD_PAIRS:
+        if len(self.states) > HELD_STATES or len(self.steps) > 2 * HELD_STATES:
             self._reset()
         out: list[int] = []
         lasts: list[int] = []
@@ -188,7 +193,7 @@ class Encoder:
 
     def __init__(self, path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> None:
         self.transducer = Transducer(read_ranks(path))
-        self.pieces = Held(self._packed, 2 * HELD_BYTES)
+        self.pieces = Held(self._packed, HELD_PIECES)
         self.split = regex.compile(pattern).findall
 
     def _packed(self, piece: str) -> bytes:

@@ -71,7 +71,7 @@ def test_worker_memory_is_bounded(encoder):
     transducer, held = encoder.transducer, encoder.pieces
     assert len(transducer.states) < bpe.HELD_STATES + 100 and len(transducer.fits) < bpe.HELD_PAIRS + 1000
     entries = [*held.items(), *held.old.items()]
-    assert sum(sys.getsizeof(k) + sys.getsizeof(v) + pieces.ENTRY for k, v in entries) <= 2 * pieces.HELD_BYTES
+    assert sum(sys.getsizeof(k) + sys.getsizeof(v) + pieces.ENTRY for k, v in entries) <= bpe.HELD_PIECES
 
 
 def test_streaming_decoder(encoder):
