@@ -27,7 +27,9 @@ BUCKETS = 1024
 #: Visits of one page that share a salt.
 ROWS_PER_SALT = 250_000
 SALT = "salt"
-#: Visits with no page at all are as hot as any page, and join none.
+#: Salts of the rows without a page, which join none.
+LOOSE_SALTS = 64
+#: Where the names of the kept tables are.
 KEPT = "_kept"
 
 
@@ -75,9 +77,10 @@ LAYOUTS = {
 
 
 def _salted(rows: DataFrame, key: str, salts: DataFrame, spread: Column) -> DataFrame:
-    """``rows`` with the salt that ``spread`` chooses among those of their page."""
+    """``rows`` with the salt that ``spread`` chooses among those of their page, or of rows without one."""
     found = rows.join(salts.withColumnRenamed("page", key), [key, PROFILE], "left")
-    salt = F.pmod(F.xxhash64(spread), F.coalesce(F.col("salts"), F.lit(1))).cast("int")
+    every = F.when(F.col(key).isNull(), F.lit(LOOSE_SALTS)).otherwise(F.coalesce(F.col("salts"), F.lit(1)))
+    salt = F.pmod(F.xxhash64(spread), every).cast("int")
     return found.withColumn(SALT, salt).drop("salts")
 
 
