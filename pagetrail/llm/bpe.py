@@ -21,13 +21,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from pagetrail.llm.pieces import Held, id_lists, slices
+from pagetrail.llm.pieces import Held, claim, id_lists, slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: States of the transducer, twice as many steps, and pairs of tokens, that are held before they are dropped and built anew.
-HELD_STATES, HELD_PAIRS = 180_000, 250_000
+HELD_STATES, HELD_PAIRS = 120_000, 200_000
 #: Bytes of pieces and their ids that are held.
-HELD_PIECES = 128 << 20
+HELD_PIECES = 96 << 20
 #: Bytes of a piece that are read before what is settled is emitted.
 LOOKAHEAD = 1024
 NEVER = 1 << 60
@@ -310,6 +310,7 @@ def _decoder(path: str) -> Decoder:
 
 def _lists(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.Array, pa.ListArray]]:
     """(doc_ids, ids) of (doc_id, text) batches, a slice at a time."""
+    claim("bpe", _encoder.cache_clear)
     encoder = _encoder(path)
     for batch in batches:
         for part in slices(batch, 1):

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from pagetrail.llm.pieces import Held, by_chunk, slices
+from pagetrail.llm.pieces import Held, by_chunk, claim, slices
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: A document with more tokens is over the limit.
@@ -130,6 +130,7 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("counts", _counter.cache_clear)
         counter = _counter(tokenizer)
         for batch in batches:
             for part in slices(batch, 1):

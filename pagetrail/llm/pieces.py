@@ -7,6 +7,7 @@ split at every space; texts with any other kind of space, which are few, are wor
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Callable, Iterator
 
@@ -15,11 +16,23 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at a time, and that a worker holds of what it has worked out.
-SLICE_BYTES, HELD_BYTES = 8 << 20, 80 << 20
+SLICE_BYTES, HELD_BYTES = 4 << 20, 80 << 20
 #: Bytes that an entry of a dictionary takes beside its key and value.
 ENTRY = 104
 
 
+#: The operator whose stores this worker holds, and what drops them.
+_holder: list = ["", lambda: None]
+
+
+def claim(name: str, release: Callable) -> None:
+    """Drop the stores of the operator that used this worker before; Spark reuses workers, which would add up."""
+    if _holder[0] != name:
+        _holder[1]()
+        _holder[:] = name, release
+        gc.collect()
+
+
 class Held(dict):
     """Values by key, worked out by `function` when first asked for.
 

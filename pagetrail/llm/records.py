@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from pagetrail.llm.common import keep
-from pagetrail.llm.pieces import Held, id_lists, slices
+from pagetrail.llm.pieces import Held, claim, id_lists, slices
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 2
@@ -137,6 +137,7 @@ def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END
         raise TypeError(f"doc_id must be an integer, not {kind.simpleString()}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("records", _library.cache_clear)
         library = _library(tokenizer)
         task, written = TaskContext.get().partitionId(), 0
         kind = "<u4" if library.wide else "<u2"

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.llm.common import keep
-from pagetrail.llm.pieces import Held, slices, split_words
+from pagetrail.llm.pieces import Held, claim, slices, split_words
 
 #: Discount of a letter that a feature spans, and how many it spans at most, in a word and in a landmark.
 DECAY, REACH, MARK_REACH = 0.98, 7, 5
@@ -234,6 +234,7 @@ class Scorer:
     """Margins of texts, with what each word adds held while it is in use."""
 
     def __init__(self, model: Model) -> None:
+        claim("toxicity", lambda: None)
         self.model = model
         self.landmarks = Landmarks(list(model.marks)) if model.marks else None
         self.held = Held(float)
@@ -381,6 +382,7 @@ def _chosen(rows: DataFrame, limit: int, mark: Column) -> DataFrame:
 
 def _labelled_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(form, toxic) of (text, toxic): the forms of each text that can be landmarks, each once."""
+    claim("toxicity", lambda: None)
     for batch in batches:
         for part in slices(batch, 0):
             some = sentences(part.column(0))
@@ -396,6 +398,7 @@ def _labelled_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _labelled_points(batches: Iterator[pa.RecordBatch], marks: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
     """(toxic, point, n) of (text, toxic): the point of each sentence with something in common with a landmark, and how
     many others there are."""
+    claim("toxicity", lambda: None)
     landmarks = Landmarks(list(marks))
     for batch in batches:
         for part in slices(batch, 0):

@@ -73,3 +73,11 @@ def test_slices_are_bounded(monkeypatch):
     parts = list(pieces.slices(batch, 1))
     assert [t for p in parts for t in p.column(1).to_pylist()] == texts
     assert len(parts) > 3
+
+
+def test_one_operator_at_a_time(monkeypatch):
+    monkeypatch.setattr(pieces, "_holder", ["", lambda: None])
+    dropped = []
+    for name in ("a", "a", "b", "a"):
+        pieces.claim(name, lambda name=name: dropped.append(name))
+    assert dropped == ["a", "b"]
