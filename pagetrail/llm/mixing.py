@@ -4,15 +4,17 @@ Training time runs from 0 to 1. A source's weight changes linearly over it, from
 2 - `start` times that, so that by time t it has supplied the integral W(t) = start * t + (1 - start) * t^2 of its
 target. Its documents, in an order fixed by a hash and repeated in passes, use up that demand one after the other: the
 document whose words reach from c to c + size of a target T stands where W(t) * T is the middle of them. Sorting by
-position by ranges interleaves the sources.
+position by ranges interleaves the sources, and every pass of a document stands at a place of its own.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetrail.llm.common import WORD, keep
+from pagetrail.llm.common import WORD, keep, shared_folder
 
 #: Weights of the sources by code point, repeating, and the start of each weight's schedule: light sources come early.
 WEIGHTS = (1, 2, 3)
@@ -23,7 +25,7 @@ BUCKET_ROWS = 4096
 
 
 def size() -> Column:
-    """Words of the text."""
+    """Words of the text; a null text has none."""
     return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
@@ -75,39 +77,75 @@ def position(number: Column) -> Column:
 def _measured(docs: DataFrame, *more: Column) -> DataFrame:
     order = F.md5(F.concat(F.lit("mix-"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     text_key = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.select("doc_id", text_key.alias("text_key"), "source", size().alias("size"), order.alias("order"), *more)
+    source_key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    keys = [text_key.alias("text_key"), source_key.alias("source_key")]
+    return docs.select("doc_id", *keys, "source", size().alias("size"), order.alias("order"), *more)
 
 
 def _placed(rows: DataFrame, weights: DataFrame | None, max_passes: int) -> DataFrame:
-    """Measured rows with `before` and the columns of their source's target."""
-    buckets = max(16, rows.count() // BUCKET_ROWS)
+    """Measured rows with `before`, the columns of their source's target, and their `place` in a bucket.
+
+    Buckets are joined and added up by one key, which is never null, so that the rows are shuffled once.
+    """
+    narrow = keep(rows.select("source", "source_key", "size", "order"))
+    buckets = max(16, narrow.count() // BUCKET_ROWS)
     share = F.conv(F.substring("order", 1, 8), 16, 10).cast("bigint")
-    rows = rows.withColumn("bucket", F.floor(share * buckets / F.lit(1 << 32)).cast("int"))
-    parts = keep(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")))
+    bucket = F.floor(share * buckets / F.lit(1 << 32)).cast("int").alias("bucket")
+    parts = keep(narrow.groupBy("source", "source_key", bucket).agg(F.sum("size").alias("words")))
     goals = targets(parts.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_passes)
     in_source = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("ahead", F.coalesce(F.sum("words").over(in_source), F.lit(0))).drop("words")
     goals = goals.withColumnRenamed("source", "of")
-    parts = parts.join(goals, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    parts = parts.withColumnRenamed("source", "in_source").withColumnRenamed("bucket", "in_bucket")
-    same = F.col("source").eqNullSafe(F.col("in_source")) & (F.col("bucket") == F.col("in_bucket"))
-    in_bucket = Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "text_key")
+    parts = parts.join(goals, F.col("source").eqNullSafe(F.col("of"))).drop("of", "source")
+    in_bucket = Window.partitionBy("source_key", "bucket").orderBy("order", "doc_id", "text_key")
     ahead = F.coalesce(F.sum("size").over(in_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.join(parts, same).withColumn("before", F.col("ahead") + ahead)
+    placed = rows.select("*", bucket).join(parts, ["source_key", "bucket"])
+    return placed.withColumn("before", F.col("ahead") + ahead).withColumn("place", F.row_number().over(in_bucket))
+
+
+def _in_order(rows: DataFrame, at: Column) -> DataFrame:
+    """Rows in training order: the files hold ascending ranges of positions, sorted within."""
+    rows = rows.withColumn("at", F.coalesce(at, F.lit(0.0)))
+    return rows.repartitionByRange("at", "order").sortWithinPartitions("at", "order").drop("at")
+
+
+def pieces(docs: DataFrame, weights: DataFrame | None = None, max_passes: int = MAX_PASSES) -> DataFrame:
+    """The mix in training order, to its last word: a row for every pass (`number`, from 0) that takes words of a document.
+
+    `text` is what the pass takes: the text, or its beginning up to the last word taken, which happens to one document of
+    a source. A document that the mix takes no words of is there once, with its text if it has no words and null if
+    the mix has enough of its source. `position` is the pass's own. The other columns are those of `curriculum`, and
+    source_key, bucket and place, which tell rows apart.
+    """
+    rows = _placed(_measured(docs, F.col("text")), weights, max_passes)
+    number = F.col("number")
+    passes = F.filter(F.sequence(F.lit(0), F.lit(max_passes - 1)), lambda i: (i == 0) | (taken_in(i) > 0))
+    rows = rows.withColumn("number", F.explode(passes)).withColumn("words", taken_in(number))
+    spaced = F.regexp_extract_all("text", F.lit(f"([\\x20\\x09-\\x0D]*{WORD})"), F.lit(0))
+    start = F.when(F.col("words") > 0, F.array_join(F.slice(spaced, F.lit(1), F.col("words").cast("int")), ""))
+    text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(start).alias("text")
+    known = ["doc_id", "source", "size", "source_size", "start", "target", "before", "source_key", "bucket", "place"]
+    placed = rows.select(*known, "order", "number", position(number).alias("position"), text)
+    return _in_order(placed, F.col("position")).drop("order")
 
 
 def curriculum(docs: DataFrame, weights: DataFrame | None = None, max_passes: int = MAX_PASSES) -> DataFrame:
     """(doc_id, source, size, source_size, start, target, before, taken, position) of every row of `docs`.
 
-    `before` counts the words of its source ahead of a document, in the order of a hash of doc_id (ties by doc_id and
-    a hash of the text). A source's taken words add up to its whole target, rounded down: the last pass is cut within
-    one document. `position` is that of the first pass. A null text has no words, null is a source of its own, and
-    sources that `weights` lacks are left out. Repeated rows each count. No rows give no rows.
+    The mix is written in training order to the shared folder and read back: `taken` counts the words of a document's
+    pieces there, and `position` is that of the first. `before` counts the words of its source ahead of a document, in
+    the order of a hash of doc_id (ties by doc_id and a hash of the text). A source's taken words add up to its whole
+    target, rounded down: the last pass is cut within one document. A null text has no words, null is a source of its
+    own, and sources that `weights` lacks are left out. Repeated rows each count. No rows give no rows.
     """
-    found = _placed(keep(_measured(docs)), weights, max_passes)
-    taken = sum((taken_in(F.lit(i)) for i in range(1, max_passes)), taken_in(F.lit(0)))
+    spark = docs.sparkSession
+    folder = f"{shared_folder(spark)}/mix-{uuid.uuid4()}"
+    pieces(docs, weights, max_passes).write.option("compression", "zstd").parquet(folder)
+    mix = spark.read.parquet(folder)
     columns = ["doc_id", "source", "size", "source_size", "start", "target", "before"]
-    return found.select(*columns, taken.cast("bigint").alias("taken"), position(F.lit(0)).alias("position"))
+    once = [F.max(F.when(F.col("number") == 0, F.struct(*columns, "position"))).alias("first")]
+    found = mix.groupBy("source_key", "bucket", "place").agg(F.sum(size()).alias("taken"), *once)
+    return found.select(*(f"first.{c}" for c in columns), "taken", "first.position")
 
 
 def mixed(docs: DataFrame, weights: DataFrame | None = None, max_passes: int = MAX_PASSES) -> DataFrame:
@@ -121,5 +159,4 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, max_passes: int = M
         lambda i: F.when(F.col("size") == 0, i == 0).otherwise(2 * taken_in(i) >= F.col("size")),
     )
     taken = rows.withColumn("number", F.explode(passes))
-    taken = taken.select("row", F.coalesce(position(F.col("number")), F.lit(0.0)).alias("at"), "order")
-    return taken.repartitionByRange("at", "order").sortWithinPartitions("at", "order").select("row.*")
+    return _in_order(taken.select("row", "order", position(F.col("number")).alias("position")), F.col("position")).select("row.*")

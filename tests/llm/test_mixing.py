@@ -71,3 +71,36 @@ def test_query_matches_sql(spark):
     duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     expected = duck.execute(queries.MIXING_SQL).fetchall()
     assert sorted(map(tuple, frame.collect())) == sorted(expected)
+
+
+def test_curriculum_counts_the_mix_itself(spark, documents, monkeypatch):
+    """What a document gives is read from the mix: texts in training order, every pass at its own place."""
+    docs = documents([(i, f" w{i} \t b\nc d{i}") for i in range(90)], "a")
+    docs = docs.union(documents([(100 + i, "x y z w v") for i in range(10)] + [(150, " \n"), (None, None)], "b"))
+    docs = docs.union(documents([(200, "x " * 400), (200, "x " * 400)], None))
+    weights = [("a", 1, 2.0), ("b", 1, 0.0), (None, 1, 1.0)]
+    weights = spark.createDataFrame(weights, "source string, weight int, start double")
+    mix = mixing.pieces(docs, weights).collect()
+    at = [r.position for r in mix]
+    assert at == sorted(at)
+    own = {s: [r for r in mix if r.source == s] for s in ("a", "b", None)}
+    whole = {(r.doc_id): r.text for r in docs.collect()}
+    cut = 0
+    for source, integral in (("a", lambda t: 2 * t - t * t), ("b", lambda t: t * t)):
+        words = sum(len((r.text or "").split()) for r in own[source])
+        assert words == math.floor(own[source][0].target)
+        for t in (0.3, 0.6, 0.9):
+            ahead = sum(len((r.text or "").split()) for r in own[source] if r.position <= t)
+            assert abs(ahead - integral(t) * words) <= 5
+        for r in own[source]:
+            assert r.text is None or whole[r.doc_id].startswith(r.text)
+            cut += r.text is not None and r.text != whole[r.doc_id]
+    assert cut <= 2 and {r.number for r in own["b"]} == {0, 1, 2}
+    assert len({(r.source, r.bucket, r.place, r.number) for r in mix}) == len(mix)
+    rows = mixing.curriculum(docs, weights).collect()
+    taken = lambda found, n: sorted((n(r) for r in found if r.source == "b"), key=str)
+    by_doc = {r.doc_id: sum(len((p.text or "").split()) for p in own["b"] if p.doc_id == r.doc_id) for r in own["b"]}
+    assert taken(rows, lambda r: (r.doc_id, r.taken)) == sorted(by_doc.items(), key=str)
+    whole_mix = mixing.pieces
+    monkeypatch.setattr(mixing, "pieces", lambda *a: whole_mix(*a).where("number = 0"))
+    assert all(r.taken <= r.size for r in mixing.curriculum(docs, weights).collect())
