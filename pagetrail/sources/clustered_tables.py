@@ -23,8 +23,8 @@ Tables = Mapping[str, DataFrame]
 #: Bits of the profile's hash and of the time that the curve goes through, and how much of the rows' times is spread over
 #: them: a few odd times must not squeeze all others into one.
 BITS, MIDDLE = 16, (0.005, 0.995)
-#: Rows of a file.
-FILE_ROWS = 2_000_000
+#: Rows of a file, and of a task that writes files smaller than that: each task sends its bounds and results to the driver.
+FILE_ROWS, TASK_ROWS = 2_000_000, 200_000
 #: Files beyond which a reader that names profiles is better served by reading the folder.
 MOST_FILES = 10_000
 MANIFEST = "_files"
@@ -58,17 +58,22 @@ def curve(profile_slot: Column, stretch: Column) -> Column:
 
 
 def keep_clustered(tables: Tables, browser: str, path: str, file_rows: int = FILE_ROWS) -> None:
-    """Write the tables of one browser under ``path``, each with its manifest, in place of what was there."""
+    """Write the tables of one browser under ``path``, each with its manifest, in place of what was there.
+
+    A task writes a stretch of the curve, as one file after the other where ``file_rows`` is below TASK_ROWS.
+    """
+    files_each = max(1, TASK_ROWS // file_rows)
     for name in FAMILIES[browser]:
         rows, time = tables[name], TIME_COLUMNS.get(name)
         target = f"{path}/{browser}/{name}"
         slot = slot_of(F.col(PROFILE))
         order = [F.col("_curve"), *([F.col(time)] if time else []), F.xxhash64(*rows.columns)]
         placed = rows.withColumn("_curve", curve(slot, _stretch(rows, time)))
-        files = max(1, -(-rows.count() // file_rows))
+        tasks = max(1, -(-rows.count() // (file_rows * files_each)))
         # The hash splits rows that share profile and time.
-        placed = placed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_curve")
-        placed.write.mode("overwrite").parquet(target)
+        placed = placed.repartitionByRange(tasks, *order).sortWithinPartitions(*order).drop("_curve")
+        most = file_rows if files_each > 1 else 0
+        placed.write.mode("overwrite").option("maxRecordsPerFile", most).parquet(target)
         kept = rows.sparkSession.read.schema(rows.schema).parquet(target)
         times = F.col(time).cast("double") if time else F.lit(None).cast("double")
         per_file = kept.groupBy(F.col("_metadata.file_path").alias("file"), slot.alias("slot")).agg(

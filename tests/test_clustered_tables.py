@@ -84,3 +84,21 @@ def test_tables_without_a_time(spark, fleet):
     assert clustered_rows(spark, path, "chrome", "keyword_search_terms", ["p1"]).collect() == []
     with pytest.raises(ValueError, match="no time"):
         clustered_rows(spark, path, "chrome", "keyword_search_terms", ["p1"], date_from="2024-01-01")
+
+
+@pytest.mark.parametrize("task_rows, file_rows, tasks", [(2000, 50, 4), (300, 200, 30)])
+def test_a_task_writes_many_small_files(spark, fleet, tmp_path, monkeypatch, task_rows, file_rows, tasks):
+    """What reaches the driver grows with the tasks that write, and these with the rows, not with the files."""
+    _, tables = fleet
+    few = {name: rows.where("id < 6000") if name == "visits" else rows.limit(0) for name, rows in tables.items()}
+    monkeypatch.setattr(clustered_tables, "TASK_ROWS", task_rows)
+    clustered_tables.keep_clustered(few, "chrome", str(tmp_path), file_rows)
+    kept = clustered_rows(spark, str(tmp_path), "chrome", "visits")
+    written = {path.rsplit("/", 1)[1].split("-c")[0] for path in kept.inputFiles()}
+    assert tasks - 1 <= len({path.split("-")[1] for path in written}) <= tasks
+    sizes = [r["count"] for r in kept.groupBy("_metadata.file_path").count().collect()]
+    assert sum(sizes) == 6000 and (task_rows == 300 or max(sizes) <= file_rows)
+    week = {"date_from": "2024-02-05", "date_to": "2024-02-11"}
+    got = clustered_rows(spark, str(tmp_path), "chrome", "visits", ["p7"], **week)
+    want = chromium._dated(few["visits"].where("profile_id = 'p7'"), "visit_time", week["date_from"], week["date_to"], "UTC")
+    assert sorted(tuples(got), key=str) == sorted(tuples(want), key=str)
