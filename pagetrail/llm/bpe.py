@@ -21,13 +21,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from pagetrail.llm.pieces import Held, claim, id_lists, slices
+from pagetrail.llm.pieces import Held, Lists, claim, id_lists, slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: States of the transducer, twice as many steps, and pairs of tokens, that are held before they are dropped and built anew.
 HELD_STATES, HELD_PAIRS = 120_000, 200_000
 #: Bytes of pieces and their ids that are held.
-HELD_PIECES = 96 << 20
+HELD_PIECES = 32 << 20
 #: Bytes of a piece that are read before what is settled is emitted.
 LOOKAHEAD = 1024
 NEVER = 1 << 60
@@ -194,6 +194,7 @@ class Encoder:
     def __init__(self, path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> None:
         self.transducer = Transducer(read_ranks(path))
         self.pieces = Held(self._packed, HELD_PIECES)
+        self.chunks = Lists(self.behind)
         self.split = regex.compile(pattern).findall
 
     def _packed(self, piece: str) -> bytes:
@@ -202,12 +203,13 @@ class Encoder:
     def alone(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
-    def behind(self, chunk: str) -> bytes:
-        """The ids of a chunk with a space before it; of letters alone it is one piece."""
-        return self.pieces[" " + chunk] if chunk.isalpha() else self.alone(" " + chunk)
+    def behind(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks with a space before each, and how many each has; of letters alone one is a piece."""
+        found = [self.pieces[" " + chunk] if chunk.isalpha() else self.alone(" " + chunk) for chunk in chunks.to_pylist()]
+        return np.frombuffer(b"".join(found), dtype="<i4"), np.array([len(ids) // 4 for ids in found], dtype="<i8")
 
     def lists(self, texts: pa.Array) -> pa.ListArray:
-        return id_lists(texts, self.alone, self.behind)
+        return id_lists(texts, self.alone, self.chunks)
 
     def encode(self, text: str | None) -> np.ndarray:
         return self.lists(pa.array([text], pa.string())).values.to_numpy()

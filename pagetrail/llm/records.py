@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from pagetrail.llm.common import keep
-from pagetrail.llm.pieces import Held, claim, id_lists, slices
+from pagetrail.llm.pieces import Held, Lists, claim, id_lists, slices, starts_with_space
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 2
 HEAD = struct.Struct("<QI")
 SUM = struct.Struct("<I")
 IDENTITY = struct.Struct("<?q")
+#: Bytes of a text held beside the arrays of chunks, and of chunks that the library encodes in one go.
+HELD_PIECES, JOINED_BYTES = 16 << 20, 256 << 10
 #: A file is closed once it has this many bytes; one record may exceed them.
 FILE_BYTES = 128 << 20
 
@@ -85,8 +87,12 @@ def unpack(payload: bytes, wide: bool) -> tuple[int | None, np.ndarray]:
 
 
 class Library:
-    """Ids of texts by the tokenizers library. It encodes each piece of its own first split once, as long as the piece is
-    held; a text that holds the content of an added token, which it cuts out before that split, it encodes whole."""
+    """Ids of texts by the tokenizers library.
+
+    It encodes each new chunk of a slice once, many chunks joined at spaces in one go: no piece of its first split reaches
+    across these, and its tokens stand for bytes of the text, so their sizes tell which ids are whose. A text that holds
+    the content of an added token, which the library cuts out before that split, it encodes whole.
+    """
 
     def __init__(self, path: str) -> None:
         import os
@@ -97,27 +103,59 @@ class Library:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.pieces = Held(self._packed)
+        vocabulary = self.tokenizer.get_vocab()
+        # a character of a token of the byte-level model is a byte of the text
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
+        self.pieces = Held(self._packed, HELD_PIECES)
+        self.chunks = Lists(self.behind)
         self.split = regex.compile(public_tokenizers.PATTERN).findall
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<i4")
+
     def _packed(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<i4").tobytes()
+        return self._ids(text).tobytes()
 
     def alone(self, text: str) -> bytes:
         if any(token in text for token in self.added):
             return self._packed(text)
         return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
-    def behind(self, chunk: str) -> bytes:
-        if chunk.isalpha():  # one piece
-            return self.pieces[" " + chunk]
-        return b"".join(map(self.pieces.__getitem__, self.split(" " + chunk)))
+    def behind(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks with a space before each, and how many each has."""
+        apart = starts_with_space(chunks)
+        for token in self.added:
+            if " " in token:
+                apart = pc.or_(apart, pc.match_substring(chunks, token.split(" ", 1)[0]))
+        apart = apart.to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(chunks).to_numpy().astype(np.int64) + 1
+        part = np.cumsum(sizes) // JOINED_BYTES
+        cuts = {0, len(chunks), *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist()}
+        odd = np.flatnonzero(apart).tolist()
+        cuts = sorted(cuts.union(odd, (i + 1 for i in odd)))
+        ids, counts = [np.empty(0, "<i4")], [np.empty(0, "<i8")]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            names = chunks.slice(a, b - a).to_pylist()
+            if not apart[a]:
+                found = self._ids(" " + " ".join(names))
+                reach, ends = np.cumsum(self.sizes[found]), np.cumsum(sizes[a:b])
+                at = np.minimum(np.searchsorted(reach, ends), len(found) - 1)
+                if at[-1] + 1 == len(found) and np.array_equal(reach[at], ends):
+                    ids.append(found)
+                    counts.append(np.diff(at, prepend=-1))
+                    continue
+            # chunks that may not be joined, or tokens that do not stand for bytes
+            each = [self.alone(" " + name) for name in names]
+            ids.append(np.frombuffer(b"".join(each), "<i4"))
+            counts.append(np.array([len(one) // 4 for one in each]))
+        return np.concatenate(ids), np.concatenate(counts)
 
     def lists(self, texts: pa.Array) -> pa.ListArray:
         whole = np.zeros(len(texts), dtype=bool)
         for token in self.added:
             whole |= pc.fill_null(pc.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
-        return id_lists(texts, self.alone, self.behind, whole)
+        return id_lists(texts, self.alone, self.chunks, whole)
 
 
 @cache

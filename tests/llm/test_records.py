@@ -95,3 +95,28 @@ def test_added_tokens_as_the_untouched_library_finds_them(spark, documents, tmp_
     listed = records.index(spark, f"{tmp_path}/out").orderBy("start").collect()
     plain = lambda text: library.encode(text, add_special_tokens=False).ids
     assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in listed] == expected(rows, plain)
+
+
+def test_new_chunks_are_encoded_together(monkeypatch):
+    """A slice's chunks go to the library in few calls, each chunk once, and are held in few bytes."""
+    library = records.Library(records.TOKENIZER)
+    plain = Tokenizer.from_file(records.TOKENIZER)
+    calls, encode = [], library._ids
+    monkeypatch.setattr(library, "_ids", lambda text: calls.append(len(text)) or encode(text))
+    monkeypatch.setattr(records, "JOINED_BYTES", 2000)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcé日'1.\n\x85") for _ in range(rng.randrange(1, 9)))
+    texts = ["first " + " ".join(word() for _ in range(60)) for _ in range(50)] + ["a  b \tc", "x<|endoftext|> y", "", None]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert library.lists(pa.array(texts)).to_pylist() == want
+    distinct = len(library.chunks.names)
+    assert sum(n > 500 for n in calls) < 40 and distinct > 1500
+    calls.clear()
+    assert library.lists(pa.array(texts[::-1])).to_pylist() == want[::-1] and calls == [len("x<|endoftext|> y")]
+    library.chunks.limit = 1000
+    for text, ids in zip(texts, want, strict=True):
+        assert library.lists(pa.array([text], pa.string())).to_pylist() == [ids]
+        assert len(library.chunks.names) <= 70
+    library.sizes[:] = 0  # another model's tokens, whose sizes say nothing
+    library.chunks.names, library.chunks.ids, library.chunks.ends = pa.array([], pa.string()), np.empty(0, "<i4"), np.zeros(1, "<i8")
+    assert library.lists(pa.array(texts)).to_pylist() == want
