@@ -25,9 +25,9 @@ from pagetrail.llm.pieces import Held, Lists, claim, id_lists, slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: States of the transducer, twice as many steps, and pairs of tokens, that are held before they are dropped and built anew.
-HELD_STATES, HELD_PAIRS = 120_000, 200_000
+HELD_STATES, HELD_PAIRS = 120_000, 100_000
 #: Bytes of pieces and their ids that are held.
-HELD_PIECES = 32 << 20
+HELD_PIECES = 8 << 20
 #: Bytes of a piece that are read before what is settled is emitted.
 LOOKAHEAD = 1024
 NEVER = 1 << 60

@@ -81,3 +81,17 @@ def test_one_operator_at_a_time(monkeypatch):
     for name in ("a", "a", "b", "a"):
         pieces.claim(name, lambda name=name: dropped.append(name))
     assert dropped == ["a", "b"]
+
+
+def test_memory_goes_back_to_the_system(monkeypatch):
+    """Behind each slice, and when another operator takes the worker: else what Arrow keeps adds up with the stores."""
+    calls = []
+    pool = type("Pool", (), {"release_unused": lambda self: calls.append(1)})()
+    monkeypatch.setattr(pieces.pa, "default_memory_pool", lambda: pool)
+    monkeypatch.setattr(pieces, "_holder", ["", lambda: None])
+    monkeypatch.setattr(pieces, "SLICE_BYTES", 10)
+    batch = pieces.pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["a" * 12, "b" * 12, "c" * 12]})
+    assert sum(part.num_rows for part in pieces.slices(batch, 1)) == 3 and len(calls) == 3
+    pieces.claim("one", lambda: None)
+    pieces.claim("one", lambda: None)
+    assert len(calls) == 4
