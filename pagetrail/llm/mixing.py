@@ -22,6 +22,8 @@ STARTS = (1.5, 1.0, 0.5)
 MAX_PASSES = 3
 #: Documents of a source whose sizes one task adds up, on average.
 BUCKET_ROWS = 4096
+#: Sources whose unused texts are left behind; of any more, which have fewer unused words, texts travel in vain.
+CUT_SOURCES = 10_000
 
 
 def size() -> Column:
@@ -82,10 +84,27 @@ def _measured(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select("doc_id", *keys, "source", size().alias("size"), order.alias("order"), *more)
 
 
-def _placed(rows: DataFrame, weights: DataFrame | None, max_passes: int) -> DataFrame:
+def _without_unused(rows: DataFrame, parts: DataFrame, carried: str) -> DataFrame:
+    """Rows with a bucket, `carried` null where its source's target ends ahead of the bucket and the row has words.
+
+    No pass takes any of those words. A broadcast row per source tells them, so that they are never shuffled.
+    """
+    used = F.col("ahead") < F.floor("target")
+    ends = parts.groupBy(F.col("source_key").alias("cut_key")).agg(
+        F.coalesce(F.max(F.when(used, F.col("bucket"))), F.lit(-1)).alias("last"),
+        F.sum(F.when(~used, F.col("words")).otherwise(0)).alias("unused"),
+    )
+    ends = ends.where("unused > 0").orderBy(F.desc("unused")).limit(CUT_SOURCES).drop("unused")
+    rows = rows.join(F.broadcast(ends), F.col("source_key") == F.col("cut_key"), "left")
+    unused = (F.col("size") > 0) & F.coalesce(F.col("bucket") > F.col("last"), F.lit(False))
+    return rows.withColumn(carried, F.when(~unused, F.col(carried))).drop("cut_key", "last")
+
+
+def _placed(rows: DataFrame, carried: str, weights: DataFrame | None, max_passes: int) -> DataFrame:
     """Measured rows with `before`, the columns of their source's target, and their `place` in a bucket.
 
-    Buckets are joined and added up by one key, which is never null, so that the rows are shuffled once.
+    Buckets are joined and added up by one key, which is never null, so that the rows are shuffled once. The column
+    `carried` is null where whole buckets are not needed.
     """
     narrow = keep(rows.select("source", "source_key", "size", "order"))
     buckets = max(16, narrow.count() // BUCKET_ROWS)
@@ -94,12 +113,12 @@ def _placed(rows: DataFrame, weights: DataFrame | None, max_passes: int) -> Data
     parts = keep(narrow.groupBy("source", "source_key", bucket).agg(F.sum("size").alias("words")))
     goals = targets(parts.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_passes)
     in_source = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("ahead", F.coalesce(F.sum("words").over(in_source), F.lit(0))).drop("words")
+    parts = parts.withColumn("ahead", F.coalesce(F.sum("words").over(in_source), F.lit(0)))
     goals = goals.withColumnRenamed("source", "of")
     parts = parts.join(goals, F.col("source").eqNullSafe(F.col("of"))).drop("of", "source")
     in_bucket = Window.partitionBy("source_key", "bucket").orderBy("order", "doc_id", "text_key")
     ahead = F.coalesce(F.sum("size").over(in_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = rows.select("*", bucket).join(parts, ["source_key", "bucket"])
+    placed = _without_unused(rows.select("*", bucket), parts, carried).join(parts.drop("words"), ["source_key", "bucket"])
     return placed.withColumn("before", F.col("ahead") + ahead).withColumn("place", F.row_number().over(in_bucket))
 
 
@@ -117,7 +136,7 @@ def pieces(docs: DataFrame, weights: DataFrame | None = None, max_passes: int =
     the mix has enough of its source. `position` is the pass's own. The other columns are those of `curriculum`, and
     source_key, bucket and place, which tell rows apart.
     """
-    rows = _placed(_measured(docs, F.col("text")), weights, max_passes)
+    rows = _placed(_measured(docs, F.col("text")), "text", weights, max_passes)
     number = F.col("number")
     passes = F.filter(F.sequence(F.lit(0), F.lit(max_passes - 1)), lambda i: (i == 0) | (taken_in(i) > 0))
     rows = rows.withColumn("number", F.explode(passes)).withColumn("words", taken_in(number))
@@ -153,7 +172,7 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, max_passes: int = M
 
     Documents without words are taken once. The files hold ascending ranges of positions, sorted within.
     """
-    rows = _placed(_measured(docs, F.struct(*docs.columns).alias("row")), weights, max_passes)
+    rows = _placed(_measured(docs, F.struct(*docs.columns).alias("row")), "row", weights, max_passes)
     passes = F.filter(
         F.sequence(F.lit(0), F.lit(max_passes - 1)),
         lambda i: F.when(F.col("size") == 0, i == 0).otherwise(2 * taken_in(i) >= F.col("size")),

@@ -104,3 +104,24 @@ def test_curriculum_counts_the_mix_itself(spark, documents, monkeypatch):
     whole_mix = mixing.pieces
     monkeypatch.setattr(mixing, "pieces", lambda *a: whole_mix(*a).where("number = 0"))
     assert all(r.taken <= r.size for r in mixing.curriculum(docs, weights).collect())
+
+
+def test_unused_texts_are_not_shuffled(spark, documents, monkeypatch):
+    """Behind the bucket where a source's target ends, rows travel without their texts, and the mix is the same."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 20)
+    docs = documents([(i, f"w{i} b c d e") for i in range(400)] + [(None, "n m"), (None, None), (7, " \n")], "a")
+    docs = docs.union(documents([(1000 + i, "x y z") for i in range(40)] + [(7, "\t"), (7, "\t")], None))
+    weights = spark.createDataFrame([("a", 1, 2.0), (None, 12, 0.5)], "source string, weight int, start double")
+    rows = mixing._placed(mixing._measured(docs, mixing.F.col("text")), "text", weights, 3).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    own = [r for r in rows if r.source == "a" and r.size]
+    ends = {r.bucket: r.ahead >= math.floor(r.target) for r in own}
+    assert 0 < sum(ends.values()) < len(ends)
+    for r in own:
+        assert (r.text is None) == ends[r.bucket]
+    assert all(r.text == texts[r.doc_id] for r in rows if r.source is None and r.doc_id != 7)
+    blank = lambda found: sorted((str(r.doc_id), r.text or "") for r in found if not r.size)
+    assert blank(rows) == [("7", "\t"), ("7", "\t"), ("7", " \n"), ("None", "")]
+    parts = [sorted(map(str, f(docs, weights).collect())) for f in (mixing.pieces, mixing.mixed)]
+    monkeypatch.setattr(mixing, "CUT_SOURCES", 0)
+    assert parts == [sorted(map(str, f(docs, weights).collect())) for f in (mixing.pieces, mixing.mixed)]
