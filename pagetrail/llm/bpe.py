@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -25,12 +27,16 @@ from pagetrail.llm.pieces import Held, Lists, claim, id_lists, slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: States of the transducer, twice as many steps, and pairs of tokens, that are held before they are dropped and built anew.
-HELD_STATES, HELD_PAIRS = 120_000, 100_000
+HELD_STATES, HELD_PAIRS = 180_000, 100_000
 #: Bytes of pieces and their ids that are held.
 HELD_PIECES = 8 << 20
 #: Bytes of a piece that are read before what is settled is emitted.
 LOOKAHEAD = 1024
+#: Ids of a text that are decoded at a time.
+FED_IDS = 64
 NEVER = 1 << 60
+#: A hypothesis is a number: the partial token's, times 2 ** 32, and 1 more than the token before it (-1: none).
+BEFORE = (1 << 32) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -45,13 +51,22 @@ class Transducer:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.sizes = {rank: len(token) for token, rank in ranks.items()}
-        self.prefixes = {token[:n] for token in ranks for n in range(1, len(token) + 1)}
+        self.longer: dict[int, int] = {}  # a partial token's number by 256 * that of the one a byte shorter + that byte
+        self.whole, self.depths = [-1], [0]  # the token that each partial one is (-1: none), and its bytes
+        for token, rank in ranks.items():
+            part = 0
+            for depth, byte in enumerate(token, 1):
+                part = self.longer.setdefault(part << 8 | byte, len(self.whole))
+                if part == len(self.whole):
+                    self.whole.append(-1)
+                    self.depths.append(depth)
+            self.whole[part] = rank
         self.fits: dict[int, bool] = {}  # by 2 ** 32 * (token + 1) + the token behind it
         self.edges: dict[int, tuple[list, list] | None] = {}  # one a token at most
         self._reset()
 
     def _reset(self) -> None:
-        start = ((b"", -1),)
+        start = (0,)
         self.states: list[tuple] = [start]
         self.lasts: list[int] = [-1]
         self.numbers: dict[tuple, int] = {start: 0}
@@ -128,17 +143,22 @@ class Transducer:
 
     def _last(self, hypotheses: tuple) -> int:
         """The token that the bytes end in if they end here; just one hypothesis can be right about that."""
-        for part, before in hypotheses:
-            token = self.ranks.get(part)
-            if token is not None and self._follows(before, token):
-                return token
+        known = self.fits.get
+        for hypothesis in hypotheses:
+            token = self.whole[hypothesis >> 32]
+            if token >= 0:
+                before = hypothesis & BEFORE
+                fits = known(before << 32 | token)
+                if fits or fits is None and self._follows(before - 1, token):
+                    return token
         raise ValueError("the ranks do not cover every byte")
 
     def _step(self, state: int, byte: int) -> int:
-        one, prefixes = bytes((byte,)), self.prefixes
-        after = [(longer, before) for part, before in self.states[state] if (longer := part + one) in prefixes]
-        if state:
-            after.append((one, self.lasts[state]))
+        get = self.longer.get
+        known = self.states[state]
+        after = [part << 32 | old & BEFORE for old in known if (part := get(old >> 32 << 8 | byte))]
+        if state and (part := get(byte)):
+            after.append(part << 32 | self.lasts[state] + 1)
         key = tuple(after)
         number = self.numbers.get(key)
         if number is None:
@@ -149,22 +169,22 @@ class Transducer:
         self.steps[state << 8 | byte] = number
         return number
 
-    def _back(self, lasts: list[int], count: int) -> list[int]:
-        """The tokens of the first `count` bytes, from the token that each byte ends."""
-        out, sizes = [], self.sizes
+    def _back(self, path: list[int], count: int) -> list[int]:
+        """The tokens of the first `count` bytes, from the state that each byte leads to."""
+        out, sizes, lasts = [], self.sizes, self.lasts
         while count:
-            token = lasts[count - 1]
+            token = lasts[path[count - 1]]
             out.append(token)
             count -= sizes[token]
         return out[::-1]
 
-    def _settled(self, state: int, lasts: list[int]) -> int:
+    def _settled(self, path: list[int]) -> int:
         """How many bytes have tokens that every hypothesis agrees on: where their ways back meet."""
-        ways = {len(lasts) - len(part) for part, _ in self.states[state]} | {len(lasts)}
+        ways = {len(path) - self.depths[hypothesis >> 32] for hypothesis in self.states[path[-1]]} | {len(path)}
         while len(ways) > 1:
             furthest = max(ways)
             ways.remove(furthest)
-            ways.add(furthest - self.sizes[lasts[furthest - 1]])
+            ways.add(furthest - self.sizes[self.lasts[path[furthest - 1]]])
         return ways.pop()
 
     def encode(self, piece: bytes) -> list[int]:
@@ -175,17 +195,17 @@ class Transducer:
         if len(self.states) > HELD_STATES or len(self.steps) > 2 * HELD_STATES:
             self._reset()
         out: list[int] = []
-        lasts: list[int] = []
-        state, get, found = 0, self.steps.get, self.lasts
+        path: list[int] = []
+        state, get = 0, self.steps.get
         for start in range(0, len(piece), LOOKAHEAD):
             if start:
-                settled = self._settled(state, lasts)
-                out += self._back(lasts, settled)
-                del lasts[:settled]
+                settled = self._settled(path)
+                out += self._back(path, settled)
+                del path[:settled]
             for byte in piece[start : start + LOOKAHEAD]:
                 state = get(state << 8 | byte) or self._step(state, byte)
-                lasts.append(found[state])
-        return out + self._back(lasts, len(lasts))
+                path.append(state)
+        return out + self._back(path, len(path))
 
 
 class Encoder:
@@ -198,7 +218,7 @@ class Encoder:
         self.split = regex.compile(pattern).findall
 
     def _packed(self, piece: str) -> bytes:
-        return np.array(self.transducer.encode(piece.encode()), dtype="<i4").tobytes()
+        return array("i", self.transducer.encode(piece.encode())).tobytes()
 
     def alone(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(text)))
@@ -276,23 +296,30 @@ class Decoder:
     def feed(self, ids: list[int]) -> str:
         out: list[str] = []
         whole = self.whole.get
-        for start in range(0, len(ids), 256):
-            some = ids[start : start + 256]
+        for start in range(0, len(ids), FED_IDS):
+            some = ids[start : start + FED_IDS]
             texts = None if self.pending else list(map(whole, some))
             if texts is None or None in texts:  # a step is new, or leaves a character unfinished
-                texts = list(map(self._take, some))
+                texts = self._taken(some)
             out += texts
         return "".join(out)
 
-    def _take(self, token: int) -> str:
-        steps = self.known.setdefault(self.pending, {})
-        found = steps.get(token)
-        if found is None:
-            found = steps[token] = self._step(self.pending, token)
-            if not self.pending and not found[1]:
-                self.whole[token] = found[0]
-        self.pending = found[1]
-        return found[0]
+    def _taken(self, ids: list[int]) -> list[str]:
+        out: list[str] = []
+        pending = self.pending
+        steps = self.known.setdefault(pending, {})
+        for token in ids:
+            found = steps.get(token)
+            if found is None:
+                found = steps[token] = self._step(pending, token)
+                if not pending and not found[1]:
+                    self.whole[token] = found[0]
+            out.append(found[0])
+            if found[1] != pending:
+                pending = found[1]
+                steps = self.known.setdefault(pending, {})
+        self.pending = pending
+        return out
 
     def finish(self) -> str:
         """What ends a text: U+FFFD if a character is unfinished."""
@@ -339,13 +366,13 @@ def _with_texts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Rec
 
 def _digests(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     decoder = _decoder(path)
-    decimal = {i: str(i) for i in decoder.tokens}.__getitem__
+    decimals = pa.array(map(str, range(max(decoder.tokens) + 1)))
     for docs, lists in _lists(batches, path):
         rows = []
-        for ids in _rows(lists):
-            said = " ".join(map(decimal, ids)).encode()
+        said = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, decimals.take(lists.values)), " ")
+        for ids, line in zip(_rows(lists), said.cast(pa.binary()), strict=True):
             text = decoder.feed(ids) + decoder.finish()
-            rows.append((len(ids), hashlib.sha256(said).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+            rows.append((len(ids), hashlib.sha256(line.as_buffer()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
         n, said, text = zip(*rows, strict=True)
         arrays = [docs, pa.array(n, pa.int64()), pa.array(said), pa.array(text)]
         yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

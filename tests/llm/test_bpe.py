@@ -118,3 +118,35 @@ def test_pipeline_decodes_its_own_rows(spark, documents):
     rows = corpus_pipeline.encode(spark, documents(list(enumerate(texts))), "").collect()
     assert {r.doc_id: r.text for r in rows} == dict(enumerate(texts))
     assert all(r.ids for r in rows if r.text)
+
+
+def test_states_take_few_bytes(encoder):
+    """A state's hypotheses are numbers: 180,000 states take what 120,000 took as tuples of bytes."""
+    import tracemalloc
+
+    transducer = bpe.Transducer(encoder.transducer.ranks)
+    rng = random.Random(4)
+    words = ["".join(rng.choices("etaoinsrhld'é", k=12)).encode() for _ in range(4000)]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        for word in words:
+            transducer.encode(word)
+        transducer.fits, transducer.edges = {}, {}
+        taken = tracemalloc.get_traced_memory()[0] - before
+    finally:
+        tracemalloc.stop()
+    assert len(transducer.states) > 5000
+    assert taken / len(transducer.states) < 440
+
+
+def test_decoder_takes_whole_blocks(encoder, monkeypatch):
+    """One unfinished character slows down the block of ids that it stands in, not those around it."""
+    decoder = bpe.Decoder(encoder.transducer.tokens)
+    ids = encoder.encode(("plain words " * 400 + "\U0001f9ff") * 3).tolist()
+    decoder.feed(ids), decoder.finish()
+    slow = []
+    taken = decoder._taken
+    monkeypatch.setattr(decoder, "_taken", lambda some: slow.append(len(some)) or taken(some))
+    assert decoder.feed(ids) + decoder.finish() == ("plain words " * 400 + "\U0001f9ff") * 3
+    assert 0 < sum(slow) <= 6 * bpe.FED_IDS < len(ids)
